@@ -2,8 +2,9 @@
 
 All of them are built-in expressions on one row, so a text stage needs no shuffle. The
 patterns use only constructs that mean the same in Java and RE2 (``_AT_WORD_START`` is the one
-exception, a pure speed-up). ``SPACES`` spells out Unicode white space, because ``\\s`` is ASCII
-in both and French text is full of no-break spaces.
+exception, a pure speed-up). ``\\s`` is ASCII in both and French text is full of no-break spaces,
+so ``SPACES`` spells out Unicode white space, and cleaning first turns the odd ones into plain
+spaces. The ideographic space is left for the emoji range, which takes it out.
 """
 
 from pyspark.sql import Column
@@ -13,31 +14,31 @@ from opinara import fixed_values as fixed
 
 SPACES = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = r"\p{L}\p{N}_"
+ODD_SPACE = r"[\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}]"
 URL = r"https?://[a-zA-Z!$-_]+"
-EMAIL = rf"[^{SPACES}]+@[^{SPACES}]+"
+EMAIL = r"[^\s\x{3000}]+@[^\s\x{3000}]+"
 PHONE = r"(\+212|0)[5-7]\p{Nd}{8}"
 TAG = r"<[^>]+>"
 EMOJI = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
     r"\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
 )
-UNWANTED = rf"""[^{WORD}{SPACES}.,!?;:'"-]"""
+UNWANTED = rf"""[^{WORD}\s.,!?;:'"-]"""
 TOKEN = rf"[{WORD}]+(?:['.-][{WORD}]+)*|[^{WORD} ]"
 KEPT_TOKEN = r"^[a-zA-Z]{2,}$"
 SENTENCE_END = rf"[.!?]+([{SPACES}]+|$)"
 
 # An address can only start where a word starts. Saying so keeps the search linear on long words.
-_AT_WORD_START = rf"(?<![^{SPACES}])"
+_AT_WORD_START = r"(?<![^\s\x{3000}])"
 
 
 def clean_basic(text: Column) -> Column:
     """Lower-case text without URLs, e-mails, phone numbers, tags, emoji and odd characters."""
-    out = F.lower(text)
+    out = F.regexp_replace(F.lower(text), ODD_SPACE, " ")
     for pattern in (URL, _AT_WORD_START + EMAIL, PHONE, TAG, EMOJI):
         out = F.regexp_replace(out, pattern, "")
     out = F.regexp_replace(out, UNWANTED, " ")
-    out = F.regexp_replace(out, f"[{SPACES}]+", " ")
-    return F.coalesce(F.trim(out), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(out, r"\s+", " ")), F.lit(""))
 
 
 def remove_emoji(text: Column) -> Column:

@@ -7,6 +7,7 @@ from opinara import fixed_values as fixed
 from opinara.functions import text as tx
 from opinara.functions.numbers import share
 from opinara.functions.stemming import stem_tokens
+from opinara.operators.binding import bind
 from opinara.operators.dedupe import keep_first
 from opinara.operators.lookup import is_small, lookup
 
@@ -28,11 +29,12 @@ def remove_duplicates(df: DataFrame, order: str = "review_seq") -> DataFrame:
 
 
 def plain_tokens(df: DataFrame, stop_words=fixed.STOP_WORDS, fold: bool = False) -> DataFrame:
-    """Adds ``cleaned_text`` and ``tokens`` (plain words that are no stop words)."""
+    """Adds ``cleaned_text`` and ``tokens``: plain words that are no stop words. A plain word is never
+    a punctuation mark, so those need no step of their own."""
     cleaned = tx.clean_basic(F.col("review_text"))
     out = df.withColumn("cleaned_text", tx.fold_accents(cleaned) if fold else cleaned)
-    tokens = tx.keep_plain_words(tx.remove_stop_words(tx.remove_punctuation(tx.tokenize(F.col("cleaned_text"))), stop_words))
-    return out.withColumn("tokens", tokens)
+    tokens = tx.remove_stop_words(tx.keep_plain_words(tx.tokenize(F.col("cleaned_text"))), stop_words)
+    return bind(out.withColumn("tokens", tokens), "tokens")
 
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, key: str = "review_seq", inline_terms: int = INLINE_TERMS) -> DataFrame:
@@ -56,11 +58,19 @@ def lemmatize(df: DataFrame, lemmas: DataFrame, key: str = "review_seq", inline_
 
 
 def process_reviews(
-    df: DataFrame, stop_words=fixed.STOP_WORDS, fold: bool = False, lemmas: DataFrame | None = None, stem: bool = True
+    df: DataFrame,
+    stop_words=fixed.STOP_WORDS,
+    fold: bool = False,
+    lemmas: DataFrame | None = None,
+    stem: bool = True,
+    min_words: int = 0,
 ) -> DataFrame:
     """Cleaned text, tokens, processed text and their counts. With a lemma table the words are
-    looked up there, else stemmed; ``stem=False`` leaves them as they are."""
+    looked up there, else stemmed; ``stem=False`` leaves them as they are. Neither changes the
+    number of words, so reviews with fewer than ``min_words`` go before that."""
     out = plain_tokens(df, stop_words, fold)
+    if min_words:
+        out = out.filter(F.size("tokens") >= min_words)
     if lemmas is not None:
         out = lemmatize(out, lemmas)
     elif stem:
@@ -70,8 +80,8 @@ def process_reviews(
 
 
 def clean_reviews(df: DataFrame, order: str = "review_seq", min_words: int = fixed.MIN_REVIEW_WORDS, **options):
-    """The cleaning stage up to the filter on words; ``options`` go to ``process_reviews``."""
-    return process_reviews(remove_duplicates(df, order), **options).filter(F.col("word_count") >= min_words)
+    """The cleaning stage without copies and short reviews; ``options`` go to ``process_reviews``."""
+    return process_reviews(remove_duplicates(df, order), min_words=min_words, **options)
 
 
 def add_text_features(df: DataFrame) -> DataFrame:

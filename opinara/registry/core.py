@@ -71,10 +71,10 @@ def sql_replace(value: str, pattern: str, new: str) -> str:
 
 
 def sql_clean(value: str) -> str:
-    out = f"lower({value})"
+    out = sql_replace(f"lower({value})", tx.ODD_SPACE, " ")
     for pattern in (tx.URL, tx.EMAIL, tx.PHONE, tx.TAG, tx.EMOJI):
         out = sql_replace(out, pattern, "")
-    out = sql_replace(sql_replace(out, tx.UNWANTED, " "), f"[{tx.SPACES}]+", " ")
+    out = sql_replace(sql_replace(out, tx.UNWANTED, " "), r"\s+", " ")
     return f"coalesce(trim({out}, ' '), '')"
 
 

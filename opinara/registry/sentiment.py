@@ -30,34 +30,47 @@ def scored(spark, folder):
 _BARE = r"""regexp_replace(regexp_replace(w, '^[.,!?;:''"-]+', ''), '[.,!?;:''"-]+$', '')"""
 _STEPS = ""
 for _n, _damp in enumerate(fixed.VALENCE_DAMPING, 1):
-    _before = f"CASE WHEN i > {_n} THEN ws[i - {_n}] END"
-    _last = f"v{_n - 1}"
+    _last, _from = f"v{_n - 1}", "weighted" if _n == 1 else f"step{_n - 1}"
     _STEPS += f"""
-step{_n} AS (SELECT *, CASE WHEN b IS NULL OR b IN (SELECT term FROM lexicon) THEN {_last}
-    ELSE ({_last} + CASE WHEN b IN ({text_list(BOOSTERS)}) THEN CAST(0.293 AS DOUBLE)
-      WHEN b IN ({text_list(DAMPENERS)}) THEN CAST(-0.293 AS DOUBLE) ELSE 0 END * CAST({_damp} AS DOUBLE)
+step{_n} AS (SELECT *, CASE WHEN b{_n} IS NULL OR b{_n} IN (SELECT term FROM lexicon) THEN {_last}
+    ELSE ({_last} + CASE WHEN b{_n} IN ({text_list(BOOSTERS)}) THEN CAST(0.293 AS DOUBLE)
+      WHEN b{_n} IN ({text_list(DAMPENERS)}) THEN CAST(-0.293 AS DOUBLE) ELSE 0 END * CAST({_damp} AS DOUBLE)
       * CASE WHEN {_last} < 0 THEN -1 ELSE 1 END)
-      * CASE WHEN b IN ({text_list(TEST_NEGATORS)}) THEN CAST(-0.74 AS DOUBLE) ELSE 1 END END AS v{_n}
-  FROM (SELECT * {'' if _n == 1 else 'EXCLUDE (b)'}, {_before} AS b FROM {'weighted' if _n == 1 else f'step{_n - 1}'})),"""
-
-SCORES = f"""
-lexwords AS (SELECT review_seq, {sql_words('lower(cleaned_text)')} AS ws FROM processed),
-lexat AS (SELECT review_seq, ws, unnest(range(1, len(ws) + 1)) AS i FROM lexwords),
-signed AS (SELECT review_seq, CASE WHEN i > 1 AND ws[i - 1] IN ({text_list(TEST_NEGATORS)}) THEN -weight ELSE weight END AS s
-  FROM lexat JOIN lexicon ON ws[i] = term),
-lexscore AS (SELECT review_seq, coalesce(sum(s) / nullif(count(CASE WHEN s <> 0 THEN 1 END), 0), 0) AS custom_sentiment_score,
+      * CASE WHEN b{_n} IN ({text_list(TEST_NEGATORS)}) THEN CAST(-0.74 AS DOUBLE) ELSE 1 END END AS v{_n}
+  FROM {_from}),"""
+
+
+def sql_word_rows(name: str, words: str, source: str) -> str:
+    """Word, its place, and the three words before it."""
+    before = ", ".join(f"lag(w, {n}) OVER (PARTITION BY review_seq ORDER BY i) AS b{n}" for n in (1, 2, 3))
+    return f"""
+{name} AS (SELECT review_seq, w, i, {before} FROM (
+  SELECT review_seq, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
+    SELECT review_seq, {words} AS ws FROM {source})))"""
+
+
+_BARE_WORDS = f"""list_transform(list_filter(string_split(lower(cleaned_text), ' '), lambda w: length(w) > 1),
+  lambda w: CASE WHEN length({_BARE}) > 2 THEN {_BARE} ELSE w END)"""
+
+
+def sql_lexicon_score(name: str, rows: str, negators: list[str]) -> str:
+    return f"""
+{name}_signed AS (SELECT review_seq, CASE WHEN b1 IN ({text_list(negators)}) THEN -weight ELSE weight END AS s
+  FROM {rows} JOIN lexicon ON w = term),
+{name} AS (SELECT review_seq, coalesce(sum(s) / nullif(count(CASE WHEN s <> 0 THEN 1 END), 0), 0) AS custom_sentiment_score,
   count(CASE WHEN s > 0 THEN 1 END) AS positive_words_count, count(CASE WHEN s < 0 THEN 1 END) AS negative_words_count
-  FROM signed GROUP BY review_seq),
-bare AS (SELECT review_seq, cleaned_text, list_transform(list_filter(string_split(lower(cleaned_text), ' '),
-  lambda w: length(w) > 1), lambda w: CASE WHEN length({_BARE}) > 2 THEN {_BARE} ELSE w END) AS ws FROM processed),
-bareat AS (SELECT review_seq, ws, unnest(range(1, len(ws) + 1)) AS i FROM bare),
+  FROM {name}_signed GROUP BY review_seq)"""
+
+
+SCORES = f"""{sql_word_rows('wordrows', sql_words('lower(cleaned_text)'), 'processed')},
+{sql_lexicon_score('lexscore', 'wordrows', TEST_NEGATORS)},
+{sql_word_rows('barerows', _BARE_WORDS, 'processed')},
 polarity AS (SELECT review_seq, avg(weight) AS textblob_polarity, avg(abs(weight)) AS textblob_subjectivity
-  FROM bareat JOIN lexicon ON ws[i] = term GROUP BY review_seq),
-weighted AS (SELECT b.*, l.weight * 4 AS v0 FROM bareat b LEFT JOIN lexicon l ON ws[i] = term
-  AND ws[i] NOT IN ({text_list(BOOSTERS + DAMPENERS)})),{_STEPS}
-valued AS (SELECT review_seq, coalesce(v3, 0) * CASE WHEN list_position(ws, 'but') IS NULL OR list_position(ws, 'but') = 0
-  OR i = list_position(ws, 'but') THEN 1 WHEN i < list_position(ws, 'but') THEN CAST(0.5 AS DOUBLE) ELSE CAST(1.5 AS DOUBLE) END
-  AS v FROM step3),
+  FROM barerows JOIN lexicon ON w = term GROUP BY review_seq),
+weighted AS (SELECT b.*, l.weight * 4 AS v0, min(CASE WHEN w = 'but' THEN i END) OVER (PARTITION BY review_seq) AS turn_at
+  FROM barerows b LEFT JOIN lexicon l ON w = term AND w NOT IN ({text_list(BOOSTERS + DAMPENERS)})),{_STEPS}
+valued AS (SELECT review_seq, coalesce(v3, 0) * CASE WHEN turn_at IS NULL OR i = turn_at THEN 1
+  WHEN i < turn_at THEN CAST(0.5 AS DOUBLE) ELSE CAST(1.5 AS DOUBLE) END AS v FROM step3),
 sums AS (SELECT review_seq, sum(v) AS plain, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS up,
   sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS down, CAST(count(CASE WHEN v = 0 THEN 1 END) AS DOUBLE) AS neutral
   FROM valued GROUP BY review_seq),
@@ -117,25 +130,19 @@ def lexicon_score_by_join(spark, folder):
     return sentiment._score_by_join(listed, lexicon(spark, TEST_LEXICON), TEST_NEGATORS, "review_seq").select(*_LEX)
 
 
-_TOKEN_HITS = f"""
-tokat AS (SELECT review_seq, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM processed),
-tokhits AS (SELECT review_seq, CASE WHEN i > 1 AND tokens[i - 1] IN ({text_list(fixed.NEGATORS)}) THEN -weight ELSE weight END
-  AS s FROM tokat JOIN lexicon ON tokens[i] = term),
-textat AS (SELECT review_seq, ws, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT review_seq,
-  {sql_words('cleaned_text')} AS ws FROM processed WHERE len(tokens) = 0)),
-texthits AS (SELECT review_seq, CASE WHEN i > 1 AND ws[i - 1] IN ({text_list(fixed.NEGATORS)}) THEN -weight ELSE weight END
-  AS s FROM textat JOIN lexicon ON ws[i] = term),
-hits AS (SELECT * FROM tokhits UNION ALL SELECT * FROM texthits)"""
+_TOKEN_ROWS = sql_word_rows(
+    "tokenrows", f"CASE WHEN len(tokens) > 0 THEN tokens ELSE {sql_words('cleaned_text')} END", "processed"
+)
 
 
 @query(
     "lexicon_score_on_tokens",
     with_ctes(
-        REVIEWS_RAW, KEPT, PROCESSED, lexicon_values(fixed.LEXICON), _TOKEN_HITS,
-        select=f"""SELECT p.review_seq,
-          {rounded("coalesce(sum(s) / nullif(count(CASE WHEN s <> 0 THEN 1 END), 0), 0)")} AS custom_sentiment_score,
-          count(CASE WHEN s > 0 THEN 1 END) AS positive_words_count, count(CASE WHEN s < 0 THEN 1 END) AS negative_words_count
-          FROM processed p LEFT JOIN hits h ON p.review_seq = h.review_seq GROUP BY p.review_seq""",
+        REVIEWS_RAW, KEPT, PROCESSED, lexicon_values(fixed.LEXICON), _TOKEN_ROWS,
+        sql_lexicon_score("tokenscore", "tokenrows", fixed.NEGATORS),
+        select=f"""SELECT review_seq, {rounded("coalesce(custom_sentiment_score, 0)")} AS custom_sentiment_score,
+          coalesce(positive_words_count, 0) AS positive_words_count,
+          coalesce(negative_words_count, 0) AS negative_words_count FROM processed LEFT JOIN tokenscore USING (review_seq)""",
     ),
 )
 def lexicon_score_on_tokens(spark, folder):

@@ -10,7 +10,7 @@ from opinara.plans import cleaning
 from opinara.registry.core import (
     KEPT, PROCESSED, REVIEWS_RAW, query, rounded, sql_clean, sql_tokens, sql_words, text_list, text_literal, with_ctes,
 )
-from opinara.sources.tables import load, reviews_raw
+from opinara.sources.tables import load, load_texts, reviews_raw
 
 _JOINED = "array_to_string(tokens, ' ')"
 _TOKENS = text_literal(tx.TOKEN)
@@ -31,7 +31,7 @@ def clean_text(spark, folder):
 
 @query("clean_page_html", f"SELECT page_id, {sql_clean('html')} AS cleaned_text FROM pages")
 def clean_page_html(spark, folder):
-    return load(spark, folder, "pages").select("page_id", tx.clean_basic(F.col("html")).alias("cleaned_text"))
+    return load_texts(spark, folder, "pages", "page_id").select("page_id", tx.clean_basic(F.col("html")).alias("cleaned_text"))
 
 
 @query(
@@ -39,7 +39,7 @@ def clean_page_html(spark, folder):
     f"SELECT doc_id, translate(lower(text), '{fixed.ACCENTED}', '{fixed.UNACCENTED}') AS folded_text FROM documents",
 )
 def fold_accents(spark, folder):
-    docs = load(spark, folder, "documents")
+    docs = load_texts(spark, folder, "documents", "doc_id")
     return docs.select("doc_id", tx.fold_accents(F.lower("text")).alias("folded_text"))
 
 
@@ -58,7 +58,7 @@ def remove_emoji(spark, folder):
 )
 def tokenize(spark, folder):
     tokens = tx.tokenize(tx.clean_basic(F.col("text")))
-    docs = load(spark, folder, "documents").select("doc_id", tokens.alias("t"))
+    docs = load_texts(spark, folder, "documents", "doc_id").select("doc_id", tokens.alias("t"))
     return docs.select("doc_id", F.array_join("t", " ").alias("tokens"), F.size("t").alias("n_tokens"))
 
 
@@ -69,7 +69,7 @@ def tokenize(spark, folder):
 )
 def remove_punctuation(spark, folder):
     tokens = tx.remove_punctuation(tx.tokenize(F.col("text")))
-    return load(spark, folder, "documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+    return load_texts(spark, folder, "documents", "doc_id").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 @query(
@@ -79,7 +79,7 @@ def remove_punctuation(spark, folder):
 )
 def remove_stop_words(spark, folder):
     tokens = tx.remove_stop_words(tx.tokenize(F.col("text")))
-    return load(spark, folder, "documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+    return load_texts(spark, folder, "documents", "doc_id").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 @query(
@@ -89,7 +89,7 @@ def remove_stop_words(spark, folder):
 )
 def keep_plain_words(spark, folder):
     tokens = tx.keep_plain_words(tx.tokenize(F.col("text")), min_length=3)
-    return load(spark, folder, "documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+    return load_texts(spark, folder, "documents", "doc_id").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 @query("remove_duplicates", with_ctes(REVIEWS_RAW, KEPT, select="SELECT review_seq, bank_name FROM kept"))
@@ -203,7 +203,7 @@ def text_features(spark, folder):
     f"SELECT doc_id, len({sql_words('text')}) AS word_count, length(text) AS char_count FROM documents",
 )
 def raw_counts(spark, folder):
-    docs = load(spark, folder, "documents")
+    docs = load_texts(spark, folder, "documents", "doc_id")
     return docs.select("doc_id", tx.word_count(F.col("text")).alias("word_count"), F.length("text").alias("char_count"))
 
 

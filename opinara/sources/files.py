@@ -40,6 +40,13 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
     df.select(*flat).write.mode("overwrite").options(**options).csv(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer partitions than there are cores, spread over all of them by key; a larger one
+    as it is. For work per row that costs far more than moving the row, such as text."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def run_path(path: str, run_ts: str) -> str:
     """Folder of one run. The run time is given, never read from the clock inside a query."""
     return f"{path}/run_ts={run_ts}"

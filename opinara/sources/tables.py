@@ -5,15 +5,20 @@ from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
 from opinara.plans.warehouse import calendar, sentiment_dimension
+from opinara.sources.files import spread
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def load_texts(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    return spread(load(spark, folder, name), key)
+
+
 def reviews_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Raw reviews from documents and labels, with a unique ``review_seq``."""
-    docs, labels = load(spark, folder, "documents"), load(spark, folder, "labels")
+    docs, labels = load_texts(spark, folder, "documents", "doc_id"), load(spark, folder, "labels")
     doc = F.col("doc_id")
     rating = (
         F.when(F.col("quality") == 1, 4 + doc % 2)
