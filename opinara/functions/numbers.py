@@ -18,6 +18,10 @@ def share(part: Column, whole: Column, places: int | None = 2) -> Column:
     return percent if places is None else half_up(percent, places)
 
 
+def rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def count_label(label: str, column: str = LABEL_COLUMN) -> Column:
     return F.count_if(F.col(column) == label)
 

@@ -4,11 +4,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.labels import month_key, rating_bucket
-from opinara.functions.numbers import count_label, half_up, label_share
+from opinara.functions.numbers import count_label, half_up, label_share, rows
 from opinara.operators.statistics import correlation_matrix, exact_percentiles
 from opinara.plans.reports import as_of_day
 
-N = F.count(F.lit(1))
 METRIC_COLUMNS = [
     "star_rating", "ensemble_score", "sentiment_confidence", "topic_probability", "word_count", "data_quality_score"
 ]
@@ -17,7 +16,7 @@ METRIC_COLUMNS = [
 def summary_metrics(main: DataFrame) -> DataFrame:
     """One row of headline figures with the span of dates."""
     row = main.agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         F.countDistinct("bank_name").alias("total_banks"),
         F.countDistinct("branch_name").alias("total_branches"),
         F.countDistinct("city").alias("total_cities"),
@@ -48,7 +47,7 @@ def full_metrics(main: DataFrame, bank_summary: DataFrame) -> DataFrame:
 
 def small_metrics(main: DataFrame, score: str = "ensemble_score") -> DataFrame:
     return main.agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         F.countDistinct("bank_name").alias("total_banks"),
         half_up(F.avg("star_rating")).alias("avg_rating"),
         half_up(F.avg(score), 3).alias("avg_sentiment"),
@@ -69,7 +68,7 @@ def rating_by_bank(main: DataFrame) -> DataFrame:
 
 
 def count_by_sentiment(main: DataFrame, column: str = "sentiment_label") -> DataFrame:
-    return main.groupBy(column).agg(N.alias("review_count"))
+    return main.groupBy(column).agg(rows().alias("review_count"))
 
 
 def bank_indices(bank_summary: DataFrame) -> DataFrame:
@@ -87,7 +86,7 @@ def monthly_scores(main: DataFrame) -> DataFrame:
     """Mean score and count per month. Everything below works on these few rows."""
     day = F.col("review_date")
     grouped = main.filter("review_date is not null").groupBy(F.year(day).alias("year"), F.month(day).alias("month"))
-    out = grouped.agg(N.alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment"))
+    out = grouped.agg(rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment"))
     return out.withColumn("period", month_key(F.col("year"), F.col("month")))
 
 
@@ -118,13 +117,13 @@ def year_over_year(months: DataFrame) -> DataFrame:
 
 def by_quarter(main: DataFrame) -> DataFrame:
     return main.groupBy(F.quarter("review_date").alias("quarter")).agg(
-        N.alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
+        rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
     )
 
 
 def by_weekday(main: DataFrame) -> DataFrame:
     return main.groupBy((F.weekday("review_date") + 1).alias("day_of_week")).agg(
-        N.alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
+        rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
     )
 
 
@@ -132,12 +131,12 @@ def recent_activity(main: DataFrame, as_of: str | None = None, days: int = 7) ->
     """Reviews per day over the last days."""
     recent = as_of_day(main, as_of).filter(F.col("review_date") > F.date_sub("_as_of", days))
     return recent.groupBy("review_date").agg(
-        N.alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment"), label_share("positive").alias("positive_percentage")
+        rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment"), label_share("positive").alias("positive_percentage")
     )
 
 
 def rating_histogram(main: DataFrame) -> DataFrame:
-    return main.groupBy("star_rating").agg(N.alias("review_count")).withColumn("rating_category", rating_bucket(F.col("star_rating")))
+    return main.groupBy("star_rating").agg(rows().alias("review_count")).withColumn("rating_category", rating_bucket(F.col("star_rating")))
 
 
 def score_quartiles(main: DataFrame) -> DataFrame:
@@ -148,14 +147,14 @@ def score_quartiles(main: DataFrame) -> DataFrame:
 def score_by_length(main: DataFrame, width: int = 10) -> DataFrame:
     """Mean score per span of ``width`` words."""
     return main.groupBy(F.expr(f"word_count div {width} * {width}").alias("words_from")).agg(
-        N.alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
+        rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
     )
 
 
 def extreme_topics(main: DataFrame, n: int = 3) -> DataFrame:
     """The topics with the highest and with the lowest positive share."""
     topics = main.filter("topic_name is not null").groupBy("topic_name").agg(
-        N.alias("review_count"), label_share("positive").alias("positive_percentage")
+        rows().alias("review_count"), label_share("positive").alias("positive_percentage")
     )
     high = topics.orderBy(F.desc("positive_percentage"), "topic_name").limit(n).withColumn("side", F.lit("positive"))
     low = topics.orderBy("positive_percentage", "topic_name").limit(n).withColumn("side", F.lit("negative"))

@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType
 from opinara import fixed_values as fixed
 from opinara.functions import labels
 from opinara.functions.casting import PUBLISH_DATE, to_date, to_number
-from opinara.functions.numbers import count_label, half_up, label_share, share
+from opinara.functions.numbers import count_label, half_up, label_share, rows, share
 from opinara.functions.text import word_count
 from opinara.operators.gather import grouped_text, term_counts
 from opinara.operators.lookup import lookup
@@ -29,7 +29,6 @@ DIMENSION_COLUMNS = {
     "dim_sentiment": ("sentiment_id", ["sentiment_label"]),
     "dim_topic": ("topic_id", ["topic_name"]),
 }
-N = F.count(F.lit(1))
 
 
 def join_dimensions(star: Star, tables=tuple(DIMENSION_COLUMNS)) -> DataFrame:
@@ -199,7 +198,7 @@ def bank_summary(star: Star) -> DataFrame:
     """Reviews without a bank stay as one group."""
     fact = join_dimensions(star, ("dim_bank", "dim_sentiment", "dim_date"))
     return fact.groupBy("bank_id", "bank_name").agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating", avg_sentiment_score="ensemble_score"),
         count_label("positive").alias("positive_reviews"),
         count_label("negative").alias("negative_reviews"),
@@ -216,7 +215,7 @@ def bank_summary_known(star: Star) -> DataFrame:
     """The same without unknown banks, date span and negative share."""
     fact = join_dimensions(star, ("dim_bank", "dim_sentiment")).filter("bank_name is not null")
     return fact.groupBy("bank_id", "bank_name").agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating", avg_sentiment_score="ensemble_score"),
         count_label("positive").alias("positive_reviews"),
         count_label("negative").alias("negative_reviews"),
@@ -242,7 +241,7 @@ def temporal_trends(star: Star) -> DataFrame:
     """Per month; reviews without a date are one group."""
     fact = join_dimensions(star, ("dim_date", "dim_sentiment"))
     return fact.groupBy("year", "month", "month_name", "quarter").agg(
-        N.alias("review_count"),
+        rows().alias("review_count"),
         *_averages(avg_rating="star_rating", avg_sentiment="ensemble_score"),
         count_label("positive").alias("positive_count"),
         count_label("negative").alias("negative_count"),
@@ -262,7 +261,7 @@ def flat_temporal_trends(flat: DataFrame) -> DataFrame:
 def topic_analysis(star: Star) -> DataFrame:
     fact = join_dimensions(star, ("dim_topic", "dim_sentiment")).filter("topic_name is not null")
     return fact.groupBy("topic_id", "topic_name").agg(
-        N.alias("review_count"),
+        rows().alias("review_count"),
         *_averages(avg_rating="star_rating", avg_sentiment="ensemble_score", avg_topic_probability="topic_probability"),
         count_label("positive").alias("positive_reviews"),
         count_label("negative").alias("negative_reviews"),
@@ -283,7 +282,7 @@ def flat_topic_analysis(flat: DataFrame) -> DataFrame:
 def branch_performance(star: Star, min_reviews: int = 3) -> DataFrame:
     fact = join_dimensions(star, ("dim_bank", "dim_branch", "dim_sentiment")).filter("branch_name is not null")
     grouped = fact.groupBy("bank_id", "bank_name", "branch_id", "branch_name", "city", "region").agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating", avg_sentiment_score="ensemble_score"),
         count_label("positive").alias("positive_reviews"),
         count_label("negative").alias("negative_reviews"),
@@ -300,7 +299,7 @@ def bank_topic_matrix(star: Star) -> DataFrame:
     """
     fact = join_dimensions(star, ("dim_bank", "dim_topic")).filter("bank_name is not null")
     counts = fact.groupBy("bank_id", "bank_name", "topic_id", "topic_name").agg(
-        N.alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
+        rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
     )
     in_bank = F.sum("review_count").over(Window.partitionBy("bank_id"))
     shares = counts.withColumn("topic_percentage_in_bank", share(F.col("review_count"), in_bank))
@@ -360,7 +359,7 @@ def as_of_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
 def kpi_overview(main: DataFrame, as_of: str | None = None, days: int = 30) -> DataFrame:
     recent = as_of_day(main, as_of).filter(F.col("review_date") >= F.date_sub("_as_of", days))
     return recent.agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating", avg_sentiment="ensemble_score"),
         label_share("positive", places=None).alias("positive_percentage"),
     )
@@ -368,13 +367,13 @@ def kpi_overview(main: DataFrame, as_of: str | None = None, days: int = 30) -> D
 
 def monthly_trend(main: DataFrame) -> DataFrame:
     return main.groupBy(F.trunc("review_date", "MM").alias("month")).agg(
-        N.alias("review_count"), *_averages(avg_sentiment="ensemble_score", avg_rating="star_rating")
+        rows().alias("review_count"), *_averages(avg_sentiment="ensemble_score", avg_rating="star_rating")
     )
 
 
 def bank_comparison(main: DataFrame, min_reviews: int = 10) -> DataFrame:
     grouped = main.groupBy("bank_name").agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating"),
         label_share("positive", places=None).alias("positive_percentage"),
         *_averages(avg_review_length="word_count"),
@@ -385,14 +384,14 @@ def bank_comparison(main: DataFrame, min_reviews: int = 10) -> DataFrame:
 def topic_sentiment(main: DataFrame) -> DataFrame:
     known = main.filter("topic_name is not null")
     return known.groupBy("topic_name", "sentiment_label").agg(
-        N.alias("review_count"), *_averages(avg_confidence="topic_probability")
+        rows().alias("review_count"), *_averages(avg_confidence="topic_probability")
     )
 
 
 def regional_performance(main: DataFrame, min_reviews: int = 5) -> DataFrame:
     known = main.filter("region is not null and city is not null")
     grouped = known.groupBy("region", "city").agg(
-        N.alias("total_reviews"),
+        rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating"),
         label_share("positive", places=None).alias("positive_percentage"),
     )

@@ -126,8 +126,9 @@ def lexicon_score(spark, folder):
 @query("lexicon_score_by_join", _LEX_SQL)
 def lexicon_score_by_join(spark, folder):
     """The same by a join with the lexicon table, as used for long lexicons."""
-    listed = plain(spark, folder).withColumn("_words", sentiment._words(plain(spark, folder), "cleaned_text"))
-    return sentiment._score_by_join(listed, lexicon(spark, TEST_LEXICON), TEST_NEGATORS, "review_seq").select(*_LEX)
+    table = lexicon(spark, TEST_LEXICON)
+    out = sentiment.add_lexicon_score(plain(spark, folder), table, TEST_NEGATORS, "cleaned_text", inline_terms=0)
+    return out.select(*_LEX)
 
 
 _TOKEN_ROWS = sql_word_rows(
