@@ -14,6 +14,14 @@ def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return table.limit(max_rows + 1).count() <= max_rows
 
 
+def which_are_small(tables: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, bool]:
+    """``is_small`` for several tables in one job."""
+    marked = [df.limit(max_rows + 1).select(F.lit(name).alias("name")) for name, df in tables.items()]
+    counts = reduce(DataFrame.union, marked).groupBy("name").count().collect()
+    found = {r["name"]: r["count"] for r in counts}
+    return {name: found.get(name, 0) <= max_rows for name in tables}
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,
@@ -22,10 +30,11 @@ def lookup(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``rows`` to a table that is unique on its key; ``on`` maps row columns to table columns.
 
-    Keys match null-safe. A small table is broadcast. A larger one is joined by shuffle, with the
+    Keys match null-safe. A small table is broadcast; ``small`` says so when it was checked before. A larger one is joined by shuffle, with the
     rows of each key spread over ``salts`` partitions by a hash of ``spread_by`` and the table
     repeated once per salt, so a key that holds a third of all rows is split as well.
     """
@@ -36,7 +45,7 @@ def lookup(
         return reduce(lambda a, b: a & b, pairs + extra)
 
     keys = [f"_key_{right}" for right in on.values()]
-    if is_small(table, max_rows):
+    if is_small(table, max_rows) if small is None else small:
         return rows.join(F.broadcast(table), matches([]), how).drop(*keys)
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     table = table.withColumn("_salt_of_key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -64,21 +64,15 @@ def exact_percentiles(
         "*", F.explode(F.array_distinct(F.array(F.floor(rank), F.ceil(rank)))).alias("_rank"), rank.alias("_exact")
     )
     ranks = ranks.filter((F.col("_rank") >= F.col("_bin_start")) & (F.col("_rank") < F.col("_bin_start") + F.col("_bin_n")))
-    bins_hit = ranks.select(group, "_bin", "_bin_start").distinct()
+    bins_hit = ranks.select(F.col(group).alias("_g"), F.col("_bin").alias("_b"), "_bin_start").distinct()
 
-    inside = Window.partitionBy(group, "_bin").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    same = [group, "_bin"]
-    spans = counted.join(bins_hit, [counted[c].eqNullSafe(bins_hit[c]) for c in same]).select(
-        counted[group], counted["_bin"], "_value", "_n", "_bin_start"
-    )
-    spans = spans.withColumn("_start", F.col("_bin_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    hits = ranks.select(group, "_bin", "point", "_rank", "_exact").join(
-        spans.withColumnsRenamed({group: "_g", "_bin": "_b"}),
-        F.col(group).eqNullSafe(F.col("_g"))
-        & (F.col("_bin") == F.col("_b"))
-        & (F.col("_rank") >= F.col("_start"))
-        & (F.col("_rank") < F.col("_start") + F.col("_n")),
-    )
+    inside = Window.partitionBy("_g", "_b").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    in_bin = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_bin") == F.col("_b"))
+    spans = counted.join(bins_hit, in_bin).select("_g", "_b", "_value", "_n", "_bin_start")
+    start = F.col("_bin_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    spans = spans.select("_g", "_b", "_value", "_n", start.alias("_start"))
+    in_span = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n"))
+    hits = ranks.select(group, "_bin", "point", "_rank", "_exact").join(spans, in_bin & in_span)
     # One or two ranks per point: weigh the lower and the upper value.
     weight = F.lit(1.0) - F.abs(F.col("_exact") - F.col("_rank"))
     return hits.groupBy(group, "point").agg(F.sum(F.col("_value") * weight).alias("value"))

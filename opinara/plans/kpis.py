@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.labels import month_key, rating_bucket
-from opinara.functions.numbers import count_label, half_up, label_share, rows
+from opinara.functions.numbers import half_up, label_share, rows
 from opinara.operators.statistics import correlation_matrix, exact_percentiles
 from opinara.plans.reports import as_of_day
 
@@ -182,7 +182,3 @@ def distinct_counts(main: DataFrame) -> DataFrame:
         F.countDistinct("branch_name").alias("branches"),
         F.countDistinct("city").alias("cities"),
     )
-
-
-def positive_counts(main: DataFrame, group: str) -> DataFrame:
-    return main.groupBy(group).agg(count_label("positive").alias("positive_reviews"))

@@ -13,7 +13,7 @@ from opinara.functions.casting import PUBLISH_DATE, to_date, to_number
 from opinara.functions.numbers import count_label, half_up, label_share, rows, share
 from opinara.functions.text import word_count
 from opinara.operators.gather import grouped_text, term_counts
-from opinara.operators.lookup import lookup
+from opinara.operators.lookup import lookup, which_are_small
 
 Star = dict[str, DataFrame]
 
@@ -34,9 +34,10 @@ DIMENSION_COLUMNS = {
 def join_dimensions(star: Star, tables=tuple(DIMENSION_COLUMNS)) -> DataFrame:
     """The fact with the columns of some dimensions; a row without a member keeps nulls."""
     out = star["fact_reviews"]
+    small = which_are_small({t: star[t].select(DIMENSION_COLUMNS[t][0]) for t in tables})
     for table in tables:
         key, columns = DIMENSION_COLUMNS[table]
-        out = lookup(out, star[table].select(key, *columns), {key: key}, spread_by=["review_id"])
+        out = lookup(out, star[table].select(key, *columns), {key: key}, ["review_id"], small=small[table])
     return out
 
 

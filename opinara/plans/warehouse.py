@@ -7,7 +7,7 @@ from opinara import fixed_values as fixed
 from opinara.functions.casting import first_date, nan_to_null, to_date, to_number, to_whole
 from opinara.functions.labels import quality_score
 from opinara.operators.keys import add_dense_key, insert_or_ignore
-from opinara.operators.lookup import lookup
+from opinara.operators.lookup import lookup, which_are_small
 from opinara.sources import schemas
 
 
@@ -123,9 +123,10 @@ def load_fact(reviews: DataFrame, dims: dict[str, DataFrame], key: str = "review
         ("dim_date", "date_id", ["review_date"]),
         ("dim_sentiment", "sentiment_id", ["textblob_polarity"]),
     ]
-    out = reviews
+    out, small = reviews, which_are_small({table: dims[table] for table, _, _ in steps})
     for table, surrogate, natural in steps:
-        out = lookup(out, dims[table].select(surrogate, *natural), {c: c for c in natural}, spread_by=[key])
+        members = dims[table].select(surrogate, *natural)
+        out = lookup(out, members, {c: c for c in natural}, [key], small=small[table])
     names = [f.name for f in schemas.FACT_NARROW if f.name != "review_id"]
     return out.select(F.col(key).alias("review_id"), *names)
 
@@ -190,8 +191,9 @@ def load_enriched_fact(typed: DataFrame, dims: dict[str, DataFrame]) -> DataFram
         ("dim_topic", "topic_id", "topic_label", "topic_name"),
         ("dim_date", "date_id", "review_date", "full_date"),
     ]
+    small = which_are_small({table: dims[table] for table, *_ in steps})
     for table, surrogate, left, right in steps:
-        out = lookup(out, dims[table].select(surrogate, right), {left: right}, spread_by=["review_id"])
+        out = lookup(out, dims[table].select(surrogate, right), {left: right}, ["review_id"], small=small[table])
     defaults = default_member(dims["dim_sentiment"], "sentiment_label", fixed.DEFAULT_SENTIMENT, "sentiment_id")
     out = out.crossJoin(F.broadcast(defaults))  # one row
     out = out.crossJoin(F.broadcast(default_member(dims["dim_topic"], "topic_name", fixed.DEFAULT_TOPIC, "topic_id")))
