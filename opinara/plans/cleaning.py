@@ -111,7 +111,7 @@ def cleaning_report(original: DataFrame, cleaned: DataFrame) -> DataFrame:
         F.countDistinct("branch_name").alias("branches_count"),
     )
     removed = F.col("original_count") - F.col("cleaned_count")
-    # Both sides are one aggregated row.
-    return before.crossJoin(after).select(
+    row = after.withColumn("_before", before.select(F.struct("*")).scalar()).select("_before.*", "*").drop("_before")
+    return row.select(
         "*", removed.alias("removed_count"), share(removed, F.col("original_count"), None).alias("removal_rate")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from opinara.functions.labels import month_key, rating_bucket
 from opinara.functions.numbers import half_up, label_share, rows
 from opinara.operators.statistics import correlation_matrix, exact_percentiles
-from opinara.plans.reports import as_of_day
+from opinara.plans.reports import last_day
 
 METRIC_COLUMNS = [
     "star_rating", "ensemble_score", "sentiment_confidence", "topic_probability", "word_count", "data_quality_score"
@@ -42,7 +42,8 @@ def top_banks(bank_summary: DataFrame) -> DataFrame:
 
 def full_metrics(main: DataFrame, bank_summary: DataFrame) -> DataFrame:
     """Headline figures and top banks as one row."""
-    return summary_metrics(main).crossJoin(F.broadcast(top_banks(bank_summary)))
+    top = top_banks(bank_summary).select(F.struct("*")).scalar()
+    return summary_metrics(main).withColumn("_top", top).select("*", "_top.*").drop("_top")
 
 
 def small_metrics(main: DataFrame, score: str = "ensemble_score") -> DataFrame:
@@ -129,7 +130,7 @@ def by_weekday(main: DataFrame) -> DataFrame:
 
 def recent_activity(main: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
     """Reviews per day over the last days."""
-    recent = as_of_day(main, as_of).filter(F.col("review_date") > F.date_sub("_as_of", days))
+    recent = main.filter(F.col("review_date") > F.date_sub(last_day(main, as_of), days))
     return recent.groupBy("review_date").agg(
         rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment"), label_share("positive").alias("positive_percentage")
     )

@@ -3,7 +3,7 @@
 Groups may be of any size: every measure here is partially aggregated in the map tasks.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType
 
@@ -350,15 +350,13 @@ def publish(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- custom queries
 
 
-def as_of_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Adds the day a period ends on: the given one, or the last review date of the table."""
-    if as_of is not None:
-        return df.withColumn("_as_of", F.to_date(F.lit(as_of)))
-    return df.crossJoin(F.broadcast(df.agg(F.max("review_date").alias("_as_of"))))  # one row
+def last_day(df: DataFrame, as_of: str | None = None) -> Column:
+    """The day a period ends on: the given one, or the last review date of the table."""
+    return F.to_date(F.lit(as_of)) if as_of is not None else df.agg(F.max("review_date")).scalar()
 
 
 def kpi_overview(main: DataFrame, as_of: str | None = None, days: int = 30) -> DataFrame:
-    recent = as_of_day(main, as_of).filter(F.col("review_date") >= F.date_sub("_as_of", days))
+    recent = main.filter(F.col("review_date") >= F.date_sub(last_day(main, as_of), days))
     return recent.agg(
         rows().alias("total_reviews"),
         *_averages(avg_rating="star_rating", avg_sentiment="ensemble_score"),

@@ -61,8 +61,8 @@ def term_statistics(documents: DataFrame) -> DataFrame:
     itself = F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("uses"), F.lit(1).alias("docs")))
     counts = documents.select(F.inline(F.concat(used, seen, itself))).groupBy("term")
     summed = counts.agg(F.sum("uses").alias("term_count"), F.sum("docs").alias("doc_count"))
-    whole = summed.filter("term = ''").select(F.col("doc_count").alias("n_docs"))
-    return summed.filter("term <> ''").crossJoin(F.broadcast(whole))  # one row
+    whole = summed.filter("term = ''").select("doc_count").scalar()
+    return summed.filter("term <> ''").withColumn("n_docs", whole)
 
 
 def vocabulary(

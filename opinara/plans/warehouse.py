@@ -194,18 +194,17 @@ def load_enriched_fact(typed: DataFrame, dims: dict[str, DataFrame]) -> DataFram
     small = which_are_small({table: dims[table] for table, *_ in steps})
     for table, surrogate, left, right in steps:
         out = lookup(out, dims[table].select(surrogate, right), {left: right}, ["review_id"], small=small[table])
-    defaults = default_member(dims["dim_sentiment"], "sentiment_label", fixed.DEFAULT_SENTIMENT, "sentiment_id")
-    out = out.crossJoin(F.broadcast(defaults))  # one row
-    out = out.crossJoin(F.broadcast(default_member(dims["dim_topic"], "topic_name", fixed.DEFAULT_TOPIC, "topic_id")))
-    keys = {c: F.coalesce(c, f"_default_{c}") for c in ("sentiment_id", "topic_id")}
-    return out.withColumns(keys).drop(
-        "_label", "_default_sentiment_id", "_default_topic_id", "bank_name", "sentiment_label", "topic_label"
-    )
+    defaults = {
+        "sentiment_id": default_key(dims["dim_sentiment"], "sentiment_label", fixed.DEFAULT_SENTIMENT, "sentiment_id"),
+        "topic_id": default_key(dims["dim_topic"], "topic_name", fixed.DEFAULT_TOPIC, "topic_id"),
+    }
+    filled = out.withColumns({name: F.coalesce(name, value) for name, value in defaults.items()})
+    return filled.drop("_label", "bank_name", "sentiment_label", "topic_label")
 
 
-def default_member(table: DataFrame, natural: str, value: str, key: str) -> DataFrame:
-    """One row with the key of the default member, null when there is none."""
-    return table.filter(F.col(natural) == value).agg(F.min(key).alias(f"_default_{key}"))
+def default_key(table: DataFrame, natural: str, value: str, key: str) -> Column:
+    """Key of the default member, null when there is none."""
+    return table.filter(F.col(natural) == value).agg(F.min(key)).scalar()
 
 
 def replace_fact(fact: DataFrame, path: str, replace: bool = False) -> DataFrame:

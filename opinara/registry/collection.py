@@ -21,24 +21,11 @@ def run_folder(spark, name: str) -> str:
 
 @query(
     "crawl_queries",
-    f"""SELECT bank_name, city, replace(concat(bank_name, ' ', city), ' ', '+') AS query, n AS n_customers FROM
-      (SELECT unnest([{text_list(fixed.BANKS)}]) AS bank_name), (SELECT unnest([{text_list(fixed.CITIES)}]) AS city),
-      (SELECT count(*) AS n FROM customer)""",
+    f"""SELECT s_name AS bank_name, city, replace(concat(s_name, ' ', city), ' ', '+') AS query
+      FROM supplier, (SELECT unnest([{text_list(fixed.CITIES)}]) AS city)""",
 )
 def crawl_queries(spark, folder):
-    banks, cities = seeds.names(spark, fixed.BANKS, "bank_name"), seeds.names(spark, fixed.CITIES, "city")
-    n = load(spark, folder, "customer").agg(F.count(F.lit(1)).alias("n_customers"))
-    return seeds.crawl_queries(banks, cities).crossJoin(n)
-
-
-@query(
-    "crawl_queries_of_suppliers",
-    """SELECT s_name AS bank_name, n_name AS city, replace(concat(s_name, ' ', n_name), ' ', '+') AS query
-      FROM supplier, nation""",
-)
-def crawl_queries_of_suppliers(spark, folder):
-    banks = load(spark, folder, "supplier").select(F.col("s_name").alias("bank_name"))
-    return seeds.crawl_queries(banks, load(spark, folder, "nation").select(F.col("n_name").alias("city")))
+    return seeds.crawl_queries(load(spark, folder, "supplier").select(F.col("s_name").alias("bank_name")))
 
 
 LINK = r'<a href="([^"]*)"'

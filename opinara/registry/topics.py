@@ -1 +1,296 @@
-"""pending"""
+"""Queries of the topic stage. Model output has no SQL; tests check what must hold for it."""
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from opinara import fixed_values as fixed
+from opinara.plans import cleaning, topics
+from opinara.registry.core import (
+    KEPT, PROCESSED, REVIEWS_RAW, query, rounded, sql_words, text_list, with_ctes,
+)
+from opinara.registry.reports import FLAT_INPUT, flat_input
+from opinara.registry.sentiment import scored
+from opinara.sources.seeds import themes
+from opinara.sources.tables import load, load_texts, reviews_raw
+
+# Themes for the given texts, in which the built-in keywords hardly occur (fixed values).
+TEST_THEMES = {
+    "english": ["the", "of", "and", "to", "is", "that"],
+    "french": ["le", "la", "les", "des", "et", "en"],
+    "german": ["der", "die", "und", "den", "ist"],
+    "spanish": ["el", "la", "de", "que", "los", "en"],
+}
+
+
+def documents(spark, folder):
+    """Documents out of the cleaned reviews, short ones emptied."""
+    cleaned = cleaning.process_reviews(cleaning.remove_duplicates(reviews_raw(spark, folder)), stem=False)
+    return topics.prepare_documents(cleaned.select("review_seq", "processed_text"))
+
+
+_DOCUMENTS = """
+documents_for_topics AS (SELECT review_seq, CASE WHEN len(tokens) >= 3 THEN array_to_string(tokens, ' ') ELSE '' END AS document
+  FROM processed)"""
+_TERMS = f"""
+singles AS (SELECT review_seq, list_filter(regexp_extract_all(lower(document), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0),
+  lambda t: NOT list_contains([{text_list(fixed.TOPIC_STOP_WORDS)}], t)) AS ws FROM documents_for_topics WHERE document <> ''),
+single_rows AS (SELECT review_seq, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM singles),
+term_rows AS (SELECT review_seq, w AS term FROM single_rows UNION ALL
+  SELECT review_seq, concat(w, ' ', n) FROM (SELECT review_seq, w, lead(w) OVER (PARTITION BY review_seq ORDER BY i) AS n
+    FROM single_rows) WHERE n IS NOT NULL),
+statistics AS (SELECT term, count(*) AS term_count, count(DISTINCT review_seq) AS doc_count,
+  (SELECT count(*) FROM singles) AS n_docs FROM term_rows GROUP BY term),
+vocabulary AS (SELECT * FROM statistics WHERE doc_count >= 2 AND doc_count <= n_docs * CAST(0.8 AS DOUBLE)
+  ORDER BY term_count DESC, term LIMIT 1000),
+counts AS (SELECT review_seq, term, count(*) AS n FROM term_rows GROUP BY review_seq, term),
+weights AS (SELECT review_seq, term, n * (ln((1 + n_docs) / CAST(1 + doc_count AS DOUBLE)) + 1) AS w
+  FROM counts JOIN vocabulary USING (term)),
+norms AS (SELECT review_seq, sqrt(sum(w * w)) AS norm FROM weights GROUP BY review_seq)"""
+CTES = (REVIEWS_RAW, KEPT, PROCESSED, _DOCUMENTS, _TERMS)
+
+
+@query("topic_documents", with_ctes(*CTES, select="SELECT review_seq, document FROM documents_for_topics"))
+def topic_documents(spark, folder):
+    return documents(spark, folder).select("review_seq", "document")
+
+
+@query("term_statistics", with_ctes(*CTES, select="SELECT * FROM statistics WHERE doc_count >= 2"))
+def term_statistics(spark, folder):
+    listed = topics.with_terms(topics.non_empty(documents(spark, folder)))
+    return topics.term_statistics(listed).filter("doc_count >= 2")
+
+
+@query("vocabulary", with_ctes(*CTES, select="SELECT * FROM vocabulary"))
+def vocabulary(spark, folder):
+    return topics.vocabulary(topics.with_terms(topics.non_empty(documents(spark, folder))))
+
+
+@query(
+    "term_count_vectors",
+    with_ctes(
+        *CTES, select="SELECT review_seq, term, CAST(n AS DOUBLE) AS weight FROM counts JOIN vocabulary USING (term)"
+    ),
+)
+def term_count_vectors(spark, folder):
+    vectors, vocab = topics.vectorize(documents(spark, folder))
+    return topics.vector_entries(vectors, "review_seq", "counts", vocab)
+
+
+@query(
+    "tfidf_vectors",
+    with_ctes(*CTES, select=f"SELECT review_seq, term, {rounded('w / norm')} AS weight FROM weights JOIN norms USING (review_seq)"),
+)
+def tfidf_vectors(spark, folder):
+    vectors, vocab = topics.vectorize(documents(spark, folder))
+    return topics.vector_entries(vectors, "review_seq", "tfidf", vocab)
+
+
+_CURVE = """
+curve AS (SELECT CAST(l_suppkey % 14 + 2 AS INT) AS k, avg(l_extendedprice) AS perplexity FROM lineitem GROUP BY 1),
+bends AS (SELECT k, lead(k) OVER (ORDER BY k) AS next_k,
+  lag(perplexity) OVER (ORDER BY k) - 2 * perplexity + lead(perplexity) OVER (ORDER BY k) AS bend FROM curve)"""
+
+
+def _curve(spark, folder):
+    lines = load(spark, folder, "lineitem")
+    return lines.groupBy((F.col("l_suppkey") % 14 + 2).cast("int").alias("k")).agg(
+        F.avg("l_extendedprice").alias("perplexity")
+    )
+
+
+@query(
+    "elbow_published",
+    with_ctes(
+        _CURVE, select="SELECT next_k AS optimal_topics FROM bends WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1"
+    ),
+)
+def elbow_published(spark, folder):
+    return topics.elbow(_curve(spark, folder))
+
+
+@query(
+    "elbow_at_bend",
+    with_ctes(_CURVE, select="SELECT k AS optimal_topics FROM bends WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1"),
+)
+def elbow_at_bend(spark, folder):
+    return topics.elbow(_curve(spark, folder), published_offset=False)
+
+
+_THEME_ROWS = ", ".join(
+    f"({rank}, '{theme}', '{word}')" for rank, (theme, ws) in enumerate(TEST_THEMES.items()) for word in ws
+)
+_TOPIC_WORDS = f"""
+counted AS (SELECT topic_id, word, count(*) AS n FROM (SELECT CAST(doc_id % 12 AS INT) AS topic_id, lang,
+  unnest({sql_words('lower(text)')}) AS word FROM documents) WHERE length(word) >= 2 GROUP BY topic_id, word),
+topic_words AS (SELECT topic_id, word, row_number() OVER (PARTITION BY topic_id ORDER BY n DESC, word) AS word_rank FROM counted
+  QUALIFY word_rank <= CASE WHEN topic_id % 4 = 0 THEN 2 ELSE 10 END),
+themes(theme_rank, theme, keyword) AS (VALUES {_THEME_ROWS}),
+shared_counts AS (SELECT topic_id, theme_rank, theme, count(*) AS overlap FROM topic_words JOIN themes ON word = keyword GROUP BY ALL),
+best AS (SELECT * FROM shared_counts QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY overlap DESC, theme_rank) = 1),
+fallback AS (SELECT topic_id, concat('theme_', string_agg(word, ' ' ORDER BY word_rank)) AS label FROM topic_words
+  WHERE word_rank <= 2 GROUP BY topic_id),
+labels AS (SELECT topic_id, CASE WHEN overlap >= 3 THEN theme ELSE label END AS topic_label FROM fallback
+  LEFT JOIN best USING (topic_id))"""
+
+
+def _labels(spark, folder):
+    from pyspark.sql import Window
+
+    from opinara.functions.text import words
+
+    docs = load_texts(spark, folder, "documents", "doc_id")
+    listed = docs.select((F.col("doc_id") % 12).cast("int").alias("topic_id"), F.explode(words(F.lower("text"))).alias("word"))
+    counted = listed.filter(F.length("word") >= 2).groupBy("topic_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("topic_id").orderBy(F.desc("n"), "word"))
+    limit = F.when(F.col("topic_id") % 4 == 0, 2).otherwise(10)
+    found = counted.withColumn("word_rank", rank).filter((F.col("word_rank") <= 10) & (F.col("word_rank") <= limit))
+    return topics.label_topics(found, themes(spark, TEST_THEMES), min_overlap=3)
+
+
+@query("topic_labels", with_ctes(_TOPIC_WORDS, select="SELECT topic_id, topic_label FROM labels"))
+def topic_labels(spark, folder):
+    return _labels(spark, folder)
+
+
+@query(
+    "labelled_documents",
+    with_ctes(
+        _TOPIC_WORDS,
+        select="""SELECT doc_id, t AS topic_id, topic_label FROM (SELECT doc_id, CAST(doc_id % 14 - 1 AS INT) AS t FROM documents)
+          LEFT JOIN labels ON t = topic_id""",
+    ),
+)
+def labelled_documents(spark, folder):
+    docs = load(spark, folder, "documents").select("doc_id", (F.col("doc_id") % 14 - 1).cast("int").alias("topic_id"))
+    return topics.add_topic_labels(docs, _labels(spark, folder))
+
+
+@query(
+    "assigned_topics",
+    f"""SELECT vec_id, CASE WHEN m >= CAST(0.3 AS DOUBLE) THEN list_position(p, m) - 1 ELSE -1 END AS topic_id,
+      {rounded('m')} AS topic_probability FROM (SELECT vec_id, p, list_max(p) AS m FROM (SELECT vec_id,
+      list_transform(a, lambda x: x / list_sum(a)) AS p FROM (SELECT vec_id, list_transform(embedding[1:6],
+      lambda x: abs(CAST(x AS DOUBLE))) AS a FROM embeddings)))""",
+)
+def assigned_topics(spark, folder):
+    vectors = load(spark, folder, "embeddings").select(
+        "vec_id", F.transform(F.slice("embedding", 1, 6), lambda x: F.abs(x.cast("double"))).alias("a")
+    )
+    vectors = vectors.withColumn("whole", F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x))
+    shares = F.transform("a", lambda x: x / F.col("whole"))
+    given = vectors.select("vec_id", array_to_vector(shares).alias("topicDistribution"))
+    return topics.assign_topics(given).select("vec_id", "topic_id", "topic_probability")
+
+
+_ASSIGNED = f"""
+flat_input AS ({FLAT_INPUT}),
+assigned AS (SELECT *, CAST(review_seq % 7 - 1 AS INT) AS topic_id, TRY_CAST(rating AS DOUBLE) AS stars,
+  TRY_CAST(ensemble_score AS DOUBLE) AS score FROM flat_input)"""
+
+
+def _assigned(spark, folder):
+    return flat_input(spark, folder).withColumns(
+        {
+            "topic_id": (F.col("review_seq") % 7 - 1).cast("int"),
+            "rating": F.col("rating").try_cast("double"),
+            "ensemble_score": F.col("ensemble_score").try_cast("double"),
+        }
+    )
+
+
+@query(
+    "topics_by_sentiment",
+    with_ctes(
+        _ASSIGNED,
+        select=f"""SELECT topic_id, count(*) AS total_reviews,
+          count(CASE WHEN sentiment_label = 'positive' THEN 1 END) AS positive_reviews,
+          count(CASE WHEN sentiment_label = 'negative' THEN 1 END) AS negative_reviews,
+          count(CASE WHEN sentiment_label = 'neutral' THEN 1 END) AS neutral_reviews,
+          {rounded('avg(score)')} AS avg_sentiment_score, {rounded('avg(stars)')} AS avg_rating
+          FROM assigned WHERE topic_id <> -1 GROUP BY topic_id""",
+    ),
+)
+def topics_by_sentiment(spark, folder):
+    return topics.topics_by_sentiment(_assigned(spark, folder))
+
+
+@query(
+    "topics_by_bank",
+    with_ctes(
+        _ASSIGNED,
+        "\ncounted AS (SELECT bank_name, topic_id, count(*) AS n FROM assigned GROUP BY bank_name, topic_id)",
+        select="""SELECT *, sum(n) OVER (PARTITION BY bank_name) AS total_reviews,
+          row_number() OVER (PARTITION BY bank_name ORDER BY n DESC, topic_id) AS topic_rank FROM counted
+          QUALIFY topic_rank <= 3""",
+    ),
+)
+def topics_by_bank(spark, folder):
+    return topics.topics_by_bank(_assigned(spark, folder))
+
+
+# ---------------------------------------------------------------- models
+
+
+def _model(spark, folder):
+    vectors, vocab = topics.vectorize(documents(spark, folder))
+    counted = topics.model_input(vectors)
+    return vectors, vocab, counted, topics.fit_lda(counted)
+
+
+@query("lda_topic_words")
+def lda_topic_words(spark, folder):
+    _, vocab, _, model = _model(spark, folder)
+    return topics.topic_words(model, vocab)
+
+
+@query("lda_wordcloud_weights")
+def lda_wordcloud_weights(spark, folder):
+    _, vocab, _, model = _model(spark, folder)
+    return topics.wordcloud_weights(model, vocab)
+
+
+@query("lda_assigned_reviews")
+def lda_assigned_reviews(spark, folder):
+    vectors, _, _, model = _model(spark, folder)
+    assigned = topics.assign_topics(model.transform(vectors))
+    return assigned.select("review_seq", "topic_id", "topic_probability")
+
+
+@query("topic_stage")
+def topic_stage(spark, folder):
+    """Scored reviews with topic columns."""
+    reviews = scored(spark, folder).withColumn("processed_text", F.array_join("tokens", " "))
+    out, _ = topics.model_topics(reviews, themes(spark, TEST_THEMES), n_topics=fixed.TOPIC_COUNT)
+    return out.select("review_seq", "bank_name", "sentiment_label", "ensemble_score", "topic_id", "topic_probability",
+                      "topic_label")
+
+
+@query("topic_report_lines")
+def topic_report_lines(spark, folder):
+    _, vocab, counted, model = _model(spark, folder)
+    found = topics.topic_words(model, vocab)
+    labels = topics.label_topics(found, themes(spark, TEST_THEMES))
+    return topics.report_lines(found, labels, fixed.TOPIC_COUNT, counted.count(), topics.perplexity(model, counted))
+
+
+@query("topic_count_search")
+def topic_count_search(spark, folder):
+    vectors, _ = topics.vectorize(documents(spark, folder))
+    return topics.topic_count_search(topics.model_input(vectors))
+
+
+def _factors(spark, folder):
+    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)))
+    h, objective = topics.fit_nmf(vectors, len(vocab))
+    return h, vocab, objective
+
+
+@query("nmf_objective")
+def nmf_objective(spark, folder):
+    return _factors(spark, folder)[2]
+
+
+@query("nmf_topic_words")
+def nmf_topic_words(spark, folder):
+    h, vocab, _ = _factors(spark, folder)
+    return topics.factor_words(spark, h, vocab)
