@@ -30,11 +30,10 @@ def remove_duplicates(df: DataFrame, order: str = "review_seq") -> DataFrame:
 
 def plain_tokens(df: DataFrame, stop_words=fixed.STOP_WORDS, fold: bool = False) -> DataFrame:
     """Adds ``cleaned_text`` and ``tokens``: plain words that are no stop words. A plain word is never
-    a punctuation mark, so those need no step of their own."""
+    a punctuation mark, so those are not even listed."""
     cleaned = tx.clean_basic(F.col("review_text"))
     out = df.withColumn("cleaned_text", tx.fold_accents(cleaned) if fold else cleaned)
-    tokens = tx.remove_stop_words(tx.keep_plain_words(tx.tokenize(F.col("cleaned_text"))), stop_words)
-    return bind(out.withColumn("tokens", tokens), "tokens")
+    return out.withColumn("tokens", tx.plain_words(tx.cleaned_words(F.col("cleaned_text")), stop_words))
 
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, key: str = "review_seq", inline_terms: int = INLINE_TERMS) -> DataFrame:
@@ -70,7 +69,7 @@ def process_reviews(
     number of words, so reviews with fewer than ``min_words`` go before that."""
     out = plain_tokens(df, stop_words, fold)
     if min_words:
-        out = out.filter(F.size("tokens") >= min_words)
+        out = bind(out, "tokens").filter(F.size("tokens") >= min_words)
     if lemmas is not None:
         out = lemmatize(out, lemmas)
     elif stem:
