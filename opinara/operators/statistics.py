@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 
 from opinara.functions.casting import nan_to_null
 from opinara.functions.numbers import half_up
+from opinara.operators.small import small_table
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]], places: int = 6) -> DataFrame:
-    """Pearson correlation of each pair, long form, from one aggregate over the table.
+    """Pearson correlation of each pair, long form, from one aggregation over the table.
 
-    A pair uses the rows where both values are there; a constant column gives null.
+    A pair uses the rows where both values are there; a constant column gives null. Each row is
+    listed once per pair and folded in the map tasks, which is quicker than one aggregate with
+    three measures for every pair.
     """
-    measures = []
-    for n, (left, right) in enumerate(pairs):
-        x, y = nan_to_null(F.col(left).cast("double")), nan_to_null(F.col(right).cast("double"))
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        measures.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{n}"))
-    row = df.agg(*measures)
-    long = F.array(*[F.struct(F.lit(a).alias("metric_a"), F.lit(b).alias("metric_b"), F.col(f"r{n}").alias("r"))
-                     for n, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(long)).select("metric_a", "metric_b", half_up(F.col("r"), places).alias("correlation"))
+    value = {c: nan_to_null(F.col(c).cast("double")) for pair in pairs for c in pair}
+    listed = F.array(
+        *[F.struct(F.lit(n).alias("pair"), value[a].alias("x"), value[b].alias("y")) for n, (a, b) in enumerate(pairs)]
+    )
+    both = df.select(F.inline(listed)).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    found = both.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("r"))
+    rows = [(n, a, b) for n, (a, b) in enumerate(pairs)]
+    names = small_table(df.sparkSession, rows, "pair int, metric_a string, metric_b string")
+    joined = names.join(found, "pair", "left")
+    return joined.select("metric_a", "metric_b", half_up(F.col("r"), places).alias("correlation"))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], places: int = 6) -> DataFrame:

@@ -84,10 +84,11 @@ def bank_indices(bank_summary: DataFrame) -> DataFrame:
 
 
 def monthly_scores(main: DataFrame) -> DataFrame:
-    """Mean score and count per month. Everything below works on these few rows."""
+    """Mean score and count per month. Everything below works on these few rows. The mean is cut to
+    ten places, so that one that should be 0 is 0 when it divides another."""
     day = F.col("review_date")
     grouped = main.filter("review_date is not null").groupBy(F.year(day).alias("year"), F.month(day).alias("month"))
-    out = grouped.agg(rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment"))
+    out = grouped.agg(rows().alias("review_count"), half_up(F.avg("ensemble_score"), 10).alias("avg_sentiment"))
     return out.withColumn("period", month_key(F.col("year"), F.col("month")))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from opinara import fixed_values as fixed
 from opinara.functions.text import WORD, words
 from opinara.operators.lineage import cut_lineage
+from opinara.operators.small import small_table
 
 MIN_DOCUMENT_WORDS = 3
 TINY = 1e-12
@@ -145,7 +146,7 @@ def topic_count_search(counted: DataFrame, max_topics: int = fixed.MAX_TOPIC_COU
     for k in range(2, max_topics + 1):
         model = fit_lda(counted, k, iterations, doc_prior=None, word_prior=None)
         rows.append((k, perplexity(model, counted)))
-    return counted.sparkSession.createDataFrame(rows, "k int, perplexity double")
+    return small_table(counted.sparkSession, rows, "k int, perplexity double")
 
 
 def elbow(perplexities: DataFrame, published_offset: bool = True) -> DataFrame:
@@ -252,7 +253,7 @@ def report_lines(words_of_topics: DataFrame, labels: DataFrame, n_topics: int, n
     tail = ["", "Informations modèle:", f"Nombre de topics: {n_topics}", f"Documents analysés: {n_documents}",
             f"Perplexité: {value:.2f}"]
     numbered = chain(enumerate(head, 1), enumerate(tail, 4 + n_topics))
-    return spark.createDataFrame(list(numbered), "line_no long, value string").unionByName(topic_lines)
+    return small_table(spark, list(numbered), "line_no long, value string").unionByName(topic_lines)
 
 
 def model_topics(df: DataFrame, themes: DataFrame, n_topics: int | None = None, column: str = "processed_text", **limits):
@@ -332,7 +333,7 @@ def fit_nmf(
         if step and objectives[-2][1] - objectives[-1][1] <= tolerance * objectives[0][1]:
             break
         h = h * numerator / np.maximum(gram @ h + l1 + l2 * h, TINY)
-    return h, spark.createDataFrame(objectives, "iteration int, objective double")
+    return h, small_table(spark, objectives, "iteration int, objective double")
 
 
 def factor_words(spark, h: np.ndarray, vocab: list[str], n: int = 10) -> DataFrame:
@@ -342,4 +343,4 @@ def factor_words(spark, h: np.ndarray, vocab: list[str], n: int = 10) -> DataFra
         for topic, weights in enumerate(h)
         for rank, at in enumerate(np.argsort(-weights, kind="stable")[:n], 1)
     ]
-    return spark.createDataFrame(rows, "topic_id int, word_rank int, word string, weight double")
+    return small_table(spark, rows, "topic_id int, word_rank int, word string, weight double")

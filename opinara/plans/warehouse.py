@@ -8,6 +8,7 @@ from opinara.functions.casting import first_date, nan_to_null, to_date, to_numbe
 from opinara.functions.labels import quality_score
 from opinara.operators.keys import add_dense_key, insert_or_ignore
 from opinara.operators.lookup import lookup, which_are_small
+from opinara.operators.small import small_table
 from opinara.sources import schemas
 
 
@@ -73,13 +74,14 @@ def calendar(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str =
 
 def sentiment_dimension(spark: SparkSession) -> DataFrame:
     rows = [(n, *row) for n, row in enumerate(fixed.SENTIMENT_ROWS, 1)]
-    return spark.createDataFrame(rows, schemas.DIM_SENTIMENT)
+    return small_table(spark, rows, schemas.DIM_SENTIMENT)
 
 
 def topic_dimension(spark: SparkSession, created_at: str | None = None) -> DataFrame:
     """The default topics with the keywords of their theme; the time of creation is given."""
     rows = [(n, name, text, fixed.THEMES.get(name)) for n, (name, text) in enumerate(fixed.TOPIC_ROWS, 1)]
-    topics = spark.createDataFrame(rows, "topic_id long, topic_name string, topic_description string, topic_keywords array<string>")
+    columns = "topic_id long, topic_name string, topic_description string, topic_keywords array<string>"
+    topics = small_table(spark, rows, columns)
     return topics.withColumn("created_at", F.lit(created_at).cast("timestamp"))
 
 
@@ -235,7 +237,7 @@ def empty_star(spark: SparkSession) -> dict[str, DataFrame]:
 
 def audit_tables(spark: SparkSession, tables: dict[str, DataFrame], expected=schemas.EXPECTED_TABLES) -> DataFrame:
     """Expected tables: whether each is there and its row count."""
-    listed = spark.createDataFrame([(t, t in tables) for t in expected], "table_name string, present boolean")
+    listed = small_table(spark, [(t, t in tables) for t in expected], "table_name string, present boolean")
     present = [t for t in expected if t in tables]
     if not present:
         return listed.withColumn("n_rows", F.lit(None).cast("long"))
@@ -248,7 +250,7 @@ def audit_tables(spark: SparkSession, tables: dict[str, DataFrame], expected=sch
 
 def audit_columns(fact: DataFrame, expected=schemas.EXPECTED_FACT_COLUMNS) -> DataFrame:
     rows = [(c, c in fact.columns) for c in expected]
-    return fact.sparkSession.createDataFrame(rows, "column_name string, present boolean")
+    return small_table(fact.sparkSession, rows, "column_name string, present boolean")
 
 
 def audit_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -3,7 +3,7 @@
 Each module registers the queries of one stage; importing this package loads them all.
 """
 
-from opinara.registry.core import ORACLES, QUERIES  # noqa: F401
+from opinara.registry.core import ORACLES, PLAIN, QUERIES  # noqa: F401
 from opinara.registry import (  # noqa: F401  isort: skip
     collection, text, sentiment, topics, warehouse, reports, kpis,
 )

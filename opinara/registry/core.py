@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, DecimalType, DoubleType, FloatType
 
@@ -11,6 +11,7 @@ from opinara.functions import text as tx
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+PLAIN: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 PLACES = 6
 
@@ -19,6 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query; ``sql`` gives the same rows in DuckDB."""
 
     def register(function: Query) -> Query:
+        PLAIN[name] = function
         QUERIES[name] = lambda spark, folder: comparable(function(spark, folder))
         if sql is not None:
             ORACLES[name] = sql
@@ -27,14 +29,23 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def six_places(value: Column) -> Column:
+    """Half-up rounding to six places by way of ten, in whole numbers where they are large enough."""
+    size = F.abs(value)
+    ten = (size * 1e10 + 0.5).cast("long")
+    quick = F.call_function("div", ten + 5000, F.lit(10_000)) / 1e6
+    slow = F.round(F.round(size, 10), PLACES)
+    rounded = F.when(size < 1e8, quick).otherwise(slow)
+    return F.when(rounded == 0, F.lit(0.0)).when(value < 0, -rounded).otherwise(rounded)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles to six places and dates as text, so that two engines show the same values."""
     columns = []
     for field in df.schema:
         value = F.col(field.name)
         if isinstance(field.dataType, DoubleType | FloatType | DecimalType):
-            value = F.round(F.round(value.cast("double"), 10), PLACES)
-            value = F.when(value == 0, F.lit(0.0)).otherwise(value)
+            value = six_places(value.cast("double"))
         elif isinstance(field.dataType, DateType):
             value = value.cast("string")
         elif isinstance(field.dataType, BooleanType):

@@ -93,7 +93,8 @@ def bank_indices(spark, folder):
 
 
 _MONTHLY = """
-months AS (SELECT year, month, count(*) AS review_count, avg(ensemble_score) AS avg_sentiment,
+months AS (SELECT year, month, count(*) AS review_count,
+  CAST(CAST(avg(ensemble_score) AS DECIMAL(38,10)) AS DOUBLE) AS avg_sentiment,
   printf('%04d-%02d', year, month) AS period FROM main WHERE review_date IS NOT NULL GROUP BY year, month),
 trend AS (SELECT *, lag(avg_sentiment) OVER (ORDER BY year, month) AS previous FROM months)"""
 

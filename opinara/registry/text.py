@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from opinara import fixed_values as fixed
 from opinara.functions import text as tx
 from opinara.functions.numbers import half_up
+from opinara.operators.small import small_table
 from opinara.plans import cleaning
 from opinara.registry.core import (
     KEPT, PROCESSED, REVIEWS_RAW, query, rounded, sql_clean, sql_tokens, sql_words, text_list, text_literal, with_ctes,
@@ -149,7 +150,7 @@ _CHANGED_WORD = (
     ),
 )
 def lemmas_inline(spark, folder):
-    table = spark.createDataFrame(list(_SHORT_LEMMAS.items()), "term string, lemma string")
+    table = small_table(spark, list(_SHORT_LEMMAS.items()), "term string, lemma string")
     out = cleaning.process_reviews(cleaning.remove_duplicates(reviews_raw(spark, folder)), lemmas=table)
     return out.select("review_seq", "processed_text")
 

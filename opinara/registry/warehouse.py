@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from opinara import fixed_values as fixed
 from opinara.operators.keys import insert_or_ignore
 from opinara.operators.lineage import cut_lineage
+from opinara.operators.small import small_table
 from opinara.plans import reports, warehouse
 from opinara.registry.collection import run_folder
 from opinara.registry.core import REVIEWS_RAW, query, rounded, with_ctes
@@ -63,7 +64,7 @@ def bank_dimension(spark, folder):
 
 @query("branch_dimension", with_ctes(_INPUT, _BRANCH, select=f"SELECT *, {_REGION} AS region FROM dim_branch"))
 def branch_dimension(spark, folder):
-    regions = spark.createDataFrame(list(_REGIONS.items()), "city string, region string")
+    regions = small_table(spark, list(_REGIONS.items()), "city string, region string")
     return warehouse.branch_dimension(loaded(spark, folder), regions=regions)
 
 

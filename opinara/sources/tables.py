@@ -4,12 +4,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
+from opinara.operators.small import small_table
 from opinara.plans.warehouse import calendar, sentiment_dimension
 from opinara.sources.files import spread
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def load_texts(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
@@ -45,13 +66,14 @@ def review_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     Each line is a review: the market segment is the bank, the supplier the branch, the part
     type the topic, and the discount the score.
     """
-    line, orders = load(spark, folder, "lineitem"), load(spark, folder, "orders")
+    line, orders = spread(load(spark, folder, "lineitem"), "l_orderkey"), load(spark, folder, "orders")
     customer, part = load(spark, folder, "customer"), load(spark, folder, "part")
     supplier, nation, region = (load(spark, folder, t) for t in ("supplier", "nation", "region"))
     segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
-    score = F.round(F.col("l_discount") * 20 - 1, 6)
+    discount, tax = ((F.col(c) * 100 + 0.5).cast("int") for c in ("l_discount", "l_tax"))  # whole percent
+    score = (discount * 20 - 100) / 100.0
     quantity = F.col("l_quantity").cast("int")
     text = F.when(F.col("l_partkey") % 7 != 0, F.col("p_name"))
     rating = F.when(F.col("l_partkey") % 19 != 0, quantity % 6)
@@ -75,7 +97,7 @@ def review_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             text.alias("review_text"),
             score.alias("ensemble_score"),
             F.least(F.abs(score) * 2, F.lit(1.0)).alias("sentiment_confidence"),
-            F.round(F.col("l_tax") * 10, 6).alias("topic_probability"),
+            (tax / 10.0).alias("topic_probability"),
             F.col("p_size").alias("word_count"),
             F.length("p_name").alias("char_count"),
             (quantity % 4).alias("positive_words_count"),
@@ -88,9 +110,9 @@ def review_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
                 + F.when(F.coalesce(F.length(text) > 10, F.lit(False)), 0.3).otherwise(0.0)
                 + F.when(F.coalesce(rating > 0, F.lit(False)), 0.2).otherwise(0.0)
             ).alias("data_quality_score"),
-            F.round(F.col("l_discount") * 10 - 0.5, 6).alias("textblob_polarity"),
-            F.round(F.col("l_tax") * 20 - 0.8, 6).alias("vader_compound"),
-            F.round(F.col("l_discount") - F.col("l_tax"), 6).alias("custom_sentiment_score"),
+            ((discount * 10 - 50) / 100.0).alias("textblob_polarity"),
+            ((tax * 20 - 80) / 100.0).alias("vader_compound"),
+            ((discount - tax) / 100.0).alias("custom_sentiment_score"),
         )
     )
     branches = (
@@ -105,9 +127,9 @@ def review_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
     return {
         "fact_reviews": fact,
-        "dim_bank": spark.createDataFrame(list(enumerate(segments, 1)), "bank_id long, bank_name string"),
+        "dim_bank": small_table(spark, list(enumerate(segments, 1)), "bank_id long, bank_name string"),
         "dim_branch": branches,
         "dim_date": calendar(spark, "1995-01-01", "2001-12-31"),
         "dim_sentiment": sentiment_dimension(spark),
-        "dim_topic": spark.createDataFrame(list(enumerate(types, 1)), "topic_id long, topic_name string"),
+        "dim_topic": small_table(spark, list(enumerate(types, 1)), "topic_id long, topic_name string"),
     }
