@@ -20,7 +20,8 @@ CSV_OPTIONS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
-    """CSV with a header, in declared types. Columns are found by name; a missing one is null.
+    """CSV with a header, in declared types. Columns are found by name; a missing one is null, and so
+    is an empty value.
 
     Review text holds line breaks, so files are read whole (one task per file): write them in
     files of a moderate size, as ``write_csv`` does. Pass ``multi_line=False`` to let Spark split
