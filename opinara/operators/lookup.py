@@ -6,20 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when a table has at most ``max_rows`` rows. Reads no more than one row past that."""
-    return table.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(table: DataFrame) -> Column:
+    """Bytes of the text of a row, plus eight for every other column."""
+    sizes = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8) for f in table.schema
+    ]
+    return reduce(lambda a, b: a + b, sizes, F.lit(0))
 
 
 def which_are_small(tables: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, bool]:
-    """``is_small`` for several tables in one job."""
-    marked = [df.limit(max_rows + 1).select(F.lit(name).alias("name")) for name, df in tables.items()]
-    counts = reduce(DataFrame.union, marked).groupBy("name").count().collect()
-    found = {r["name"]: r["count"] for r in counts}
-    return {name: found.get(name, 0) <= max_rows for name in tables}
+    """Which tables have at most ``max_rows`` rows and ``BROADCAST_BYTES`` bytes, found in one job that
+    reads no more than one row past the limit of each."""
+    listed = [
+        df.limit(max_rows + 1).select(F.lit(name).alias("name"), _row_bytes(df).alias("bytes")) for name, df in tables.items()
+    ]
+    sizes = reduce(DataFrame.union, listed).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    found = {r["name"]: r["n"] <= max_rows and r["bytes"] <= BROADCAST_BYTES for r in sizes.collect()}
+    return {name: found.get(name, True) for name in tables}
+
+
+def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    return which_are_small({"table": table}, max_rows)["table"]
 
 
 def lookup(

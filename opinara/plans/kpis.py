@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions.labels import month_key, rating_bucket
 from opinara.functions.numbers import half_up, label_share, rows
+from opinara.operators.lookup import lookup
 from opinara.operators.statistics import correlation_matrix, exact_percentiles
 from opinara.plans.reports import last_day
 
@@ -164,9 +165,24 @@ def extreme_topics(main: DataFrame, n: int = 3) -> DataFrame:
 
 
 def branch_ranking(branches: DataFrame) -> DataFrame:
-    """Rank of each branch inside its bank by positive share, then by rating."""
-    best = Window.partitionBy("bank_name").orderBy(F.desc("positive_percentage"), F.desc("avg_rating"))
-    return branches.withColumn("branch_rank", F.rank().over(best))
+    """Rank of each branch inside its bank by positive share, then by rating.
+
+    Equal (share, rating) pairs are counted first. Shares have two decimals, so a bank has at most
+    10,001 of them to add up in order; ratings are only ordered inside one share. So no task sorts
+    all branches of a bank.
+    """
+    share, rating = "positive_percentage", "avg_rating"
+    pairs = branches.groupBy("bank_name", share, rating).agg(rows().alias("_n"))
+    per_share = pairs.groupBy("bank_name", share).agg(F.sum("_n").alias("_n"))
+    preceding = (Window.unboundedPreceding, -1)
+    better = Window.partitionBy("bank_name").orderBy(F.desc(share)).rowsBetween(*preceding)
+    above = per_share.select("bank_name", share, F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_above"))
+    higher = Window.partitionBy("bank_name", share).orderBy(F.desc(rating)).rowsBetween(*preceding)
+    inside = pairs.withColumn("_inside", F.coalesce(F.sum("_n").over(higher), F.lit(0)))
+    keys = {c: c for c in ("bank_name", share)}
+    placed = lookup(inside, above, keys, [rating])
+    ranks = placed.select("bank_name", share, rating, (F.col("_above") + F.col("_inside") + 1).alias("branch_rank"))
+    return lookup(branches, ranks, keys | {rating: rating}, ["branch_name", "city"])
 
 
 def top_rows(report: DataFrame, count: str, name: str, n: int = 8) -> DataFrame:

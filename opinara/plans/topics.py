@@ -302,12 +302,14 @@ def fit_nmf(
 
     The topics are a small k × ``size`` matrix. In each iteration every task works out the weights
     of its documents and returns three sums of that size, which Spark adds up: the weights are
-    never stored or shuffled, and the plan does not grow with the iterations.
+    never stored or shuffled, and the plan does not grow with the iterations. There are no more
+    than two tasks per core, so that the sums to add up stay few.
     """
     l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
     spark = vectors.sparkSession
     inner = F.unwrap_udt(vector)
     entries = cut_lineage(vectors.select(inner["indices"].alias("indices"), inner["values"].alias("values")))
+    entries = entries.coalesce(2 * spark.sparkContext.defaultParallelism)
     h = np.random.default_rng(seed).random((k, size)) + 1e-3
     objectives: list[tuple[int, float]] = []
     for step in range(iterations):

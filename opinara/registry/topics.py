@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
+from opinara.operators.lineage import cut_lineage
 from opinara.plans import cleaning, topics
 from opinara.registry.core import (
     KEPT, PROCESSED, REVIEWS_RAW, query, rounded, sql_words, text_list, with_ctes,
@@ -28,6 +29,11 @@ def documents(spark, folder):
     return topics.prepare_documents(cleaned.select("review_seq", "processed_text"))
 
 
+def written_documents(spark, folder):
+    """The same, written once for queries that read them several times."""
+    return cut_lineage(documents(spark, folder))
+
+
 _DOCUMENTS = """
 documents_for_topics AS (SELECT review_seq, CASE WHEN len(tokens) >= 3 THEN array_to_string(tokens, ' ') ELSE '' END AS document
   FROM processed)"""
@@ -72,7 +78,7 @@ def vocabulary(spark, folder):
     ),
 )
 def term_count_vectors(spark, folder):
-    vectors, vocab = topics.vectorize(documents(spark, folder))
+    vectors, vocab = topics.vectorize(written_documents(spark, folder))
     return topics.vector_entries(vectors, "review_seq", "counts", vocab)
 
 
@@ -81,7 +87,7 @@ def term_count_vectors(spark, folder):
     with_ctes(*CTES, select=f"SELECT review_seq, term, {rounded('w / norm')} AS weight FROM weights JOIN norms USING (review_seq)"),
 )
 def tfidf_vectors(spark, folder):
-    vectors, vocab = topics.vectorize(documents(spark, folder))
+    vectors, vocab = topics.vectorize(written_documents(spark, folder))
     return topics.vector_entries(vectors, "review_seq", "tfidf", vocab)
 
 
@@ -232,7 +238,7 @@ def topics_by_bank(spark, folder):
 
 
 def _model(spark, folder):
-    vectors, vocab = topics.vectorize(documents(spark, folder))
+    vectors, vocab = topics.vectorize(written_documents(spark, folder))
     counted = topics.model_input(vectors)
     return vectors, vocab, counted, topics.fit_lda(counted)
 
@@ -260,7 +266,7 @@ def lda_assigned_reviews(spark, folder):
 def topic_stage(spark, folder):
     """Scored reviews with topic columns."""
     reviews = scored(spark, folder).withColumn("processed_text", F.array_join("tokens", " "))
-    out, _ = topics.model_topics(reviews, themes(spark, TEST_THEMES), n_topics=fixed.TOPIC_COUNT)
+    out, _ = topics.model_topics(cut_lineage(reviews), themes(spark, TEST_THEMES), n_topics=fixed.TOPIC_COUNT)
     return out.select("review_seq", "bank_name", "sentiment_label", "ensemble_score", "topic_id", "topic_probability",
                       "topic_label")
 
@@ -275,12 +281,12 @@ def topic_report_lines(spark, folder):
 
 @query("topic_count_search")
 def topic_count_search(spark, folder):
-    vectors, _ = topics.vectorize(documents(spark, folder))
+    vectors, _ = topics.vectorize(written_documents(spark, folder))
     return topics.topic_count_search(topics.model_input(vectors))
 
 
 def _factors(spark, folder):
-    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)))
+    vectors, vocab = topics.vectorize(topics.non_empty(written_documents(spark, folder)))
     h, objective = topics.fit_nmf(vectors, len(vocab))
     return h, vocab, objective
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from opinara import fixed_values as fixed
 from opinara.operators.keys import insert_or_ignore
 from opinara.operators.lineage import cut_lineage
+from opinara.operators.lookup import lookup
 from opinara.operators.small import small_table
 from opinara.plans import reports, warehouse
 from opinara.registry.collection import run_folder
@@ -106,7 +107,7 @@ def narrow_fact(spark, folder):
     dims = _dimensions(reviews)
     fact = warehouse.load_fact(reviews, dims)
     polarity = dims["dim_sentiment"].withColumnRenamed("textblob_polarity", "polarity")
-    return fact.join(F.broadcast(polarity), "sentiment_id", "left").drop("sentiment_id")
+    return lookup(fact, polarity, {"sentiment_id": "sentiment_id"}, ["review_id"]).drop("sentiment_id")
 
 
 @query(
@@ -119,8 +120,6 @@ def narrow_fact(spark, folder):
 )
 def narrow_fact_by_shuffle(spark, folder):
     """The lookup of a dimension that is too large to broadcast."""
-    from opinara.operators.lookup import lookup
-
     reviews = loaded(spark, folder)
     branches = warehouse.branch_dimension(reviews).select("branch_id", "branch_name", "branch_location")
     on = {"branch_name": "branch_name", "branch_location": "branch_location"}
