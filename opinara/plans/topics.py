@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
 from opinara.functions.text import WORD, words
+from opinara.operators.binding import bind
 from opinara.operators.lineage import cut_lineage
 from opinara.operators.small import small_table
 
@@ -23,7 +24,8 @@ TINY = 1e-12
 def prepare_documents(df: DataFrame, column: str = "processed_text") -> DataFrame:
     """Adds ``document``: the trimmed text, or an empty one when it has too few words."""
     text = F.trim(F.coalesce(column, F.lit("")))
-    return df.withColumn("document", F.when(F.size(words(text)) >= MIN_DOCUMENT_WORDS, text).otherwise(""))
+    document = F.when(F.size(words(text)) >= MIN_DOCUMENT_WORDS, text).otherwise("")
+    return bind(df.withColumn("document", document), "document")
 
 
 def non_empty(documents: DataFrame) -> DataFrame:

@@ -1,10 +1,14 @@
 """Queries of the reporting datasets, over the star schema of the sales tables or over flat reviews."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
+from opinara.operators.lineage import checkpoint_folder
 from opinara.plans import reports
 from opinara.plans.filters import Filters, apply_filters
+from opinara.plans.publishing import publish_reports
 from opinara.registry.core import (
     REVIEWS_RAW, query, rounded, sql_label_share, sql_share, sql_words, with_ctes,
 )
@@ -419,6 +423,33 @@ def published_main_dataset(spark, folder):
     )
 
 
+_PUBLISHED = {
+    "main_dataset": "fact WHERE star_rating IS NOT NULL", "bank_summary": "(SELECT DISTINCT bank_name FROM fact)",
+    "temporal_trends": "(SELECT DISTINCT year, month FROM fact)",
+    "topic_analysis": "(SELECT DISTINCT topic_name FROM fact WHERE topic_name IS NOT NULL)",
+    "branch_performance": f"({_BRANCHES})",
+    "bank_topic_matrix": "(SELECT DISTINCT bank_name, topic_name FROM fact WHERE bank_name IS NOT NULL AND topic_name IS NOT NULL)",
+    "wordcloud_data": f"""(SELECT DISTINCT sentiment_label, topic_name, unnest({sql_words('lower(review_text)')}) FROM fact
+      WHERE length(review_text) > 10)""",
+    "summary_metrics": "(SELECT 1)",
+}
+
+
+@query(
+    "published_run",
+    with_ctes(
+        STAR,
+        select=" UNION ALL ".join(
+            f"SELECT '{name}' AS dataset, count(*) AS n_rows, 1 AS written FROM {source}" for name, source in _PUBLISHED.items()
+        ),
+    ),
+)
+def published_run(spark, folder):
+    """All datasets written, and the list of them."""
+    path = f"{checkpoint_folder(spark)}/opinara/reports-{uuid.uuid4().hex}"
+    return publish_reports(review_star(spark, folder), path).select("dataset", "n_rows", "written")
+
+
 # ---------------------------------------------------------------- custom queries
 
 

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -31,14 +31,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
     return conform(raw, schema)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
-    """CSV with a header; list columns become space-joined text."""
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 500_000) -> int:
+    """CSV with a header; list columns become space-joined text. Returns the number of rows, which
+    is counted while they are written."""
     flat = [
         F.array_join(f.name, " ").alias(f.name) if isinstance(f.dataType, ArrayType) else F.col(f.name)
         for f in df.schema
     ]
     options = CSV_OPTIONS | {"maxRecordsPerFile": rows_per_file}
-    df.select(*flat).write.mode("overwrite").options(**options).csv(path)
+    seen = Observation()
+    counted = df.select(*flat).observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    counted.write.mode("overwrite").options(**options).csv(path)
+    return seen.get["n_rows"]
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -91,6 +95,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def folders_with_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the folders below a folder that hold data files, without reading those."""
+    files = list_files(spark, f"{folder}/*", "part-*")
+    return files.select(F.element_at(F.split("path", "/"), -2).alias("dataset")).distinct()
+
+
 def manifest(datasets: dict[str, DataFrame], folder: str) -> DataFrame:
     """Dataset name, row count and path. All counts come from one job."""
     counted = [
