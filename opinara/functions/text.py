@@ -12,24 +12,20 @@ from opinara import fixed_values as fixed
 
 SPACES = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = r"\p{L}\p{N}_"
-ODD_SPACE = r"[\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}]"
 URL = r"https?://[a-zA-Z!$-_]+"
-EMAIL = r"[^\s\x{3000}]+@[^\s\x{3000}]+"
-PHONE = r"(\+212|0)[5-7]\p{Nd}{8}"
 TAG = r"<[^>]+>"
 EMOJI = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
     r"\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
 )
-UNWANTED = rf"""[^{WORD}\s.,!?;:'"-]"""
 TOKEN = rf"[{WORD}]+(?:['.-][{WORD}]+)*|[^{WORD} ]"
 KEPT_TOKEN = r"^[a-zA-Z]{2,}$"
 SENTENCE_END = rf"[.!?]+([{SPACES}]+|$)"
 
-# Forms of the same patterns that are quick in Java. An address can only start where a word starts, which keeps
-# the search linear on long words. A phone number starts with one of two characters. Emoji and the odd spaces
-# are looked for only where the text holds something of that kind. Unwanted characters and white space become one
-# space in a single step, which leaves a single space between words alone.
+# Patterns in a form that is quick in Java. An address can only start where a word starts, which keeps the
+# search linear on long words. A phone number (+212 or 0, then 5 to 7, then eight digits) starts with one of two
+# characters. Emoji are looked for only where the text holds a character of that kind. Unwanted characters and
+# white space become one space in a single step, which leaves a single space between words alone.
 _EMAIL_AT_WORD_START = rf"(?<![^{SPACES}])[^{SPACES}]+@[^{SPACES}]+"
 _PHONE_BY_FIRST = r"[+0](?:(?<=0)|(?<=\+)212)[5-7]\p{Nd}{8}"
 _WIDE = r"[\x{2000}-\x{1FFFF}]"

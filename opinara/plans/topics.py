@@ -191,9 +191,8 @@ def label_topics(topic_word_rows: DataFrame, themes: DataFrame, min_overlap: int
     named = topic_word_rows.groupBy("topic_id").agg(
         F.sort_array(F.collect_list(F.struct("word_rank", "word"))).alias("_words")
     )
-    shared = topic_word_rows.select("topic_id", "word").distinct().join(
-        F.broadcast(themes), F.col("word") == F.col("keyword")
-    )
+    distinct_words = topic_word_rows.select("topic_id", "word").distinct()
+    shared = distinct_words.join(themes, F.col("word") == F.col("keyword"))
     overlaps = shared.groupBy("topic_id", "theme_rank", "theme").agg(F.countDistinct("word").alias("overlap"))
     best = overlaps.groupBy("topic_id").agg(
         F.min_by(F.struct("theme", "overlap"), F.struct(-F.col("overlap"), "theme_rank")).alias("_best")

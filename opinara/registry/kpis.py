@@ -250,8 +250,8 @@ def branch_ranking(spark, folder):
     "top_eight_branches",
     with_ctes(
         STAR, f"\nbranches AS ({_BRANCHES})",
-        select="""SELECT branch_name, sum(total_reviews) AS total_reviews FROM branches GROUP BY branch_name
-          ORDER BY total_reviews DESC, branch_name LIMIT 8""",
+        select="""SELECT branch_name, CAST(sum(branches.total_reviews) AS BIGINT) AS total_reviews FROM branches
+          GROUP BY branch_name ORDER BY 2 DESC, branch_name LIMIT 8""",
     ),
 )
 def top_eight_branches(spark, folder):

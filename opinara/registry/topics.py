@@ -225,7 +225,7 @@ def topics_by_sentiment(spark, folder):
     with_ctes(
         _ASSIGNED,
         "\ncounted AS (SELECT bank_name, topic_id, count(*) AS n FROM assigned GROUP BY bank_name, topic_id)",
-        select="""SELECT *, sum(n) OVER (PARTITION BY bank_name) AS total_reviews,
+        select="""SELECT *, CAST(sum(n) OVER (PARTITION BY bank_name) AS BIGINT) AS total_reviews,
           row_number() OVER (PARTITION BY bank_name ORDER BY n DESC, topic_id) AS topic_rank FROM counted
           QUALIFY topic_rank <= 3""",
     ),
