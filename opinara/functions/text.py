@@ -1,8 +1,8 @@
 """Text expressions: cleaning, tokens, flags and counts.
 
-All of them are built-in expressions on one row, so a text stage needs no shuffle. The
-public patterns use only constructs that mean the same in Java and RE2. ``\\s`` is ASCII in both and French text is full of no-break spaces,
-so ``SPACES`` spells out Unicode white space.
+All of them are built-in expressions on one row, so a text stage needs no shuffle. ``\\s`` and
+``\\w`` are ASCII in Java and would eat French letters and miss no-break spaces, so ``WORD`` and
+``SPACE`` name the Unicode classes.
 """
 
 from pyspark.sql import Column
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
 
-SPACES = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SPACE = r"\p{IsWhite_Space}\x1C-\x1F"
 WORD = r"\p{L}\p{N}_"
 URL = r"https?://[a-zA-Z!$-_]+"
 TAG = r"<[^>]+>"
@@ -20,13 +20,13 @@ EMOJI = (
 )
 TOKEN = rf"[{WORD}]+(?:['.-][{WORD}]+)*|[^{WORD} ]"
 KEPT_TOKEN = r"^[a-zA-Z]{2,}$"
-SENTENCE_END = rf"[.!?]+([{SPACES}]+|$)"
+SENTENCE_END = rf"[.!?]+(?:[{SPACE}]+|$)"
 
 # Patterns in a form that is quick in Java. An address can only start where a word starts, which keeps the
 # search linear on long words. A phone number (+212 or 0, then 5 to 7, then eight digits) starts with one of two
 # characters. Emoji are looked for only where the text holds a character of that kind. Unwanted characters and
 # white space become one space in a single step, which leaves a single space between words alone.
-_EMAIL_AT_WORD_START = rf"(?<![^{SPACES}])[^{SPACES}]+@[^{SPACES}]+"
+_EMAIL_AT_WORD_START = rf"(?<![^{SPACE}])[^{SPACE}]+@[^{SPACE}]+"
 _PHONE_BY_FIRST = r"[+0](?:(?<=0)|(?<=\+)212)[5-7]\p{Nd}{8}"
 _WIDE = r"[\x{2000}-\x{1FFFF}]"
 _GAP = rf"""[^{WORD}.,!?;:'"-]"""
@@ -81,7 +81,7 @@ def keep_plain_words(tokens: Column, min_length: int = 2) -> Column:
 
 def words(text: Column) -> Column:
     """Non-empty words between white space."""
-    return F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "")
+    return F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
 
 
 def word_count(text: Column) -> Column:
@@ -89,7 +89,7 @@ def word_count(text: Column) -> Column:
 
 
 def sentence_count(text: Column) -> Column:
-    pieces = F.filter(F.split(text, SENTENCE_END), lambda s: F.regexp_replace(s, f"[{SPACES}]+", "") != "")
+    pieces = F.filter(F.split(text, SENTENCE_END), lambda s: F.regexp_replace(s, f"[{SPACE}]+", "") != "")
     return F.when(text.isNull(), F.lit(0)).otherwise(F.size(pieces))
 
 
@@ -99,5 +99,5 @@ def contains_mark(text: Column, mark: str) -> Column:
 
 def has_shouting(text: Column) -> Column:
     """True when a word of three characters or more is written in capitals."""
-    shouted = F.exists(words(text), lambda w: (F.length(w) > 2) & (w == F.upper(w)) & (w != F.lower(w)))
+    shouted = F.exists(F.split(text, f"[{SPACE}]+"), lambda w: (F.length(w) > 2) & (w == F.upper(w)) & (w != F.lower(w)))
     return F.coalesce(shouted, F.lit(False))

@@ -81,7 +81,9 @@ def sql_replace(value: str, pattern: str, new: str) -> str:
     return f"regexp_replace({value}, {text_literal(pattern)}, {text_literal(new)}, 'g')"
 
 
-# The cleaning steps one by one, in plain patterns.
+# White space spelled out, and the cleaning steps one by one, in plain patterns.
+SPACES = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SENTENCE_END = rf"[.!?]+([{SPACES}]+|$)"
 ODD_SPACE = r"[\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}]"
 EMAIL = r"[^\s\x{3000}]+@[^\s\x{3000}]+"
 PHONE = r"(\+212|0)[5-7]\p{Nd}{8}"
@@ -105,7 +107,7 @@ def sql_tokens(cleaned: str, stop_words=fixed.STOP_WORDS) -> str:
 
 
 def sql_words(value: str) -> str:
-    return f"list_filter(string_split_regex({value}, {text_literal(f'[{tx.SPACES}]+')}), lambda w: w <> '')"
+    return f"list_filter(string_split_regex({value}, {text_literal(f'[{SPACES}]+')}), lambda w: w <> '')"
 
 
 _CITY = " ".join(f"WHEN {n} THEN {text_literal(city)}" for n, city in enumerate(fixed.CITIES[:-1]))

@@ -9,7 +9,7 @@ from opinara.functions.numbers import half_up
 from opinara.operators.small import small_table
 from opinara.plans import cleaning
 from opinara.registry.core import (
-    KEPT, PROCESSED, REVIEWS_RAW, query, rounded, sql_clean, sql_tokens, sql_words, text_list, text_literal, with_ctes,
+    KEPT, PROCESSED, REVIEWS_RAW, SENTENCE_END, SPACES, query, rounded, sql_clean, sql_tokens, sql_words, text_list, text_literal, with_ctes,
 )
 from opinara.sources.tables import load, load_texts, reviews_raw
 
@@ -174,7 +174,7 @@ def lemmas_joined(spark, folder):
 
 _SENTENCES = (
     f"CASE WHEN review_text IS NULL THEN 0 ELSE len(list_filter(string_split_regex(review_text, "
-    f"{text_literal(tx.SENTENCE_END)}), lambda s: regexp_replace(s, {text_literal(f'[{tx.SPACES}]+')}, '', 'g') <> '')) END"
+    f"{text_literal(SENTENCE_END)}), lambda s: regexp_replace(s, {text_literal(f'[{SPACES}]+')}, '', 'g') <> '')) END"
 )
 _SHOUTED = (
     f"len(list_filter({sql_words('review_text')}, lambda w: length(w) > 2 AND w = upper(w) AND w <> lower(w))) > 0"

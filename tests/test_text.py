@@ -100,3 +100,10 @@ def test_cleaning_stage(spark):
         plain = cleaning.plain_tokens(_reviews(spark, rows))
         found = {r.review_seq: r.tokens for r in cleaning.lemmatize(plain, lemmas, inline_terms=inline).collect()}
         assert found[3] == ["attente", "longue", "guichet", "fermer"] and found[2] == []
+
+
+def test_odd_spaces_part_words(value):
+    given = ["a b c　d\u0085e\x1cf g", "moi@site.ma ici　lui@site.ma", "UN DEUX"]
+    assert value(given, "string", tx.words) == [list("abcdefg"), ["moi@site.ma", "ici", "lui@site.ma"], ["UN", "DEUX"]]
+    assert value(given, "string", tx.clean_basic) == ["a b cd e f g", "ici", "un deux"]
+    assert value(given, "string", tx.has_shouting) == [False, False, True]
