@@ -16,13 +16,14 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD_BREAKS = "[ \t\n\x0b\x0c\r]+"
 
 
-def scratch_table(df: DataFrame, label: str) -> DataFrame:
-    """Write a step to the shared folder that ``spark.checkpoint.dir`` names and go on from there.
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names; the caller's to empty once results are written."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/opinara-{uuid.uuid4().hex}/{label}"
 
-    The folder is the caller's to empty once the results have been written.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark).rstrip('/')}/opinara-{uuid.uuid4().hex}/{label}"
+
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
+    """Write a step to the shared folder and go on from there."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,11 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import substring_dedup
-from opinara.llm.common import documents
+from opinara.llm import substring_dedup, token_counts, token_file
+from opinara.llm.common import documents, scratch_path
 
+TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +51,15 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(documents(spark, folder))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op7_token_file")
+def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_file.write_tokens(documents(spark, folder), path, public_tokenizers.path(TOKENIZER), end_id=0)
+    return token_file.read_documents(spark, path)
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, folder), public_tokenizers.path(TOKENIZER))
