@@ -3,9 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opinara.llm import substring_dedup, token_counts, token_file
+from opinara.llm import language_id, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -63,3 +64,30 @@ def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), public_tokenizers.path(TOKENIZER))
+
+
+def fold(divisor: int) -> Column:
+    """Remainder of crc32 of doc_id as text; rows without a doc_id are in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor, F.lit(0))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(fold(4) != 2))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "language.lang_pred", "language.score")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = documents(spark, folder).select("doc_id", "text"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.train(docs, labels.filter(fold(3) != 1))
+    return toxicity.score_texts(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
