@@ -168,8 +168,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         .filter("a < z")
         .select("anchor", (F.col("s") != F.col("t")).alias("differ"))
     )
+    repeated = scratch_table(repeated, "repeated")  # as tables, sums leave the joins free to split a hot key
     hits = scratch_table(seeds.join(repeated, "anchor"), "hits")
-    firsts = hits.groupBy("anchor", "span").agg(F.min("id").alias("first"))
+    firsts = scratch_table(hits.groupBy("anchor", "span").agg(F.min("id").alias("first")), "firsts")
     compared = hits.join(firsts, ["anchor", "span"])
     whole = compared.filter("id > first").select("id", "fp", "lo", "hi")
     open_ = (
@@ -179,6 +180,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     windows = spread.join(open_, ["id", "fp"]).mapInArrow(_window_rows(window), "w1 long, w2 long, id long, fp long, pos int")
     windows = scratch_table(windows, "windows")
     earliest = windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    earliest = scratch_table(earliest, "earliest")
     single = windows.join(earliest, ["w1", "w2"]).filter("id > first").select("id", "fp", F.col("pos").alias("lo"), F.col("pos").alias("hi"))
     repeats = whole.unionByName(single).groupBy("id", "fp").agg(F.collect_set(F.struct("lo", "hi")).alias("repeats"))
     cut = spread.join(repeats, ["id", "fp"], "left").mapInArrow(_cut(window), _KEPT)
