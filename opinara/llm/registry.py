@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import language_id, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from opinara.llm import language_id, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -91,3 +91,9 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, folder))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
