@@ -32,17 +32,16 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
-    """Columns ``id`` (doc_id; a missing one sorts last), ``fp`` (hash of the text) and ``text``.
-
-    ``id`` and ``fp`` together name a row; rows that repeat both are equal and get equal results.
-    """
+def row_key() -> tuple[Column, Column, Column]:
+    """``id`` (doc_id; a missing one sorts last), ``fp`` (hash of the text) and the text itself."""
     text = F.col("text").cast("string")
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(F.col("doc_id").isNull(), text).alias("fp"),
-        text.alias("text"),
-    )
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64(F.col("doc_id").isNull(), text), text
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """Columns ``id``, ``fp`` and ``text`` (``row_key``). ``id`` and ``fp`` together name a row; rows that repeat both are equal
+    and get equal results."""
+    return docs.select(*(column.alias(name) for column, name in zip(row_key(), ("id", "fp", "text"), strict=True)))
 
 
 def doc_id(name: str = "id") -> Column:

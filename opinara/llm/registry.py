@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import language_id, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from opinara.llm import decontaminate, language_id, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -97,3 +97,27 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, folder))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@query(
+    "op10_decontamination",
+    r"""
+    WITH shingles AS (
+        SELECT kind, id, unnest(list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])) AS s
+        FROM (
+            SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)
+        ) WHERE len(w) >= 5
+    ),
+    sizes AS (SELECT id AS item_id, count(*) AS n_shingles FROM shingles WHERE kind = 'b' GROUP BY id),
+    found AS (
+        SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_found
+        FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 'd' AND b.kind = 'b' GROUP BY ALL
+    )
+    SELECT doc_id, item_id, n_shingles::BIGINT AS n_shingles, n_found::BIGINT AS n_found, n_found / n_shingles AS containment
+    FROM found JOIN sizes USING (item_id) WHERE 100 * n_found >= 80 * n_shingles
+    """,
+)
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
