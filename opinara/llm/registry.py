@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import decontaminate, jaccard_join, language_id, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from opinara.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -152,3 +152,42 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.document_components(documents(spark, folder))
+
+
+@query(
+    "op2_line_dedup",
+    r"""
+    WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+    lines AS (
+        SELECT doc_id, no, trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
+        FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS no, unnest(p) AS s FROM parts)
+    ),
+    worded AS (SELECT doc_id, no, line FROM lines WHERE line <> ''),
+    firsts AS (SELECT line, min((doc_id, no)) AS first, length(line) AS n FROM worded GROUP BY line),
+    keys AS (
+        SELECT line, first, n, m, substr(line, 1, m // 2) AS lead, substr(line, n - (m - m // 2) + 1) AS tail
+        FROM firsts, (VALUES (0), (1)) AS c(shorter), LATERAL (SELECT n - shorter AS m) WHERE n >= 20
+    ),
+    pairs AS (
+        SELECT DISTINCT a.line AS a, b.line AS b FROM keys a JOIN keys b ON a.m = b.m AND a.lead = b.lead AND a.first > b.first
+        UNION SELECT DISTINCT a.line, b.line FROM keys a JOIN keys b ON a.m = b.m AND a.tail = b.tail AND a.first > b.first
+    ),
+    cut AS (
+        SELECT a, b, CASE WHEN length(a) >= length(b) THEN a ELSE b END AS x, CASE WHEN length(a) >= length(b) THEN b ELSE a END AS y
+        FROM pairs
+    ),
+    near AS (
+        SELECT DISTINCT a AS line FROM (SELECT a, x, y, unnest(range(1, length(x) + 1)) AS i FROM cut)
+        WHERE substr(x, 1, i - 1) || substr(x, i + 1) = CASE WHEN length(x) = length(y) THEN substr(y, 1, i - 1) || substr(y, i + 1) ELSE y END
+    ),
+    judged AS (
+        SELECT doc_id, no, first < (doc_id, no) OR line IN (SELECT line FROM near) AS gone FROM worded JOIN firsts USING (line)
+    )
+    SELECT d.doc_id, count(no)::BIGINT AS n_lines, coalesce(sum(gone::INT), 0)::BIGINT AS n_removed,
+        coalesce(string_agg(CASE WHEN gone THEN no END::VARCHAR, ',' ORDER BY no), '') AS removed
+    FROM documents d LEFT JOIN judged j USING (doc_id) GROUP BY d.doc_id
+    """,
+)
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    report = line_dedup.line_report(documents(spark, folder))
+    return report.withColumn("removed", F.array_join("removed", ","))
