@@ -10,12 +10,16 @@ import json
 import os
 import re
 from collections.abc import Callable
+from itertools import compress
+from operator import not_
 
+import numpy as np
 import regex
 from tokenizers import Tokenizer
 
 # The characters of the Unicode property White_Space.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+UNEVEN = ["  ", " \n", "\n ", "\n\n", *filter(re.compile(f"(?=[^ \n])[{WHITE}]").match, map(chr, range(0x3001)))]
 UNIT = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 # Fixed value: the published pattern of byte-level BPE, with the white space written out.
 PRE_TOKEN = regex.compile(
@@ -53,15 +57,52 @@ def added_strings(path: str) -> list[str]:
         return [t["content"] for t in json.load(file).get("added_tokens", [])]
 
 
+class Library:
+    """The library's ids, for many short texts at a time."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load(path)
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if cuts_like_byte_bpe(path) and len(line_end) == 1 else None
+        self.words = re.compile(f" [^{WHITE}]+")
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids_of_units(self, units: list[str]) -> list[bytes]:
+        """Ids per unit. Those that are a space and a word are encoded as lines of one text: its line ends are tokens of their
+        own, as a space follows each."""
+        if self.line_end is None:
+            return self.ids(units)
+        found: dict[str, bytes] = {}
+        words = list(filter(self.words.fullmatch, units))
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            ids = self.ids(["\n".join(some)])[0]
+            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == self.line_end) * 4).tolist()
+            starts = [0, *(e + 4 for e in ends)]
+            found.update((u, ids[a:b]) for u, a, b in zip(some, starts, [*ends, len(ids)], strict=True))
+        others = [u for u in units if u not in found]
+        found.update(zip(others, self.ids(others), strict=True))
+        return [found[u] for u in units]
+
+
 class Units:
-    """Results per text from results per unit. ``of_units`` maps a list of units to a list of values and ``of_text`` a
-    whole text to a value."""
+    """Results per text from results per unit. ``of_units`` maps a list of units to a list of values, none of them false, and
+    ``of_text`` a whole text to a value.
+
+    Values are remembered by key: a unit without its space; ``\\n`` and what follows on the next line; or ``\\r`` and any unit.
+    Most texts are words with one space or line end between them and split at those. Memory is bounded by two generations of
+    units: when the younger is full, the older goes.
+    """
 
     def __init__(self, path: str, of_units: Callable, of_text: Callable):
         self.plain = cuts_like_byte_bpe(path)
-        self.added = re.compile("|".join(map(re.escape, [*added_strings(path), "\u180e"])))
+        self.added = [*added_strings(path), "\u180e"]
         self.of_units, self.of_text = of_units, of_text
         self.known: dict = {}
+        self.older: dict = {}
 
     def values(self, texts: list[str], join: Callable) -> list:
         """``join`` makes a value of the values of a text's units. Texts are taken a few megabytes at a time."""
@@ -74,11 +115,35 @@ class Units:
                 held, size = [], 0
         return out + self._some(held, join)
 
+    def keys(self, text: str) -> list[str] | None:
+        if not self.plain or any(a in text for a in self.added):
+            return None
+        if text and text[0] not in " \n" and text[-1] not in " \n" and not any(u in text for u in UNEVEN):
+            keys = text.replace("\n", " \n").split(" ")
+            keys[0] = "\r" + keys[0]
+            return keys
+        return [u[1:] if u[0] == " " and len(u) > 1 and u[1] not in "\n\r" else "\r" + u for u in UNIT.findall(text)]
+
     def _some(self, texts: list[str], join: Callable) -> list:
-        cut = [UNIT.findall(t) if self.plain and not self.added.search(t) else None for t in texts]
         if len(self.known) > MOST_REMEMBERED:
-            self.known = {}
-        new = list(set().union(*(u for u in cut if u is not None)) - self.known.keys())
-        self.known.update(zip(new, self.of_units(new), strict=True))
-        get = self.known.__getitem__
-        return [self.of_text(t) if u is None else join(map(get, u)) for t, u in zip(texts, cut, strict=True)]
+            self.known, self.older = {}, self.known
+        cut = [self.keys(t) for t in texts]
+        found = [None if keys is None else list(map(self.known.get, keys)) for keys in cut]
+        new = set()
+        for keys, values in zip(cut, found, strict=True):
+            if keys is not None:
+                new.update(compress(keys, map(not_, values)))
+        older = {k: self.older[k] for k in new if k in self.older}
+        new = [k for k in new if k not in older]
+        units = [k if k[0] == "\n" else k[1:] if k[0] == "\r" else " " + k for k in new]
+        self.known.update(older)
+        self.known.update(zip(new, self.of_units(units), strict=True))
+        out = []
+        for text, keys, values in zip(texts, cut, found, strict=True):
+            if keys is None:
+                out.append(self.of_text(text))
+                continue
+            for n in compress(range(len(keys)), list(map(not_, values))):
+                values[n] = self.known[keys[n]]
+            out.append(join(values))
+        return out

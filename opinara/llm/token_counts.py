@@ -5,6 +5,7 @@ is in the vocabulary isn't enough, as the merges may lead elsewhere. A pre-token
 rest goes through the merges of the library. Counts are remembered per unit (``pretokens.Units``), in bounded memory.
 """
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,13 +46,10 @@ class Counter:
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.counts = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
         else:
-            self.tokenizer = pretokens.load(path)
-            units = pretokens.Units(path, self.of_units, lambda text: self.merged([text])[0])
+            self.library = pretokens.Library(path)
+            units = pretokens.Units(path, self.of_units, lambda text: len(self.library.ids([text])[0]) // 4)
             self.counts = lambda texts: units.values(texts, sum)
 
-    def merged(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
     def of_units(self, units: list[str]) -> list[int]:
         counts, rest, owner = [0] * len(units), [], []
         for n, unit in enumerate(units):
@@ -60,18 +58,24 @@ class Counter:
             counts[n] = len(parts) - len(open_)
             rest += open_
             owner += [n] * len(open_)
-        for n, count in zip(owner, self.merged(rest), strict=True):
-            counts[n] += count
+        for n, ids in zip(owner, self.library.ids_of_units(rest), strict=True):
+            counts[n] += len(ids) // 4
         return counts
 
 
+@functools.lru_cache(maxsize=2)
+def counter_of(path: str, proven: frozenset[str]) -> Counter:
+    """One per Python worker, so that tasks share what it remembers."""
+    return Counter(path, proven)
+
+
 def token_count(spark, text: str, path: str) -> Column:
     """Tokens of a text column as the library gives them, without begin, end or other added tokens. Null counts as empty."""
     proven = spark.sparkContext.broadcast(frozenset() if path.endswith(".model") else proven_strings(path))
 
     @F.pandas_udf("long")
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(path, proven.value)
+        counter = counter_of(path, proven.value)
         for part in parts:
             yield pd.Series(counter.counts(["" if t is None else t for t in part.tolist()]), dtype="int64")
 

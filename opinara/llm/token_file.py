@@ -8,6 +8,7 @@ A table of such blocks is Parquet: one row per block with whole documents in asc
 value, and the doc_ids and lengths beside it. Documents are dealt by range, so each shard encodes and writes its own.
 """
 
+import functools
 import struct
 import zlib
 
@@ -115,21 +116,24 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, as the tokenizers library gives them."""
 
     def __init__(self, path: str):
-        self.tokenizer = pretokens.load(path)
-        self.units = pretokens.Units(path, self.library, lambda text: self.library([text])[0])
-
-    def library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        library = pretokens.Library(path)
+        self.units = pretokens.Units(path, library.ids_of_units, lambda text: library.ids([text])[0])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return self.units.values(texts, b"".join)
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker, so that tasks share what it remembers."""
+    return Encoder(path)
+
+
 def _blocks(path: str, end_id: int, block_ids: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def rows(parts):
-        encoder, shard = Encoder(path), TaskContext.get().partitionId()
+        codes, shard = encoder(path), TaskContext.get().partitionId()
         start, block, held, keys = 0, 0, [], []
 
         def full():
@@ -152,7 +156,7 @@ def _blocks(path: str, end_id: int, block_ids: int):
             for n in range(0, part.num_rows, 256):
                 few = part.slice(n, 256)
                 texts = ["" if t is None else t for t in few.column("text").to_pylist()]
-                for key, ids in zip(few.column("id").to_pylist(), encoder.ids(texts), strict=True):
+                for key, ids in zip(few.column("id").to_pylist(), codes.ids(texts), strict=True):
                     held.append(ids + end)
                     keys.append(key)
                     size += len(ids) // 4 + 1
