@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import batches, doc_id, gram_hashes, keyed_texts, mixed, scratch_table, word_hashes
+from opinara.llm.common import batches, doc_id, gram_hashes, keyed_texts, mixed, row_key, scratch_table, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -276,3 +276,19 @@ def document_components(docs: DataFrame, percent: int = PERCENT, length: int = S
     """doc_id, n_shingles and component_id of every row; see ``join_documents``."""
     joined = join_documents(docs, percent, length)
     return joined.select(doc_id(), F.col("n_shingles").cast("long").alias("n_shingles"), doc_id("component_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
+    """The rows of a table, with all its columns, but of each component the one with the smallest doc_id (then hash of the text).
+
+    Rows that repeat doc_id and text count as one; rows without a word stay as they are. Columns named ``_id`` or ``_fp`` would
+    clash.
+    """
+    joined = scratch_table(join_documents(docs, percent, length), "joined")
+    first = joined.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("id", "fp")).alias("row"))
+    keep = scratch_table(first.select(F.col("row.id").alias("_id"), F.col("row.fp").alias("_fp")), "kept")
+    id_, fp, text = row_key()
+    keyed = docs.withColumns({"_id": id_, "_fp": fp})
+    wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = keyed.filter(~wordless).join(keep, ["_id", "_fp"], "left_semi").dropDuplicates(["_id", "_fp"])
+    return kept.unionByName(keyed.filter(wordless)).drop("_id", "_fp")

@@ -143,15 +143,20 @@ def _round(cells: DataFrame, sources: DataFrame, most: int) -> DataFrame:
     return cells.select("source_rank", "size", "bucket", "rate", "extra")
 
 
+def _place() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies and taken (copies times size) of every row.
+    """doc_id, source, place (a hash of doc_id and text), size, source_size, target, rate, copies and taken (copies times size) of
+    every row.
 
     Takes a table with doc_id, text and source. Size is the number of words; a null or empty text has none and takes no words.
     A null source is one of its own. Which documents of one size get the extra copy is settled by a hash of doc_id and text, so
     reruns agree; rows that are equal throughout may stand for each other. Other columns are ignored; an empty table stays so.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    sized = scratch_table(text.select("doc_id", "source", n_words("text").alias("size"), F.xxhash64("doc_id", "text").alias("place")), "sizes")
+    sized = scratch_table(text.select("doc_id", "source", n_words("text").alias("size"), _place().alias("place")), "sizes")
     sizes = scratch_table(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "source-sizes")
     sources = scratch_table(target_sizes(sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most), "targets")
     same = sources["source"].eqNullSafe(sizes["source"])
@@ -172,4 +177,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_
     nth = F.row_number().over(Window.partitionBy("source_rank", "size", "bucket").orderBy("place", "doc_id"))
     dealt = ranked.withColumn("nth", nth).join(copies, ["source_rank", "size", "bucket"])
     n_copies = (F.floor("rate") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)).cast("long")
-    return dealt.select("doc_id", "source", "size", "source_size", "target", "rate", n_copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    return dealt.select("doc_id", "source", "place", "size", "source_size", "target", "rate", n_copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> DataFrame:
+    """The rows of a table, with all its columns, each as often as the mix takes it; see ``mix``.
+
+    Of rows that repeat doc_id, text and source the first stands for all, as often as the mix takes them together. Columns named
+    ``_place``, ``_source``, ``_nth`` or ``_copies`` would clash.
+    """
+    mixed = scratch_table(mix(docs, weights, most), "mixed")
+    wanted = mixed.groupBy(F.col("place").alias("_place"), F.col("source").alias("_source")).agg(F.sum("copies").alias("_copies"))
+    wanted = scratch_table(wanted.filter("_copies > 0"), "wanted")
+    once = docs.withColumn("_place", _place()).dropDuplicates(["_place", "source"])
+    same = (once["_place"] == wanted["_place"]) & once["source"].cast("string").eqNullSafe(wanted["_source"])
+    taken = once.join(wanted, same).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return taken.select(*(once[c] for c in docs.columns))
