@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import batches
+from opinara.llm.common import batches, scratch_table
 
 SAMPLE = 300  # labelled texts per language that the statistics are taken from, about
 UNKNOWN = "und"
@@ -52,6 +52,7 @@ def sampled(docs: DataFrame, sample: int) -> DataFrame:
     """About ``sample`` labelled texts of each language: those whose hash is under the share that gives as many."""
     known = docs.filter("lang is not null and text is not null")
     rates = known.groupBy("lang").agg((F.lit(sample) / F.count(F.lit(1))).alias("rate"))
+    rates = scratch_table(rates, "rates")  # as a table its size is known, and a short one is broadcast
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003
     return known.withColumn("place", place).join(rates, "lang").filter("place < rate").select("lang", "text")
 
