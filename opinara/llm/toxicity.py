@@ -166,10 +166,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from text and labels.toxic, on about ``sample`` texts of each label, chosen by hash. What comes to the driver is
     bounded by the parts of those texts that have a vector."""
     known = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rates = known.groupBy("toxic").agg((F.lit(sample) / F.count(F.lit(1))).alias("rate"))
+    rates = known.groupBy("toxic").agg((F.lit(sample) / F.count(F.lit(1))).alias("rate"))  # two rows
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_003)) / 1_000_003
     chosen = known.join(F.broadcast(rates), "toxic").filter(place < F.col("rate")).select("doc_id", "toxic")
     texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = scratch_table(chosen, "chosen")  # as a table its size is known, and a short one is broadcast
     chosen = texts.join(chosen, "doc_id").select("toxic", F.xxhash64("doc_id", "text").alias("key"), "text")
     bags = scratch_table(chosen.mapInArrow(_bags, "toxic int, key long, parts array<int>"), "bags")
     counted = {r.toxic: r.n for r in bags.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
