@@ -17,7 +17,7 @@ from opinara.llm.common import scratch_table
 MOST_COPIES = 3
 BUCKETS = 64  # a (source, size) cell is dealt over so many groups, as one size may hold a third of all rows
 _MOST_STEPS = 80
-_PASSES = 3
+_PASSES = 5
 
 
 def n_words(text: str) -> Column:
@@ -109,7 +109,7 @@ def solve(cells: DataFrame, sources: DataFrame, most: int = MOST_COPIES) -> Data
 def _running(cells: DataFrame, value: str, largest_first: bool = False) -> DataFrame:
     """The cells with ``before``: the sum of ``value`` over the sizes of the source that come earlier. It is summed over blocks
     of sizes first and then inside each block, so no task needs all cells of a source."""
-    blocks = scratch_table(cells.groupBy("source_rank", "block").agg(F.sum(value).alias("of_block")), "blocks")
+    blocks = cells.groupBy("source_rank", "block").agg(F.sum(value).alias("of_block"))
     turn = (lambda c: F.col(c).desc()) if largest_first else F.col
     earlier = Window.partitionBy("source_rank").orderBy(turn("block")).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("source_rank", "block", F.coalesce(F.sum("of_block").over(earlier), F.lit(0.0)).alias("blocks_before"))
@@ -119,28 +119,31 @@ def _running(cells: DataFrame, value: str, largest_first: bool = False) -> DataF
 
 
 def _round(cells: DataFrame, sources: DataFrame, most: int) -> DataFrame:
-    """How many documents of each cell get a copy more than the whole part of their rate.
+    """``total``: how many copies the mix takes of the documents of each cell.
 
     The parts of copies are rounded as they add up along the sizes, which leaves about one large document of error per source.
-    A few passes then move the copies of ever smaller documents, largest first, as far as they fit into what is missing.
+    A few passes then add or take back copies of ever smaller documents, largest first, until the next one would miss by more.
+    Documents of up to one and a half times what is missing are moved, so a pass halves it at least while there are any.
     """
     parts = _running(cells.withColumn("part", F.col("n") * (F.col("rate") - F.floor("rate"))), "part")
     extra = F.floor(F.col("before") + F.col("part") + 0.5) - F.floor(F.col("before") + 0.5)
+    total = F.col("n") * F.floor("rate") + F.greatest(F.lit(0), F.least(extra, "n"))
     kept = ["source_rank", "size", "bucket", "block", "n", "rate"]
-    cells = scratch_table(parts.select(*kept, F.greatest(F.lit(0), F.least(extra, "n")).cast("long").alias("extra")), "copies")
+    cells = scratch_table(parts.select(*kept, total.cast("long").alias("total")), "copies")
     for _ in range(_PASSES):
-        taken = cells.groupBy("source_rank").agg(F.sum(F.col("size") * (F.col("n") * F.floor("rate") + F.col("extra"))).alias("taken"))
+        taken = cells.groupBy("source_rank").agg(F.sum(F.col("size") * F.col("total")).alias("taken"))
         missing = sources.join(taken, "source_rank").select("source_rank", (F.col("target") - F.col("taken")).alias("missing"))
-        cells = cells.join(scratch_table(missing, "missing"), "source_rank")
-        room = F.when(F.col("missing") > 0, F.when(F.floor("rate") < most, F.col("n") - F.col("extra")).otherwise(0)).otherwise(F.col("extra"))
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("missing"))
+        cells = cells.join(missing, "source_rank")
+        room = F.when(F.col("missing") > 0, F.col("n") * most - F.col("total")).otherwise(F.col("total"))
+        fits = (F.col("size") > 0) & (F.col("size") <= 1.5 * F.abs("missing"))
         cells = cells.withColumn("room", F.when(fits, room).otherwise(0))
-        cells = _running(scratch_table(cells.withColumn("words", (F.col("room") * F.col("size")).cast("double")), "room"), "words", largest_first=True)
+        cells = cells.withColumn("words", (F.col("room") * F.col("size")).cast("double"))
+        cells = _running(scratch_table(cells, "room"), "words", largest_first=True)
         left = F.abs("missing") - F.col("before")
-        moved = F.greatest(F.lit(0), F.least(F.col("room"), F.floor(F.try_divide(left, F.col("size"))))).cast("long")
-        extra = F.col("extra") + F.when(F.col("room") > 0, F.when(F.col("missing") > 0, moved).otherwise(-moved)).otherwise(0)
-        cells = scratch_table(cells.select(*kept, extra.alias("extra")), "copies")
-    return cells.select("source_rank", "size", "bucket", "rate", "extra")
+        moved = F.greatest(F.lit(0), F.least(F.col("room"), F.floor(F.try_divide(left, F.col("size")) + 0.5)))
+        total = F.col("total") + F.when(F.col("room") > 0, F.signum("missing") * moved).otherwise(0)
+        cells = scratch_table(cells.select(*kept, total.cast("long").alias("total")), "copies")
+    return cells.select("source_rank", "size", "bucket", "n", "rate", "total")
 
 
 def _place() -> Column:
@@ -176,7 +179,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_
 
     nth = F.row_number().over(Window.partitionBy("source_rank", "size", "bucket").orderBy("place", "doc_id"))
     dealt = ranked.withColumn("nth", nth).join(copies, ["source_rank", "size", "bucket"])
-    n_copies = (F.floor("rate") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)).cast("long")
+    more = F.when(F.col("nth") <= F.col("total") % F.col("n"), 1).otherwise(0)
+    n_copies = (F.floor(F.col("total") / F.col("n")) + more).cast("long")
     return dealt.select("doc_id", "source", "place", "size", "source_size", "target", "rate", n_copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
