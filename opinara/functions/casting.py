@@ -3,7 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd")
+_TIME = "[ HH:mm[:ss[.SSSSSS]]]['T'HH:mm[:ss[.SSSSSS]]]"
+DATE_FORMATS = ("yyyy-MM-dd" + _TIME, "dd/MM/yyyy" + _TIME, "yyyy/MM/dd" + _TIME)
 PUBLISH_DATE = "2024-01-01"
 
 
@@ -22,9 +23,9 @@ def to_whole(value: Column) -> Column:
 
 
 def to_date(value: Column, formats=DATE_FORMATS, default: str | None = None) -> Column:
-    """First format that parses. Text may carry a time of day after the date."""
-    text = value.cast("string")
-    day = F.coalesce(*[F.try_to_timestamp(F.substring(text, 1, len(f)), F.lit(f)).cast("date") for f in formats])
+    """First format that the whole text follows. A time of day may stand after the date; anything else gives null."""
+    text = F.trim(value.cast("string"))
+    day = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
     return day if default is None else F.coalesce(day, F.to_date(F.lit(default)))
 
 

@@ -24,7 +24,12 @@ def add_dense_key(table: DataFrame, natural: list[str], key: str, hex_digits: in
     return numbered.select((F.col("_offset") + F.col("_number")).cast("long").alias(key), *table.columns)
 
 
-def insert_or_ignore(old: DataFrame, new: DataFrame, natural: list[str]) -> DataFrame:
-    """Old rows plus the new ones whose natural key is not there yet."""
-    match = [new[c].eqNullSafe(old[c]) for c in natural]
-    return old.unionByName(new.join(old, match, "left_anti"), allowMissingColumns=True)
+def insert_or_ignore(old: DataFrame, new: DataFrame, natural: list[str], order: list[str] | None = None) -> DataFrame:
+    """Old rows plus the new ones whose natural key is not there yet.
+
+    Of new rows that share a key the first in ``order`` (by default: in all columns) goes in. Null keys count as equal.
+    """
+    first = F.min_by(F.struct(*new.columns), F.struct(*(order or new.columns)))
+    once = new.groupBy(*[F.col(c).alias(f"_{c}") for c in natural]).agg(first.alias("_row")).select("_row.*")
+    match = [once[c].eqNullSafe(old[c]) for c in natural]
+    return old.unionByName(once.join(old, match, "left_anti"), allowMissingColumns=True)

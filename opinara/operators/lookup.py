@@ -8,14 +8,22 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
+HOT_ROWS = 1_000_000  # a key with so many rows is spread
+MOST_HOT = 10_000  # keys that are spread, the largest first; adaptive skew joins see to the rest
 
 
 def _row_bytes(table: DataFrame) -> Column:
-    """Bytes of the text of a row, plus eight for every other column."""
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8) for f in table.schema
-    ]
-    return reduce(lambda a, b: a + b, sizes, F.lit(0))
+    """Bytes of a row: text and binary by length, arrays, maps and structs by their length as JSON, others eight."""
+
+    def size(field) -> Column:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if kind in ("array", "map", "struct"):
+            return F.coalesce(F.length(F.to_json(F.struct(field.name))), F.lit(0))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, map(size, table.schema), F.lit(0))
 
 
 def which_are_small(tables: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, bool]:
@@ -42,12 +50,13 @@ def lookup(
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     small: bool | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``rows`` to a table that is unique on its key; ``on`` maps row columns to table columns.
 
-    Keys match null-safe. A small table is broadcast; ``small`` says so when it was checked before. A larger one is joined by shuffle, with the
-    rows of each key spread over ``salts`` partitions by a hash of ``spread_by`` and the table
-    repeated once per salt, so a key that holds a third of all rows is split as well.
+    Keys match null-safe. A small table is broadcast; ``small`` says so when it was checked before. A larger one is joined by
+    shuffle. Keys with ``hot_rows`` rows or more, counted with map-side totals, are spread over ``salts`` partitions by a hash
+    of ``spread_by``, and only their table rows are repeated once per salt.
     """
     table = table.withColumnsRenamed({right: f"_key_{right}" for right in on.values()})
 
@@ -58,7 +67,20 @@ def lookup(
     keys = [f"_key_{right}" for right in on.values()]
     if is_small(table, max_rows) if small is None else small:
         return rows.join(F.broadcast(table), matches([]), how).drop(*keys)
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    table = table.withColumn("_salt_of_key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(rows, list(on), hot_rows).withColumn("_hot", F.lit(True))
+    named = {left: f"_hot_{left}" for left in on}
+    of_rows = reduce(lambda a, b: a & b, [rows[left].eqNullSafe(F.col(name)) for left, name in named.items()])
+    of_table = reduce(lambda a, b: a & b, [table[f"_key_{on[left]}"].eqNullSafe(F.col(name)) for left, name in named.items()])
+    hot = F.broadcast(hot.withColumnsRenamed(named))
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0).cast("int")
+    rows = rows.join(hot, of_rows, "left").withColumn("_salt", spread).drop("_hot", *named.values())
+    places = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    table = table.join(hot, of_table, "left").withColumn("_salt_of_key", F.explode(places)).drop("_hot", *named.values())
     salted = rows.join(table, matches([rows["_salt"] == table["_salt_of_key"]]), how)
     return salted.drop(*keys, "_salt", "_salt_of_key")
+
+
+def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """The keys that hold ``hot_rows`` rows or more, at most ``MOST_HOT`` of them."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(MOST_HOT).drop("_rows")

@@ -39,9 +39,12 @@ def plain_tokens(df: DataFrame, stop_words=fixed.STOP_WORDS, fold: bool = False)
 def lemmatize(df: DataFrame, lemmas: DataFrame, key: str = "review_seq", inline_terms: int = INLINE_TERMS) -> DataFrame:
     """Replace each token that has a lemma in the table (term, lemma).
 
-    A short table becomes a literal map, so rows stay where they are. A longer one is joined
-    to the distinct words of each review, and the words are put back by position.
+    Rows of the table with a null are left out, and of several lemmas of a term the smallest counts, whatever the size of the
+    table. A short table becomes a literal map, so rows stay where they are. A longer one is joined to the words of each
+    review, and the words are put back by position.
     """
+    known = lemmas.filter("term is not null and lemma is not null").groupBy("term")
+    lemmas = known.agg(F.min("lemma").alias("lemma"))
     if is_small(lemmas, inline_terms):
         pairs = {r.term: r.lemma for r in lemmas.collect()}
         known = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair]) if pairs else None

@@ -34,7 +34,7 @@ DIMENSION_COLUMNS = {
 def join_dimensions(star: Star, tables=tuple(DIMENSION_COLUMNS)) -> DataFrame:
     """The fact with the columns of some dimensions; a row without a member keeps nulls."""
     out = star["fact_reviews"]
-    small = which_are_small({t: star[t].select(DIMENSION_COLUMNS[t][0]) for t in tables})
+    small = which_are_small({t: star[t].select(DIMENSION_COLUMNS[t][0], *DIMENSION_COLUMNS[t][1]) for t in tables})
     for table in tables:
         key, columns = DIMENSION_COLUMNS[table]
         out = lookup(out, star[table].select(key, *columns), {key: key}, ["review_id"], small=small[table])

@@ -165,7 +165,7 @@ _VAL = ["review_seq", "vader_compound", "vader_positive", "vader_neutral", "vade
 @query("valence", with_ctes(*CTES, select=f"SELECT {_select(_VAL)} FROM scores"))
 def valence(spark, folder):
     rules = {"boosters": BOOSTERS, "dampeners": DAMPENERS}
-    return sentiment.add_valence(plain(spark, folder), VALENCE, TEST_NEGATORS, **rules).select(*_VAL)
+    return sentiment.add_valence(plain(spark, folder), VALENCE, TEST_NEGATORS, rules=rules).select(*_VAL)
 
 
 _PLAIN_RULES = SCORES.replace(text_list(BOOSTERS), text_list(fixed.BOOSTERS)).replace(

@@ -8,7 +8,7 @@ from opinara.operators.binding import bind
 from opinara.operators.dedupe import first_n
 from opinara.operators.gather import grouped_text, term_counts
 from opinara.operators.keys import add_dense_key, insert_or_ignore
-from opinara.operators.lookup import lookup, which_are_small
+from opinara.operators.lookup import hot_keys, lookup, which_are_small
 from opinara.operators.statistics import exact_percentiles
 
 
@@ -27,6 +27,24 @@ def test_lookup_paths_agree_on_a_hot_key(spark):
     assert sorted(small.collect(), key=lambda r: r.id) == sorted(salted.collect(), key=lambda r: r.id)
     assert small.count() == 3000 and small.filter("v is null").count() == 2
     assert which_are_small({"a": table, "b": table.limit(0)}, 10) == {"a": False, "b": True}
+    split = lookup(rows, table, {"k": "k"}, ["id"], max_rows=10, hot_rows=400, salts=8)
+    assert sorted(small.collect(), key=lambda r: r.id) == sorted(split.collect(), key=lambda r: r.id)
+
+
+def test_only_hot_keys_are_repeated(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [r.k for r in hot_keys(rows, ["k"], 900).collect()] == [-1]
+    table = rows.select("k").distinct()
+    joined = lookup(rows, table, {"k": "k"}, ["id"], max_rows=10, hot_rows=900, salts=8)
+    joined.collect()
+    shown = [line for line in plan(joined).splitlines() if "Exchange hashpartitioning" in line and "_salt_of_key" in line]
+    assert shown and joined.count() == 4000
+    assert table.join(hot_keys(rows, ["k"], 900), "k", "left_anti").count() == table.count() - 1
+
+
+def test_size_check_sees_arrays(spark):
+    wide = spark.range(9).select("id", F.expr("array_repeat('x' || id, 2000000)").alias("words"))
+    assert which_are_small({"wide": wide, "narrow": wide.select("id")}) == {"wide": False, "narrow": True}
 
 
 def test_first_n_trims_before_the_shuffle(spark):
@@ -54,6 +72,15 @@ def test_insert_or_ignore(spark):
     ]
 
 
+def test_insert_or_ignore_with_repeats_in_a_batch(spark):
+    old = spark.createDataFrame([(1, "a", 0)], "id long, name string, n int")
+    new = spark.createDataFrame([("b", 5), ("b", 3), ("a", 1), (None, 2), (None, 1), ("c", 4)], "name string, n int")
+    first = {r.name: r.n for r in insert_or_ignore(old, new, ["name"]).collect()}
+    assert first == {"a": 0, "b": 3, "c": 4, None: 1}
+    last = insert_or_ignore(old, new.withColumn("turn", -F.col("n")), ["name"], order=["turn"]).collect()
+    assert {r.name: r.n for r in last} == {"a": 0, "b": 5, "c": 4, None: 2} and len(last) == 4
+
+
 @pytest.mark.parametrize("partitions", [1, 8])
 def test_grouped_text_is_whole_and_ordered(spark, partitions):
     rows = [(i, "x" if i % 3 else None, f"t{i}") for i in range(100)]

@@ -26,6 +26,29 @@ def test_lexicon_score(spark, inline):
                      (round(2.0 / 3, 6), 3, 0), (0.6, 1, 0)]
 
 
+@pytest.mark.parametrize("inline", [5_000, 0])
+def test_a_lexicon_table_gives_all_scores_of_the_dict(spark, inline):
+    texts = ["pas bon", "bon mal top", "rien but bon !!", "autre", "", None, "top top mal ??"]
+    df = _texts(spark, texts).withColumn("rating", F.lit(3.0))
+    rows = [("bon", 0.6), ("mal", -0.6), ("rien", 0.0), ("top", 1.0), ("top", 0.6), (None, 3.0), ("autre", None)]
+    table = spark.createDataFrame(rows, "term string, weight double")
+    names = ["review_seq", "textblob_polarity", "textblob_subjectivity", "vader_compound", "vader_positive", "custom_sentiment_score",
+             "positive_words_count", "ensemble_score", "sentiment_label"]
+    given = sentiment.score_reviews(df, LEXICON, negators=["pas"], score_on="cleaned_text").select(*names)
+    found = sentiment.score_reviews(df, table, negators=["pas"], score_on="cleaned_text", inline_terms=inline).select(*names)
+    plain = [[round(x, 9) if isinstance(x, float) else x for x in r] for r in given.orderBy("review_seq").collect()]
+    assert [[round(x, 9) if isinstance(x, float) else x for x in r] for r in found.orderBy("review_seq").collect()] == plain
+
+
+@pytest.mark.parametrize("inline", [5_000, 0])
+def test_lemma_tables_with_repeats_and_nulls(spark, inline):
+    from opinara.plans.cleaning import lemmatize
+
+    lemmas = spark.createDataFrame([("aa", None), ("bb", "y"), ("bb", "x"), (None, "z")], "term string, lemma string")
+    df = spark.createDataFrame([(1, ["aa", "bb", "cc"]), (2, [])], "review_seq long, tokens array<string>")
+    assert [r.tokens for r in lemmatize(df, lemmas, inline_terms=inline).orderBy("review_seq").collect()] == [["aa", "x", "cc"], []]
+
+
 def test_lexicon_is_complete():
     weights = list(fixed.LEXICON.values())
     assert (len(weights), sum(w > 0 for w in weights), sum(w < 0 for w in weights)) == (106, 53, 45)
@@ -82,7 +105,7 @@ def test_valence_rules(spark):
     texts = ["top", "tres top", "pas top", "pas tres top", "top but mal", "top !!", "vide mot", "", "mal !"]
     rules = {"boosters": ["tres"], "dampeners": ["peu"]}
     lexicon = {"top": 2.0, "mal": -2.0}
-    rows = sentiment.add_valence(_texts(spark, texts), lexicon, ["pas"], **rules).orderBy("review_seq").collect()
+    rows = sentiment.add_valence(_texts(spark, texts), lexicon, ["pas"], rules=rules).orderBy("review_seq").collect()
 
     def compound(x):
         return round(x / (x * x + 15) ** 0.5, 4)

@@ -51,6 +51,12 @@ def test_accents(value):
     assert value(["déjà çà où"], "string", tx.fold_accents) == ["deja ca ou"]
 
 
+def test_dates_are_whole_texts(value):
+    texts = ["2024-01-01garbage", "2024-01-012", "2024-01-01T10:11:12.5", "31/12/2023 08:00", "2024/02/03", "2024-01-01 25:00:00", " 2024-01-02 "]
+    days = value(texts, "string", casting.to_date)
+    assert [d and str(d) for d in days] == [None, None, "2024-01-01", "2023-12-31", "2024-02-03", None, "2024-01-02"]
+
+
 def test_casts(value):
     assert value(["4.7", "x", None, "NaN", "3"], "string", casting.to_whole) == [4, None, None, None, 3]
     assert value(["4.7", "x", None, "NaN"], "string", lambda c: casting.to_number(c, 3)) == [4.7, 3.0, 3.0, 3.0]
