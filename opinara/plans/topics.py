@@ -18,6 +18,7 @@ from opinara.operators.lineage import cut_lineage
 from opinara.operators.small import small_table
 
 MIN_DOCUMENT_WORDS = 3
+MODEL_PARTITIONS = 32
 TINY = 1e-12
 
 
@@ -53,16 +54,25 @@ def with_terms(documents: DataFrame, stop_words=fixed.TOPIC_STOP_WORDS) -> DataF
 def term_statistics(documents: DataFrame) -> DataFrame:
     """Occurrences and documents of each term, and the number of documents.
 
-    Each document lists its terms once for the occurrences and once, without repeats, for the
-    documents, plus one empty term that counts the document itself. One aggregation with
-    map-side totals does the rest, so a term in every document is no hot key.
+    Each document lists each of its terms once with its uses, counted as the lengths of runs in the sorted list, plus one empty
+    term that counts the document itself. One aggregation with map-side totals does the rest, so a term in every document is
+    no hot key.
     """
-    used = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("uses"), F.lit(0).alias("docs")))
-    seen = F.transform(
-        F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("uses"), F.lit(1).alias("docs"))
+    listed = bind(documents.select(F.array_sort("terms").alias("_sorted")), "_sorted")
+    starts = F.filter(
+        F.sequence(F.lit(1), F.size("_sorted")),
+        lambda i: (i == 1) | (F.element_at("_sorted", i) != F.element_at("_sorted", F.greatest(i - 1, F.lit(1)))),
+    )
+    starts = F.when(F.size("_sorted") > 0, starts).otherwise(F.array().cast("array<int>"))
+    listed = bind(listed.withColumn("_starts", starts), "_starts")
+    ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(1))), F.array(F.size("_sorted") + 1))
+    seen = F.zip_with(
+        "_starts",
+        F.when(F.size("_starts") > 0, ends).otherwise(F.array().cast("array<int>")),
+        lambda a, z: F.struct(F.element_at("_sorted", a).alias("term"), (z - a).alias("uses"), F.lit(1).alias("docs")),
     )
     itself = F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("uses"), F.lit(1).alias("docs")))
-    counts = documents.select(F.inline(F.concat(used, seen, itself))).groupBy("term")
+    counts = listed.select(F.inline(F.concat(seen, itself))).groupBy("term")
     summed = counts.agg(F.sum("uses").alias("term_count"), F.sum("docs").alias("doc_count"))
     whole = summed.filter("term = ''").select("doc_count").scalar()
     return summed.filter("term <> ''").withColumn("n_docs", whole)
@@ -116,9 +126,14 @@ def vector_entries(df: DataFrame, key: str, vector: str, vocab: list[str]) -> Da
 # ---------------------------------------------------------------- LDA
 
 
-def model_input(vectors: DataFrame) -> DataFrame:
-    """Count vectors of the non-empty documents, written once: every fit reads them many times."""
-    return cut_lineage(non_empty(vectors).select("counts"))
+def model_input(vectors: DataFrame, key: str = "review_seq", partitions: int = MODEL_PARTITIONS) -> DataFrame:
+    """Count vectors of the non-empty documents, written once: every fit reads them many times.
+
+    Models draw and sum by partition, so documents are dealt by the hash of their key over a stated number of partitions and
+    sorted inside: the same topics come out however the input was split and on any number of cores.
+    """
+    dealt = non_empty(vectors).select(key, "counts").repartition(partitions, key).sortWithinPartitions(key)
+    return cut_lineage(dealt.select("counts"))
 
 
 def fit_lda(
@@ -129,9 +144,10 @@ def fit_lda(
     word_prior: float | None = 0.01,
     seed: int = fixed.TOPIC_SEED,
 ) -> LDAModel:
-    """Batch variational LDA: every iteration reads all documents. A prior of None is 1/k."""
+    """Batch variational LDA: every iteration reads all documents and puts the new topics in place of the old, which is the
+    online step with a weight of one (a decay next to nothing). A prior of None is 1/k."""
     lda = LDA(
-        k=k, maxIter=iterations, optimizer="online", subsamplingRate=1.0, learningOffset=50.0, seed=seed,
+        k=k, maxIter=iterations, optimizer="online", subsamplingRate=1.0, learningDecay=1e-9, learningOffset=1.0, seed=seed,
         optimizeDocConcentration=False, featuresCol="counts", docConcentration=[doc_prior or 1.0 / k],
         topicConcentration=word_prior or 1.0 / k,
     )
@@ -257,14 +273,15 @@ def report_lines(words_of_topics: DataFrame, labels: DataFrame, n_topics: int, n
     return small_table(spark, list(numbered), "line_no long, value string").unionByName(topic_lines)
 
 
-def model_topics(df: DataFrame, themes: DataFrame, n_topics: int | None = None, column: str = "processed_text", **limits):
+def model_topics(df: DataFrame, themes: DataFrame, n_topics: int | None = None, column: str = "processed_text", key: str = "review_seq", **limits):
     """The whole stage: reviews with topic columns, the top words and the labels, and the model figures.
-    Too few documents give the input back and None."""
+    Too few documents give topic columns without values, and None."""
     documents = prepare_documents(df, column)
     if not has_enough(documents):
-        return df, None
+        kinds = {"topic_id": "int", "topic_probability": "double", "topic_label": "string"}
+        return df.withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()}), None
     vectors, vocab = vectorize(documents, **limits)
-    counted = model_input(vectors)
+    counted = model_input(vectors, key)
     k = n_topics or elbow(topic_count_search(counted)).head().optimal_topics
     model = fit_lda(counted, k)
     found = topic_words(model, vocab)
@@ -278,22 +295,37 @@ def model_topics(df: DataFrame, themes: DataFrame, n_topics: int | None = None,
 # ---------------------------------------------------------------- NMF
 
 
-def _document_weights(rows: np.ndarray, h: np.ndarray, rounds: int, l1: float, l2: float) -> np.ndarray:
-    """Non-negative weights of dense rows for fixed topics ``h``, by multiplicative updates."""
-    w = np.full((rows.shape[0], h.shape[0]), np.sqrt(max(rows.mean(), TINY) / h.shape[0]))
-    target, gram = rows @ h.T, h @ h.T
+class _Rows:
+    """Sparse rows of a batch as flat index and value arrays."""
+
+    def __init__(self, batch: pd.DataFrame):
+        sizes = batch["indices"].map(len).to_numpy(np.int64)
+        self.n = len(sizes)
+        self.row = np.repeat(np.arange(self.n), sizes)
+        self.index = np.concatenate([np.zeros(0, np.int64), *batch["indices"]]).astype(np.int64)
+        self.value = np.concatenate([np.zeros(0), *batch["values"]])
+
+    def times(self, h: np.ndarray) -> np.ndarray:
+        """rows @ h.T"""
+        out = np.zeros((self.n, h.shape[0]))
+        np.add.at(out, self.row, self.value[:, None] * h.T[self.index])
+        return out
+
+    def summed(self, w: np.ndarray, size: int) -> np.ndarray:
+        """w.T @ rows"""
+        out = np.zeros((size, w.shape[1]))
+        np.add.at(out, self.index, self.value[:, None] * w[self.row])
+        return out.T
+
+
+def _document_weights(target: np.ndarray, gram: np.ndarray, start: float, rounds: int, l1: float, l2: float) -> np.ndarray:
+    """Non-negative weights of documents for fixed topics, by multiplicative updates."""
+    w = np.full(target.shape, start)
     for _ in range(rounds):
         w *= target / np.maximum(w @ gram + l1 + l2 * w, TINY)
     return w
 
 
-def _dense(batch: pd.DataFrame, size: int) -> np.ndarray:
-    rows = np.zeros((len(batch), size))
-    for i, (indices, values) in enumerate(zip(batch["indices"], batch["values"], strict=True)):
-        rows[i, indices] = values
-    return rows
-
-
 def fit_nmf(
     vectors: DataFrame, size: int, k: int = fixed.TOPIC_COUNT, iterations: int = 200, alpha: float = 0.1,
     l1_ratio: float = 0.5, rounds: int = 30, seed: int = fixed.TOPIC_SEED, tolerance: float = 1e-4,
@@ -311,6 +343,9 @@ def fit_nmf(
     inner = F.unwrap_udt(vector)
     entries = cut_lineage(vectors.select(inner["indices"].alias("indices"), inner["values"].alias("values")))
     entries = entries.coalesce(2 * spark.sparkContext.defaultParallelism)
+    total = F.aggregate("values", F.lit(0.0), lambda acc, x: acc + x)
+    whole = entries.agg(F.sum(total).alias("sum"), F.count(F.lit(1)).alias("n")).head()
+    start = float(np.sqrt(max((whole["sum"] or 0.0) / max(whole.n * size, 1), TINY) / k))  # the same for all documents
     h = np.random.default_rng(seed).random((k, size)) + 1e-3
     objectives: list[tuple[int, float]] = []
     for step in range(iterations):
@@ -319,12 +354,15 @@ def fit_nmf(
         def partial_sums(batches, shared=shared):
             topics = shared.value
             numerator, gram, loss = np.zeros_like(topics), np.zeros((k, k)), 0.0
+            of_topics = topics @ topics.T
             for batch in batches:
-                rows = _dense(batch, size)
-                w = _document_weights(rows, topics, rounds, l1, l2)
-                numerator += w.T @ rows
+                rows = _Rows(batch)
+                target = rows.times(topics)
+                w = _document_weights(target, of_topics, start, rounds, l1, l2)
+                numerator += rows.summed(w, size)
                 gram += w.T @ w
-                loss += 0.5 * ((rows - w @ topics) ** 2).sum() + l1 * w.sum() + 0.5 * l2 * (w**2).sum()
+                rest = (rows.value**2).sum() - 2 * (w * target).sum() + ((w @ of_topics) * w).sum()
+                loss += 0.5 * rest + l1 * w.sum() + 0.5 * l2 * (w**2).sum()
             flat = np.concatenate([numerator.ravel(), gram.ravel(), [loss]])
             yield pd.DataFrame({"at": np.arange(flat.size), "part": flat})
 

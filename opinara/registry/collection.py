@@ -30,7 +30,7 @@ def crawl_queries(spark, folder):
 
 LINK = r'<a href="([^"]*)"'
 _LINKS = f"""
-found AS (SELECT p.page_id % 7 AS search, p.page_id * 1000000 + generate_subscripts(l, 1) - 1 AS position, unnest(l) AS url
+found AS (SELECT p.page_id % 7 AS search, (p.page_id, generate_subscripts(l, 1) - 1) AS position, unnest(l) AS url
   FROM (SELECT page_id, regexp_extract_all(html, {text_literal(LINK)}, 1) AS l FROM pages) p),
 firsts AS (SELECT search, url, min(position) AS position FROM found WHERE url <> '' GROUP BY search, url)"""
 
@@ -39,13 +39,12 @@ firsts AS (SELECT search, url, min(position) AS position FROM found WHERE url <>
     "distinct_links",
     with_ctes(
         _LINKS,
-        select="""SELECT search, url, position FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY position) AS rn
-          FROM firsts) WHERE rn <= 30""",
+        select="SELECT search, url, position[1] AS page_id, CAST(position[2] AS INT) AS nth FROM firsts",
     ),
 )
 def distinct_links(spark, folder):
     stored = load_texts(spark, folder, "pages", "page_id").withColumn("search", F.col("page_id") % 7)
-    return pages.distinct_links(pages.links(stored, "search", LINK), "search")
+    return pages.distinct_links(pages.links(stored, "search", LINK), "search").select("search", "url", "position.*")
 
 
 # Selectors for the given pages, in order of preference (fixed values).
@@ -147,7 +146,7 @@ def keep_reviews(spark, folder):
     ),
 )
 def cap_reviews(spark, folder):
-    return pages.cap_reviews(_event_reviews(spark, folder), ["event_type"], ["event_id"])
+    return pages.cap_reviews(_event_reviews(spark, folder), ["event_type"], ["event_id"], fixed.MAX_REVIEWS_PER_BRANCH)
 
 
 # ---------------------------------------------------------------- files

@@ -60,10 +60,10 @@ def topic_documents(spark, folder):
     return documents(spark, folder).select("review_seq", "document")
 
 
-@query("term_statistics", with_ctes(*CTES, select="SELECT * FROM statistics WHERE doc_count >= 2"))
+@query("term_statistics", with_ctes(*CTES, select="SELECT * FROM statistics"))
 def term_statistics(spark, folder):
     listed = topics.with_terms(topics.non_empty(documents(spark, folder)))
-    return topics.term_statistics(listed).filter("doc_count >= 2")
+    return topics.term_statistics(listed)
 
 
 @query("vocabulary", with_ctes(*CTES, select="SELECT * FROM vocabulary"))
@@ -127,9 +127,9 @@ _THEME_ROWS = ", ".join(
 )
 _TOPIC_WORDS = f"""
 counted AS (SELECT topic_id, word, count(*) AS n FROM (SELECT CAST(doc_id % 12 AS INT) AS topic_id, lang,
-  unnest({sql_words('lower(text)')}) AS word FROM documents) WHERE length(word) >= 2 GROUP BY topic_id, word),
+  unnest({sql_words('lower(text)')}) AS word FROM documents) GROUP BY topic_id, word),
 topic_words AS (SELECT topic_id, word, row_number() OVER (PARTITION BY topic_id ORDER BY n DESC, word) AS word_rank FROM counted
-  QUALIFY word_rank <= CASE WHEN topic_id % 4 = 0 THEN 2 ELSE 10 END),
+  QUALIFY word_rank <= 10),
 themes(theme_rank, theme, keyword) AS (VALUES {_THEME_ROWS}),
 shared_counts AS (SELECT topic_id, theme_rank, theme, count(*) AS overlap FROM topic_words JOIN themes ON word = keyword GROUP BY ALL),
 best AS (SELECT * FROM shared_counts QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY overlap DESC, theme_rank) = 1),
@@ -146,10 +146,9 @@ def _labels(spark, folder):
 
     docs = load_texts(spark, folder, "documents", "doc_id")
     listed = docs.select((F.col("doc_id") % 12).cast("int").alias("topic_id"), F.explode(words(F.lower("text"))).alias("word"))
-    counted = listed.filter(F.length("word") >= 2).groupBy("topic_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = listed.groupBy("topic_id", "word").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("topic_id").orderBy(F.desc("n"), "word"))
-    limit = F.when(F.col("topic_id") % 4 == 0, 2).otherwise(10)
-    found = counted.withColumn("word_rank", rank).filter((F.col("word_rank") <= 10) & (F.col("word_rank") <= limit))
+    found = counted.withColumn("word_rank", rank).filter(F.col("word_rank") <= 10)  # top words are the input
     return topics.label_topics(found, themes(spark, TEST_THEMES), min_overlap=3)
 
 
@@ -173,19 +172,19 @@ def labelled_documents(spark, folder):
 
 @query(
     "assigned_topics",
-    f"""SELECT vec_id, CASE WHEN m >= CAST(0.3 AS DOUBLE) THEN list_position(p, m) - 1 ELSE -1 END AS topic_id,
+    f"""SELECT vec_id, CASE WHEN m >= CAST(0.05 AS DOUBLE) THEN list_position(p, m) - 1 ELSE -1 END AS topic_id,
       {rounded('m')} AS topic_probability FROM (SELECT vec_id, p, list_max(p) AS m FROM (SELECT vec_id,
-      list_transform(a, lambda x: x / list_sum(a)) AS p FROM (SELECT vec_id, list_transform(embedding[1:6],
+      list_transform(a, lambda x: x / list_sum(a)) AS p FROM (SELECT vec_id, list_transform(embedding,
       lambda x: abs(CAST(x AS DOUBLE))) AS a FROM embeddings)))""",
 )
 def assigned_topics(spark, folder):
     vectors = load(spark, folder, "embeddings").select(
-        "vec_id", F.transform(F.slice("embedding", 1, 6), lambda x: F.abs(x.cast("double"))).alias("a")
+        "vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("a")
     )
     vectors = vectors.withColumn("whole", F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x))
     shares = F.transform("a", lambda x: x / F.col("whole"))
     given = vectors.select("vec_id", array_to_vector(shares).alias("topicDistribution"))
-    return topics.assign_topics(given).select("vec_id", "topic_id", "topic_probability")
+    return topics.assign_topics(given, threshold=0.05).select("vec_id", "topic_id", "topic_probability")
 
 
 _ASSIGNED = f"""

@@ -150,7 +150,7 @@ _TOPIC_SEED = ", ".join(f"({n}, '{name}')" for n, (name, _) in enumerate(fixed.T
 )
 def topics_inserted_once(spark, folder):
     """Part types as new topics, inserted twice."""
-    new = load(spark, folder, "part").select(F.lower("p_type").alias("topic_name")).distinct()
+    new = load(spark, folder, "part").select(F.lower("p_type").alias("topic_name"))
     once = insert_or_ignore(warehouse.topic_dimension(spark), new, ["topic_name"])
     return insert_or_ignore(once, new, ["topic_name"]).select("topic_name", "topic_id")
 
@@ -258,8 +258,7 @@ def enriched_fact(spark, folder):
 )
 def evolved_fact(spark, folder):
     reviews = loaded(spark, folder)
-    empty = {name: table.limit(0) for name, table in warehouse.star_dimensions(reviews).items()}
-    fact = warehouse.evolve_fact(warehouse.load_fact(reviews, empty))
+    fact = warehouse.evolve_fact(warehouse.load_fact(reviews, warehouse.star_dimensions(reviews)))
     return fact.select(
         "review_id", "rating", "star_rating", "ensemble_score", "word_count", "has_caps", F.lit(len(fact.columns)).alias("n_columns")
     )

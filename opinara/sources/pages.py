@@ -52,7 +52,7 @@ def select_elements(html: Column, openings: list[str]) -> Column:
 
 def extract_reviews(
     pages: DataFrame,
-    max_reviews: int = fixed.MAX_REVIEWS_PER_BRANCH,
+    max_reviews: int | None = None,
     branch=BRANCH_SELECTORS,
     location=LOCATION_SELECTORS,
     openings=REVIEW_OPENINGS,
@@ -60,14 +60,16 @@ def extract_reviews(
     text=TEXT_SELECTORS,
     date=DATE_SELECTORS,
 ) -> DataFrame:
-    """Reviews of pages (page_id, bank_name, html). The cap counts elements before empty ones go."""
+    """Reviews of pages (page_id, bank_name, html): all of them, or the first ``max_reviews`` elements of each page, counted
+    before empty ones go."""
     html = F.col("html")
+    found = select_elements(html, openings)
     elements = pages.select(
         "page_id",
         "bank_name",
         select_first(html, branch, fixed.UNKNOWN_BRANCH).alias("branch_name"),
         select_first(html, location, fixed.UNKNOWN_LOCATION).alias("branch_location"),
-        F.posexplode(F.slice(select_elements(html, openings), 1, max_reviews)).alias("position", "element"),
+        F.posexplode(found if max_reviews is None else F.slice(found, 1, max_reviews)).alias("position", "element"),
     )
     element = F.col("element")
     reviews = elements.select(
@@ -90,18 +92,19 @@ def keep_reviews(reviews: DataFrame) -> DataFrame:
     return kept.withColumn("review_text", F.when(text == "", fixed.NO_TEXT).otherwise(text))
 
 
-def cap_reviews(reviews: DataFrame, branch: list[str], order: list[str], n: int = fixed.MAX_REVIEWS_PER_BRANCH):
+def cap_reviews(reviews: DataFrame, branch: list[str], order: list[str], n: int):
     """First ``n`` elements of each branch, then only those with a rating or a text."""
     return keep_reviews(first_n(reviews, branch, order, n))
 
 
 def links(pages: DataFrame, search: str, pattern: str = PLACE_LINK) -> DataFrame:
-    """Link targets with their place in the crawl order: search, position, url."""
+    """Link targets with their place in the crawl order: search, position (page_id and place on the page, from 0), url."""
     found = F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias("_nth", "url")
     exploded = pages.select(search, "page_id", found)
-    return exploded.select(search, (F.col("page_id") * 1_000_000 + F.col("_nth")).alias("position"), "url")
+    return exploded.select(search, F.struct("page_id", F.col("_nth").alias("nth")).alias("position"), "url")
 
 
-def distinct_links(found: DataFrame, search: str, n: int = fixed.MAX_BRANCHES_PER_SEARCH) -> DataFrame:
-    """First ``n`` different links of each search, in the order they were found."""
-    return first_n(distinct_first(found.filter("url <> ''"), [search, "url"], "position"), [search], ["position"], n)
+def distinct_links(found: DataFrame, search: str, n: int | None = None) -> DataFrame:
+    """The different links of each search with the place where they were found first; ``n``: the first so many of a search."""
+    firsts = distinct_first(found.filter("url <> ''"), [search, "url"], "position")
+    return firsts if n is None else first_n(firsts, [search], ["position"], n)

@@ -47,3 +47,11 @@ def test_published_reports(spark, folder, tmp_path):
     assert all(r.written for r in listed.values()) and len(listed) == 8
     back = spark.read.options(**files.CSV_OPTIONS).csv(listed["main_dataset"].path)
     assert back.count() == listed["main_dataset"].n_rows and "quality_level" in back.columns
+
+
+def test_newest_reviews_come_first(spark, folder):
+    from opinara.registry import PLAIN
+
+    rows = [(r.review_date is None, r.review_date) for r in PLAIN["newest_reviews"](spark, folder).collect()]
+    days = [d for missing, d in rows if not missing]
+    assert days == sorted(days, reverse=True) and rows[len(days) :] == [(True, None)] * (len(rows) - len(days))

@@ -67,7 +67,11 @@ def test_terms_and_vectors(spark):
     weights = {(r.review_seq, r.term): r.weight for r in topics.vector_entries(vectors, "review_seq", "tfidf", vocab).collect()}
     assert weights[(1, "bon")] == pytest.approx(2 * idf["bon"] / norm)
     assert not topics.has_enough(docs)
-    assert topics.model_topics(df, themes(spark))[1] is None
+    few, nothing = topics.model_topics(df, themes(spark))
+    assert nothing is None and few.columns == [*df.columns, "topic_id", "topic_probability", "topic_label"]
+    assert few.filter("topic_id is null and topic_label is null").count() == 5
+    shares = {r.term: (r.term_count, r.doc_count, r.n_docs) for r in topics.term_statistics(topics.with_terms(topics.non_empty(docs))).collect()}
+    assert shares["bon"] == (3, 2, 3) and shares["bon bon"] == (1, 1, 3) and shares["compte"] == (3, 3, 3)
 
 
 @pytest.fixture(scope="module")
@@ -91,6 +95,22 @@ def test_lda(spark, fitted):
     assert topics.wordcloud_weights(model, vocab).filter("word_rank > 50").count() == 0
 
 
+def test_lda_on_other_partitions(spark, fitted):
+    vectors, _, _, model = fitted
+    for n in (1, 8):
+        again = topics.fit_lda(topics.model_input(vectors.repartition(n)), 4, 5)
+        assert np.allclose(again.topicsMatrix().toArray(), model.topicsMatrix().toArray(), rtol=1e-6)
+
+
+def test_lda_steps_replace_the_topics(spark, fitted):
+    """With a weight of one the topics after a step hold the words of the documents, once each, and the prior."""
+    _, vocab, counted, _ = fitted
+    one = topics.fit_lda(counted, 2, 1, word_prior=0.01)
+    drawn = counted.select(F.aggregate(topics.vector_to_array("counts"), F.lit(0.0), lambda a, x: a + x).alias("n")).agg(F.sum("n")).head()[0]
+    total = one.topicsMatrix().toArray().sum() - 2 * len(vocab) * 0.01
+    assert 0.7 * drawn < total < 1.3 * drawn
+
+
 def test_report_lines(spark, fitted):
     _, vocab, counted, model = fitted
     found = topics.topic_words(model, vocab)
@@ -108,3 +128,10 @@ def test_nmf_objective_falls(spark, folder):
     assert all(a >= b - 1e-6 * a for a, b in zip(steps, steps[1:], strict=False)) and steps[-1] < steps[0]
     assert h.shape == (4, len(vocab)) and (h >= 0).all() and np.isfinite(h).all()
     assert topics.factor_words(spark, h, vocab).count() == 40
+
+
+def test_nmf_on_other_partitions(spark, folder):
+    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)))
+    one, _ = topics.fit_nmf(vectors.repartition(1), len(vocab), k=3, iterations=4, tolerance=0.0)
+    eight, _ = topics.fit_nmf(vectors.repartition(8), len(vocab), k=3, iterations=4, tolerance=0.0)
+    assert np.allclose(one, eight, rtol=1e-6, atol=1e-9)
