@@ -23,11 +23,10 @@ KEPT_TOKEN = r"^[a-zA-Z]{2,}$"
 SENTENCE_END = rf"[.!?]+(?:[{SPACE}]+|$)"
 
 # Patterns in a form that is quick in Java. An address can only start where a word starts, which keeps the
-# search linear on long words. A phone number (+212 or 0, then 5 to 7, then eight digits) starts with one of two
-# characters. Emoji are looked for only where the text holds a character of that kind. Unwanted characters and
+# search linear on long words. Emoji are looked for only where the text holds a character of that kind. Unwanted characters and
 # white space become one space in a single step, which leaves a single space between words alone.
 _EMAIL_AT_WORD_START = rf"(?<![^{SPACE}])[^{SPACE}]+@[^{SPACE}]+"
-_PHONE_BY_FIRST = r"[+0](?:(?<=0)|(?<=\+)212)[5-7]\p{Nd}{8}"
+PHONE = r"(\+212|0)[5-7]\p{Nd}{8}"
 _WIDE = r"[\x{2000}-\x{1FFFF}]"
 _GAP = rf"""[^{WORD}.,!?;:'"-]"""
 _UNWANTED_OR_SPACES = rf"""[^{WORD}.,!?;:'" -]{_GAP}*| {_GAP}+"""
@@ -38,7 +37,7 @@ def clean_basic(text: Column) -> Column:
     """Lower-case text without URLs, e-mails, phone numbers, tags, emoji and odd characters."""
     out = F.regexp_replace(F.lower(text), URL, "")
     out = F.when(F.contains(out, F.lit("@")), F.regexp_replace(out, _EMAIL_AT_WORD_START, "")).otherwise(out)
-    out = F.regexp_replace(F.regexp_replace(out, _PHONE_BY_FIRST, ""), TAG, "")
+    out = F.regexp_replace(F.regexp_replace(out, PHONE, ""), TAG, "")
     out = remove_emoji(out)
     return F.coalesce(F.trim(F.regexp_replace(out, _UNWANTED_OR_SPACES, " ")), F.lit(""))
 

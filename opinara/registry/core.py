@@ -86,13 +86,12 @@ SPACES = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x
 SENTENCE_END = rf"[.!?]+([{SPACES}]+|$)"
 ODD_SPACE = r"[\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}]"
 EMAIL = r"[^\s\x{3000}]+@[^\s\x{3000}]+"
-PHONE = r"(\+212|0)[5-7]\p{Nd}{8}"
 UNWANTED = rf"""[^{tx.WORD}\s.,!?;:'"-]"""
 
 
 def sql_clean(value: str) -> str:
     out = sql_replace(f"lower({value})", ODD_SPACE, " ")
-    for pattern in (tx.URL, EMAIL, PHONE, tx.TAG, tx.EMOJI):
+    for pattern in (tx.URL, EMAIL, tx.PHONE, tx.TAG, tx.EMOJI):
         out = sql_replace(out, pattern, "")
     out = sql_replace(sql_replace(out, UNWANTED, " "), r"\s+", " ")
     return f"coalesce(trim({out}, ' '), '')"
