@@ -76,8 +76,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, l
     hits = looked.join(F.broadcast(keys) if small else keys, "gram").select("id", "fp", "item").distinct()
     hits = scratch_table(hits, "candidates")
 
-    with_shingles = hits.join(F.broadcast(items) if small else items, "item").select("id", "fp", "item_id", "shingles")
-    found = with_shingles.join(texts.distinct(), ["id", "fp"])
+    found = texts.join(hits, ["id", "fp"]).join(F.broadcast(items) if small else items, "item")
+    found = found.dropDuplicates(["id", "fp", "item"]).select("id", "fp", "text", "item_id", "shingles")
     found = bind(found.withColumn("words", words("text")), "words")
     count = F.size(F.array_intersect("shingles", _texts_of_grams(length)))
     found = bind(found.withColumn("n_found", count), "n_found").withColumn("n_shingles", F.size("shingles"))
