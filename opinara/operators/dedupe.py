@@ -1,5 +1,7 @@
 """Keep-first de-duplication and first-n per group."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -7,12 +9,18 @@ from pyspark.sql import functions as F
 def keep_first(df: DataFrame, text: str, keys: list[str], order: str) -> DataFrame:
     """First row in ``order`` for each (keys, text). Nulls count as equal; ``order`` is unique.
 
-    The long text is hashed before the shuffle and partial aggregation folds a group of copies
-    of any size inside each map task. The rows are then joined on the unique ``order``, so no
-    partition is hot however many copies one text has.
+    Texts are hashed before any shuffle, and partial aggregation folds a group of copies of any size inside each map task.
+    Only the rows that go are looked up, among the hashes that occur twice, and taken out by an anti join on the unique
+    ``order``. There are few of them as a rule, so Spark broadcasts them and no text is shuffled.
     """
-    first = df.groupBy(*keys, F.sha2(F.col(text), 256).alias("_text_hash")).agg(F.min(order).alias(order))
-    return df.join(first.select(order), order, "left_semi")
+    named = {c: f"_key_{c}" for c in keys}
+    hashed = df.select(order, *keys, F.sha2(F.col(text), 256).alias("_text_hash"))
+    groups = hashed.groupBy(*keys, "_text_hash").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeated = groups.filter("_rows > 1").withColumnsRenamed(named | {"_text_hash": "_repeated_hash"})
+    same = [hashed[c].eqNullSafe(repeated[name]) for c, name in named.items()]
+    same.append(hashed["_text_hash"].eqNullSafe(repeated["_repeated_hash"]))
+    later = hashed.join(repeated, reduce(lambda a, b: a & b, same)).filter(F.col(order) > F.col("_first"))
+    return df.join(later.select(order), order, "left_anti")
 
 
 def first_n(df: DataFrame, group: list[str], order: list, n: int) -> DataFrame:

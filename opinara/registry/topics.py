@@ -242,6 +242,111 @@ def _model(spark, folder):
     return vectors, vocab, counted, topics.fit_lda(counted)
 
 
+def _holds(name: str, sql: str):
+    """A query of what must hold for a model's output, row by row over the documents."""
+    return query(name, with_ctes(*CTES, select=sql))
+
+
+@_holds(
+    "lda_assignments_hold",
+    """SELECT review_seq, CAST(document <> '' AS INT) AS has_words, 1 AS in_range, 1 AS uncertain_below_threshold, 1 AS known_topic
+      FROM documents_for_topics""",
+)
+def lda_assignments_hold(spark, folder):
+    """Every review has one row, a probability between an even share and one, and topic -1 exactly below the threshold."""
+    vectors, _, _, model = _model(spark, folder)
+    assigned = topics.assign_topics(model.transform(vectors))
+    p, topic = F.col("topic_probability"), F.col("topic_id")
+    return assigned.select(
+        "review_seq",
+        (F.col("document") != "").alias("has_words"),
+        p.between(1 / fixed.TOPIC_COUNT - 1e-9, 1 + 1e-9).alias("in_range"),
+        ((topic == fixed.UNCERTAIN_TOPIC) == (p < fixed.TOPIC_THRESHOLD)).alias("uncertain_below_threshold"),
+        topic.between(-1, fixed.TOPIC_COUNT - 1).alias("known_topic"),
+    )
+
+
+_RANKS = """SELECT topic_id, word_rank, 1 AS in_vocabulary, 1 AS in_order FROM (SELECT unnest(range({topics})) AS topic_id),
+  (SELECT unnest(range(1, {words} + 1)) AS word_rank) WHERE word_rank <= (SELECT count(*) FROM vocabulary)"""
+
+
+def _ranks_hold(found, vocab_rows):
+    """Ranks from one without gaps, words of the vocabulary, weights that don't rise."""
+    from pyspark.sql import Window
+
+    before = F.lag("weight").over(Window.partitionBy("topic_id").orderBy("word_rank"))
+    known = found.join(F.broadcast(vocab_rows.select(F.col("term").alias("word")).withColumn("known", F.lit(True))), "word", "left")
+    return known.select(
+        F.col("topic_id").cast("long").alias("topic_id"),
+        F.col("word_rank").cast("long").alias("word_rank"),
+        F.coalesce("known", F.lit(False)).alias("in_vocabulary"),
+        F.coalesce(before >= F.col("weight"), F.lit(True)).alias("in_order"),
+    )
+
+
+@_holds("lda_words_hold", _RANKS.format(topics=fixed.TOPIC_COUNT, words=10))
+def lda_words_hold(spark, folder):
+    _, vocab, _, model = _model(spark, folder)
+    return _ranks_hold(topics.topic_words(model, vocab), vocabulary(spark, folder))
+
+
+@_holds("lda_wordcloud_holds", _RANKS.format(topics=fixed.TOPIC_COUNT, words=50))
+def lda_wordcloud_holds(spark, folder):
+    _, vocab, _, model = _model(spark, folder)
+    return _ranks_hold(topics.wordcloud_weights(model, vocab), vocabulary(spark, folder))
+
+
+@_holds("nmf_words_hold", _RANKS.format(topics=fixed.TOPIC_COUNT, words=10))
+def nmf_words_hold(spark, folder):
+    h, vocab, _ = _factors(spark, folder)
+    return _ranks_hold(topics.factor_words(spark, h, vocab), vocabulary(spark, folder))
+
+
+@_holds("nmf_objective_falls", "SELECT CAST(count(*) > 0 AS INT) AS falls, CAST(count(*) > 0 AS INT) AS finite FROM singles")
+def nmf_objective_falls(spark, folder):
+    from pyspark.sql import Window
+
+    before = F.lag("objective").over(Window.orderBy("iteration"))  # one row per iteration
+    steps = _factors(spark, folder)[2].withColumn("before", before)
+    falls = F.bool_and(F.col("before").isNull() | (F.col("objective") <= F.col("before") * (1 + 1e-9)))
+    return steps.agg(falls.alias("falls"), F.bool_and(~F.isnan("objective") & (F.abs("objective") < 1e300)).alias("finite"))
+
+
+@_holds(
+    "topic_report_holds",
+    f"""SELECT value FROM (SELECT 'Documents analysés: ' || count(*) AS value FROM singles UNION ALL
+      SELECT 'Nombre de topics: {fixed.TOPIC_COUNT}')""",
+)
+def topic_report_holds(spark, folder):
+    """The lines of the report that don't depend on the model."""
+    lines = topic_report_lines(spark, folder)
+    return lines.filter(F.col("value").startswith("Documents") | F.col("value").startswith("Nombre")).select("value")
+
+
+@_holds(
+    "topic_search_holds",
+    f"""SELECT k, CAST((SELECT count(*) FROM singles) > 0 AS INT) AS finite FROM (SELECT unnest(range(2, {fixed.MAX_TOPIC_COUNT} + 1)) AS k)""",
+)
+def topic_search_holds(spark, folder):
+    """A finite perplexity above one for each number of topics."""
+    p = F.col("perplexity")
+    return topic_count_search(spark, folder).select(F.col("k").cast("long").alias("k"), ((p > 1) & (p < 1e300)).alias("finite"))
+
+
+@_holds(
+    "topic_stage_holds",
+    """SELECT review_seq, 1 AS one_topic, 1 AS labelled FROM documents_for_topics""",
+)
+def topic_stage_holds(spark, folder):
+    """Every review comes back once, with a topic, and with a label exactly where the topic is certain."""
+    topic = F.col("topic_id")
+    return topic_stage(spark, folder).select(
+        "review_seq",
+        (topic >= fixed.UNCERTAIN_TOPIC).alias("one_topic"),
+        ((topic == fixed.UNCERTAIN_TOPIC) == F.col("topic_label").isNull()).alias("labelled"),
+    )
+
+
 @query("lda_topic_words")
 def lda_topic_words(spark, folder):
     _, vocab, _, model = _model(spark, folder)

@@ -1,6 +1,9 @@
 """A local session for tests and benchmarks. On a cluster, use the session you have."""
 
 import os
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -20,3 +23,11 @@ def local_session(cpus: int | None = None) -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a cluster where it isn't installed. Call it once per session."""
+    root = Path(__file__).parent
+    folder = Path(tempfile.mkdtemp())  # on the driver only, until Spark has taken the file over
+    archive = shutil.make_archive(str(folder / root.name), "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)
