@@ -102,14 +102,14 @@ def _add_up(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def rarity_levels(sized: DataFrame) -> np.ndarray:
-    """For each counter of the sketch the logarithm of its count; 2**SKETCH_BITS bytes."""
+    """For each counter of the sketch the logarithm of its count, in eighths of an octave; 2**SKETCH_BITS bytes."""
     blocks = sized.filter("block is not null").select("block", "counts", F.pmod(F.xxhash64("counts"), F.lit(_SALTS)).alias("salt"))
     some = blocks.groupBy("block", "salt").applyInPandas(_add_up, "block int, counts binary")
     whole = some.groupBy("block").applyInPandas(_add_up, "block int, counts binary")
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for row in whole.collect():
         counts = np.frombuffer(row["counts"], np.uint64).astype(np.float64)
-        levels[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.log2(counts + 1).astype(np.uint8)
+        levels[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
     return levels
 
 
@@ -241,9 +241,11 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGL
     nodes = scratch_table(nodes.select("node", "row.id", "row.fp"), "nodes")
     corpus = _Corpus(texts, nodes, length, percent)
 
-    shared = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last").select("key", "first")
-    lists = scratch_table(entries.join(scratch_table(shared, "shared"), "key").distinct(), "lists")
-    pairs = scratch_table(lists.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
+    shared = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.min_by("n", "node").alias("n_first"))
+    shared = scratch_table(shared.filter("first <> last").select("key", "first", "n_first"), "shared")
+    lists = scratch_table(entries.join(shared, "key").distinct(), "lists")
+    pairs = lists.filter((F.col("node") != F.col("first")) & _similar_sizes("n", "n_first", percent))
+    pairs = scratch_table(pairs.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
     links = corpus.linked(pairs)
     found = scratch_table(components(links), "components")
 
