@@ -235,21 +235,20 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGL
     levels = spark.sparkContext.broadcast(rarity_levels(sized))
     small = rows.filter((F.col("n") > 0) & (F.col("n") <= 2 * _LARGEST_SMALL)).groupBy("n").count().collect()
     sizes = {r["n"]: r["count"] for r in small if links_with_others(r["n"], percent)}
-    entries = texts.mapInArrow(_list_sets(length, percent, boundary(sizes, percent), levels), "key long, node long, n int")
+    most = boundary(sizes, percent)
+    entries = texts.mapInArrow(_list_sets(length, percent, most, levels), "key long, node long, n int")
     entries = scratch_table(entries, "entries")
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("row"))
     nodes = scratch_table(nodes.select("node", "row.id", "row.fp"), "nodes")
     corpus = _Corpus(texts, nodes, length, percent)
 
-    shared = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.min_by("n", "node").alias("n_first"))
-    shared = scratch_table(shared.filter("first <> last").select("key", "first", "n_first"), "shared")
-    lists = scratch_table(entries.join(shared, "key").distinct(), "lists")
-    pairs = lists.filter((F.col("node") != F.col("first")) & _similar_sizes("n", "n_first", percent))
-    pairs = scratch_table(pairs.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
+    shared = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
+    lists = scratch_table(entries.join(scratch_table(shared.select("key"), "shared"), "key").distinct(), "lists")
+    pairs = scratch_table(_pairs_with_centres(lists, percent), "pairs")
     links = corpus.linked(pairs)
     found = scratch_table(components(links), "components")
 
-    apart = _pairs_apart(lists, found, percent).join(pairs, ["a", "b"], "left_anti")
+    apart = _pairs_apart(lists, found, percent, most).join(pairs, ["a", "b"], "left_anti")
     more = corpus.linked(scratch_table(apart, "pairs-apart"))
     found = scratch_table(components(links.unionByName(more)), "components")
 
@@ -261,17 +260,48 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGL
     return out.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
-def _pairs_apart(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list that are in different components and of similar size. The nodes outside a list's main component meet all
-    others; those inside don't meet each other."""
+def _pairs_with_centres(lists: DataFrame, percent: int) -> DataFrame:
+    """Each node of a list with one node of it: the one that is in most lists, so has fewest elements of its own. Where copies
+    were made of one text, that is the text itself or close to it, and links with most of them."""
+    lists_of = scratch_table(lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists")), "lists-of")
+    ranked = lists.join(lists_of, "node")
+    centres = ranked.groupBy("key").agg(F.max(F.struct("lists", "node", "n")).alias("c"))
+    centres = scratch_table(centres.select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("n_centre")), "centres")
+    pairs = lists.join(centres, "key").filter((F.col("node") != F.col("centre")) & _similar_sizes("n", "n_centre", percent))
+    return pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+
+
+def _pairs_apart(lists: DataFrame, found: DataFrame, percent: int, most: int) -> DataFrame:
+    """Pairs of a list that are in different components and may link. The nodes outside a list's main component meet all others;
+    those inside don't meet each other.
+
+    Two listed sets that link have more than one element of their prefixes in common: whatever is common past the end of the
+    prefix that ends first is at most the rest of that set. As rare elements come first, this holds back nearly all pairs of
+    copies that differ too much, inside the join and before their sets are fetched. A pair is taken from the first list that
+    both are in.
+    """
     placed = lists.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     placed = scratch_table(placed, "placed")
     open_ = placed.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("last")).filter("main <> last")
     placed = scratch_table(placed.join(scratch_table(open_.select("key", "main"), "open"), "key"), "placed")
-    outside = placed.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    meets = outside.join(placed.select("key", "node", "n", "component"), "key")
-    meets = meets.filter((F.col("cx") != F.col("component")) & _similar_sizes("nx", "n", percent))
-    return meets.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct()
+    keys = scratch_table(placed.groupBy("node").agg(F.collect_set("key").alias("keys")), "keys")
+    placed = placed.join(keys, "node")
+    outside = placed.filter("component <> main").select("key", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "component", "keys")))
+    inside = placed.select("key", "node", "n", "component", "keys")
+    common = F.array_intersect("keys_x", "keys")
+    past = [F.floor((n * percent + 99) / 100) - 1 for n in (F.col("n_x"), F.col("n"))]  # elements past the prefix
+    overlap = F.ceil((F.col("n_x") + F.col("n")) * percent / (100 + percent) - 1e-9)
+    smallest = F.least("n_x", "n")
+    both_listed = (smallest > most) | (100 * smallest >= percent * (most + 1))
+    meets = outside.join(
+        inside,
+        (outside["key"] == inside["key"])
+        & (F.col("component_x") != F.col("component"))
+        & _similar_sizes("n_x", "n", percent)
+        & (~both_listed | (F.size(common) >= overlap - F.greatest(*past)))
+        & (F.array_min(common) == outside["key"]),
+    )
+    return meets.select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b")).distinct()
 
 
 def document_components(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
