@@ -1,5 +1,7 @@
 """Every registered query with SQL gives the same rows in Spark and in DuckDB."""
 
+import sys
+
 import duckdb
 import pytest
 
@@ -24,6 +26,18 @@ def test_query_matches_sql(spark, duck, folder, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, result.fetchall())
 
 
+def test_entry_points_without_the_text_operators(monkeypatch):
+    import importlib
+
+    import __spark_entry__ as entry
+
+    with monkeypatch.context() as patch:
+        patch.setitem(sys.modules, "corpus_pipeline", None)
+        importlib.reload(entry)
+        assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLES
+    importlib.reload(entry)
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
 
