@@ -3,9 +3,10 @@
 A word's parts are the whole word and its character runs of three to five, word ends included, each hashed to a bucket with a
 vector. A text is the mean vector of the parts of its distinct words, and a linear softmax over that mean gives the label.
 Vectors and softmax are trained together with numpy on a bounded sample of labelled texts. A misspelling shares most of its
-character runs with the word it stands for, and so its vectors. Buckets that occur as often under both labels, by a likelihood
-ratio test on the sample, have no vector and don't count in the mean, so one bad word isn't thinned out by a long text. As all
-of it is linear, a trained model is one number per bucket.
+character runs with the word it stands for, and so its vectors. Every bucket of the sample has a vector. In the mean it counts by
+the chance that it tells the labels apart, given the sample: that grows smoothly with the likelihood ratio and is never zero, so
+one bad word isn't thinned out by a long text and a rare one still counts. As all of it is linear, a trained model is two numbers
+per bucket.
 """
 
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +24,10 @@ from opinara.llm.common import batches, mixed, scratch_table
 SAMPLE = 3_000  # labelled texts per label that the model is trained on, about
 CUTOFF = 0.7
 BUCKETS = 1 << 20
-LEAST_RATIO = 25.0  # of the likelihood ratio statistic; 25 is passed by chance once in a million buckets
+PRIOR_ODDS = 1000.0  # against a bucket telling the labels apart, before the sample is seen
 _LENGTHS = (3, 4, 5)
 _MOST_REMEMBERED = 300_000  # words in memory per task; past that the memory starts anew, which changes no result
-_BAGS = pa.schema([("toxic", pa.int32()), ("key", pa.int64()), ("parts", pa.list_(pa.int32()))])
+_BAGS = pa.schema([("toxic", pa.int32()), ("key", pa.int64()), ("parts", pa.list_(pa.int32())), ("uses", pa.list_(pa.int32()))])
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,21 +63,23 @@ def _bags(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(part):
         for toxic, key, text in zip(*(part.column(c).to_pylist() for c in ("toxic", "key", "text")), strict=True):
             buckets, _ = parts_of(sorted(set(words_of(text))))
-            yield {"toxic": [toxic], "key": [key], "parts": [buckets.astype(np.int32)]}
+            distinct, uses = np.unique(buckets, return_counts=True)
+            yield {"toxic": [toxic], "key": [key], "parts": [distinct.astype(np.int32)], "uses": [uses.astype(np.int32)]}
 
     for part in parts:
         yield from batches(rows(part), _BAGS, 200)
 
 
 class Model:
-    """``weights`` of the buckets that have a vector (others are NaN) and ``bias``, the difference of the softmax scores."""
+    """``weights`` of the buckets that have a vector (others are NaN), ``shares`` by which they count in the mean, and ``bias``,
+    the difference of the softmax scores."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
-        self.known: dict[str, tuple[float, int] | None] = {}
+    def __init__(self, weights: np.ndarray, shares: np.ndarray, bias: float):
+        self.weights, self.shares, self.bias = weights, shares, bias
+        self.known: dict[str, tuple[float, float] | None] = {}
 
     def __getstate__(self):
-        return {"weights": self.weights, "bias": self.bias, "known": {}}
+        return {"weights": self.weights, "shares": self.shares, "bias": self.bias, "known": {}}
 
     def scores(self, texts: list[str | None]) -> list[float]:
         out, held, size = [], [], 0
@@ -94,10 +98,10 @@ class Model:
         for n in range(0, len(new), 50_000):
             words = new[n : n + 50_000]
             buckets, owners = parts_of(words)
-            weights = self.weights[buckets]
+            weights, shares = self.weights[buckets], self.shares[buckets]
             marked = ~np.isnan(weights)
-            sums = np.bincount(owners[marked], weights[marked], minlength=len(words))
-            counts = np.bincount(owners[marked], minlength=len(words))
+            sums = np.bincount(owners[marked], weights[marked] * shares[marked], minlength=len(words))
+            counts = np.bincount(owners[marked], shares[marked], minlength=len(words))
             self.known.update((w, (s, c) if c else None) for w, s, c in zip(words, sums.tolist(), counts.tolist(), strict=True))
         out = []
         for words in held:
@@ -106,65 +110,76 @@ class Model:
         return out
 
 
-def fit(bags: list[tuple[int, np.ndarray]], dim: int = 8, rounds: int = 40, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Model:
-    """Vectors and softmax together, by stochastic gradient steps with moments (Adam) on the log loss. ``bags``: label and
-    parts that have a vector, of each text."""
-    rng = np.random.default_rng(seed)
-    labels = np.array([label for label, _ in bags], np.int64)
-    weights = np.full(BUCKETS, np.nan)
-    used, local = np.unique(np.concatenate([np.zeros(0, np.int64), *(b for _, b in bags)]), return_inverse=True)
-    if len(set(labels.tolist())) < 2 or not len(used):  # nothing to tell apart: the share of the label
-        share = (labels.sum() + 0.5) / (len(labels) + 1)
-        return Model(weights, float(np.log(share / (1 - share))))
-    starts = np.cumsum([0, *(len(b) for _, b in bags)])
-    balance = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())  # both labels weigh the same
-    values = [rng.normal(0, 0.1, (len(used), dim)), rng.normal(0, 0.5, (dim, 2)), np.zeros(2)]
-    moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
-    step, size = 0, 128
-    for _ in range(rounds):
-        order = rng.permutation(len(bags))
-        for at in range(0, len(order), size):
-            some = order[at : at + size]
-            mean = np.zeros((len(some), len(used)))
-            for row, n in enumerate(some):
-                parts = local[starts[n] : starts[n + 1]]
-                if len(parts):
-                    np.add.at(mean[row], parts, 1 / len(parts))
-            vectors, softmax, bias = values
-            inner = mean @ vectors
-            logits = inner @ softmax + bias
-            chance = np.exp(logits - logits.max(1, keepdims=True))
-            chance /= chance.sum(1, keepdims=True)
-            chance[np.arange(len(some)), labels[some]] -= 1
-            error = chance * balance[some, None] / len(some)
-            slopes = [mean.T @ (error @ softmax.T) + decay * vectors, inner.T @ error + decay * softmax, error.sum(0)]
-            step += 1
-            scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            for value, (first, second), slope in zip(values, moments, slopes, strict=True):
-                first += 0.1 * (slope - first)
-                second += 0.001 * (slope**2 - second)
-                value -= scale * first / (np.sqrt(second) + 1e-8)
-    vectors, softmax, bias = values
-    weights[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
-    return Model(weights, float(bias[1] - bias[0]))
+def shares_of(n_0: np.ndarray, n_1: np.ndarray, texts: tuple[int, int]) -> np.ndarray:
+    """The chance that a bucket with the text counts ``n_0`` and ``n_1`` tells the labels apart: the prior odds times the
+    likelihood ratio of one share of texts under both labels and of two shares."""
 
+    def log_likelihood(some, of):
+        rest = of - some
+        return some * np.log(np.maximum(some, 1) / max(of, 1)) + rest * np.log(np.maximum(rest, 1) / max(of, 1))
 
-def _ratio(texts: dict[int, int]) -> Column:
-    """Twice the log likelihood ratio of a bucket's text counts ``n_0`` and ``n_1`` under one share and under two."""
+    ratio = log_likelihood(n_0, texts[0]) + log_likelihood(n_1, texts[1]) - log_likelihood(n_0 + n_1, sum(texts))
+    return 1 / (1 + PRIOR_ODDS * np.exp(-np.maximum(ratio, 0)))
 
-    def log_likelihood(some: Column, of: Column) -> Column:
-        rest = of - some
-        part = F.when(some > 0, some * F.log(some / of)).otherwise(0.0)
-        return part + F.when(rest > 0, rest * F.log(rest / of)).otherwise(0.0)
 
-    zero, one = (F.lit(float(texts.get(label, 0))) for label in (0, 1))
-    n_0, n_1 = F.col("n_0").cast("double"), F.col("n_1").cast("double")
-    return 2 * (log_likelihood(n_0, zero) + log_likelihood(n_1, one) - log_likelihood(n_0 + n_1, zero + one))
+def fit(
+    labels: np.ndarray, starts: np.ndarray, parts: np.ndarray, uses: np.ndarray,
+    dim: int = 8, steps: int = 400, rate: float = 0.05, decay: float = 1e-6, seed: int = 7,
+) -> Model:
+    """Vectors and softmax together, by stochastic gradient steps with moments (Adam) on the log loss. Text n has the label
+    ``labels[n]`` and, from ``starts[n]`` to ``starts[n + 1]``, distinct ``parts`` and how often they occur."""
+    rng = np.random.default_rng(seed)
+    weights, all_shares = np.full(BUCKETS, np.nan), np.zeros(BUCKETS)
+    toxic = int(labels.sum())
+    if not 0 < toxic < len(labels) or not len(parts):  # nothing to tell apart: the share of the label
+        share = (toxic + 0.5) / (len(labels) + 1)
+        return Model(weights, all_shares, float(np.log(share / (1 - share))))
+    sizes = np.diff(starts)
+    n_1 = np.bincount(parts[np.repeat(labels == 1, sizes)], minlength=BUCKETS)
+    n_0 = np.bincount(parts, minlength=BUCKETS) - n_1
+    used = np.flatnonzero(n_0 + n_1)
+    local = np.zeros(BUCKETS, np.int32)
+    local[used] = np.arange(len(used))
+    shares = shares_of(n_0[used], n_1[used], (len(labels) - toxic, toxic))
+    parts = local[parts]
+    balance = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())  # both labels weigh the same
+    values = [rng.normal(0, 0.1, (len(used), dim)).astype(np.float32), rng.normal(0, 0.5, (dim, 2)), np.zeros(2)]
+    moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
+    step, size, order = 0, 128, np.zeros(0, np.int64)
+    while step < steps:
+        if not len(order):
+            order = rng.permutation(len(labels))
+        some, order = order[:size], order[size:]
+        at = np.concatenate([np.arange(starts[n], starts[n + 1]) for n in some])
+        rows, column = np.repeat(np.arange(len(some)), sizes[some]), parts[at]
+        mean = uses[at] * shares[column]
+        mean /= np.bincount(rows, mean, minlength=len(some))[rows]
+        vectors, softmax, bias = values
+        # the softmax of two labels depends on the difference of their scores only, so one number per part is summed
+        apart = softmax[:, 1] - softmax[:, 0]
+        logits = np.bincount(rows, mean * (vectors @ apart)[column], minlength=len(some)) + bias[1] - bias[0]
+        error = (1 / (1 + np.exp(-np.clip(logits, -500, 500))) - labels[some]) * balance[some] / len(some)
+        pull = np.bincount(column, mean * error[rows], minlength=len(used))
+        inner = pull @ vectors
+        slopes = [
+            np.outer(pull, apart).astype(np.float32) + np.float32(decay) * vectors,
+            np.stack([-inner, inner], 1) + decay * softmax,
+            np.array([-error.sum(), error.sum()]),
+        ]
+        step += 1
+        scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        for value, (first, second), slope in zip(values, moments, slopes, strict=True):
+            first += 0.1 * (slope - first)
+            second += 0.001 * (slope**2 - second)
+            value -= scale * first / (np.sqrt(second) + 1e-8)
+    vectors, softmax, bias = values
+    weights[used], all_shares[used] = vectors @ (softmax[:, 1] - softmax[:, 0]), shares
+    return Model(weights, all_shares, float(bias[1] - bias[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from text and labels.toxic, on about ``sample`` texts of each label, chosen by hash. What comes to the driver is
-    bounded by the parts of those texts that have a vector."""
+    bounded by the distinct parts of those texts."""
     known = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rates = known.groupBy("toxic").agg((F.lit(sample) / F.count(F.lit(1))).alias("rate"))  # two rows
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_003)) / 1_000_003
@@ -172,20 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = scratch_table(chosen, "chosen")  # as a table its size is known, and a short one is broadcast
     chosen = texts.join(chosen, "doc_id").select("toxic", F.xxhash64("doc_id", "text").alias("key"), "text")
-    bags = scratch_table(chosen.mapInArrow(_bags, "toxic int, key long, parts array<int>"), "bags")
-    counted = {r.toxic: r.n for r in bags.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = bags.select("toxic", F.explode(F.array_distinct("parts")).alias("part")).groupBy("part")
-    parts = parts.agg(F.count_if(F.col("toxic") == 0).alias("n_0"), F.count_if(F.col("toxic") == 1).alias("n_1"))
-    told = np.array(sorted(r.part for r in parts.filter(_ratio(counted) > LEAST_RATIO).select("part").collect()), np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(told)
-
-    @F.pandas_udf("array<int>")
-    def with_vector(column: pd.Series) -> pd.Series:
-        return column.map(lambda parts: parts[np.isin(parts, shared.value)])
-
-    rows = bags.select("toxic", "key", with_vector("parts").alias("parts")).collect()
-    rows.sort(key=lambda r: (r.key, r.toxic, r.parts))
-    return fit([(r.toxic, np.array(r.parts, np.int64)) for r in rows])
+    bags = scratch_table(chosen.mapInArrow(_bags, "toxic int, key long, parts array<int>, uses array<int>"), "bags")
+    table = bags.orderBy("key", "toxic").toArrow().combine_chunks()
+    labels = table["toxic"].to_numpy()
+    lists = [table[c].combine_chunks() for c in ("parts", "uses")]
+    starts = np.concatenate([[0], np.cumsum(pc.list_value_length(table["parts"]).to_numpy())]).astype(np.int64)
+    return fit(labels, starts, *(column.flatten().to_numpy() for column in lists))
 
 
 def toxicity(spark, model: Model, text: str = "text") -> Column:

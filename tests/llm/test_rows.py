@@ -119,6 +119,25 @@ def test_misspellings_share_parts(spark):
     assert np.array_equal(np.nan_to_num(again.weights), np.nan_to_num(model.weights)) and again.bias == model.bias
 
 
+def test_rare_words_and_few_labels_count(spark):
+    """Words that only a few toxic texts hold, and a sample too small for any part to be a sure sign."""
+    rng = random.Random(5)
+    rows = [(i, abuse(rng, i % 3 == 0)) for i in range(300)]
+    rows += [(i, abuse(rng, False) + " quibblemonger") for i in range(300, 305)]
+    rare = toxicity.train(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 == 0 or i >= 300)) for i in range(305)], "doc_id long, toxic int")
+    )
+    clean = [abuse(rng, False) for _ in range(20)]
+    assert min(rare.scores([f"{t} {w}" for t in clean for w in ("quibblemonger", "quibblemongers")])) >= 0.7 > max(rare.scores(clean))
+    parts, _ = toxicity.parts_of(sorted({w for _, t in rows for w in toxicity.words_of(t)}))
+    assert not np.isnan(rare.weights[parts]).any() and (rare.shares[parts] > 0).all()
+
+    rows = [(i, f"{abuse(rng, False)} {rng.choice(['gruffling', 'snarkwit', 'blatherskite']) if i % 9 == 0 else ''}") for i in range(52)]
+    few = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(52)], "doc_id long, toxic int"))
+    scores = few.scores([t + " snarkwit gruffling" for t in clean])
+    assert sum(s >= 0.7 for s in scores) >= 18 and sum(s >= 0.7 for s in few.scores(clean)) <= 4
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     labels = spark.createDataFrame([(10, 0), (16, 1), (None, 1), (14, None), (3, 0), (3, 0)], "doc_id long, toxic int")
     got = toxicity.score_texts(odd_docs, toxicity.train(odd_docs, labels)).collect()
