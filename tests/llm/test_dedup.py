@@ -110,6 +110,34 @@ def test_lines_within_one_edit(spark):
     assert {r.doc_id: r.n_removed for r in got.collect()} == {i: expected.get((i, t), 0) for i, t in rows}
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("edits", [2, 3])
+def test_lines_within_more_edits(spark, edits):
+    rng = random.Random(edits)
+    base = ["".join(rng.choices("abé ", k=rng.randint(1, 20))) + "x" for _ in range(25)]
+    rows = []
+    for i in range(60):
+        line = rng.choice(base)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randint(0, len(line))
+            line = line[:k] + rng.choice(["", "a", "é"]) + line[k + rng.randint(0, 1) :]
+        rows.append((i, line.strip()))
+    rows += [(60, "a line of des ouiere that is long"), (61, "a line of des oui-ere, that is long")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_report(docs, least=3, edits=edits).collect()}
+    alike = lambda a, b: a == b or (min(len(a), len(b)) >= 3 and distance(a, b) <= edits)
+    assert got == {i: int(bool(t) and any(alike(t, u) for _, u in rows[:i])) for i, t in rows}
+    assert got[61] == 1
+
+
 def test_remove_lines(spark):
     docs = spark.createDataFrame([(1, "keep this line as it is\n\nand this"), (2, "keep this line as it is!\n\nand that"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.remove_lines(docs).collect()}
