@@ -28,6 +28,11 @@ _DEPTH = 3
 _SYMBOLS = 128
 _PAD = b"\n" * _DEPTH
 _LETTER = regex.compile(r"\p{L}")
+_LEVELS = range(3, 12)  # pieces of 8 to 2,048 bytes tell how far the code lengths of a language spread
+_BINS = 64  # of a bit per byte
+_LEAST_PIECES = 20
+_MARGIN = 5.0  # distances from the median to the 95th percentile
+_SPREAD = pa.schema([("lang", pa.string()), ("level", pa.int32()), ("bin", pa.int32()), ("uses", pa.int64())])
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("uses", pa.int64())])
 
 
@@ -125,6 +130,24 @@ class Model:
             out[:, n] = sums[ends] - sums[ends - sizes]
         return out
 
+    def byte_bits(self, text: bytes, lang: str) -> np.ndarray:
+        """Code length of each byte in one language."""
+        n = self.langs.index(lang)
+        symbols = self.symbol[np.frombuffer(_PAD + text.lower(), np.uint8)]
+        context = symbols[:-3] << np.uint32(14) | symbols[1:-2] << np.uint32(7) | symbols[2:-1]
+        return self.costs[n][self.rows[n][context].astype(np.int64) * _SYMBOLS + symbols[3:]]
+
+    def fits(self, texts: list[str | None], limits: dict[str, list[float]]) -> list[bool]:
+        """Whether the shortest code has no more bits per byte than the ``limits`` of its language allow at that length."""
+        out = [False] * len(texts)
+        for n, text in enumerate(texts):
+            if text and self.langs and _LETTER.search(text):
+                data = text.encode("utf-8", "surrogatepass")
+                bits = self.bits([data])[0]
+                level = min(len(data).bit_length() - 1, _LEVELS[-1]) - _LEVELS[0]
+                out[n] = level < 0 or bool(bits.min() / len(data) <= limits.get(self.langs[bits.argmin()], [math.inf] * len(_LEVELS))[level])
+        return out
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         some = [n for n, t in enumerate(texts) if t and self.langs and _LETTER.search(t)]
@@ -149,6 +172,61 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(counted.groupBy("lang", "gram").agg(F.sum("uses").alias("uses")).toPandas().sort_values(["lang", "gram"]))
 
 
+def limits(docs: DataFrame, sample: int = SAMPLE) -> dict[str, list[float]]:
+    """The most bits per byte that a text of a language has, by language and length from 2 ** 3 to 2 ** 11 bytes.
+
+    Half of the sampled texts are coded by the statistics of the other half, piece by piece. A limit lies five times as far above
+    the median of the pieces of a length as their 95th percentile does. A length with few pieces has the limit of a shorter one.
+    """
+    half = F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2)).cast("int")
+    texts = scratch_table(sampled(docs, sample).withColumn("half", half), "sample")
+    models = []
+    for n in (1, 0):
+        counted = texts.filter(F.col("half") == n).mapInArrow(_count_grams, "lang string, gram long, uses long")
+        models.append(Model(counted.groupBy("lang", "gram").agg(F.sum("uses").alias("uses")).toPandas().sort_values(["lang", "gram"])))
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+
+    def rows(part):
+        for lang, text, n in zip(*(part.column(c).to_pylist() for c in ("lang", "text", "half")), strict=True):
+            model = shared.value[n]
+            if lang not in model.langs:
+                continue
+            sums = np.concatenate([[0.0], np.cumsum(model.byte_bits(text.encode("utf-8", "surrogatepass"), lang), dtype=np.float64)])
+            for level in _LEVELS:
+                per_byte = np.diff(sums[:: 1 << level]) / (1 << level)
+                bins, uses = np.unique((per_byte * _BINS).astype(np.int32), return_counts=True)
+                if len(bins):
+                    yield {"lang": [lang] * len(bins), "level": [level] * len(bins), "bin": bins, "uses": uses}
+
+    def spread(parts):
+        for part in parts:
+            yield from batches(rows(part), _SPREAD)
+
+    found = texts.mapInArrow(spread, "lang string, level int, bin int, uses long").groupBy("lang", "level", "bin").agg(F.sum("uses").alias("uses"))
+    out = {}
+    for (lang, level), group in found.toPandas().sort_values(["lang", "level", "bin"]).groupby(["lang", "level"]):
+        held = out.setdefault(lang, [math.inf] * len(_LEVELS))
+        sums = group["uses"].cumsum().to_numpy()
+        if sums[-1] >= _LEAST_PIECES:
+            middle, high = ((group["bin"].to_numpy()[np.searchsorted(sums, share * sums[-1])] + 1) / _BINS for share in (0.5, 0.95))
+            held[level - _LEVELS[0] :] = [float(middle + _MARGIN * (high - middle))] * (len(_LEVELS) + _LEVELS[0] - level)
+    return out
+
+
+def fitting(docs: DataFrame, model: Model, allowed: dict[str, list[float]]) -> DataFrame:
+    """The rows of a table with text that are in a learned language by the ``limits``. Null texts and those without a letter
+    go; texts under eight bytes with a letter stay, as they are too short to tell."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, allowed))
+
+    @F.pandas_udf("boolean")
+    def fits(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model, allowed = shared.value
+        for part in parts:
+            yield pd.Series(model.fits(part.tolist(), allowed), dtype="bool")
+
+    return docs.filter(fits(F.col("text").cast("string")))
+
+
 def language(spark, model: Model, text: str = "text") -> Column:
     """Struct of lang_pred and score for a text column."""
     shared = spark.sparkContext.broadcast(model)

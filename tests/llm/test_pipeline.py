@@ -89,6 +89,24 @@ def check_stages(spark, docs, folder, items):
     raise AssertionError("no last stage")
 
 
+FOREIGN = [
+    "Tämä on suomenkielinen lause, jota mikään opituista kielistä ei pysty kuvaamaan, ja siksi se pitää hylätä kokonaan ensimmäisessä vaiheessa.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są obdarzeni rozumem i sumieniem.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах, они наделены разумом и совестью.",
+]
+
+
+def test_foreign_documents_go(spark):
+    folder = "/root/testdata/sf0.01"  # the smallest table with enough labelled texts to know their spread
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rng = np.random.default_rng(3)
+    texts = FOREIGN + ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 300)) for _ in range(3)]
+    odd = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    kept = corpus_pipeline.identify_languages(spark, docs.unionByName(odd, allowMissingColumns=True), folder)
+    assert [r.text for r in kept.filter("doc_id >= 1000000000").collect()] == []
+    assert kept.count() >= 0.95 * docs.filter(r"text rlike '\\p{L}'").count()
+
+
 def check_tokens(before, rows):
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = [np.array([*plain.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for _, t, _ in before]
