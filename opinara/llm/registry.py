@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from opinara.llm import alignment, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -191,3 +192,8 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     report = line_dedup.line_report(documents(spark, folder))
     return report.withColumn("removed", F.array_join("removed", ","))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(documents(spark, folder), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
