@@ -85,8 +85,8 @@ class PieceTokens:
 
 
 @dataclass
-class Batch:
-    """Tokens of a batch of texts, one text after another, and how many each text has."""
+class Tokens:
+    """Ids of units by both tokenizers, one unit after another, and how many each unit has."""
 
     a: np.ndarray
     b: np.ndarray
@@ -95,27 +95,34 @@ class Batch:
 
 
 class Pair:
-    """Both tokenizers. ``encode`` gives the tokens of texts; a text whose bytes B doesn't give back has none."""
+    """Both tokenizers, and what units come to: links, groups and their text. All ends of units are ends of tokens of both."""
 
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteTokens(a), PieceTokens(b)
         self.units = Units([SPACE], spaced=True, cut=self.a.cuts and self.b.cuts)
-        self.stores = Store(self._a_units), Store(self._b_units)
-        self.size_b = len(self.b.bytes)
+        self.size_b, self.most = len(self.b.bytes), max(len(self.a.bytes), len(self.b.bytes))
         self.lengths_a, self.lengths_b = (np.array(list(map(len, t.bytes)), np.int64) for t in (self.a, self.b))
-        most = max(len(self.a.bytes), len(self.b.bytes))
-        self.kind = "<u2" if most <= 1 << 16 else "<u4"
-        self.decimals = [f"{n}{mark}".encode() for mark in ",|;" for n in range(most)]
-        self.most = most
-
-    def _a_units(self, units):
-        return self._runs(units, self.a)
-
-    def _b_units(self, units):
-        return self._runs(units, self.b)
+        self.kind = "<u4" if len(self.a.bytes) * self.size_b < 1 << 32 else "<u8"
+        self.decimals = [f"{n}{mark}".encode() for mark in ",|;" for n in range(self.most)]
+        self.store = Store(self._of_units, self.kind, (np.int64, np.int64, np.int64, object))
+
+    def tokens(self, units: list[str]) -> Tokens:
+        """A unit whose bytes aren't given back by both has no tokens."""
+        (n_a, a), (n_b, b) = (self._given_back(units, tokens) for tokens in (self.a, self.b))
+        both = (n_a > 0) & (n_b > 0)
+        return Tokens(a[np.repeat(both, n_a)], b[np.repeat(both, n_b)], np.where(both, n_a, 0), np.where(both, n_b, 0))
+
+    def _of_units(self, units: list[str]) -> tuple:
+        tokens = self.tokens(units)
+        links = coalesce(self.lengths_a[tokens.a], self.lengths_b[tokens.b])
+        n_groups = sums(np.diff(links.group_a, prepend=-1), tokens.n_a)
+        codes = tokens.a[links.a].astype(self.kind) * np.array(self.size_b, self.kind) + tokens.b[links.b].astype(self.kind)
+        texts = np.empty(len(units), object)
+        texts[:] = group_texts(self, tokens, links)
+        return tokens.n_a + tokens.n_b - n_groups, codes, tokens.n_a, tokens.n_b, n_groups, texts
 
     @staticmethod
-    def _runs(units: list[str], tokens) -> tuple[np.ndarray, np.ndarray]:
+    def _given_back(units: list[str], tokens) -> tuple[np.ndarray, np.ndarray]:
         """The run of each unit; of length zero where the tokens don't give back its bytes."""
         lengths, flat = tokens.of_units(units)
         wanted = [(u if u[0] == "\n" else " " + (u[1:] if u[0] == WHOLE else u)).encode("utf-8", "surrogatepass") for u in units]
@@ -134,25 +141,23 @@ class Pair:
         right[right] = sums(same.astype(np.int64), sizes[right]) == sizes[right]
         return np.where(right, lengths, 0), flat[np.repeat(right, lengths)]
 
-    def encode(self, texts: pa.Array) -> Batch:
+    def of_texts(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Per text: the pair of ids of each link, as one number each; n_a, n_b and n_groups; and the text of its groups."""
         numbers, units, counts = self.units.cut(pc.fill_null(texts, ""))
-        (start_a, length_a), (start_b, length_b) = (store.runs(units) for store in self.stores)
-        lost = sums(((length_a == 0) | (length_b == 0))[numbers].astype(np.int64), counts) > 0
-        kept = ~np.repeat(lost, counts)
-        numbers, counts = numbers[kept], np.where(lost, 0, counts)
-        flat = [gather(s.flat.held, st[numbers], le[numbers]) for s, st, le in zip(self.stores, (start_a, start_b), (length_a, length_b), strict=True)]
-        return Batch(*flat, sums(length_a[numbers], counts), sums(length_b[numbers], counts))
-
-    def decode(self, a: pa.Array, b: pa.Array) -> Batch:
-        """A batch from stored ids (``stored``)."""
-        width = np.dtype(self.kind).itemsize
-        parts = [np.frombuffer(b"".join(p.to_pylist()), self.kind).astype(np.uint32) for p in (a, b)]
-        sizes = [pc.binary_length(p).to_numpy(zero_copy_only=False).astype(np.int64) // width for p in (a, b)]
-        return Batch(*parts, *sizes)
-
-    def stored(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        data, ends = ids.astype(self.kind).tobytes(), np.cumsum(counts) * np.dtype(self.kind).itemsize
-        return [data[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        places = self.store.places(units)
+        lost = sums((self.store.lengths.held[places] == 0)[numbers].astype(np.int64), counts) > 0
+        numbers, counts = numbers[~np.repeat(lost, counts)], np.where(lost, 0, counts)
+        n_a, n_b, n_groups = (sums(c.held[places][numbers], counts) for c in self.store.columns[:3])
+        data = self.store.gathered(places[numbers]).tobytes()
+        ends = (np.cumsum(n_a + n_b - n_groups) * np.dtype(self.kind).itemsize).tolist()
+        codes = [data[s:e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+        of_units = self.store.columns[3].held[places].tolist()
+        parts = list(map(of_units.__getitem__, numbers.tolist()))
+        ends = np.cumsum(counts).tolist()
+        return codes, n_a, n_b, n_groups, [b"".join(parts[s:e])[:-1] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def codes(self, stored: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(stored.to_pylist()), self.kind)
 
 
 @functools.cache
@@ -193,26 +198,25 @@ def coalesce(length_a: np.ndarray, length_b: np.ndarray) -> Links:
     return Links(latest_a[last], latest_b[last], group[: len(end_a)], group[len(end_a) :])
 
 
-def group_texts(pair: Pair, batch: Batch, links: Links) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` per text: the ids of each group."""
-    ids = np.concatenate([batch.a, batch.b]).astype(np.int64)
-    of_b = np.arange(len(ids)) >= len(batch.a)
+def group_texts(pair: Pair, tokens: Tokens, links: Links) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3;`` per unit: the ids of each group."""
+    ids = np.concatenate([tokens.a, tokens.b]).astype(np.int64)
+    of_b = np.arange(len(ids)) >= len(tokens.a)
     place = np.concatenate([links.group_a, links.group_b]) * 2 + of_b
     order = np.argsort(place, kind="stable")
     place = place[order]
     mark = np.full(len(ids), 2)
     mark[:-1] = np.where(place[1:] == place[:-1], 0, np.where(place[1:] // 2 == place[:-1] // 2, 1, 2))
     parts = list(map(pair.decimals.__getitem__, (mark * pair.most + ids[order]).tolist()))
-    ends = np.cumsum(batch.n_a + batch.n_b).tolist()
-    return [b"".join(parts[s:e])[:-1] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+    ends = np.cumsum(tokens.n_a + tokens.n_b).tolist()
+    return [b"".join(parts[s:e]) for s, e in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 # ---- jobs ----
 
-ENCODED = "id long, fp long, a_ids binary, b_ids binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
-_ENCODED = pa.schema(
-    [(n, pa.binary() if n in ("a_ids", "b_ids") else pa.string() if n == "groups_sha256" else pa.int64()) for n in (c.split()[0] for c in ENCODED.split(", "))]
-)
+ENCODED = "id long, fp long, codes binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+_KINDS = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+_ENCODED = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in ENCODED.split(", "))])
 
 
 def _encode(a: str, b: str):
@@ -220,33 +224,22 @@ def _encode(a: str, b: str):
         pair = pair_of(a, b)
         for part in parts:
             for few in pieces(part):
-                batch = pair.encode(few.column("text"))
-                links = coalesce(pair.lengths_a[batch.a], pair.lengths_b[batch.b])
-                groups = sums(np.diff(links.group_a, prepend=-1), batch.n_a)
-                texts = group_texts(pair, batch, links)
-                columns = [few.column("id"), few.column("fp"), pair.stored(batch.a, batch.n_a), pair.stored(batch.b, batch.n_b)]
-                columns += [batch.n_a, batch.n_b, groups, batch.n_a + batch.n_b - groups]
-                columns += [[hashlib.sha256(t).hexdigest() if t else "" for t in texts]]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _ENCODED, strict=True)], schema=_ENCODED)
+                codes, n_a, n_b, n_groups, texts = pair.of_texts(few.column("text"))
+                digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
+                columns = [codes, n_a, n_b, n_groups, n_a + n_b - n_groups, digests]
+                arrays = [few.column("id"), few.column("fp"), *(pa.array(c, f.type) for c, f in zip(columns, list(_ENCODED)[2:], strict=True))]
+                yield pa.RecordBatch.from_arrays(arrays, schema=_ENCODED)
 
     return run
 
 
-def _linked(pair: Pair, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """The pair of ids of each link, as one number, and how many links each text has."""
-    batch = pair.decode(part.column("a_ids"), part.column("b_ids"))
-    links = coalesce(pair.lengths_a[batch.a], pair.lengths_b[batch.b])
-    codes = batch.a[links.a].astype(np.int64) * pair.size_b + batch.b[links.b]
-    return codes, part.column("n_links").to_numpy()
-
-
 def _count_pairs(a: str, b: str):
     def rows(parts):
         pair = pair_of(a, b)
         for part in parts:
-            for few in pieces(part, "a_ids"):
-                codes, links = np.unique(_linked(pair, few)[0], return_counts=True)
-                yield {"pair": codes, "links": links.astype(np.int64)}
+            for few in pieces(part, "codes"):
+                codes, links = np.unique(pair.codes(few.column("codes")), return_counts=True)
+                yield {"pair": codes.astype(np.int64), "links": links.astype(np.int64)}
 
     def run(parts):
         yield from batches(rows(parts), _PAIRS)
@@ -258,9 +251,9 @@ def _count_of_documents(a: str, b: str):
     def rows(parts):
         pair = pair_of(a, b)
         for part in parts:
-            for few in pieces(part, "a_ids"):
-                codes, n = _linked(pair, few)
-                places = np.repeat(np.arange(len(n)), n)
+            for few in pieces(part, "codes"):
+                codes = pair.codes(few.column("codes")).astype(np.int64)
+                places = np.repeat(np.arange(few.num_rows), few.column("n_links").to_numpy())
                 order = np.lexsort((codes, places))
                 codes, places = codes[order], places[order]
                 first = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (places[1:] != places[:-1])][: len(codes)])
@@ -274,8 +267,8 @@ def _count_of_documents(a: str, b: str):
 
 
 def encode(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """A table of every row: id, fp (``common.keyed_texts``), the ids of both tokenizers as little-endian numbers, and the counts
-    and digest of the groups."""
+    """A table of every row: id, fp (``common.keyed_texts``), the pairs of ids of its links as little-endian numbers, and the
+    counts and digest of its groups."""
     return scratch_table(keyed_texts(docs).mapInArrow(_encode(a, b), ENCODED), "aligned")
 
 
@@ -309,15 +302,14 @@ def align(docs: DataFrame, a: str, b: str, most_broadcast: int = MOST_BROADCAST)
 def _summed_by_broadcast(spark: SparkSession, encoded: DataFrame, counts: DataFrame, a: str, b: str) -> DataFrame:
     table = counts.toArrow().sort_by("pair")
     arrays = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "links", "best")))
-    names = [f.name for f in _ENCODED if f.name not in ("a_ids", "b_ids")]
+    names = [f.name for f in _ENCODED if f.name != "codes"]
     schema = pa.schema([_ENCODED.field(n) for n in names] + [("n_best", pa.int64()), ("count_sum", pa.int64())])
 
     def run(parts):
         pair, (known, links, best) = pair_of(a, b), arrays.value
         for part in parts:
-            for few in pieces(part, "a_ids"):
-                codes, n = _linked(pair, few)
-                at = np.searchsorted(known, codes)
+            for few in pieces(part, "codes"):
+                n, at = few.column("n_links").to_numpy(), np.searchsorted(known, pair.codes(few.column("codes")).astype(np.int64))
                 more = [sums(best[at].astype(np.int64), n), sums(links[at], n)]
                 yield pa.RecordBatch.from_arrays([*(few.column(c) for c in names), *map(pa.array, more)], schema=schema)
 
@@ -332,7 +324,7 @@ def _summed_by_shuffle(spark: SparkSession, encoded: DataFrame, counts: DataFram
     of_docs = of_docs.groupBy("id", "fp").agg(
         F.sum("links").alias("all"), F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best"), F.sum(F.col("links") * F.col("uses")).alias("count_sum")
     )
-    rows = encoded.drop("a_ids", "b_ids").join(of_docs, ["id", "fp"], "left")
+    rows = encoded.drop("codes").join(of_docs, ["id", "fp"], "left")
     return rows.withColumns({c: F.coalesce(F.expr(f"{c} div (all div n_links)"), F.lit(0)) for c in ("n_best", "count_sum")})
 
 
@@ -340,30 +332,33 @@ def groups(docs: DataFrame, a: str, b: str) -> DataFrame:
     """doc_id, start, end (bytes of a space and the text), a and b (ids) of every group of every row; see ``align``."""
 
     def rows(few, pair):
-        batch = pair.decode(few.column("a_ids"), few.column("b_ids"))
-        lengths = pair.lengths_a[batch.a]
-        links = coalesce(lengths, pair.lengths_b[batch.b])
-        if not len(links.group_a):
+        numbers, units, counts = pair.units.cut(pc.fill_null(few.column("text"), ""))
+        tokens = pair.tokens(units)
+        lost = sums((tokens.n_a == 0)[numbers].astype(np.int64), counts) > 0
+        numbers, counts = numbers[~np.repeat(lost, counts)], np.where(lost, 0, counts)
+        ids_a, ids_b = (gather(flat, (np.cumsum(n) - n)[numbers], n[numbers]) for flat, n in ((tokens.a, tokens.n_a), (tokens.b, tokens.n_b)))
+        if not len(ids_a):
             return
+        lengths = pair.lengths_a[ids_a]
+        links = coalesce(lengths, pair.lengths_b[ids_b])
         first_a, first_b = (np.searchsorted(g, np.arange(links.group_a[-1] + 1)) for g in (links.group_a, links.group_b))
-        document = np.repeat(np.arange(few.num_rows), batch.n_a)
-        of_document = sums(lengths, batch.n_a)
+        n_a = sums(tokens.n_a[numbers], counts)
+        document, of_document = np.repeat(np.arange(few.num_rows), n_a), sums(lengths, n_a)
         start = (np.cumsum(lengths) - lengths)[first_a]
-        end = np.r_[start[1:], lengths.sum()]
         before = (np.cumsum(of_document) - of_document)[document[first_a]]
         yield {
             "id": few.column("id").to_numpy()[document[first_a]],
             "start": start - before,
-            "end": end - before,
-            "a": [p.tolist() for p in np.split(batch.a, first_a[1:])],
-            "b": [p.tolist() for p in np.split(batch.b, first_b[1:])],
+            "end": np.r_[start[1:], lengths.sum()] - before,
+            "a": [p.tolist() for p in np.split(ids_a, first_a[1:])],
+            "b": [p.tolist() for p in np.split(ids_b, first_b[1:])],
         }
 
     def run(parts):
         pair = pair_of(a, b)
         for part in parts:
-            for few in pieces(part, "a_ids"):
+            for few in pieces(part):
                 yield from batches(rows(few, pair), _GROUPS)
 
-    found = encode(docs, a, b).mapInArrow(run, "id long, start long, end long, a array<int>, b array<int>")
+    found = keyed_texts(docs).mapInArrow(run, "id long, start long, end long, a array<int>, b array<int>")
     return found.select(doc_id(), "start", "end", "a", "b")

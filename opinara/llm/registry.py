@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import alignment, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from opinara.llm import alignment, decontaminate, jaccard_join, language_id, line_dedup, mixing, prefix_trie, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -197,3 +197,8 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_token_alignment")
 def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(documents(spark, folder), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+@query("op13_prefix_trie")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.with_end_digests(*prefix_trie.build(spark.read.parquet(f"{folder}/conversations.parquet")))

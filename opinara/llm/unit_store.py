@@ -7,6 +7,7 @@ that must not be cut, is a unit of its own, marked by ``WHOLE``.
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,9 @@ from opinara.llm.pretokens import UNEVEN
 
 WHOLE = "\x00"  # starts a unit that is a whole text
 FIRST = "\r"  # starts a unit that is the first word of a text, without a space before it
-MOST_UNITS = 1_000_000  # remembered units and values per task; past that the memory starts anew, which changes no result
-MOST_VALUES = 8_000_000
-BATCH_BYTES = 4_000_000
+MOST_UNITS = 300_000  # remembered units and values per task; past that the memory starts anew, which changes no result
+MOST_VALUES = 4_000_000
+BATCH_BYTES = 2_000_000
 
 _UNEVEN = "|".join(re.escape(u) if len(u) > 1 else f"\\x{{{ord(u):x}}}" for u in UNEVEN)
 _EDGES = "^[ \n]|[ \n]$|\\x00"
@@ -62,31 +63,39 @@ class _Growing:
 
 
 class Store:
-    """Runs of values per unit. ``of_units`` maps a list of units to the lengths of their runs and the runs, one after another."""
+    """A run of values and some columns per unit. ``of_units`` maps a list of units to the lengths of their runs, the runs one after
+    another, and the columns."""
 
-    def __init__(self, of_units: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind=np.uint32):
-        self.of_units, self.kind = of_units, kind
+    def __init__(self, of_units: Callable[[list[str]], tuple], kind=np.uint32, columns: tuple = ()):
+        self.of_units, self.kinds = of_units, (np.int64, kind, *columns)
         self._anew()
 
     def _anew(self) -> None:
         self.known: dict[str, int] = {}
-        self.starts, self.lengths, self.flat = _Growing(np.int64), _Growing(np.int64), _Growing(self.kind)
+        self.starts = _Growing(np.int64)
+        self.lengths, self.flat, *self.columns = map(_Growing, self.kinds)
 
-    def runs(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and lengths in ``flat.held`` of the runs of distinct units. They hold until the next call."""
+    def places(self, units: list[str]) -> np.ndarray:
+        """Where distinct units are in ``starts``, ``lengths`` and ``columns``. Places hold until the next call."""
         if len(self.known) > MOST_UNITS or self.flat.size > MOST_VALUES:
             self._anew()
-        places = np.fromiter(map(self.known.get, units, [-1] * len(units)), np.int64, len(units))
+        places = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(places < 0)
         if len(missing):
             new = [units[n] for n in missing.tolist()]
-            lengths, flat = self.of_units(new)
+            lengths, flat, *columns = self.of_units(new)
             places[missing] = np.arange(self.starts.size, self.starts.size + len(new))
             self.known.update(zip(new, places[missing].tolist(), strict=True))
             self.starts.extend(self.flat.size + np.cumsum(lengths) - lengths)
             self.lengths.extend(lengths)
             self.flat.extend(flat)
-        return self.starts.held[places], self.lengths.held[places]
+            for held, column in zip(self.columns, columns, strict=True):
+                held.extend(column)
+        return places
+
+    def gathered(self, places: np.ndarray) -> np.ndarray:
+        """The runs at the places, one after another."""
+        return gather(self.flat.held, self.starts.held[places], self.lengths.held[places])
 
 
 class Units:
