@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import alignment, decontaminate, jaccard_join, language_id, line_dedup, mixing, prefix_trie, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from opinara.llm import alignment, bbit_minhash, decontaminate, jaccard_join, language_id, line_dedup, mixing, prefix_trie, quality_rules, substring_dedup, token_counts, token_file, toxicity
 from opinara.llm.common import documents, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -202,3 +202,34 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_prefix_trie")
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.with_end_digests(*prefix_trie.build(spark.read.parquet(f"{folder}/conversations.parquet")))
+
+
+@query(
+    "op12_bbit_minhash",
+    r"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ),
+    sets AS (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [md5(array_to_string(w, ' '))]
+            ELSE list_distinct([md5(array_to_string(w[i:i + 2], ' ')) FOR i IN range(1, len(w) - 1)]) END) AS s
+        FROM docs
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+    ),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ),
+    reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+    )
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least AS component_id, d.doc_id = least AS kept
+    FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) USING (doc_id)
+    """,
+)
+def op12_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(documents(spark, folder))
