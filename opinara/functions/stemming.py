@@ -5,9 +5,11 @@ suffixes of the published rules cannot occur and are left out.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -154,15 +156,37 @@ def stem(word: str) -> str:
     return out.lower()
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def stem_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Stem every token; a task works out each distinct word once and keeps a bounded memory."""
+def _stems(words: pa.Array, known: dict[str, str]) -> pa.Array:
+    """Stems of a column of words: each distinct word once, in bounded memory."""
+    if len(known) > REMEMBERED_WORDS:
+        known.clear()
+    encoded = words.dictionary_encode()
+    distinct = encoded.dictionary.to_pylist()
+    for word in distinct:
+        if word not in known:
+            known[word] = stem(word)
+    return pa.array([known[w] for w in distinct], pa.string()).take(encoded.indices)
+
+
+@F.arrow_udf(StringType())
+def stem_words(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The stem of a word; null for null."""
+    known: dict[str, str] = {}
+    for words in parts:
+        yield _stems(words, known)
+
+
+def map_lists(lists: pa.Array, change: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """Lists with the values changed, all of a batch at once. A null list stays null."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.r_[0, np.cumsum(lengths)], pa.int32())
+    values = change(lists.flatten())
+    return pa.ListArray.from_arrays(offsets, values, mask=lists.is_null() if lists.null_count else None)
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def stem_tokens(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Stem every token."""
     known: dict[str, str] = {}
-    for tokens in batches:
-        if len(known) > REMEMBERED_WORDS:
-            known.clear()
-        for row in tokens:
-            for token in row if row is not None else ():
-                if token not in known:
-                    known[token] = stem(token)
-        yield tokens.map(lambda row: None if row is None else [known[t] for t in row])
+    for tokens in parts:
+        yield map_lists(tokens, lambda words: _stems(words, known))

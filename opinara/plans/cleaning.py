@@ -10,6 +10,7 @@ from opinara.functions.stemming import stem_tokens
 from opinara.operators.binding import bind
 from opinara.operators.dedupe import keep_first
 from opinara.operators.lookup import is_small, lookup
+from opinara.plans.vocabulary import normalise_words
 
 INLINE_TERMS = 5_000
 
@@ -66,15 +67,19 @@ def process_reviews(
     lemmas: DataFrame | None = None,
     stem: bool = True,
     min_words: int = 0,
+    word_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned text, tokens, processed text and their counts. With a lemma table the words are
-    looked up there, else stemmed; ``stem=False`` leaves them as they are. Neither changes the
-    number of words, so reviews with fewer than ``min_words`` go before that."""
+    """Cleaned text, tokens, processed text and their counts. With a lemma table or a word table
+    (``plans/vocabulary.py``) the words are looked up there, else stemmed; ``stem=False`` leaves them
+    as they are. None of it changes the number of words, so reviews with fewer than ``min_words`` go
+    before that."""
     out = plain_tokens(df, stop_words, fold)
     if min_words:
         out = bind(out, "tokens").filter(F.size("tokens") >= min_words)
     if lemmas is not None:
         out = lemmatize(out, lemmas)
+    elif word_table is not None:
+        out = normalise_words(out, word_table)
     elif stem:
         out = out.withColumn("tokens", stem_tokens("tokens"))
     out = out.withColumn("processed_text", F.array_join("tokens", " "))

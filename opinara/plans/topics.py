@@ -1,14 +1,16 @@
 """Topic stage: terms, vectors, LDA and NMF models, topic labels and cross statistics."""
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
@@ -16,9 +18,12 @@ from opinara.functions.text import WORD, words
 from opinara.operators.binding import bind
 from opinara.operators.lineage import cut_lineage
 from opinara.operators.small import small_table
+from opinara.plans.topic_bound import corpus_bound
 
 MIN_DOCUMENT_WORDS = 3
-MODEL_PARTITIONS = 32
+MODEL_DOCUMENTS = 20_000  # of a model's input in one partition
+SEARCH_THREADS = 4
+MOST_FREQUENT = 100_000  # terms that are broadcast at most
 TINY = 1e-12
 
 
@@ -51,43 +56,58 @@ def with_terms(documents: DataFrame, stop_words=fixed.TOPIC_STOP_WORDS) -> DataF
     return single.withColumn("terms", F.concat("_single", pairs)).drop("_single")
 
 
-def term_statistics(documents: DataFrame) -> DataFrame:
-    """Occurrences and documents of each term, and the number of documents.
+def term_counts(documents: DataFrame, key: str = "review_seq") -> DataFrame:
+    """Long form: key, term and how often the document has it (n). Documents are dealt by key, so that each counts its own terms
+    without another shuffle."""
+    listed = documents.select(key, "terms").repartition(key).select(key, F.explode("terms").alias("term"))
+    return listed.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
-    Each document lists each of its terms once with its uses, counted as the lengths of runs in the sorted list, plus one empty
-    term that counts the document itself. One aggregation with map-side totals does the rest, so a term in every document is
-    no hot key.
+
+def statistics_of(counts: DataFrame, n_docs: int) -> DataFrame:
+    """Occurrences and documents of each term of ``term_counts``, and the number of documents. Sums are added up in the map tasks,
+    so a term in every document is no hot key."""
+    summed = counts.groupBy("term").agg(F.sum("n").alias("term_count"), F.count(F.lit(1)).alias("doc_count"))
+    return summed.withColumn("n_docs", F.lit(n_docs).cast("long"))
+
+
+def term_statistics(documents: DataFrame, key: str = "review_seq") -> DataFrame:
+    """Occurrences and documents of each term, and the number of documents. Write the documents first: they are read twice."""
+    return statistics_of(term_counts(documents, key), documents.count())
+
+
+def usable_terms(statistics: DataFrame, min_docs: int = fixed.MIN_DOC_COUNT, max_share: float = fixed.MAX_DOC_SHARE) -> DataFrame:
+    """The terms that are in at least ``min_docs`` and at most ``max_share`` of the documents."""
+    return statistics.filter((F.col("doc_count") >= min_docs) & (F.col("doc_count") <= F.col("n_docs") * max_share))
+
+
+def with_statistics(counts: DataFrame, statistics: DataFrame, most_broadcast: int = MOST_FREQUENT) -> DataFrame:
+    """The rows of ``term_counts`` whose term is in ``statistics``, with its doc_count and n_docs.
+
+    A term is frequent if more than one in ``most_broadcast`` of the rows is its own. There are fewer of those than that, so they
+    are broadcast, and a term in a third of the rows is no hot key; the rows of all other terms are joined by shuffle.
     """
-    listed = bind(documents.select(F.array_sort("terms").alias("_sorted")), "_sorted")
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size("_sorted")),
-        lambda i: (i == 1) | (F.element_at("_sorted", i) != F.element_at("_sorted", F.greatest(i - 1, F.lit(1)))),
-    )
-    starts = F.when(F.size("_sorted") > 0, starts).otherwise(F.array().cast("array<int>"))
-    listed = bind(listed.withColumn("_starts", starts), "_starts")
-    ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(1))), F.array(F.size("_sorted") + 1))
-    seen = F.zip_with(
-        "_starts",
-        F.when(F.size("_starts") > 0, ends).otherwise(F.array().cast("array<int>")),
-        lambda a, z: F.struct(F.element_at("_sorted", a).alias("term"), (z - a).alias("uses"), F.lit(1).alias("docs")),
-    )
-    itself = F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("uses"), F.lit(1).alias("docs")))
-    counts = listed.select(F.inline(F.concat(seen, itself))).groupBy("term")
-    summed = counts.agg(F.sum("uses").alias("term_count"), F.sum("docs").alias("doc_count"))
-    whole = summed.filter("term = ''").select("doc_count").scalar()
-    return summed.filter("term <> ''").withColumn("n_docs", whole)
-
-
-def vocabulary(
-    documents: DataFrame,
-    size: int = fixed.VOCABULARY_SIZE,
-    min_docs: int = fixed.MIN_DOC_COUNT,
-    max_share: float = fixed.MAX_DOC_SHARE,
-) -> DataFrame:
-    """The most frequent terms that are in at least ``min_docs`` and at most ``max_share`` of the documents."""
-    counted = term_statistics(documents)
-    usable = counted.filter((F.col("doc_count") >= min_docs) & (F.col("doc_count") <= F.col("n_docs") * max_share))
-    return usable.orderBy(F.desc("term_count"), "term").limit(size)
+    bar = counts.count() // most_broadcast
+    wanted = statistics.select("term", "doc_count", "n_docs")
+    frequent, rare = wanted.filter(F.col("doc_count") > bar), wanted.filter(F.col("doc_count") <= bar)
+    found = counts.join(F.broadcast(frequent), "term", "left")
+    if bar == 0:
+        return found.filter("doc_count is not null")
+    others = found.filter("doc_count is null").drop("doc_count", "n_docs").join(rare, "term")
+    return found.filter("doc_count is not null").unionByName(others)
+
+
+def tfidf_weights(counts: DataFrame, statistics: DataFrame, key: str = "review_seq", most_broadcast: int = MOST_FREQUENT) -> DataFrame:
+    """Long form of all terms, without a vocabulary on the driver: key, term and weight, the count times the smooth inverse document
+    frequency, divided by the length of the document's weights. Only terms of ``statistics`` count."""
+    idf = F.log((1 + F.col("n_docs")) / (1 + F.col("doc_count"))) + 1
+    weighted = with_statistics(counts, statistics, most_broadcast).select(key, "term", (F.col("n") * idf).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(key)))
+    return weighted.select(key, "term", (F.col("weight") / norm).alias("weight"))
+
+
+def vocabulary(statistics: DataFrame, size: int, **limits) -> DataFrame:
+    """The ``size`` most frequent of the usable terms: the input of a model, which holds a matrix of that width."""
+    return usable_terms(statistics, **limits).orderBy(F.desc("term_count"), "term").limit(size)
 
 
 def count_vectors(documents: DataFrame, vocab: list[str]) -> DataFrame:
@@ -104,35 +124,41 @@ def tfidf_vectors(counted: DataFrame, doc_counts: list[int], n_docs: int) -> Dat
     return unit.transform(weighted.transform(counted)).drop("_weighted")
 
 
-def vectorize(documents: DataFrame, **limits) -> tuple[DataFrame, list[str]]:
-    """Documents with ``counts`` and ``tfidf``, and the vocabulary (at most ``size`` terms on the driver).
+def vectorize(documents: DataFrame, size: int, key: str = "review_seq", **limits) -> tuple[DataFrame, list[str]]:
+    """Documents with ``counts`` and ``tfidf`` for a model, and its vocabulary (at most ``size`` terms on the driver).
     The vocabulary is learnt from the documents that are not empty; all of them get vectors."""
     listed = with_terms(documents)
-    rows = vocabulary(non_empty(listed), **limits).collect()
+    rows = vocabulary(term_statistics(non_empty(listed), key), size, **limits).collect()
     vocab = [r.term for r in rows]
     if not vocab:
         raise ValueError("no term is frequent enough")
     return tfidf_vectors(count_vectors(listed, vocab), [r.doc_count for r in rows], rows[0].n_docs), vocab
 
 
+def named_terms(spark: SparkSession, vocab: list[str]) -> DataFrame:
+    """index and term of a model's vocabulary."""
+    return F.broadcast(small_table(spark, list(enumerate(vocab)), "index int, term string"))
+
+
 def vector_entries(df: DataFrame, key: str, vector: str, vocab: list[str]) -> DataFrame:
     """Long form of a sparse vector column: key, term, weight."""
     inner = F.unwrap_udt(vector)
-    names = F.array(*[F.lit(t) for t in vocab])
     entry = F.inline(F.arrays_zip(inner["indices"].alias("index"), inner["values"].alias("weight")))
-    return df.select(key, entry).select(key, F.element_at(names, F.col("index") + 1).alias("term"), "weight")
+    return df.select(key, entry).join(named_terms(df.sparkSession, vocab), "index").select(key, "term", "weight")
 
 
 # ---------------------------------------------------------------- LDA
 
 
-def model_input(vectors: DataFrame, key: str = "review_seq", partitions: int = MODEL_PARTITIONS) -> DataFrame:
+def model_input(vectors: DataFrame, key: str = "review_seq", partitions: int | None = None) -> DataFrame:
     """Count vectors of the non-empty documents, written once: every fit reads them many times.
 
-    Models draw and sum by partition, so documents are dealt by the hash of their key over a stated number of partitions and
-    sorted inside: the same topics come out however the input was split and on any number of cores.
+    Models draw and sum by partition, so documents are dealt by the hash of their key over a number of partitions that depends on
+    their number alone, and sorted inside: the same topics come out however the input was split and on any number of cores.
     """
-    dealt = non_empty(vectors).select(key, "counts").repartition(partitions, key).sortWithinPartitions(key)
+    given = cut_lineage(non_empty(vectors).select(key, "counts"))
+    partitions = partitions or max(8, given.count() // MODEL_DOCUMENTS)
+    dealt = given.repartition(partitions, key).sortWithinPartitions(key)
     return cut_lineage(dealt.select("counts"))
 
 
@@ -154,17 +180,33 @@ def fit_lda(
     return lda.fit(counted)
 
 
-def perplexity(model: LDAModel, counted: DataFrame) -> float:
-    return float(np.exp(model.logPerplexity(counted)))
+def perplexity(model: LDAModel, counted: DataFrame, word_prior: float | None = 0.01) -> float:
+    """The perplexity from the variational bound of all documents (``topic_bound``). ``word_prior`` as in ``fit_lda``."""
+    topics = model.topicsMatrix().toArray()
+    prior = model.estimatedDocConcentration().toArray()
+    return corpus_bound(counted, topics, prior, word_prior or 1.0 / topics.shape[1]).head().perplexity
+
+
+def topic_count_search(
+    counted: DataFrame, max_topics: int = fixed.MAX_TOPIC_COUNT, iterations: int = 10, at_once: int = SEARCH_THREADS
+) -> DataFrame:
+    """Perplexity for each number of topics from 2. Each fit is a distributed job from a start of its own, derived from its k; one
+    row comes back.
+
+    ``at_once`` fits run side by side from threads of the driver, all over the one written input: while one waits for its last
+    tasks or for the driver, the others use the cores. With ``spark.scheduler.mode`` FAIR they share them evenly.
+    """
+    spark = counted.sparkSession
 
+    def figure(k: int) -> tuple[int, float]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"topics-{k}")
+        model = fit_lda(counted, k, iterations, doc_prior=None, word_prior=None, seed=fixed.TOPIC_SEED + k)
+        return k, perplexity(model, counted, None)
 
-def topic_count_search(counted: DataFrame, max_topics: int = fixed.MAX_TOPIC_COUNT, iterations: int = 10) -> DataFrame:
-    """Perplexity for each number of topics from 2. Each fit is a distributed job; one row comes back."""
-    rows = []
-    for k in range(2, max_topics + 1):
-        model = fit_lda(counted, k, iterations, doc_prior=None, word_prior=None)
-        rows.append((k, perplexity(model, counted)))
-    return small_table(counted.sparkSession, rows, "k int, perplexity double")
+    with ThreadPoolExecutor(at_once) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(figure), k) for k in range(max_topics, 1, -1)]  # the longest first
+        rows = sorted(w.result() for w in waiting)
+    return small_table(spark, rows, "k int, perplexity double")
 
 
 def elbow(perplexities: DataFrame, published_offset: bool = True) -> DataFrame:
@@ -184,14 +226,14 @@ def elbow(perplexities: DataFrame, published_offset: bool = True) -> DataFrame:
 def topic_words(model: LDAModel, vocab: list[str], n: int = 10) -> DataFrame:
     """Top words of each topic: topic_id, word_rank (from 1), word, weight."""
     top = model.describeTopics(n)
-    names = F.array(*[F.lit(t) for t in vocab])
     listed = top.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("at", "entry"))
-    return listed.select(
+    listed = listed.select(
         F.col("topic").alias("topic_id"),
         (F.col("at") + 1).alias("word_rank"),
-        F.element_at(names, F.col("entry.termIndices") + 1).alias("word"),
+        F.col("entry.termIndices").alias("index"),
         F.col("entry.termWeights").alias("weight"),
     )
+    return listed.join(named_terms(top.sparkSession, vocab), "index").select("topic_id", "word_rank", F.col("term").alias("word"), "weight")
 
 
 def wordcloud_weights(model: LDAModel, vocab: list[str], n: int = 50) -> DataFrame:
@@ -273,14 +315,22 @@ def report_lines(words_of_topics: DataFrame, labels: DataFrame, n_topics: int, n
     return small_table(spark, list(numbered), "line_no long, value string").unionByName(topic_lines)
 
 
-def model_topics(df: DataFrame, themes: DataFrame, n_topics: int | None = None, column: str = "processed_text", key: str = "review_seq", **limits):
+def model_topics(
+    df: DataFrame,
+    themes: DataFrame,
+    n_topics: int | None = None,
+    column: str = "processed_text",
+    key: str = "review_seq",
+    vocabulary_size: int = fixed.VOCABULARY_SIZE,
+    **limits,
+):
     """The whole stage: reviews with topic columns, the top words and the labels, and the model figures.
     Too few documents give topic columns without values, and None."""
     documents = prepare_documents(df, column)
     if not has_enough(documents):
         kinds = {"topic_id": "int", "topic_probability": "double", "topic_label": "string"}
         return df.withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()}), None
-    vectors, vocab = vectorize(documents, **limits)
+    vectors, vocab = vectorize(documents, vocabulary_size, key, **limits)
     counted = model_input(vectors, key)
     k = n_topics or elbow(topic_count_search(counted)).head().optimal_topics
     model = fit_lda(counted, k)

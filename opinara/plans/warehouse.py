@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from opinara import fixed_values as fixed
 from opinara.functions.casting import first_date, nan_to_null, to_date, to_number, to_whole
 from opinara.functions.labels import quality_score
-from opinara.operators.keys import add_dense_key, insert_or_ignore
+from opinara.operators.keys import add_dense_key, highest_keys, insert_or_ignore
 from opinara.operators.lookup import lookup, which_are_small
 from opinara.operators.small import small_table
 from opinara.sources import schemas
@@ -117,16 +117,34 @@ def star_dimensions(reviews: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+STAR_KEYS = {
+    "dim_bank": ("bank_id", ["bank_name"]),
+    "dim_branch": ("branch_id", ["branch_name", "branch_location"]),
+    "dim_date": ("date_id", ["review_date"]),
+    "dim_sentiment": ("sentiment_id", ["textblob_polarity"]),
+}
+
+
+def extend_star(stored: dict[str, DataFrame], reviews: DataFrame, highest: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The stored dimensions with the members that later reviews bring. Known members keep their keys and columns; new ones get
+    the next keys. ``highest`` are the stored largest keys (``star_highest``). Write the results before the next step."""
+    known = {r.table_name: r.highest for r in highest.collect()} if highest is not None else {}  # one row per table
+    fresh = star_dimensions(reviews)
+    return {
+        table: insert_or_ignore(stored[table], fresh[table].drop(key), natural, key=key, highest=known.get(table))
+        for table, (key, natural) in STAR_KEYS.items()
+    }
+
+
+def star_highest(dims: dict[str, DataFrame], before: DataFrame | None = None) -> DataFrame:
+    """Per dimension the largest key that was ever given."""
+    return highest_keys({table: (dims[table], key) for table, (key, _) in STAR_KEYS.items()}, before)
+
+
 def load_fact(reviews: DataFrame, dims: dict[str, DataFrame], key: str = "review_seq") -> DataFrame:
     """Fact rows with the four dimension keys; a missing member leaves its key null."""
-    steps = [
-        ("dim_bank", "bank_id", ["bank_name"]),
-        ("dim_branch", "branch_id", ["branch_name", "branch_location"]),
-        ("dim_date", "date_id", ["review_date"]),
-        ("dim_sentiment", "sentiment_id", ["textblob_polarity"]),
-    ]
-    out, small = reviews, which_are_small({table: dims[table] for table, _, _ in steps})
-    for table, surrogate, natural in steps:
+    out, small = reviews, which_are_small({table: dims[table] for table in STAR_KEYS})
+    for table, (surrogate, natural) in STAR_KEYS.items():
         members = dims[table].select(surrogate, *natural)
         out = lookup(out, members, {c: c for c in natural}, [key], small=small[table])
     names = [f.name for f in schemas.FACT_NARROW if f.name != "review_id"]

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from opinara import fixed_values as fixed
 from opinara.functions import text as tx
 from opinara.functions.numbers import half_up
+from opinara.functions.stemming import stem_tokens, stem_words
+from opinara.operators.lineage import cut_lineage
 from opinara.operators.small import small_table
-from opinara.plans import cleaning
+from opinara.plans import cleaning, vocabulary
 from opinara.registry.core import (
     KEPT, PROCESSED, REVIEWS_RAW, SENTENCE_END, SPACES, query, rounded, sql_clean, sql_tokens, sql_words, text_list, text_literal, with_ctes,
 )
@@ -134,6 +136,61 @@ def stemmed_reviews(spark, folder):
     )
 
 
+# A normal form that SQL has too: endings in "s" and "x" go, and "ment" at the end of a longer word.
+_NORMAL = "regexp_replace(regexp_replace({}, '([a-z]{{3}})[sx]$', '\\1'), '([a-z]{{4}})ment$', '\\1')"
+_TABLE = f"""
+word_table AS (SELECT word, {_NORMAL.format('word')} AS normal FROM (SELECT DISTINCT unnest(tokens) AS word FROM processed))"""
+
+
+def _normal(word):
+    return F.regexp_replace(F.regexp_replace(word, "([a-z]{3})[sx]$", "$1"), "([a-z]{4})ment$", "$1")
+
+
+def _word_tables(spark, folder, normalise):
+    """Reviews with plain words, and the word table: stored after the reviews with an even number, extended for all of them."""
+    plain = cut_lineage(cleaning.plain_tokens(cleaning.remove_duplicates(reviews_raw(spark, folder))).select("review_seq", "tokens"))
+    early = plain.filter("review_seq % 2 = 0")
+    stored = cut_lineage(vocabulary.extend_word_table(None, vocabulary.distinct_words(early), normalise))
+    return plain, cut_lineage(vocabulary.extend_word_table(stored, vocabulary.distinct_words(plain), normalise))
+
+
+@query("word_table", with_ctes(REVIEWS_RAW, KEPT, PROCESSED, _TABLE, select="SELECT * FROM word_table"))
+def word_table(spark, folder):
+    return _word_tables(spark, folder, _normal)[1]
+
+
+_NORMALISED = with_ctes(
+    REVIEWS_RAW, KEPT, PROCESSED,
+    select=f"""SELECT review_seq, array_to_string(list_transform(tokens, lambda t: {_NORMAL.format('t')}), ' ') AS processed_text
+      FROM processed""",
+)
+
+
+@query("words_normalised", _NORMALISED)
+def words_normalised(spark, folder):
+    out = vocabulary.normalise_words(*_word_tables(spark, folder, _normal))
+    return out.select("review_seq", F.array_join("tokens", " ").alias("processed_text"))
+
+
+@query("words_normalised_by_shuffle", _NORMALISED)
+def words_normalised_by_shuffle(spark, folder):
+    """The same for a table that is too long to share."""
+    out = vocabulary.normalise_words(*_word_tables(spark, folder, _normal), most_shared=0)
+    return out.select("review_seq", F.array_join("tokens", " ").alias("processed_text"))
+
+
+@query(
+    "stems_of_table_hold",
+    with_ctes(REVIEWS_RAW, KEPT, PROCESSED, select="SELECT review_seq, len(tokens) AS n_words, 1 AS as_stemmed FROM processed"),
+)
+def stems_of_table_hold(spark, folder):
+    """Per review: its words, and that the stems of the stored table are those that its words have one by one."""
+    plain, table = _word_tables(spark, folder, stem_words)
+    both = plain.withColumn("one_by_one", stem_tokens("tokens"))
+    out = vocabulary.normalise_words(both, table)
+    return out.select("review_seq", F.size("tokens").alias("n_words"), (F.col("tokens") == F.col("one_by_one")).alias("as_stemmed"))
+
+
 # A short lemma table (fixed values), and a long one: each plain word that ends in "s", without it.
 _SHORT_LEMMAS = {"the": "le", "and": "et", "of": "de", "with": "avec", "was": "be", "is": "be"}
 _LEMMATIZED = f"array_to_string(list_transform(tokens, lambda t: {{}}), ' ')"

@@ -46,11 +46,11 @@ term_rows AS (SELECT review_seq, w AS term FROM single_rows UNION ALL
     FROM single_rows) WHERE n IS NOT NULL),
 statistics AS (SELECT term, count(*) AS term_count, count(DISTINCT review_seq) AS doc_count,
   (SELECT count(*) FROM singles) AS n_docs FROM term_rows GROUP BY term),
-vocabulary AS (SELECT * FROM statistics WHERE doc_count >= 2 AND doc_count <= n_docs * CAST(0.8 AS DOUBLE)
-  ORDER BY term_count DESC, term LIMIT 1000),
+usable AS (SELECT * FROM statistics WHERE doc_count >= 2 AND doc_count <= n_docs * CAST(0.8 AS DOUBLE)),
+vocabulary AS (SELECT * FROM usable ORDER BY term_count DESC, term LIMIT 1000),
 counts AS (SELECT review_seq, term, count(*) AS n FROM term_rows GROUP BY review_seq, term),
 weights AS (SELECT review_seq, term, n * (ln((1 + n_docs) / CAST(1 + doc_count AS DOUBLE)) + 1) AS w
-  FROM counts JOIN vocabulary USING (term)),
+  FROM counts JOIN usable USING (term)),
 norms AS (SELECT review_seq, sqrt(sum(w * w)) AS norm FROM weights GROUP BY review_seq)"""
 CTES = (REVIEWS_RAW, KEPT, PROCESSED, _DOCUMENTS, _TERMS)
 
@@ -60,35 +60,63 @@ def topic_documents(spark, folder):
     return documents(spark, folder).select("review_seq", "document")
 
 
+def listed_terms(spark, folder):
+    """The terms of the documents that are not empty, written once."""
+    return cut_lineage(topics.with_terms(topics.non_empty(documents(spark, folder))).select("review_seq", "terms"))
+
+
 @query("term_statistics", with_ctes(*CTES, select="SELECT * FROM statistics"))
 def term_statistics(spark, folder):
-    listed = topics.with_terms(topics.non_empty(documents(spark, folder)))
-    return topics.term_statistics(listed)
+    return topics.term_statistics(listed_terms(spark, folder))
 
 
 @query("vocabulary", with_ctes(*CTES, select="SELECT * FROM vocabulary"))
 def vocabulary(spark, folder):
-    return topics.vocabulary(topics.with_terms(topics.non_empty(documents(spark, folder))))
+    """The terms that a model of this width takes."""
+    return topics.vocabulary(term_statistics(spark, folder), size=fixed.VOCABULARY_SIZE)
 
 
-@query(
-    "term_count_vectors",
-    with_ctes(
-        *CTES, select="SELECT review_seq, term, CAST(n AS DOUBLE) AS weight FROM counts JOIN vocabulary USING (term)"
-    ),
-)
+@query("term_count_vectors", with_ctes(*CTES, select="SELECT review_seq, term, CAST(n AS DOUBLE) AS weight FROM counts"))
 def term_count_vectors(spark, folder):
-    vectors, vocab = topics.vectorize(written_documents(spark, folder))
-    return topics.vector_entries(vectors, "review_seq", "counts", vocab)
+    """Every term of every document."""
+    counts = topics.term_counts(listed_terms(spark, folder))
+    return counts.select("review_seq", "term", F.col("n").cast("double").alias("weight"))
+
+
+_WEIGHTS = with_ctes(*CTES, select=f"SELECT review_seq, term, {rounded('w / norm')} AS weight FROM weights JOIN norms USING (review_seq)")
+
+
+def _tfidf(spark, folder, **options):
+    listed = listed_terms(spark, folder)
+    counts = cut_lineage(topics.term_counts(listed))
+    usable = topics.usable_terms(topics.statistics_of(counts, listed.count()))
+    return topics.tfidf_weights(counts, usable, **options)
+
+
+@query("tfidf_vectors", _WEIGHTS)
+def tfidf_vectors(spark, folder):
+    """The weights of all usable terms."""
+    return _tfidf(spark, folder)
+
+
+@query("tfidf_by_shuffle", _WEIGHTS)
+def tfidf_by_shuffle(spark, folder):
+    """The same with few terms that count as frequent, so that the rest is joined by shuffle."""
+    return _tfidf(spark, folder, most_broadcast=50)
 
 
 @query(
-    "tfidf_vectors",
-    with_ctes(*CTES, select=f"SELECT review_seq, term, {rounded('w / norm')} AS weight FROM weights JOIN norms USING (review_seq)"),
+    "model_count_vectors",
+    with_ctes(*CTES, select="SELECT review_seq, term, CAST(n AS DOUBLE) AS weight FROM counts JOIN vocabulary USING (term)"),
 )
-def tfidf_vectors(spark, folder):
-    vectors, vocab = topics.vectorize(written_documents(spark, folder))
-    return topics.vector_entries(vectors, "review_seq", "tfidf", vocab)
+def model_count_vectors(spark, folder):
+    """The input of a model that is as wide as its vocabulary."""
+    vectors, vocab = _vectors(spark, folder)
+    return topics.vector_entries(vectors, "review_seq", "counts", vocab)
+
+
+def _vectors(spark, folder):
+    return topics.vectorize(written_documents(spark, folder), size=fixed.VOCABULARY_SIZE)
 
 
 _CURVE = """
@@ -237,7 +265,7 @@ def topics_by_bank(spark, folder):
 
 
 def _model(spark, folder):
-    vectors, vocab = topics.vectorize(written_documents(spark, folder))
+    vectors, vocab = _vectors(spark, folder)
     counted = topics.model_input(vectors)
     return vectors, vocab, counted, topics.fit_lda(counted)
 
@@ -385,12 +413,12 @@ def topic_report_lines(spark, folder):
 
 @query("topic_count_search")
 def topic_count_search(spark, folder):
-    vectors, _ = topics.vectorize(written_documents(spark, folder))
+    vectors, _ = _vectors(spark, folder)
     return topics.topic_count_search(topics.model_input(vectors))
 
 
 def _factors(spark, folder):
-    vectors, vocab = topics.vectorize(topics.non_empty(written_documents(spark, folder)))
+    vectors, vocab = topics.vectorize(topics.non_empty(written_documents(spark, folder)), size=fixed.VOCABULARY_SIZE)
     h, objective = topics.fit_nmf(vectors, len(vocab))
     return h, vocab, objective
 

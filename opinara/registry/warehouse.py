@@ -43,7 +43,7 @@ def loaded(spark, folder):
 def _key(*natural: str) -> str:
     parts = ", ".join(f"coalesce({c}, '\\N')" for c in natural)
     order = ", ".join(f"{c} NULLS FIRST" for c in natural)
-    return f"row_number() OVER (ORDER BY substr(md5(concat_ws(chr(31), {parts})), 1, 2), {order})"
+    return f"row_number() OVER (ORDER BY substr(md5(concat_ws(chr(31), {parts})), 1, 4), {order})"
 
 
 _CITY = "CASE " + " ".join(f"WHEN contains(branch_location, '{c}') THEN '{c}'" for c in fixed.CITIES) + " END"
@@ -140,19 +140,87 @@ def calendar(spark, folder):
     return warehouse.calendar(spark, str(days[0]), str(days[1]))
 
 
+# Two batches: every third review comes later. A member of the first batch keeps its key, a new one gets the next.
+_BATCHES = f"""early AS (SELECT * FROM loaded WHERE review_seq % 3 <> 0 AND review_seq % 41 < 30),
+bank_1 AS (SELECT {_key('bank_name')} AS bank_id, bank_name FROM (SELECT DISTINCT bank_name FROM early WHERE bank_name IS NOT NULL)),
+branch_1 AS (SELECT {_key('branch_name', 'branch_location')} AS branch_id, branch_name, branch_location
+  FROM (SELECT DISTINCT branch_name, branch_location FROM early)),
+date_1 AS (SELECT {_key('review_date')} AS date_id, review_date FROM (SELECT DISTINCT review_date FROM early WHERE {_DAY} IS NOT NULL)),
+bank_2 AS (SELECT * FROM bank_1 UNION ALL SELECT coalesce((SELECT max(bank_id) FROM bank_1), 0) + {_key('bank_name')}, bank_name
+  FROM (SELECT DISTINCT bank_name FROM loaded WHERE bank_name IS NOT NULL) l WHERE bank_name NOT IN (SELECT bank_name FROM bank_1)),
+branch_2 AS (SELECT * FROM branch_1 UNION ALL SELECT coalesce((SELECT max(branch_id) FROM branch_1), 0)
+  + {_key('branch_name', 'branch_location')}, branch_name, branch_location FROM (SELECT DISTINCT branch_name, branch_location FROM loaded) l
+  WHERE NOT EXISTS (SELECT 1 FROM branch_1 b WHERE b.branch_name IS NOT DISTINCT FROM l.branch_name
+    AND b.branch_location IS NOT DISTINCT FROM l.branch_location)),
+date_2 AS (SELECT * FROM date_1 UNION ALL SELECT coalesce((SELECT max(date_id) FROM date_1), 0) + {_key('review_date')}, review_date
+  FROM (SELECT DISTINCT review_date FROM loaded WHERE {_DAY} IS NOT NULL) l WHERE review_date NOT IN (SELECT review_date FROM date_1))"""
+
+
+def early(spark, folder):
+    """The first batch; some members are in later reviews only."""
+    return loaded(spark, folder).filter("review_seq % 3 <> 0 AND review_seq % 41 < 30")
+
+
+def _two_batches(spark, folder):
+    """The dimensions after the first batch and after the second."""
+    first = _dimensions(early(spark, folder))
+    highest = warehouse.star_highest(first)
+    second = warehouse.extend_star(first, loaded(spark, folder), highest)
+    return first, {name: cut_lineage(table) for name, table in second.items()}
+
+
+@query("branch_keys_continue", with_ctes(_INPUT, _BATCHES, select=f"SELECT *, {_CITY} AS city FROM branch_2"))
+def branch_keys_continue(spark, folder):
+    return _two_batches(spark, folder)[1]["dim_branch"].drop("region")
+
+
+@query(
+    "fact_in_batches",
+    with_ctes(
+        _INPUT, _BATCHES,
+        select="""SELECT review_seq AS review_id, bank_id, branch_id, date_id, review_text, rating, word_count, char_count,
+          has_exclamation, has_question, has_caps FROM loaded l LEFT JOIN bank_2 USING (bank_name)
+          LEFT JOIN branch_2 b ON b.branch_name IS NOT DISTINCT FROM l.branch_name
+            AND b.branch_location IS NOT DISTINCT FROM l.branch_location
+          LEFT JOIN date_2 USING (review_date)""",
+    ),
+)
+def fact_in_batches(spark, folder):
+    """The facts of the first batch, loaded with its dimensions, and those of the rest, loaded with the extended ones."""
+    first, second = _two_batches(spark, folder)
+    rows = loaded(spark, folder)
+    is_early = F.expr("review_seq % 3 <> 0 AND review_seq % 41 < 30")
+    facts = warehouse.load_fact(rows.filter(is_early), first).unionByName(warehouse.load_fact(rows.filter(~is_early), second))
+    return facts.drop("sentiment_id")
+
+
+@query(
+    "highest_keys",
+    with_ctes(
+        _INPUT, _BATCHES,
+        select="""SELECT 'dim_bank' AS table_name, max(bank_id) AS highest FROM bank_2 UNION ALL
+          SELECT 'dim_branch', max(branch_id) FROM branch_2 UNION ALL SELECT 'dim_date', max(date_id) FROM date_2 UNION ALL
+          SELECT 'dim_sentiment', count(DISTINCT textblob_polarity) FROM loaded""",
+    ),
+)
+def highest_keys(spark, folder):
+    first, second = _two_batches(spark, folder)
+    return warehouse.star_highest(second, warehouse.star_highest(first))
+
+
 _TOPIC_SEED = ", ".join(f"({n}, '{name}')" for n, (name, _) in enumerate(fixed.TOPIC_ROWS, 1))
 
 
 @query(
     "topics_inserted_once",
     f"""SELECT topic_name, topic_id FROM (VALUES {_TOPIC_SEED}) AS t(topic_id, topic_name) UNION ALL
-      SELECT DISTINCT lower(p_type), NULL FROM part""",
+      SELECT topic_name, {len(fixed.TOPIC_ROWS)} + {_key('topic_name')} FROM (SELECT DISTINCT lower(p_type) AS topic_name FROM part)""",
 )
 def topics_inserted_once(spark, folder):
-    """Part types as new topics, inserted twice."""
+    """Part types as new topics, inserted twice; the first time they get the next keys."""
     new = load(spark, folder, "part").select(F.lower("p_type").alias("topic_name"))
-    once = insert_or_ignore(warehouse.topic_dimension(spark), new, ["topic_name"])
-    return insert_or_ignore(once, new, ["topic_name"]).select("topic_name", "topic_id")
+    once = insert_or_ignore(warehouse.topic_dimension(spark), new, ["topic_name"], key="topic_id")
+    return insert_or_ignore(once, new, ["topic_name"], key="topic_id").select("topic_name", "topic_id")
 
 
 @query(

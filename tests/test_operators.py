@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from opinara.operators.binding import bind
 from opinara.operators.dedupe import first_n
 from opinara.operators.gather import grouped_text, term_counts
-from opinara.operators.keys import add_dense_key, insert_or_ignore
+from opinara.operators.keys import add_dense_key, highest_keys, insert_or_ignore
 from opinara.operators.lookup import hot_keys, lookup, which_are_small
 from opinara.operators.statistics import exact_percentiles
 
@@ -81,6 +81,30 @@ def test_insert_or_ignore_with_repeats_in_a_batch(spark):
     assert {r.name: r.n for r in last} == {"a": 0, "b": 5, "c": 4, None: 2} and len(last) == 4
 
 
+def test_keys_continue(spark):
+    """Members keep their keys through three batches; a key that was given once is not given again."""
+    frame = lambda names: spark.createDataFrame([(n,) for n in names], "name string")
+    none = spark.createDataFrame([], "id long, name string")
+    first = {r.name: r.id for r in insert_or_ignore(none, frame(["a", "b", None, "b"]), ["name"], key="id").collect()}
+    assert sorted(first.values()) == [1, 2, 3] and set(first) == {"a", "b", None}
+    table = spark.createDataFrame([(i, n) for n, i in first.items()], "id long, name string")
+    names = ["b", "c", None, "d", "c", "e"]
+    second = insert_or_ignore(table, frame(names).repartition(3), ["name"], key="id")
+    rows = {r.name: r.id for r in second.collect()}
+    assert {n: rows[n] for n in first} == first and sorted(rows[n] for n in "cde") == [4, 5, 6]
+    assert rows == {r.name: r.id for r in insert_or_ignore(table, frame(names[::-1]), ["name"], key="id").collect()}
+    # the member with the largest key goes, and another one comes
+    highest = highest_keys({"t": (second, "id")})
+    left = second.filter("id < 5 or id is null")
+    again = insert_or_ignore(left, frame(["f"]), ["name"], key="id", highest=highest.head().highest)
+    assert {r.name: r.id for r in again.collect()}["f"] == 7
+    assert highest_keys({"t": (left, "id"), "u": (none, "id")}, highest).orderBy("table_name").collect() == [("t", 6), ("u", 0)]
+    # columns that the new rows don't have are null, a key they bring is not used
+    wide = spark.createDataFrame([(9, "z", "kept")], "id long, name string, note string")
+    more = insert_or_ignore(wide, spark.createDataFrame([(1, "y")], "id long, name string"), ["name"], key="id")
+    assert sorted(tuple(r) for r in more.collect()) == [(9, "z", "kept"), (10, "y", None)]
+
+
 @pytest.mark.parametrize("partitions", [1, 8])
 def test_grouped_text_is_whole_and_ordered(spark, partitions):
     rows = [(i, "x" if i % 3 else None, f"t{i}") for i in range(100)]

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions import casting, text as tx
-from opinara.functions.stemming import stem
-from opinara.plans import cleaning
+from opinara.functions.stemming import stem, stem_tokens
+from opinara.plans import cleaning, vocabulary
 
 
 def test_clean_basic(value):
@@ -113,3 +114,34 @@ def test_odd_spaces_part_words(value):
     assert value(given, "string", tx.words) == [list("abcdefg"), ["moi@site.ma", "ici", "lui@site.ma"], ["UN", "DEUX"]]
     assert value(given, "string", tx.clean_basic) == ["a b cd e f g", "ici", "un deux"]
     assert value(given, "string", tx.has_shouting) == [False, False, True]
+
+
+@pytest.mark.parametrize("most_shared", [0, 1000])
+def test_word_table(spark, most_shared):
+    rows = [(1, ["banques", "agence", "banques"]), (2, []), (3, None), (4, ["agences", None, "zzz"])]
+    df = spark.createDataFrame(rows, "review_seq long, tokens array<string>").repartition(3)
+    first = vocabulary.extend_word_table(None, vocabulary.distinct_words(df.filter("review_seq = 1")))
+    table = {r.word: r.normal for r in first.collect()}
+    assert table == {"banques": "banqu", "agence": "agenc"}
+    # a stored form stands, also where the rules would give another; only the missing words are worked out
+    stored = spark.createDataFrame([("banques", "BANK"), ("agence", "agenc")], "word string, normal string")
+    second = vocabulary.extend_word_table(stored, vocabulary.distinct_words(df), lambda w: F.when(w != "zzz", F.upper(w)))
+    table = {r.word: r.normal for r in second.collect()}
+    assert table == {"banques": "BANK", "agence": "agenc", "agences": "AGENCES", "zzz": "zzz"}
+    without = second.filter("word <> 'zzz'")
+    found = {r.review_seq: r.tokens for r in vocabulary.normalise_words(df, without, most_shared=most_shared).collect()}
+    assert found == {1: ["BANK", "agenc", "BANK"], 2: [], 3: None, 4: ["AGENCES", None, "zzz"]}
+    none = vocabulary.normalise_words(df, without.limit(0), most_shared=most_shared)
+    assert {r.review_seq: r.tokens for r in none.collect()} == dict(rows)
+
+
+def test_stems_of_lists(spark):
+    rows = [(1, ["banques", "rapides"]), (2, []), (3, None), (4, [None, "agences"])]
+    df = spark.createDataFrame(rows, "n int, t array<string>").repartition(2)
+    assert {r.n: r.s for r in df.select("n", stem_tokens("t").alias("s")).collect()} == {1: ["banqu", "rapid"], 2: [], 3: None, 4: [None, "agenc"]}
+
+
+def test_cleaning_with_a_word_table(spark):
+    table = spark.createDataFrame([("attente", "ATT")], "word string, normal string")
+    out = cleaning.clean_reviews(_reviews(spark, [(1, "a", "attente longue guichets fermes")]), word_table=table).head()
+    assert out.processed_text == "ATT longue guichets fermes"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
 from opinara.operators.small import small_table
-from opinara.plans import topics
+from opinara.plans import topic_bound, topics
 from opinara.registry.topics import documents
 from opinara.sources.seeds import themes
 
@@ -58,7 +58,7 @@ def test_terms_and_vectors(spark):
     listed = topics.with_terms(docs).orderBy("review_seq").collect()
     assert listed[0].terms == ["compte", "bon", "bon", "compte bon", "bon bon"]
     assert listed[2].terms == ["frais", "compte", "frais compte"] and listed[3].terms == []
-    vectors, vocab = topics.vectorize(docs, max_share=1.0)
+    vectors, vocab = topics.vectorize(docs, size=1000, max_share=1.0)
     assert vocab == ["bon", "compte", "compte bon", "frais"]
     found = {(r.review_seq, r.term): r.weight for r in topics.vector_entries(vectors, "review_seq", "counts", vocab).collect()}
     assert found[(1, "bon")] == 2 and (3, "bon") not in found
@@ -76,7 +76,7 @@ def test_terms_and_vectors(spark):
 
 @pytest.fixture(scope="module")
 def fitted(spark, folder):
-    vectors, vocab = topics.vectorize(documents(spark, folder))
+    vectors, vocab = topics.vectorize(documents(spark, folder), size=1000)
     counted = topics.model_input(vectors)
     return vectors, vocab, counted, topics.fit_lda(counted, 4, 5)
 
@@ -95,6 +95,72 @@ def test_lda(spark, fitted):
     assert topics.wordcloud_weights(model, vocab).filter("word_rank > 50").count() == 0
 
 
+def _bound_by_loops(counts, topics, prior):
+    """The bound of one document (term: count), one number at a time."""
+    terms, k = topics.shape
+    total = topics.sum(0)
+    psi = lambda x: float(topic_bound.digamma(np.array(x)))
+    log_words = {t: [psi(topics[t, j]) - psi(total[j]) for j in range(k)] for t in counts}
+    gamma = [prior[j] + sum(counts.values()) / k for j in range(k)]
+    for _ in range(2000):
+        logs = [psi(g) - psi(sum(gamma)) for g in gamma]
+        raised = list(prior)
+        for t, n in counts.items():
+            parts = [math.exp(logs[j] + log_words[t][j]) for j in range(k)]
+            raised = [raised[j] + n * parts[j] / sum(parts) for j in range(k)]
+        change = sum(abs(a - b) for a, b in zip(raised, gamma, strict=True)) / k
+        gamma = raised
+        if change < 1e-9:
+            break
+    logs = [psi(g) - psi(sum(gamma)) for g in gamma]
+    bound = sum(n * math.log(sum(math.exp(logs[j] + log_words[t][j]) for j in range(k))) for t, n in counts.items())
+    bound += sum((prior[j] - gamma[j]) * logs[j] + math.lgamma(gamma[j]) - math.lgamma(prior[j]) for j in range(k))
+    return bound + math.lgamma(sum(prior)) - math.lgamma(sum(gamma))
+
+
+def test_bound_by_loops(spark, fitted):
+    vectors, vocab, _, model = fitted
+    topic_matrix, prior = model.topicsMatrix().toArray(), model.estimatedDocConcentration().toArray()
+    rows = {r.review_seq: r for r in topic_bound.bounds(vectors, topic_matrix, prior, keep=("review_seq",)).collect()}
+    given = {r.review_seq: r.counts for r in vectors.select("review_seq", "counts").collect()}
+    assert set(rows) == set(given)
+    for n in sorted(given)[:12]:
+        counts = dict(zip(given[n].indices.tolist(), given[n].values.tolist(), strict=True))
+        wanted = _bound_by_loops(counts, topic_matrix, prior) if counts else 0.0
+        assert rows[n].bound == pytest.approx(wanted, rel=1e-6, abs=1e-9) and rows[n].tokens == sum(counts.values())
+
+
+def test_bound_is_the_published_figure(spark, fitted):
+    _, vocab, counted, model = fitted
+    row = topic_bound.corpus_bound(counted, model.topicsMatrix().toArray(), model.estimatedDocConcentration().toArray(), 0.01).head()
+    assert row.bound == pytest.approx(model.logLikelihood(counted), rel=1e-5)
+    assert row.perplexity == pytest.approx(math.exp(model.logPerplexity(counted)), rel=1e-4)
+    again = topic_bound.corpus_bound(counted.repartition(3), model.topicsMatrix().toArray(), model.estimatedDocConcentration().toArray(), 0.01)
+    assert again.head().bound == pytest.approx(row.bound, rel=1e-12)
+
+
+def test_search_side_by_side(spark, fitted):
+    counted = fitted[2]
+    one_by_one = topics.topic_count_search(counted, 5, 3, at_once=1).collect()
+    assert topics.topic_count_search(counted, 5, 3, at_once=4).collect() == one_by_one
+    assert [r.k for r in one_by_one] == [2, 3, 4, 5] and all(r.perplexity > 1 for r in one_by_one)
+
+
+@pytest.mark.parametrize("most_broadcast", [1, 3, topics.MOST_FREQUENT])
+def test_weights_of_all_terms(spark, most_broadcast):
+    rows = [(1, "compte client bon bon"), (2, "compte bon frais"), (3, "frais compte a"), (4, "un deux"), (5, None)]
+    docs = topics.with_terms(topics.non_empty(topics.prepare_documents(spark.createDataFrame(rows, "review_seq long, processed_text string"))))
+    counts = topics.term_counts(docs)
+    assert {(r.review_seq, r.term): r.n for r in counts.collect()}[(1, "bon")] == 2
+    usable = topics.usable_terms(topics.statistics_of(counts, docs.count()), max_share=1.0)
+    weights = {(r.review_seq, r.term): r.weight for r in topics.tfidf_weights(counts, usable, most_broadcast=most_broadcast).collect()}
+    idf = {t: math.log(4 / (1 + n)) + 1 for t, n in {"bon": 2, "compte": 3, "frais": 2, "compte bon": 2}.items()}
+    norm = math.sqrt((2 * idf["bon"]) ** 2 + idf["compte"] ** 2 + idf["compte bon"] ** 2)
+    assert weights[(1, "bon")] == pytest.approx(2 * idf["bon"] / norm)
+    assert set(weights) == {(1, "bon"), (1, "compte"), (1, "compte bon"), (2, "bon"), (2, "compte"), (2, "compte bon"), (2, "frais"),
+                            (3, "frais"), (3, "compte")}
+
+
 def test_lda_on_other_partitions(spark, fitted):
     vectors, _, _, model = fitted
     for n in (1, 8):
@@ -122,7 +188,7 @@ def test_report_lines(spark, fitted):
 
 
 def test_nmf_objective_falls(spark, folder):
-    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)))
+    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)), size=1000)
     h, objective = topics.fit_nmf(vectors, len(vocab), k=4, iterations=8, tolerance=0.0)
     steps = [r.objective for r in objective.orderBy("iteration").collect()]
     assert all(a >= b - 1e-6 * a for a, b in zip(steps, steps[1:], strict=False)) and steps[-1] < steps[0]
@@ -131,7 +197,7 @@ def test_nmf_objective_falls(spark, folder):
 
 
 def test_nmf_on_other_partitions(spark, folder):
-    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)))
+    vectors, vocab = topics.vectorize(topics.non_empty(documents(spark, folder)), size=1000)
     one, _ = topics.fit_nmf(vectors.repartition(1), len(vocab), k=3, iterations=4, tolerance=0.0)
     eight, _ = topics.fit_nmf(vectors.repartition(8), len(vocab), k=3, iterations=4, tolerance=0.0)
     assert np.allclose(one, eight, rtol=1e-6, atol=1e-9)
