@@ -7,8 +7,8 @@ by chance one time in four, and with that collision corrected the count estimate
 within five standard deviations of a link are fetched and confirmed on full sets.
 
 The sets of a band's key are never turned into all of their pairs. Equal sets are one node. Nodes first meet one node of each key:
-the most central one, then a few drawn ones; links unite to components. Then pairs of different components under one key whose
-estimates are high enough meet, so that every link is found or lies inside a component.
+the most central one, then a few drawn ones where several components are left; links unite to components. Then pairs of different
+components under one key whose estimates are high enough meet, so that every link is found or lies inside a component.
 """
 
 import hashlib
@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.common import doc_id, gram_hashes, keyed_texts, mixed, scratch_table
-from opinara.llm.jaccard_join import components, links_with_others
+from opinara.llm.components import components
+from opinara.llm.jaccard_join import links_with_others
 from opinara.llm.unit_store import pieces, sums
 
 SHINGLE = 3
@@ -32,7 +33,7 @@ FUNCTIONS = BANDS * ROWS
 BITS = 2
 WORDS = FUNCTIONS * BITS // 64
 MARGIN = 5  # standard deviations
-_DRAWS = 3  # rounds with drawn centres; what they leave open is settled pair by pair
+_DRAWS = 3  # drawn centres of a key; what they leave open is settled pair by pair
 _CHUNK = 1 << 16
 _BLOCK = 4096  # outside nodes under one key that meet in one block
 
@@ -174,9 +175,11 @@ def _confirm(length: int, percent: int):
     return run
 
 
-def _with_centres(lists: DataFrame, rank: Column, percent: int) -> DataFrame:
-    """Pairs of each node under a key with the node there of the highest rank, if they may link."""
-    centres = lists.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "n", *_PACKED)).alias("c"))
+def _with_centres(lists: DataFrame, ranks: list[Column], percent: int) -> DataFrame:
+    """Pairs of each node under a key with the node there of the highest rank, for each of the ranks, if they may link."""
+    tops = [F.max(F.struct(rank.alias("rank"), "node", "n", *_PACKED)) for rank in ranks]
+    centres = lists.groupBy("key").agg(F.array_distinct(F.array(*[t.dropFields("rank") for t in tops])).alias("c"))
+    centres = centres.select("key", F.explode("c").alias("c"))
     centres = centres.select("key", F.col("c.node").alias("node_c"), F.col("c.n").alias("n_c"), *(F.col(f"c.{g}").alias(f"{g}_c") for g in _PACKED))
     pairs = lists.join(centres, "key").filter((F.col("node") != F.col("node_c")) & _may_link("", "_c", percent))
     return pairs.select(F.greatest("node", "node_c").alias("a"), F.least("node", "node_c").alias("b")).distinct()
@@ -185,7 +188,6 @@ def _with_centres(lists: DataFrame, rank: Column, percent: int) -> DataFrame:
 def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
     """The lists with nodes of several components, with component, main (a component of the key) and outside (nodes of others)."""
     placed = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = scratch_table(placed, "placed")
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     keys = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("m"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("several"))
     keys = keys.filter("several > 1").select("key", F.col("m.component").alias("main"), (F.col("all") - F.col("m.size")).alias("outside"))
@@ -220,25 +222,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, length: int = SHING
     least = next(n for n in range(1, 10_000) if links_with_others(n, percent))
     entries = nodes.filter(F.col("n") >= least).select("node", "n", *_PACKED, F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    lists = scratch_table(entries.join(scratch_table(shared, "shared"), "key"), "lists")
+    lists = scratch_table(entries.join(shared, "key"), "lists")
     fetched = _Texts(texts, nodes, lists, length, percent)
 
-    lists_of = scratch_table(lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists")), "lists-of")
-    judged = scratch_table(_with_centres(lists.join(lists_of, "node"), F.col("lists"), percent), "pairs")
+    lists_of = lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists"))
+    judged = scratch_table(_with_centres(lists.join(lists_of, "node"), [F.col("lists")], percent), "pairs")
     links = fetched.linked(judged)
-    found = scratch_table(components(links), "components")
+    found = components(links)
     open_ = _open_lists(lists, found)
-    for draw in range(_DRAWS):
-        drawn = _with_centres(open_, F.xxhash64(F.lit(draw), "key", "node"), percent)
-        pairs = scratch_table(drawn.join(judged, ["a", "b"], "left_anti"), "pairs")
+    drawn = _with_centres(open_, [F.xxhash64(F.lit(n), "key", "node") for n in range(_DRAWS)], percent) if _DRAWS else judged.limit(0)
+    for step, wanted in enumerate((lambda: drawn, lambda: _pairs_apart(open_, percent))):
+        pairs = scratch_table(wanted().join(judged, ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
-            break
+            continue
         judged, links = judged.unionByName(pairs), links.unionByName(fetched.linked(pairs))
-        found = scratch_table(components(links), "components")
-        open_ = _open_lists(lists, found)
-    apart = scratch_table(_pairs_apart(open_, percent).join(judged, ["a", "b"], "left_anti"), "pairs-apart")
-    more = fetched.linked(apart)
-    found = scratch_table(components(links.unionByName(more)), "components")
+        found = components(links)
+        open_ = _open_lists(lists, found) if step == 0 else open_
 
     named = nodes.join(found, "node", "left").select("s1", "s2", "id", F.coalesce("component", "node").alias("component"))
     names = scratch_table(named.groupBy("component").agg(F.min("id").alias("component_id")), "names")
