@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from opinara.functions.casting import nan_to_null
 from opinara.functions.numbers import half_up
+from opinara.operators.lineage import cut_lineage
+from opinara.operators.lookup import lookup
 from opinara.operators.small import small_table
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
+_STEP = 16  # a group has the square of it in bins, found in two steps
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]], places: int = 6) -> DataFrame:
@@ -36,21 +39,27 @@ def correlation_matrix(df: DataFrame, columns: list[str], places: int = 6) -> Da
     return correlations(df, list(combinations(columns, 2)), places)
 
 
-def exact_percentiles(
-    df: DataFrame, group: str, value: str, points=QUARTILES, low: float = -1.0, high: float = 1.0, bins: int = 1000
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, group: str, value: str, points=QUARTILES) -> DataFrame:
     """Exact, interpolated percentiles of a value per group: group, point, value.
 
-    The built-in exact percentile holds all values of a group in one buffer. Here equal values
-    are counted first, the counts are added up per bin of the range (``bins`` + 2 rows a group,
-    the outer two open-ended), and only the bins that hold a wanted rank are looked into.
+    The built-in exact percentile holds all values of a group in one buffer. Here equal values are counted first. A mergeable sketch
+    of the distinct values, bounded in memory, gives each group edges with about as many values between them, whatever their range
+    and shape. The counts are added up per bin, and only the bins that hold a wanted rank are looked into. An edge of the sketch
+    that is off makes a bin larger or smaller and changes no result.
     """
     filled = df.select(F.col(group), nan_to_null(F.col(value).cast("double")).alias("_value"))
-    filled = filled.filter(F.col("_value").isNotNull())
-    width = (high - low) / bins
-    slot = F.floor((F.col("_value") - F.lit(low)) / F.lit(width))
-    slot = F.greatest(F.lit(-1), F.least(F.lit(bins), slot))
-    counted = filled.groupBy(group, "_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", slot)
+    counted = filled.filter(F.col("_value").isNotNull()).groupBy(group, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counted = cut_lineage(counted)
+    bins = _STEP * _STEP
+    shares = [n / bins for n in range(1, bins)]
+    edges = counted.groupBy(group).agg(F.percentile_approx("_value", shares, 10 * bins).alias("_edges"))
+    coarse = F.transform(F.sequence(F.lit(_STEP), F.lit(bins - _STEP), F.lit(_STEP)), lambda n: F.element_at("_edges", n))
+    edges = cut_lineage(edges.withColumn("_coarse", coarse))
+    placed = lookup(counted, edges, {group: group}, spread_by=["_value"])
+    placed = placed.withColumn("_part", F.size(F.filter("_coarse", lambda e: e <= F.col("_value"))))
+    fine = F.slice("_edges", F.col("_part") * _STEP + 1, F.lit(_STEP - 1))
+    inside = F.size(F.filter(fine, lambda e: e <= F.col("_value")))
+    counted = placed.select(group, "_value", "_n", (F.col("_part") * _STEP + inside).alias("_bin"))
 
     by_group = Window.partitionBy(group)
     before = by_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,7 +13,9 @@ from opinara.functions.casting import PUBLISH_DATE, to_date, to_number
 from opinara.functions.numbers import count_label, half_up, label_share, rows, share
 from opinara.functions.text import word_count
 from opinara.operators.gather import grouped_text, term_counts
+from opinara.operators.lineage import cut_lineage
 from opinara.operators.lookup import lookup, which_are_small
+from opinara.operators.places import add_places, ordered_text
 
 Star = dict[str, DataFrame]
 
@@ -195,21 +197,147 @@ def _averages(**columns: str) -> list:
     return [F.avg(c).alias(name) for name, c in columns.items()]
 
 
+REPORT_KEYS = {
+    "bank_summary": ["bank_id", "bank_name"],
+    "temporal_trends": ["year", "month", "month_name", "quarter"],
+    "topic_analysis": ["topic_id", "topic_name"],
+    "branch_performance": ["bank_id", "bank_name", "branch_id", "branch_name", "city", "region"],
+    "bank_topic_matrix": ["bank_id", "bank_name", "topic_id", "topic_name"],
+}
+REPORT_TABLES = {
+    "bank_summary": ("dim_bank", "dim_sentiment", "dim_date"),
+    "temporal_trends": ("dim_date", "dim_sentiment"),
+    "topic_analysis": ("dim_topic", "dim_sentiment"),
+    "branch_performance": ("dim_bank", "dim_branch", "dim_sentiment"),
+    "bank_topic_matrix": ("dim_bank", "dim_topic"),
+}
+
+
+def _measures() -> dict[str, Column]:
+    """Every measure of the grouped reports."""
+    return {
+        "n": rows(),
+        "rating": F.avg("star_rating"),
+        "score": F.avg("ensemble_score"),
+        "n_positive": count_label("positive"),
+        "n_negative": count_label("negative"),
+        "n_neutral": count_label("neutral"),
+        "positive": label_share("positive"),
+        "negative": label_share("negative"),
+        "words": F.avg("word_count"),
+        "quality": F.avg("data_quality_score"),
+        "probability": F.avg("topic_probability"),
+        "first": F.min("full_date"),
+        "last": F.max("full_date"),
+    }
+
+
+_SHOWN = {
+    "bank_summary": {
+        "n": "total_reviews", "rating": "avg_rating", "score": "avg_sentiment_score", "n_positive": "positive_reviews",
+        "n_negative": "negative_reviews", "n_neutral": "neutral_reviews", "positive": "positive_percentage",
+        "negative": "negative_percentage", "words": "avg_word_count", "quality": "avg_data_quality",
+        "first": "first_review_date", "last": "last_review_date",
+    },
+    "temporal_trends": {
+        "n": "review_count", "rating": "avg_rating", "score": "avg_sentiment", "n_positive": "positive_count",
+        "n_negative": "negative_count", "n_neutral": "neutral_count", "positive": "positive_percentage",
+    },
+    "topic_analysis": {
+        "n": "review_count", "rating": "avg_rating", "score": "avg_sentiment", "probability": "avg_topic_probability",
+        "n_positive": "positive_reviews", "n_negative": "negative_reviews", "positive": "positive_percentage",
+        "words": "avg_word_count",
+    },
+    "branch_performance": {
+        "n": "total_reviews", "rating": "avg_rating", "score": "avg_sentiment_score", "n_positive": "positive_reviews",
+        "n_negative": "negative_reviews", "positive": "positive_percentage", "quality": "avg_data_quality",
+    },
+    "bank_topic_matrix": {"n": "review_count", "score": "avg_sentiment"},
+}
+
+
+def _shown(name: str, grouped: DataFrame, min_reviews: int = 3) -> DataFrame:
+    """A report from its groups: the groups it keeps, and its columns."""
+    if name == "topic_analysis":
+        grouped = grouped.filter("topic_name is not null")
+    if name == "branch_performance":
+        grouped = grouped.filter(F.col("branch_name").isNotNull() & (F.col("n") >= min_reviews))
+    extra = []
+    if name == "bank_topic_matrix":
+        # The total of a bank is summed over its topic counts, those without a topic included
+        grouped = grouped.filter("bank_name is not null")
+        grouped = grouped.withColumn("_share", share(F.col("n"), F.sum("n").over(Window.partitionBy("bank_id"))))
+        grouped, extra = grouped.filter("topic_name is not null"), [F.col("_share").alias("topic_percentage_in_bank")]
+    hidden = ["bank_id", "topic_id", "branch_id"] if name != "bank_summary" else []
+    keys = [c for c in REPORT_KEYS[name] if c not in hidden]
+    return grouped.select(*keys, *(F.col(c).alias(shown) for c, shown in _SHOWN[name].items()), *extra)
+
+
+def _report(name: str, star: Star, **options) -> DataFrame:
+    fact, wanted = join_dimensions(star, REPORT_TABLES[name]), _SHOWN[name]
+    grouped = fact.groupBy(*REPORT_KEYS[name]).agg(*(m.alias(c) for c, m in _measures().items() if c in wanted))
+    return _shown(name, grouped, **options)
+
+
 def bank_summary(star: Star) -> DataFrame:
     """Reviews without a bank stay as one group."""
-    fact = join_dimensions(star, ("dim_bank", "dim_sentiment", "dim_date"))
-    return fact.groupBy("bank_id", "bank_name").agg(
-        rows().alias("total_reviews"),
-        *_averages(avg_rating="star_rating", avg_sentiment_score="ensemble_score"),
-        count_label("positive").alias("positive_reviews"),
-        count_label("negative").alias("negative_reviews"),
-        count_label("neutral").alias("neutral_reviews"),
-        label_share("positive").alias("positive_percentage"),
-        label_share("negative").alias("negative_percentage"),
-        *_averages(avg_word_count="word_count", avg_data_quality="data_quality_score"),
-        F.min("full_date").alias("first_review_date"),
-        F.max("full_date").alias("last_review_date"),
-    )
+    return _report("bank_summary", star)
+
+
+def temporal_trends(star: Star) -> DataFrame:
+    """Per month; reviews without a date are one group."""
+    return _report("temporal_trends", star)
+
+
+def topic_analysis(star: Star) -> DataFrame:
+    return _report("topic_analysis", star)
+
+
+def branch_performance(star: Star, min_reviews: int = 3) -> DataFrame:
+    return _report("branch_performance", star, min_reviews=min_reviews)
+
+
+def bank_topic_matrix(star: Star) -> DataFrame:
+    """Counts per bank and topic, with the share of all reviews of the bank, those without a topic included."""
+    return _report("bank_topic_matrix", star)
+
+
+def all_reports(star: Star) -> dict[str, DataFrame]:
+    """The five grouped reports from one pass: the fact is read and joined to its dimensions once, and one aggregate over grouping
+    sets, with map-side totals, makes the groups of all of them. Those are written and split by their grouping set."""
+    fact = join_dimensions(star)
+    columns = list(dict.fromkeys(c for keys in REPORT_KEYS.values() for c in keys))
+    # a row per review and set with the columns of the set alone; the set is a key of its own, as a null may be a group
+    sets = [
+        F.struct(F.lit(name).alias("_set"), *(F.col(c) if c in keys else F.lit(None).cast(fact.schema[c].dataType).alias(c) for c in columns))
+        for name, keys in REPORT_KEYS.items()
+    ]
+    measured = ["star_rating", "ensemble_score", "sentiment_label", "word_count", "data_quality_score", "topic_probability", "full_date"]
+    listed = fact.select(*measured, F.inline(F.array(*sets)))
+    grouped = cut_lineage(listed.groupBy("_set", *columns).agg(*(m.alias(c) for c, m in _measures().items())))
+    return {name: _shown(name, grouped.filter(F.col("_set") == name)) for name in REPORT_KEYS}
+
+
+REPORT_ORDERS = {
+    "main_dataset": ["-review_date", "review_id"],
+    "bank_summary": ["-total_reviews", "bank_name"],
+    "temporal_trends": ["year", "month"],
+    "topic_analysis": ["-review_count", "topic_name"],
+    "branch_performance": ["-positive_percentage", "-avg_rating", "bank_name", "branch_name", "city", "region"],
+    "bank_topic_matrix": ["bank_name", "-review_count", "topic_name"],
+}
+
+
+def in_order(report: DataFrame, name: str) -> DataFrame:
+    """A report with the ``place`` of each row in its order of display, from 1. A column with a minus falls, missing values last;
+    others rise, missing values first. Means count to six places, so that equal ones tie however they were summed up."""
+    kinds = {f.name: f.dataType for f in report.schema}
+    keys = []
+    for part in REPORT_ORDERS[name]:
+        column = part.lstrip("-")
+        value = F.round(column, 6) if isinstance(kinds[column], DoubleType) else F.col(column)
+        keys.append(value.desc_nulls_last() if part[0] == "-" else value.asc_nulls_first())
+    return add_places(report, keys)
 
 
 def bank_summary_known(star: Star) -> DataFrame:
@@ -238,19 +366,6 @@ def flat_bank_summary(flat: DataFrame) -> DataFrame:
     )
 
 
-def temporal_trends(star: Star) -> DataFrame:
-    """Per month; reviews without a date are one group."""
-    fact = join_dimensions(star, ("dim_date", "dim_sentiment"))
-    return fact.groupBy("year", "month", "month_name", "quarter").agg(
-        rows().alias("review_count"),
-        *_averages(avg_rating="star_rating", avg_sentiment="ensemble_score"),
-        count_label("positive").alias("positive_count"),
-        count_label("negative").alias("negative_count"),
-        count_label("neutral").alias("neutral_count"),
-        label_share("positive").alias("positive_percentage"),
-    )
-
-
 def flat_temporal_trends(flat: DataFrame) -> DataFrame:
     return flat.groupBy("year", "month", "month_name").agg(
         F.count("star_rating").alias("review_count"),
@@ -259,18 +374,6 @@ def flat_temporal_trends(flat: DataFrame) -> DataFrame:
     )
 
 
-def topic_analysis(star: Star) -> DataFrame:
-    fact = join_dimensions(star, ("dim_topic", "dim_sentiment")).filter("topic_name is not null")
-    return fact.groupBy("topic_id", "topic_name").agg(
-        rows().alias("review_count"),
-        *_averages(avg_rating="star_rating", avg_sentiment="ensemble_score", avg_topic_probability="topic_probability"),
-        count_label("positive").alias("positive_reviews"),
-        count_label("negative").alias("negative_reviews"),
-        label_share("positive").alias("positive_percentage"),
-        *_averages(avg_word_count="word_count"),
-    ).drop("topic_id")
-
-
 def flat_topic_analysis(flat: DataFrame) -> DataFrame:
     return flat.groupBy("topic_name").agg(
         F.count("star_rating").alias("review_count"),
@@ -280,38 +383,17 @@ def flat_topic_analysis(flat: DataFrame) -> DataFrame:
     )
 
 
-def branch_performance(star: Star, min_reviews: int = 3) -> DataFrame:
-    fact = join_dimensions(star, ("dim_bank", "dim_branch", "dim_sentiment")).filter("branch_name is not null")
-    grouped = fact.groupBy("bank_id", "bank_name", "branch_id", "branch_name", "city", "region").agg(
-        rows().alias("total_reviews"),
-        *_averages(avg_rating="star_rating", avg_sentiment_score="ensemble_score"),
-        count_label("positive").alias("positive_reviews"),
-        count_label("negative").alias("negative_reviews"),
-        label_share("positive").alias("positive_percentage"),
-        *_averages(avg_data_quality="data_quality_score"),
-    )
-    return grouped.filter(F.col("total_reviews") >= min_reviews).drop("bank_id", "branch_id")
-
-
-def bank_topic_matrix(star: Star) -> DataFrame:
-    """Counts per bank and topic, with the share of all reviews of the bank, those without a topic included.
-
-    The total of a bank is summed over its topic counts, so the fact is shuffled only once.
-    """
-    fact = join_dimensions(star, ("dim_bank", "dim_topic")).filter("bank_name is not null")
-    counts = fact.groupBy("bank_id", "bank_name", "topic_id", "topic_name").agg(
-        rows().alias("review_count"), F.avg("ensemble_score").alias("avg_sentiment")
-    )
-    in_bank = F.sum("review_count").over(Window.partitionBy("bank_id"))
-    shares = counts.withColumn("topic_percentage_in_bank", share(F.col("review_count"), in_bank))
-    return shares.filter("topic_name is not null").drop("bank_id", "topic_id")
-
-
 def wordcloud_texts(star: Star, order: str, rows_per_piece: int = 1000) -> DataFrame:
     fact = join_dimensions(star, ("dim_sentiment", "dim_topic")).filter(F.length("review_text") > 10)
     return grouped_text(fact, ["sentiment_label", "topic_name"], "review_text", order, rows_per_piece)
 
 
+def wordcloud_pieces(star: Star, order=("review_id",), **limits) -> DataFrame:
+    """The texts of each sentiment and topic in any order, in pieces of bounded rows and bytes."""
+    fact = join_dimensions(star, ("dim_sentiment", "dim_topic")).filter(F.length("review_text") > 10)
+    return ordered_text(fact, ["sentiment_label", "topic_name"], "review_text", list(order), **limits)
+
+
 def wordcloud_terms(star: Star) -> DataFrame:
     fact = join_dimensions(star, ("dim_sentiment", "dim_topic")).filter(F.length("review_text") > 10)
     return term_counts(fact, ["sentiment_label", "topic_name"], "review_text")

@@ -10,6 +10,7 @@ from opinara.operators.keys import add_dense_key, highest_keys, insert_or_ignore
 from opinara.operators.lookup import lookup, which_are_small
 from opinara.operators.small import small_table
 from opinara.sources import schemas
+from opinara.sources.versions import publish_version
 
 
 def bank_dimension(reviews: DataFrame) -> DataFrame:
@@ -228,10 +229,10 @@ def default_key(table: DataFrame, natural: str, value: str, key: str) -> Column:
 
 
 def replace_fact(fact: DataFrame, path: str, replace: bool = False) -> DataFrame:
-    """Write the fact table, partitioned by month. Rows that are there are only replaced on request."""
+    """Publish the fact table, partitioned by month, as a version (``sources/versions.py``): readers see the old rows until all new
+    ones are written. Rows that are there are only replaced on request."""
     parted = fact.withColumns({"year": F.year("review_date"), "month": F.month("review_date")})
-    parted.write.mode("overwrite" if replace else "errorifexists").partitionBy("year", "month").parquet(path)
-    return fact.sparkSession.read.schema(parted.schema).parquet(path)
+    return publish_version(parted, path, replace, ["year", "month"])
 
 
 def evolve_fact(fact: DataFrame) -> DataFrame:

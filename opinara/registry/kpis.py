@@ -209,7 +209,26 @@ def price_percentiles(spark, folder):
     from opinara.sources.tables import load
 
     lines = load(spark, folder, "lineitem")
-    return exact_percentiles(lines, "l_returnflag", "l_extendedprice", (0.0, 0.1, 0.5, 0.99, 1.0), 0.0, 100_000.0)
+    return exact_percentiles(lines, "l_returnflag", "l_extendedprice", (0.0, 0.1, 0.5, 0.99, 1.0))
+
+
+@query(
+    "heavy_tailed_percentiles",
+    " UNION ALL ".join(
+        f"SELECT g, CAST({p} AS DOUBLE) AS point, {rounded(f'quantile_cont(v, {p})')} AS value FROM (SELECT CASE WHEN l_orderkey % 3 > 0 "
+        "THEN 'most' WHEN l_orderkey % 7 > 0 THEN 'some' END AS g, CAST(1000000 AS DOUBLE) / (1 + l_partkey) AS v FROM lineitem) GROUP BY g"
+        for p in (0, 0.25, 0.5, 0.9, 1)
+    ),
+)
+def heavy_tailed_percentiles(spark, folder):
+    """Most values are small and a few are large; one group has two thirds of the rows, one has no name."""
+    from opinara.operators.statistics import exact_percentiles
+    from opinara.sources.tables import load
+
+    order = F.col("l_orderkey")
+    name = F.when(order % 3 > 0, "most").when(order % 7 > 0, "some").alias("g")
+    values = load(spark, folder, "lineitem").select(name, (F.lit(1e6) / (1 + F.col("l_partkey"))).alias("v"))
+    return exact_percentiles(values, "g", "v", (0.0, 0.25, 0.5, 0.9, 1.0))
 
 
 @query("score_by_length", with_ctes(MAIN, select=f"SELECT word_count // 10 * 10 AS words_from, {_SCORE} FROM main GROUP BY 1"))

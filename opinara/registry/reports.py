@@ -10,7 +10,7 @@ from opinara.plans import reports
 from opinara.plans.filters import Filters, apply_filters
 from opinara.plans.publishing import publish_reports
 from opinara.registry.core import (
-    REVIEWS_RAW, query, rounded, sql_label_share, sql_share, sql_words, with_ctes,
+    ORACLES, REVIEWS_RAW, query, rounded, sql_label_share, sql_share, sql_words, with_ctes,
 )
 from opinara.sources.tables import load, review_star, reviews_raw
 
@@ -337,6 +337,28 @@ def bank_topic_matrix(spark, folder):
     return reports.bank_topic_matrix(review_star(spark, folder))
 
 
+def _sql_in_order(name: str) -> str:
+    keys = [f"{c[1:]} DESC NULLS LAST" if c[0] == "-" else f"{c} NULLS FIRST" for c in reports.REPORT_ORDERS[name]]
+    return f"SELECT *, row_number() OVER (ORDER BY {', '.join(keys)}) AS place FROM ({ORACLES[name]}) AS report"
+
+
+def _register_in_order(name: str) -> None:
+    @query(f"{name}_in_order", _sql_in_order(name))
+    def in_order(spark, folder):
+        """One of the reports of a single pass, with the place of each row."""
+        report = reports.all_reports(review_star(spark, folder))[name]
+        return reports.in_order(report.drop("bank_id"), name)
+
+
+for _name in reports.REPORT_KEYS:
+    _register_in_order(_name)
+
+
+@query("main_dataset_in_order", _sql_in_order("main_dataset"))
+def main_dataset_in_order(spark, folder):
+    return reports.in_order(main_dataset(spark, folder), "main_dataset")
+
+
 def _ordered_star(spark, folder):
     star = review_star(spark, folder)
     order = F.split("review_id", "-")[0].cast("long")
@@ -370,6 +392,21 @@ def wordcloud_texts_of_reviews(spark, folder):
     return grouped_text(reviews_raw(spark, folder), ["bank_name"], "review_text", "review_seq", 50)
 
 
+# Text in the order of review_id, which is text: every 200 places a block, cut at 3,000 bytes.
+_PIECES = """
+placed AS (SELECT sentiment_label, topic_name, review_text,
+  row_number() OVER (ORDER BY sentiment_label NULLS FIRST, topic_name NULLS FIRST, review_id) AS p FROM fact WHERE length(review_text) > 10),
+cuts AS (SELECT *, (p - 1) // {rows} AS block, coalesce(sum(strlen(review_text) + 1) OVER (PARTITION BY (p - 1) // {rows}, sentiment_label,
+  topic_name ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {bytes} AS cut FROM placed),
+pieces AS (SELECT sentiment_label, topic_name, min(p) AS piece, count(*) AS n_texts,
+  string_agg(review_text, ' ' ORDER BY p) AS combined_text FROM cuts GROUP BY sentiment_label, topic_name, block, cut)"""
+
+
+@query("wordcloud_pieces", with_ctes(STAR, _PIECES.format(rows=200, bytes=3000), select="SELECT * FROM pieces"))
+def wordcloud_pieces(spark, folder):
+    return reports.wordcloud_pieces(review_star(spark, folder), rows_per_piece=200, bytes_per_piece=3000)
+
+
 @query(
     "wordcloud_terms",
     with_ctes(
@@ -429,7 +466,8 @@ _PUBLISHED = {
     "topic_analysis": "(SELECT DISTINCT topic_name FROM fact WHERE topic_name IS NOT NULL)",
     "branch_performance": f"({_BRANCHES})",
     "bank_topic_matrix": "(SELECT DISTINCT bank_name, topic_name FROM fact WHERE bank_name IS NOT NULL AND topic_name IS NOT NULL)",
-    "wordcloud_data": f"""(SELECT DISTINCT sentiment_label, topic_name, unnest({sql_words('lower(review_text)')}) FROM fact
+    "wordcloud_data": "pieces",
+    "wordcloud_terms": f"""(SELECT DISTINCT sentiment_label, topic_name, unnest({sql_words('lower(review_text)')}) FROM fact
       WHERE length(review_text) > 10)""",
     "summary_metrics": "(SELECT 1)",
 }
@@ -439,6 +477,7 @@ _PUBLISHED = {
     "published_run",
     with_ctes(
         STAR,
+        _PIECES.format(rows=1000, bytes=1 << 20),
         select=" UNION ALL ".join(
             f"SELECT '{name}' AS dataset, count(*) AS n_rows, 1 AS written FROM {source}" for name, source in _PUBLISHED.items()
         ),

@@ -13,6 +13,7 @@ from opinara.registry.core import REVIEWS_RAW, query, rounded, with_ctes
 from opinara.registry.reports import _DAYS, _MONTHS, STAR
 from opinara.sources import schemas
 from opinara.sources.tables import load, review_star, reviews_raw
+from opinara.sources.versions import current_table
 
 # Reviews with scores and some null parts, for the narrow load.
 _INPUT = f"""{REVIEWS_RAW},
@@ -250,12 +251,34 @@ given AS (SELECT review_seq, bank_name, review_text, {_RATING} AS rating, CASE r
   WHEN 1 THEN 'mixed' WHEN 2 THEN 'neutral' WHEN 3 THEN 'negative' END AS sentiment_label, {_THEME} AS topic_label, review_date,
   CASE WHEN review_seq % 4 = 0 THEN '2024-02-29' END AS scraped_at,
   CASE WHEN review_seq % 11 = 0 THEN 'bad' ELSE CAST((review_seq % 200 - 100) / CAST(100 AS DOUBLE) AS VARCHAR) END AS ensemble_score,
-  CAST(review_seq % 60 AS VARCHAR) AS word_count, CASE WHEN review_seq % 2 = 0 THEN 'true' END AS has_caps FROM reviews_raw),
+  CAST(review_seq % 60 AS VARCHAR) AS word_count, CASE WHEN review_seq % 2 = 0 THEN 'true' END AS has_caps,
+  concat('cleaned ', CAST(review_seq AS VARCHAR)) AS cleaned_text, concat(CAST(review_seq % 900 AS VARCHAR), '.0') AS char_count,
+  CASE WHEN review_seq % 8 <> 0 THEN CAST(review_seq % 5 AS VARCHAR) END AS positive_words_count,
+  CASE WHEN review_seq % 7 = 0 THEN 'NaN' ELSE CAST(review_seq % 4 AS VARCHAR) END AS negative_words_count,
+  CAST(review_seq % 10 / CAST(10 AS DOUBLE) AS VARCHAR) AS sentiment_confidence,
+  CASE WHEN review_seq % 3 > 0 THEN CAST(review_seq % 8 / CAST(8 AS DOUBLE) AS VARCHAR) END AS topic_probability,
+  CAST((review_seq % 41 - 20) / CAST(20 AS DOUBLE) AS VARCHAR) AS textblob_polarity,
+  CASE WHEN review_seq % 9 = 0 THEN 'nan' ELSE CAST((review_seq % 33 - 16) / CAST(16 AS DOUBLE) AS VARCHAR) END AS vader_compound,
+  CAST(review_seq % 3 - 1 AS VARCHAR) AS custom_sentiment_score,
+  CASE review_seq % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS has_exclamation,
+  CASE WHEN review_seq % 19 = 0 THEN 'perhaps' ELSE 'false' END AS has_question FROM reviews_raw),
 typed AS (SELECT *, CAST(trunc(TRY_CAST(rating AS DOUBLE)) AS INT) AS star_rating, TRY_CAST(ensemble_score AS DOUBLE) AS score,
   coalesce(TRY_CAST(review_date AS DATE), TRY_CAST(scraped_at AS DATE)) AS day,
   array_to_string(list_filter([CASE WHEN rating IS NOT NULL AND TRY_CAST(rating AS DOUBLE) IS NULL THEN 'rating' END,
-    CASE WHEN TRY_CAST(ensemble_score AS DOUBLE) IS NULL THEN 'ensemble_score' END], lambda x: x IS NOT NULL), ',')
+    CASE WHEN TRY_CAST(ensemble_score AS DOUBLE) IS NULL THEN 'ensemble_score' END,
+    CASE WHEN has_question = 'perhaps' THEN 'has_question' END], lambda x: x IS NOT NULL), ',')
     AS bad_columns FROM given)"""
+_WHOLE = "CAST(TRY_CAST(nullif(lower({0}), 'nan') AS DOUBLE) AS INT) AS {0}"
+_NUMBER = "CASE WHEN lower({0}) <> 'nan' THEN {1} END AS {0}"
+_FLAG = "CAST(coalesce({0} = 'true', false) AS INT) AS {0}"
+# The values of the enriched fact, all of them
+_VALUES = f"""review_seq AS review_id, review_text, cleaned_text AS review_text_cleaned, CAST(day AS VARCHAR) AS review_date, star_rating,
+  {', '.join(_WHOLE.format(c) for c in ('word_count', 'char_count', 'positive_words_count', 'negative_words_count'))},
+  {rounded('score')} AS ensemble_score,
+  {', '.join(_NUMBER.format(c, rounded(f'TRY_CAST({c} AS DOUBLE)')) for c in warehouse.NUMBER_COLUMNS if c != 'ensemble_score')},
+  {', '.join(_FLAG.format(c) for c in warehouse.FLAG_COLUMNS)},
+  {rounded('''CAST(0.5 AS DOUBLE) + CASE WHEN length(review_text) > 10 THEN CAST(0.3 AS DOUBLE) ELSE 0 END
+    + CASE WHEN TRY_CAST(rating AS DOUBLE) > 0 THEN CAST(0.2 AS DOUBLE) ELSE 0 END''')} AS data_quality_score"""
 
 
 def _typed(spark, folder):
@@ -275,6 +298,17 @@ def _typed(spark, folder):
         F.when(seq % 11 == 0, "bad").otherwise(((seq % 200 - 100) / 100.0).cast("string")).alias("ensemble_score"),
         (seq % 60).cast("string").alias("word_count"),
         F.when(seq % 2 == 0, "true").alias("has_caps"),
+        F.concat(F.lit("cleaned "), seq.cast("string")).alias("cleaned_text"),
+        F.concat((seq % 900).cast("string"), F.lit(".0")).alias("char_count"),
+        F.when(seq % 8 != 0, (seq % 5).cast("string")).alias("positive_words_count"),
+        F.when(seq % 7 == 0, "NaN").otherwise((seq % 4).cast("string")).alias("negative_words_count"),
+        (seq % 10 / 10.0).cast("string").alias("sentiment_confidence"),
+        F.when(seq % 3 > 0, (seq % 8 / 8.0).cast("string")).alias("topic_probability"),
+        ((seq % 41 - 20) / 20.0).cast("string").alias("textblob_polarity"),
+        F.when(seq % 9 == 0, "nan").otherwise(((seq % 33 - 16) / 16.0).cast("string")).alias("vader_compound"),
+        (seq % 3 - 1).cast("string").alias("custom_sentiment_score"),
+        F.when(seq % 3 == 0, "true").when(seq % 3 == 1, "false").alias("has_exclamation"),
+        F.when(seq % 19 == 0, "perhaps").otherwise("false").alias("has_question"),
     )
     return warehouse.typed_fact(rows)
 
@@ -293,13 +327,10 @@ _TOPIC_ID = "CASE topic_label " + " ".join(f"WHEN '{t}' THEN {n}" for n, (t, _)
     "enriched_fact",
     with_ctes(
         _ENRICHED,
-        select=f"""SELECT review_seq AS review_id, {_SENTIMENT_ID} AS sentiment_id, {_TOPIC_ID} AS topic_id,
-          CASE WHEN day BETWEEN DATE '2023-01-01' AND DATE '2024-12-31' THEN CAST(strftime(day, '%Y%m%d') AS BIGINT) END AS date_id,
-          CAST(day AS VARCHAR) AS review_date, star_rating, {rounded('score')} AS ensemble_score,
-          CAST(word_count AS INT) AS word_count, CAST(coalesce(has_caps = 'true', false) AS INT) AS has_caps,
-          {rounded('''CAST(0.5 AS DOUBLE) + CASE WHEN length(review_text) > 10 THEN CAST(0.3 AS DOUBLE) ELSE 0 END
-            + CASE WHEN TRY_CAST(rating AS DOUBLE) > 0 THEN CAST(0.2 AS DOUBLE) ELSE 0 END''')} AS data_quality_score
-          FROM typed WHERE bad_columns = ''""",
+        f"\nbanks AS (SELECT {_key('bank_name')} AS bank_id, bank_name FROM (SELECT DISTINCT bank_name FROM reviews_raw WHERE bank_name IS NOT NULL))",
+        select=f"""SELECT {_VALUES}, bank_id, {_SENTIMENT_ID} AS sentiment_id, {_TOPIC_ID} AS topic_id,
+          CASE WHEN day BETWEEN DATE '2023-01-01' AND DATE '2024-12-31' THEN CAST(strftime(day, '%Y%m%d') AS BIGINT) END AS date_id
+          FROM typed LEFT JOIN banks USING (bank_name) WHERE bad_columns = ''""",
     ),
 )
 def enriched_fact(spark, folder):
@@ -310,10 +341,7 @@ def enriched_fact(spark, folder):
         "dim_topic": warehouse.topic_dimension(spark),
         "dim_date": warehouse.calendar(spark),
     }
-    return warehouse.load_enriched_fact(typed, dims).select(
-        "review_id", "sentiment_id", "topic_id", "date_id", "review_date", "star_rating", "ensemble_score", "word_count",
-        "has_caps", "data_quality_score",
-    )
+    return warehouse.load_enriched_fact(typed, dims)
 
 
 @query(
@@ -336,17 +364,17 @@ def evolved_fact(spark, folder):
     "replaced_fact",
     with_ctes(
         _ENRICHED,
-        select="""SELECT year(day) AS year, month(day) AS month, count(*) AS n_rows FROM typed WHERE bad_columns = ''
-          GROUP BY 1, 2""",
+        select=f"""SELECT {_VALUES}, bank_name, sentiment_label, topic_label, year(day) AS year, month(day) AS month
+          FROM typed WHERE bad_columns = ''""",
     ),
 )
 def replaced_fact(spark, folder):
-    """The fact table written twice, by month, and counted."""
+    """Every second row published first, then all of them in place of those, and what a reader sees then."""
     path = run_folder(spark, "fact")
     good = _typed(spark, folder).filter(F.size("bad_columns") == 0).drop("bad_columns")
-    warehouse.replace_fact(good, path)
+    warehouse.replace_fact(good.filter("review_id % 2 = 0"), path)
     written = warehouse.replace_fact(good, path, replace=True)
-    return written.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+    return current_table(spark, path, written.schema)
 
 
 @query(

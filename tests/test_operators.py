@@ -8,6 +8,7 @@ from opinara.operators.binding import bind
 from opinara.operators.dedupe import first_n
 from opinara.operators.gather import grouped_text, term_counts
 from opinara.operators.keys import add_dense_key, highest_keys, insert_or_ignore
+from opinara.operators.places import add_places, ordered_text
 from opinara.operators.lookup import hot_keys, lookup, which_are_small
 from opinara.operators.statistics import exact_percentiles
 
@@ -125,7 +126,7 @@ def test_percentiles_are_exact(spark):
     rows = [(g, float(v)) for g, vs in data.items() for v in vs] + [("a", None), ("a", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     points = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
-    for r in exact_percentiles(df, "g", "v", points, bins=50).collect():
+    for r in exact_percentiles(df, "g", "v", points).collect():
         assert r.value == pytest.approx(np.quantile(data[r.g], r.point))
     assert exact_percentiles(df, "g", "v", points).count() == 4 * len(points)
 
@@ -136,3 +137,32 @@ def test_bound_columns_are_not_copied_into_filters(spark):
     bound = bind(df, "x").filter(F.length("x") > 3).select("x")
     assert plan(free).count("sha2(") == 2 and plan(bound).count("sha2(") == 1
     assert sorted(free.collect()) == sorted(bound.collect())
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_places(spark, partitions):
+    rng = random.Random(6)
+    rows = [(i, None if i % 9 == 0 else rng.randint(0, 20)) for i in range(500)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id long, n int").repartition(partitions)
+    found = add_places(df, [F.col("n").desc_nulls_last(), F.col("id")])
+    assert found.columns == ["id", "n", "place"]
+    wanted = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [(r.id, r.n) for r in sorted(found.collect(), key=lambda r: r.place)] == wanted
+    assert sorted(r.place for r in found.collect()) == list(range(1, 501))
+    assert add_places(df.limit(0), [F.col("id")]).collect() == []
+
+
+@pytest.mark.parametrize("rows_per_piece, bytes_per_piece", [(7, 1 << 20), (1000, 60), (5, 40)])
+def test_ordered_text(spark, rows_per_piece, bytes_per_piece):
+    """Text ordered by text, with a group of most rows, a long text and a missing one."""
+    rows = [(f"r-{i:03d}", "x" if i % 5 else None, "é" * 100 if i == 33 else None if i == 34 else f"t{i}") for i in range(200)]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "review_id string, g string, t string").repartition(4)
+    found = ordered_text(df, ["g"], "t", ["review_id"], rows_per_piece, bytes_per_piece).collect()
+    for g in ("x", None):
+        mine = sorted((r for r in found if r.g == g), key=lambda r: r.piece)
+        assert " ".join(r.combined_text for r in mine) == " ".join(t for _, k, t in sorted(rows, key=lambda r: r[0]) if k == g and t)
+        assert sum(r.n_texts for r in mine) == sum(k == g and t is not None for _, k, t in rows)
+    assert max(r.n_texts for r in found) <= rows_per_piece
+    assert all(len(r.combined_text.encode()) <= bytes_per_piece + 201 for r in found)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
 from opinara.plans import warehouse
-from opinara.sources import schemas
+from opinara.sources import schemas, versions
 
 
 def _loaded(spark):
@@ -102,6 +102,36 @@ def test_replace_is_explicit(spark, tmp_path):
     assert warehouse.replace_fact(fact, path, replace=True).count() == 1
 
 
+def test_readers_see_whole_versions(spark, tmp_path):
+    """A reader of the old rows goes on reading them, a write that fails leaves them, and new rows may come from the old ones."""
+    path, schema = str(tmp_path / "fact"), "review_id long, n int"
+    with pytest.raises(FileNotFoundError):
+        versions.current_table(spark, path, spark.createDataFrame([], schema).schema)
+    old = spark.createDataFrame([(1, 10), (2, 20)], schema)
+    versions.publish_version(old, path)
+    before = versions.current_table(spark, path, old.schema)
+    broken = before.withColumn("n", F.when(F.col("review_id") == 1, F.col("n")).otherwise(F.raise_error(F.lit("broken")).cast("int")))
+    with pytest.raises(Exception, match="broken"):
+        versions.publish_version(broken, path, replace=True)
+    assert sorted(versions.current_table(spark, path, old.schema).collect()) == [(1, 10), (2, 20)]
+    versions.publish_version(before.withColumn("n", F.col("n") + 1), path, replace=True)
+    assert sorted(versions.current_table(spark, path, old.schema).collect()) == [(1, 11), (2, 21)]
+    assert sorted(before.collect()) == [(1, 10), (2, 20)] and versions.current_version(spark, path)[0] == 2
+
+
+def test_dimensions_are_extended(spark):
+    reviews = _loaded(spark)
+    first = warehouse.star_dimensions(reviews.filter("review_seq > 2"))
+    second = warehouse.extend_star(first, reviews)
+    for table, (key, natural) in warehouse.STAR_KEYS.items():
+        old, new = ({tuple(r[c] for c in natural): r[key] for r in d[table].collect()} for d in (first, second))
+        assert {k: new[k] for k in old} == old and sorted(new.values()) == list(range(1, len(new) + 1))
+    assert warehouse.load_fact(reviews, second).filter("branch_id is null").count() == 0
+    highest = warehouse.star_highest(second)
+    later = warehouse.extend_star({n: d.limit(0) for n, d in second.items()}, reviews, highest)
+    assert later["dim_branch"].agg(F.min("branch_id")).head()[0] == 4
+
+
 def test_reviewers(spark):
     rows = [("x", 4.0, "2024-01-02"), ("x", 5.0, "2024-03-02"), ("x", 0.0, None), (None, 1.0, None)]
     found = warehouse.reviewer_dimension(spark.createDataFrame(rows, "reviewer_name string, rating double, review_date string"))
