@@ -1,18 +1,15 @@
 """Cutting lineage on storage that outlives an executor."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Folder that the session names for checkpoints. A local session without one gets its own."""
+    """The folder that the session names for checkpoints. A local session without one uses a folder in its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="opinara-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return folder
 
 

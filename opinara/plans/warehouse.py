@@ -1,5 +1,8 @@
 """Warehouse stage: dimensions, calendar, fact loads, schema evolution and audits."""
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from opinara.operators.keys import add_dense_key, highest_keys, insert_or_ignore
 from opinara.operators.lookup import lookup, which_are_small
 from opinara.operators.small import small_table
 from opinara.sources import schemas
+from opinara.sources.files import list_files
 from opinara.sources.versions import publish_version
 
 
@@ -272,6 +276,35 @@ def audit_columns(fact: DataFrame, expected=schemas.EXPECTED_FACT_COLUMNS) -> Da
     return small_table(fact.sparkSession, rows, "column_name string, present boolean")
 
 
+def stored_columns(spark: SparkSession, path: str, at_once: int = 8) -> DataFrame:
+    """file, column_name and stored_type of every data file of a Parquet table, from the footers alone. A footer of each file is
+    read, ``at_once`` at a time; what comes to the driver is a row per file and column."""
+    names = [r.path for r in list_files(spark, path, "*.parquet", nested=True).select("path").collect()]
+    with ThreadPoolExecutor(at_once) as pool:
+        schemas_of = pool.map(inheritable_thread_target(spark)(lambda name: spark.read.parquet(name).schema), names)
+        rows = [(name, f.name, f.dataType.simpleString()) for name, schema in zip(names, schemas_of, strict=True) for f in schema]
+    return small_table(spark, rows, "file string, column_name string, stored_type string")
+
+
+def audit_stored(spark: SparkSession, paths: dict[str, str], declared: dict) -> DataFrame:
+    """What is stored against what is declared: table_name, column_name, declared_type, and in how many of the table's files the
+    column has that type (n_right), has another (n_other) or is missing (n_missing). A column that files have and no schema
+    declares has a null declared_type and counts as another. Columns that the folders of a table are named after are not in files."""
+    out = None
+    for name, path in paths.items():
+        stored = stored_columns(spark, path)
+        n_files = stored.select("file").distinct().count()
+        wanted = small_table(spark, [(f.name, f.dataType.simpleString()) for f in declared[name]], "column_name string, declared_type string")
+        right = F.coalesce(F.col("stored_type") == F.col("declared_type"), F.lit(False))
+        counts = stored.join(wanted, "column_name", "full").groupBy("column_name", "declared_type").agg(
+            F.count_if(F.col("file").isNotNull() & right).alias("n_right"), F.count_if(F.col("file").isNotNull() & ~right).alias("n_other")
+        )
+        missing = F.when(F.col("declared_type").isNotNull(), F.lit(n_files) - F.col("n_right") - F.col("n_other")).otherwise(0)
+        one = counts.select(F.lit(name).alias("table_name"), "column_name", "declared_type", "n_right", "n_other", missing.cast("long").alias("n_missing"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def audit_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Per dimension key of the fact: rows with the key and rows whose key is in no dimension row."""
     out = None

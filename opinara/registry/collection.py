@@ -66,7 +66,7 @@ def _first(value: str, selectors: list[str], default: str) -> str:
 
 def _elements(openings: list[str]) -> str:
     cases = " ".join(
-        f"WHEN len(string_split_regex(html, {text_literal(p)})) > 1 THEN string_split_regex(html, {text_literal(p)})[2:101]"
+        f"WHEN len(string_split_regex(html, {text_literal(p)})) > 1 THEN string_split_regex(html, {text_literal(p)})[2:]"
         for p in openings
     )
     return f"CASE {cases} ELSE [] END"

@@ -441,3 +441,58 @@ def star_join(spark, folder):
     """All facts with the names of their five dimensions."""
     flat = reports.join_dimensions(review_star(spark, folder))
     return flat.select("review_id", "bank_name", "branch_name", "city", "region", "sentiment_label", "topic_name", "day_name")
+
+
+_STORED = {
+    "dim_bank": [("bank_id", "bigint"), ("bank_name", "string")],
+    "fact_reviews": [(f.name, f.dataType.simpleString()) for f in schemas.FACT_NARROW],
+}
+_STORED_ROWS = ", ".join(f"('{t}', '{c}', '{k}')" for t, columns in _STORED.items() for c, k in columns)
+
+
+@query(
+    "audit_stored",
+    with_ctes(
+        _INPUT,
+        f"""
+declared AS (SELECT * FROM (VALUES {_STORED_ROWS}) AS v(table_name, column_name, declared_type)),
+added AS (SELECT *, column_name = 'word_count' AND table_name = 'fact_reviews' AS is_text,
+  column_name = 'has_caps' AND table_name = 'fact_reviews' AS is_left_out FROM declared)""",
+        select="""SELECT table_name, column_name, declared_type, 1 AS some_right, CAST(is_text AS INT) AS some_other,
+          CAST(is_left_out AS INT) AS some_missing FROM added WHERE (SELECT count(*) FROM loaded) > 0
+          UNION ALL SELECT 'fact_reviews', 'note', NULL, 0, 1, 0 FROM (SELECT count(*) AS n FROM loaded) WHERE n > 0""",
+    ),
+)
+def audit_stored(spark, folder):
+    """Dimension and fact as written, the fact with later files of another shape: a count as text, a flag left out, a new column."""
+    reviews = loaded(spark, folder)
+    dims = _dimensions(reviews)
+    paths = {name: run_folder(spark, name) for name in _STORED}
+    dims["dim_bank"].write.parquet(paths["dim_bank"])
+    fact = warehouse.load_fact(reviews, dims).select(*(F.col(f.name).cast(f.dataType) for f in schemas.FACT_NARROW))
+    fact.filter("review_id % 2 = 0").write.parquet(paths["fact_reviews"])
+    later = fact.filter("review_id % 2 = 1").withColumns({"word_count": F.col("word_count").cast("string"), "note": F.lit("later")})
+    later.drop("has_caps").write.mode("append").parquet(paths["fact_reviews"])
+    declared = {"dim_bank": schemas.DIM_BANK, "fact_reviews": schemas.FACT_NARROW}
+    found = warehouse.audit_stored(spark, paths, declared)
+    return found.select("table_name", "column_name", "declared_type", *(
+        (F.col(f"n_{c}") > 0).alias(f"some_{c}") for c in ("right", "other", "missing")
+    ))
+
+
+@query(
+    "audit_columns",
+    with_ctes(
+        _INPUT,
+        f"""
+wanted AS (SELECT unnest({list(schemas.EXPECTED_FACT_COLUMNS)}) AS column_name)""",
+        select="""SELECT column_name, CAST(column_name NOT IN ('topic_id', 'star_rating', 'ensemble_score') AS INT) AS before,
+          1 AS after FROM wanted WHERE (SELECT count(*) FROM loaded) > 0""",
+    ),
+)
+def audit_columns(spark, folder):
+    """The expected columns in the narrow fact, and in the fact that was evolved from it."""
+    reviews = loaded(spark, folder)
+    fact = warehouse.load_fact(reviews, _dimensions(reviews))
+    before, after = (warehouse.audit_columns(f).withColumnRenamed("present", n) for f, n in ((fact, "before"), (warehouse.evolve_fact(fact), "after")))
+    return before.join(after, "column_name")

@@ -57,9 +57,9 @@ def run_path(path: str, run_ts: str) -> str:
     return f"{path}/run_ts={run_ts}"
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Path and time of change of the files in a folder, without reading them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+def list_files(spark: SparkSession, folder: str, pattern: str = "*", nested: bool = False) -> DataFrame:
+    """Path and time of change of the files in a folder (``nested``: and in those below), without reading them."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=nested).load(folder)
     return files.select("path", F.col("modificationTime").alias("modified"))
 
 
