@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from opinara.llm import pretokens
 from opinara.llm.common import batches, doc_id, keyed_texts, scratch_table
 from opinara.llm.token_counts import byte_letters
-from opinara.llm.unit_store import WHOLE, Store, Units, gather, pieces, sums
+from opinara.llm.unit_store import WHOLE, Store, Units, gather, pieces, sums, text_of
 
 MOST_BROADCAST = 2_000_000  # pairs of ids; 26 bytes each go to every executor, more pairs are joined by shuffle
 SPACE = "▁"
@@ -37,6 +37,11 @@ _GROUPS = pa.schema(
 # ---- the two tokenizers ----
 
 
+def spaced(unit: str) -> str:
+    """What a unit stands for, with a space before a whole text."""
+    return " " + unit[1:] if unit[0] == WHOLE else text_of(unit)
+
+
 class ByteTokens:
     """Ids of a space and a text. Special strings inside texts are plain text."""
 
@@ -52,7 +57,7 @@ class ByteTokens:
 
     def of_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths of the units' runs of ids, and the runs."""
-        found = self.library.ids_of_units([u if u[0] == "\n" else " " + (u[1:] if u[0] == WHOLE else u) for u in units])
+        found = self.library.ids_of_units([spaced(u) for u in units])
         return np.fromiter(map(len, found), np.int64, len(found)) // 4, np.frombuffer(b"".join(found), "<u4")
 
 
@@ -125,7 +130,7 @@ class Pair:
     def _given_back(units: list[str], tokens) -> tuple[np.ndarray, np.ndarray]:
         """The run of each unit; of length zero where the tokens don't give back its bytes."""
         lengths, flat = tokens.of_units(units)
-        wanted = [(u if u[0] == "\n" else " " + (u[1:] if u[0] == WHOLE else u)).encode("utf-8", "surrogatepass") for u in units]
+        wanted = [spaced(u).encode("utf-8", "surrogatepass") for u in units]
         sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
         text = np.frombuffer(b"".join(wanted), np.uint8)
         token_sizes = np.fromiter(map(len, tokens.bytes), np.int64, len(tokens.bytes))

@@ -1,4 +1,4 @@
-"""Text cut into units that a byte-level BPE never merges across, and a bounded memory of what each unit encodes to.
+"""Text cut into units that a byte-level BPE never merges across, and the library's ids for many units at a time.
 
 A unit is a run without white space with the one space before it, or white space as the pattern of the tokenizer cuts it. The
 pattern of byte-level BPE is greedy from the left and looks ahead over white space only, so encoding units one by one gives
@@ -9,9 +9,6 @@ versions, and tokenizers of another kind go to the library as a whole.
 import json
 import os
 import re
-from collections.abc import Callable
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import regex
@@ -26,7 +23,7 @@ PRE_TOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
 SETTLED = re.compile("[\\x00-\\u024f\\u2010-\\u2027\\u20ac]*")  # characters whose class no Unicode version changes
-MOST_REMEMBERED = 300_000  # units in memory per task; past that the memory starts anew, which changes no result
+UNSETTLED = "\u180e"  # the one sign whose class differs between Unicode versions
 
 
 def load(path: str) -> Tokenizer:
@@ -86,64 +83,3 @@ class Library:
         others = [u for u in units if u not in found]
         found.update(zip(others, self.ids(others), strict=True))
         return [found[u] for u in units]
-
-
-class Units:
-    """Results per text from results per unit. ``of_units`` maps a list of units to a list of values, none of them false, and
-    ``of_text`` a whole text to a value.
-
-    Values are remembered by key: a unit without its space; ``\\n`` and what follows on the next line; or ``\\r`` and any unit.
-    Most texts are words with one space or line end between them and split at those. Memory is bounded by two generations of
-    units: when the younger is full, the older goes.
-    """
-
-    def __init__(self, path: str, of_units: Callable, of_text: Callable):
-        self.plain = cuts_like_byte_bpe(path)
-        self.added = [*added_strings(path), "\u180e"]
-        self.of_units, self.of_text = of_units, of_text
-        self.known: dict = {}
-        self.older: dict = {}
-
-    def values(self, texts: list[str], join: Callable) -> list:
-        """``join`` makes a value of the values of a text's units. Texts are taken a few megabytes at a time."""
-        out, held, size = [], [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size >= 2_000_000:
-                out += self._some(held, join)
-                held, size = [], 0
-        return out + self._some(held, join)
-
-    def keys(self, text: str) -> list[str] | None:
-        if not self.plain or any(a in text for a in self.added):
-            return None
-        if text and text[0] not in " \n" and text[-1] not in " \n" and not any(u in text for u in UNEVEN):
-            keys = text.replace("\n", " \n").split(" ")
-            keys[0] = "\r" + keys[0]
-            return keys
-        return [u[1:] if u[0] == " " and len(u) > 1 and u[1] not in "\n\r" else "\r" + u for u in UNIT.findall(text)]
-
-    def _some(self, texts: list[str], join: Callable) -> list:
-        if len(self.known) > MOST_REMEMBERED:
-            self.known, self.older = {}, self.known
-        cut = [self.keys(t) for t in texts]
-        found = [None if keys is None else list(map(self.known.get, keys)) for keys in cut]
-        new = set()
-        for keys, values in zip(cut, found, strict=True):
-            if keys is not None:
-                new.update(compress(keys, map(not_, values)))
-        older = {k: self.older[k] for k in new if k in self.older}
-        new = [k for k in new if k not in older]
-        units = [k if k[0] == "\n" else k[1:] if k[0] == "\r" else " " + k for k in new]
-        self.known.update(older)
-        self.known.update(zip(new, self.of_units(units), strict=True))
-        out = []
-        for text, keys, values in zip(texts, cut, found, strict=True):
-            if keys is None:
-                out.append(self.of_text(text))
-                continue
-            for n in compress(range(len(keys)), list(map(not_, values))):
-                values[n] = self.known[keys[n]]
-            out.append(join(values))
-        return out

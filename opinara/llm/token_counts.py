@@ -2,19 +2,23 @@
 
 Which strings of the vocabulary come out as one token when they stand alone is proved once, by encoding each of them: that it
 is in the vocabulary isn't enough, as the merges may lead elsewhere. A pre-token among the proven strings counts one; only the
-rest goes through the merges of the library. Counts are remembered per unit (``pretokens.Units``), in bounded memory.
+rest goes through the merges of the library. Counts are remembered per unit (``unit_store``), in bounded memory.
 """
 
 import functools
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm import pretokens
+from opinara.llm.unit_store import WHOLE, Store, Units, pieces, pre_token_units, sums, text_of
 
 LIMIT = 1024
+MOST_UNITS = 1_000_000  # units that a task remembers
 
 
 def byte_letters() -> dict[str, int]:
@@ -39,28 +43,38 @@ def proven_strings(path: str) -> frozenset[str]:
 
 class Counter:
     def __init__(self, path: str, proven: frozenset[str]):
-        self.proven = proven
+        self.proven, self.model = proven, None
         if path.endswith(".model"):
             import sentencepiece
 
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.counts = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+            self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         else:
             self.library = pretokens.Library(path)
-            units = pretokens.Units(path, self.of_units, lambda text: len(self.library.ids([text])[0]) // 4)
-            self.counts = lambda texts: units.values(texts, sum)
-
-    def of_units(self, units: list[str]) -> list[int]:
-        counts, rest, owner = [0] * len(units), [], []
+            kept = [*pretokens.added_strings(path), pretokens.UNSETTLED]
+            self.units = Units(kept, spaced=False, cut=pretokens.cuts_like_byte_bpe(path), uneven=pre_token_units)
+            self.store = Store(lambda units: (np.ones(len(units), np.int64), self.of_units(units)), np.int64, most=MOST_UNITS)
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        texts = pc.fill_null(texts, "")
+        if self.model is not None:
+            return np.array([len(ids) for ids in self.model.encode(texts.to_pylist(), num_threads=1)], np.int64)
+        numbers, units, counts = self.units.cut(texts)
+        return sums(self.store.gathered(self.store.places(units))[numbers], counts)
+
+    def of_units(self, units: list[str]) -> np.ndarray:
+        counts, rest, owner = np.zeros(len(units), np.int64), [], []
         for n, unit in enumerate(units):
-            parts = pretokens.PRE_TOKEN.findall(unit) if pretokens.SETTLED.fullmatch(unit) else [unit]
-            open_ = [p for p in parts if p not in self.proven]
+            if unit[0] == WHOLE:
+                parts = open_ = [unit[1:]]  # a text with a string that must not be cut
+            else:
+                text = text_of(unit)
+                parts = pretokens.PRE_TOKEN.findall(text) if pretokens.SETTLED.fullmatch(text) else [text]
+                open_ = [p for p in parts if p not in self.proven]
             counts[n] = len(parts) - len(open_)
             rest += open_
             owner += [n] * len(open_)
-        for n, ids in zip(owner, self.library.ids_of_units(rest), strict=True):
-            counts[n] += len(ids) // 4
-        return counts
+        found = self.library.ids_of_units(rest)
+        return counts + np.bincount(owner, np.fromiter(map(len, found), np.int64, len(found)) // 4, len(units)).astype(np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -73,11 +87,12 @@ def token_count(spark, text: str, path: str) -> Column:
     """Tokens of a text column as the library gives them, without begin, end or other added tokens. Null counts as empty."""
     proven = spark.sparkContext.broadcast(frozenset() if path.endswith(".model") else proven_strings(path))
 
-    @F.pandas_udf("long")
-    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def count(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = counter_of(path, proven.value)
         for part in parts:
-            yield pd.Series(counter.counts(["" if t is None else t for t in part.tolist()]), dtype="int64")
+            few = [counter.counts(p.column("text")) for p in pieces(pa.RecordBatch.from_arrays([part], names=["text"]))]
+            yield pa.array(np.concatenate(few) if few else [], pa.int64())
 
     return count(F.col(text).cast("string"))
 

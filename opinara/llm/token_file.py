@@ -14,14 +14,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.llm import pretokens
 from opinara.llm.common import batches, doc_id, keyed_texts
+from opinara.llm.unit_store import Store, Units, pieces, pre_token_units, sums, text_of
 
 BLOCK_IDS = 1 << 18  # a block is closed when it holds so many ids; a document is never split
+MOST_UNITS = 1_000_000  # units that a task remembers
 MAGIC = b"DAC1"
 _STEP = 512
 
@@ -113,14 +116,23 @@ class Codes:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, as the tokenizers library gives them."""
+    """Ids of texts as the tokenizers library gives them."""
 
     def __init__(self, path: str):
-        library = pretokens.Library(path)
-        self.units = pretokens.Units(path, library.ids_of_units, lambda text: library.ids([text])[0])
+        self.library = pretokens.Library(path)
+        kept = [*pretokens.added_strings(path), pretokens.UNSETTLED]
+        self.units = Units(kept, spaced=False, cut=pretokens.cuts_like_byte_bpe(path), uneven=pre_token_units)
+        self.store = Store(self._of_units, most=MOST_UNITS)
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return self.units.values(texts, b"".join)
+    def _of_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.library.ids_of_units([text_of(u) for u in units])
+        return np.fromiter(map(len, found), np.int64, len(found)) // 4, np.frombuffer(b"".join(found), "<u4")
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and how many each has. Null is an empty text."""
+        numbers, units, counts = self.units.cut(pc.fill_null(texts, ""))
+        places = self.store.places(units)[numbers]
+        return self.store.gathered(places), sums(self.store.lengths.held[places], counts)
 
 
 @functools.cache
@@ -130,36 +142,43 @@ def encoder(path: str) -> Encoder:
 
 
 def _blocks(path: str, end_id: int, block_ids: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def rows(parts):
         codes, shard = encoder(path), TaskContext.get().partitionId()
-        start, block, held, keys = 0, 0, [], []
+        start, block, held, keys, lengths = 0, 0, [], [], []
 
         def full():
-            nonlocal start, block, held, keys
-            lengths = [len(h) // 4 for h in held]
+            nonlocal start, block, held, keys, lengths
+            size = sum(lengths)
             row = {
                 "shard": [shard],
                 "block": [block],
                 "start": [start],
-                "n_ids": [sum(lengths)],
+                "n_ids": [size],
                 "ids": [keys],
                 "lengths": [lengths],
-                "codes": [encode(np.frombuffer(b"".join(held), "<u4"))],
+                "codes": [encode(np.concatenate(held))],
             }
-            start, block, held, keys = start + sum(lengths), block + 1, [], []
+            start, block, held, keys, lengths = start + size, block + 1, [], [], []
             return row
 
         size = 0
         for part in parts:
-            for n in range(0, part.num_rows, 256):
-                few = part.slice(n, 256)
-                texts = ["" if t is None else t for t in few.column("text").to_pylist()]
-                for key, ids in zip(few.column("id").to_pylist(), codes.ids(texts), strict=True):
-                    held.append(ids + end)
-                    keys.append(key)
-                    size += len(ids) // 4 + 1
+            for few in pieces(part):
+                ids, counts = codes.ids(few.column("text"))
+                # the end id goes behind the ids of each text
+                ends = np.cumsum(counts + 1)
+                whole = np.full(int(ends[-1]), end_id, np.uint32)
+                whole[np.delete(np.arange(len(whole)), ends - 1)] = ids
+                names, at = few.column("id").to_pylist(), 0
+                while at < len(names):
+                    begin = int(ends[at - 1]) if at else 0
+                    last = int(np.searchsorted(ends, begin + block_ids - size))  # the document that fills the block
+                    some = slice(at, min(last, len(names) - 1) + 1)
+                    at = some.stop
+                    held.append(whole[begin : int(ends[at - 1])])
+                    keys += names[some]
+                    lengths += (counts[some] + 1).tolist()
+                    size += len(held[-1])
                     if size >= block_ids:
                         yield full()
                         size = 0

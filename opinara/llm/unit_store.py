@@ -13,16 +13,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from opinara.llm.pretokens import UNEVEN
+from opinara.llm.pretokens import UNEVEN, UNIT
 
 WHOLE = "\x00"  # starts a unit that is a whole text
 FIRST = "\r"  # starts a unit that is the first word of a text, without a space before it
-MOST_UNITS = 300_000  # remembered units and values per task; past that the memory starts anew, which changes no result
-MOST_VALUES = 4_000_000
+MOST_UNITS = 300_000  # units in memory per task, and 20 times as many values; past that it starts anew, which changes no result
 BATCH_BYTES = 2_000_000
 
 _UNEVEN = "|".join(re.escape(u) if len(u) > 1 else f"\\x{{{ord(u):x}}}" for u in UNEVEN)
-_EDGES = "^[ \n]|[ \n]$|\\x00"
+_EDGES = "^[ \n]|[ \n]$"
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -66,8 +65,8 @@ class Store:
     """A run of values and some columns per unit. ``of_units`` maps a list of units to the lengths of their runs, the runs one after
     another, and the columns."""
 
-    def __init__(self, of_units: Callable[[list[str]], tuple], kind=np.uint32, columns: tuple = ()):
-        self.of_units, self.kinds = of_units, (np.int64, kind, *columns)
+    def __init__(self, of_units: Callable[[list[str]], tuple], kind=np.uint32, columns: tuple = (), most: int = MOST_UNITS):
+        self.of_units, self.kinds, self.most = of_units, (np.int64, kind, *columns), most
         self._anew()
 
     def _anew(self) -> None:
@@ -77,7 +76,7 @@ class Store:
 
     def places(self, units: list[str]) -> np.ndarray:
         """Where distinct units are in ``starts``, ``lengths`` and ``columns``. Places hold until the next call."""
-        if len(self.known) > MOST_UNITS or self.flat.size > MOST_VALUES:
+        if len(self.known) > self.most or self.flat.size > 20 * self.most:
             self._anew()
         places = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(places < 0)
@@ -98,33 +97,49 @@ class Store:
         return gather(self.flat.held, self.starts.held[places], self.lengths.held[places])
 
 
+def pre_token_units(text: str) -> list[str]:
+    """The units of a text with any white space, for a byte-level BPE."""
+    return [u[1:] if u[0] == " " and len(u) > 1 and u[1] not in "\n\r" else FIRST + u for u in UNIT.findall(text)]
+
+
+def text_of(unit: str) -> str:
+    """What a unit stands for."""
+    return unit if unit[0] == "\n" else unit[1:] if unit[0] in (WHOLE, FIRST) else " " + unit
+
+
 class Units:
     """Texts cut to units. ``kept`` are strings that must not be cut: texts with one of them are whole. With ``spaced`` a text is
-    taken with a space before it, so that its first word is like any other."""
+    taken with a space before it, so that its first word is like any other. ``uneven`` cuts texts with other white space than one
+    space or line end between words; without it they are whole."""
 
-    def __init__(self, kept: list[str], spaced: bool, cut: bool = True):
-        self.whole = "|".join([_UNEVEN, _EDGES, *map(re.escape, kept)]) if cut else None
-        self.spaced = spaced
+    def __init__(self, kept: list[str], spaced: bool, cut: bool = True, uneven: Callable[[str], list[str]] | None = None):
+        self.kept = "|".join([r"\x00", *map(re.escape, kept)]) if cut else None
+        self.spaced, self.uneven = spaced, uneven
 
     def cut(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
         """For texts without nulls: the number of each unit among the distinct ones, those, and how many units each text has."""
-        empty = pc.equal(pc.binary_length(texts), 0)
-        whole = pc.match_substring_regex(texts, self.whole) if self.whole else pa.array(np.ones(len(texts), bool))
-        plain = pc.and_(pc.invert(empty), pc.invert(whole))
+        there = pc.greater(pc.binary_length(texts), 0)
+        whole = pc.match_substring_regex(texts, self.kept) if self.kept else pa.array(np.ones(len(texts), bool))
+        odd = pc.or_(whole, pc.match_substring_regex(texts, f"{_UNEVEN}|{_EDGES}"))
+        plain = pc.and_(there, pc.invert(odd))
         words = texts.filter(plain)
         if not self.spaced:
             words = pc.binary_join_element_wise(FIRST, words, "")
         lists = pc.split_pattern(pc.replace_substring(words, "\n", " \n"), " ")
         counts = np.zeros(len(texts), np.int64)
         counts[plain.to_numpy(zero_copy_only=False)] = np.diff(lists.offsets.to_numpy())
-        whole = pc.and_(whole, pc.invert(empty)).to_numpy(zero_copy_only=False)
         encoded = lists.flatten().dictionary_encode()
         numbers, units = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary.to_pylist()
-        if whole.any():
-            kept = texts.filter(pa.array(whole)).dictionary_encode()
-            counts[whole] = 1
-            merged = np.zeros(int(counts.sum()), np.int64)
-            at = np.repeat(whole, counts)
-            merged[~at], merged[at] = numbers, kept.indices.to_numpy() + len(units)
-            numbers, units = merged, units + [WHOLE + text for text in kept.dictionary.to_pylist()]
+        odd = pc.and_(odd, there)
+        if pc.any(odd).as_py():
+            cuts = [
+                [WHOLE + text] if one or self.uneven is None else self.uneven(text)
+                for text, one in zip(texts.filter(odd).to_pylist(), whole.filter(odd).to_pylist(), strict=True)
+            ]
+            at = odd.to_numpy(zero_copy_only=False)
+            counts[at] = list(map(len, cuts))
+            more = pa.array([u for units_of in cuts for u in units_of]).dictionary_encode()
+            merged, of_odd = np.zeros(int(counts.sum()), np.int64), np.repeat(at, counts)
+            merged[~of_odd], merged[of_odd] = numbers, more.indices.to_numpy().astype(np.int64) + len(units)
+            numbers, units = merged, units + more.dictionary.to_pylist()
         return numbers, units, counts
