@@ -8,7 +8,9 @@ within five standard deviations of a link are fetched and confirmed on full sets
 
 The sets of a band's key are never turned into all of their pairs. Equal sets are one node. Nodes first meet one node of each key:
 the most central one, then a few drawn ones where several components are left; links unite to components. Then pairs of different
-components under one key whose estimates are high enough meet, so that every link is found or lies inside a component.
+components under one key whose estimates are high enough meet, so that every link is found or lies inside a component. A set that
+has shingles of its own, in no other candidate, can't share those: that bound, counted once, is exact, and keeps copies of one text
+that differ too much from meeting one another.
 """
 
 import hashlib
@@ -35,6 +37,7 @@ WORDS = FUNCTIONS * BITS // 64
 MARGIN = 5  # standard deviations
 _DRAWS = 3  # drawn centres of a key; what they leave open is settled pair by pair
 _CHUNK = 1 << 16
+_RARE = 16  # nodes of open lists that have a rare shingle, at most
 _BLOCK = 4096  # outside nodes under one key that meet in one block
 
 _SEEDS = mixed(np.arange(1, 2 * FUNCTIONS + BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -42,6 +45,7 @@ _FACTORS = (_SEEDS[:FUNCTIONS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1
 _MASKS = (_SEEDS[FUNCTIONS : 2 * FUNCTIONS] >> np.uint64(32)).astype(np.uint32)
 _BAND_SEEDS = _SEEDS[2 * FUNCTIONS :]
 _PACKED = [f"g{n}" for n in range(WORDS)]
+_SHOWN = ["n", "common", *_PACKED]  # what a list tells of a node
 SIGNED = "id long, fp long, n int, s1 long, s2 long, " + ", ".join(f"{g} long" for g in _PACKED) + ", bands array<long>"
 _SIGNED = pa.schema(
     [("id", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64())]
@@ -138,8 +142,11 @@ def estimate(one: str, other: str) -> Column:
 
 
 def _may_link(one: str, other: str, percent: int) -> Column:
+    """By sizes, by what two sets have in common at most (``common``: shingles that other candidates have too), by estimate."""
     n, m = F.col(f"n{one}"), F.col(f"n{other}")
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differences(one, other) <= most_differences(percent))
+    at_most = F.least(f"common{one}", f"common{other}")
+    possible = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * at_most >= percent * (n + m))
+    return possible & (differences(one, other) <= most_differences(percent))
 
 
 class _Texts:
@@ -150,6 +157,16 @@ class _Texts:
         found = texts.join(wanted, ["id", "fp"]).select("node", "text").dropDuplicates(["node"])
         self.table, self.length, self.percent = scratch_table(found, "texts"), length, percent
 
+    def grams(self, nodes: DataFrame | None = None) -> DataFrame:
+        """node and gram: the shingles of these nodes, or of some of them."""
+        table = self.table if nodes is None else self.table.join(nodes.select("node"), "node", "left_semi")
+        return table.mapInArrow(_grams(self.length), "node long, gram long")
+
+    def own(self) -> DataFrame:
+        """node and own: how many shingles of a node no other of these nodes has. Counted in the map tasks first."""
+        alone = self.grams().groupBy("gram").agg(F.count(F.lit(1)).alias("uses"), F.min("node").alias("node")).filter("uses = 1")
+        return alone.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("own"))
+
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets link."""
         ones = pairs.join(self.table.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -157,6 +174,17 @@ class _Texts:
         return scratch_table(both.mapInArrow(_confirm(self.length, self.percent), "a long, b long"), "links")
 
 
+def _grams(length: int):
+    def run(parts):
+        for part in parts:
+            for few in pieces(part):
+                sets = shingle_sets(few.column("text"), length)
+                nodes = np.repeat(few.column("node").to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(sets).view(np.int64))], names=["node", "gram"])
+
+    return run
+
+
 def _confirm(length: int, percent: int):
     def run(parts):
         for part in parts:
@@ -177,10 +205,10 @@ def _confirm(length: int, percent: int):
 
 def _with_centres(lists: DataFrame, ranks: list[Column], percent: int) -> DataFrame:
     """Pairs of each node under a key with the node there of the highest rank, for each of the ranks, if they may link."""
-    tops = [F.max(F.struct(rank.alias("rank"), "node", "n", *_PACKED)) for rank in ranks]
+    tops = [F.max(F.struct(rank.alias("rank"), "node", *_SHOWN)) for rank in ranks]
     centres = lists.groupBy("key").agg(F.array_distinct(F.array(*[t.dropFields("rank") for t in tops])).alias("c"))
     centres = centres.select("key", F.explode("c").alias("c"))
-    centres = centres.select("key", F.col("c.node").alias("node_c"), F.col("c.n").alias("n_c"), *(F.col(f"c.{g}").alias(f"{g}_c") for g in _PACKED))
+    centres = centres.select("key", *(F.col(f"c.{c}").alias(f"{c}_c") for c in ("node", *_SHOWN)))
     pairs = lists.join(centres, "key").filter((F.col("node") != F.col("node_c")) & _may_link("", "_c", percent))
     return pairs.select(F.greatest("node", "node_c").alias("a"), F.least("node", "node_c").alias("b")).distinct()
 
@@ -194,15 +222,34 @@ def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
     return scratch_table(placed.join(keys, "key"), "open")
 
 
-def _pairs_apart(open_: DataFrame, percent: int) -> DataFrame:
-    """Pairs under one key of nodes in different components that may link. Nodes outside the key's main component meet all others,
-    in blocks of bounded size."""
-    columns = ["node", "n", "component", *_PACKED]
+def _pairs_apart(open_: DataFrame, fetched: _Texts, percent: int) -> DataFrame:
+    """Pairs of nodes of open lists in different components that may link.
+
+    A shingle that at most ``_RARE`` of these nodes have is rare. Two sets either have a rare shingle in common, and such pairs are
+    listed by shingle, a bounded number for each; or they have no more in common than either has shingles that aren't rare. Among
+    copies of one text those are the text's own, so that copies that differ too much don't meet, however many there are.
+    """
+    nodes = scratch_table(open_.select("node", "component", *_SHOWN).distinct(), "open-nodes")
+    grams = scratch_table(fetched.grams(nodes), "grams")
+    uses = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1")
+    shared = scratch_table(grams.join(uses, "gram"), "shared-grams")
+    rare = shared.filter(F.col("uses") <= _RARE).groupBy("gram").agg(F.collect_list("node").alias("nodes"))  # few, by the filter
+    rare = rare.select("nodes", F.explode("nodes").alias("a")).select("a", F.explode("nodes").alias("b")).filter("a > b").distinct()
+    for name, side in (("a", "_x"), ("b", "")):
+        rare = rare.join(nodes.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}{side}") for c in ("component", *_SHOWN))), name)
+    apart = (F.col("component_x") != F.col("component")) & _may_link("_x", "", percent)
+    listed = rare.filter(apart).select("a", "b")
+
+    frequent = shared.filter(F.col("uses") > _RARE).groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("frequent"))
+    left = open_.drop("common").join(frequent.withColumnRenamed("frequent", "common"), "node").filter(100 * F.col("common") >= percent * F.col("n"))
+    # Nodes outside the key's main component meet all others, in blocks of bounded size
+    columns = ["node", "component", *_SHOWN]
     blocks = F.ceil(F.col("outside") / _BLOCK).cast("long")
-    outside = open_.filter("component <> main").select("key", F.pmod(F.xxhash64("node"), blocks).alias("block"), *(F.col(c).alias(f"{c}_x") for c in columns))
-    inside = open_.select("key", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), *columns)
-    meet = outside.join(inside, ["key", "block"]).filter((F.col("component_x") != F.col("component")) & _may_link("_x", "", percent))
-    return meet.select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b")).distinct()
+    outside = left.filter("component <> main").select("key", F.pmod(F.xxhash64("node"), blocks).alias("block"), *(F.col(c).alias(f"{c}_x") for c in columns))
+    inside = left.select("key", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), *columns)
+    meet = outside.join(inside, ["key", "block"]).filter(apart)
+    met = meet.select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b"))
+    return listed.unionByName(met).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
@@ -224,6 +271,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, length: int = SHING
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
     lists = scratch_table(entries.join(shared, "key"), "lists")
     fetched = _Texts(texts, nodes, lists, length, percent)
+    common = F.col("n") - F.coalesce("own", F.lit(0))
+    lists = lists.join(scratch_table(fetched.own(), "own"), "node", "left").withColumn("common", common).drop("own")
+    lists = scratch_table(lists.filter(100 * F.col("common") >= percent * F.col("n")), "lists")  # others link with no set
 
     lists_of = lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists"))
     judged = scratch_table(_with_centres(lists.join(lists_of, "node"), [F.col("lists")], percent), "pairs")
@@ -231,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, length: int = SHING
     found = components(links)
     open_ = _open_lists(lists, found)
     drawn = _with_centres(open_, [F.xxhash64(F.lit(n), "key", "node") for n in range(_DRAWS)], percent) if _DRAWS else judged.limit(0)
-    for step, wanted in enumerate((lambda: drawn, lambda: _pairs_apart(open_, percent))):
+    for step, wanted in enumerate((lambda: drawn, lambda: _pairs_apart(open_, fetched, percent))):
         pairs = scratch_table(wanted().join(judged, ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
             continue

@@ -93,8 +93,9 @@ def families():
     return rows
 
 
-@pytest.mark.parametrize("draws, block", [(bbit._DRAWS, 4096), (0, 2)])
-def test_families(spark, families, monkeypatch, draws, block):
+@pytest.mark.parametrize("draws, block, rare", [(bbit._DRAWS, 4096, 16), (0, 2, 1), (0, 2, 4)])
+def test_families(spark, families, monkeypatch, draws, block, rare):
+    monkeypatch.setattr(bbit, "_RARE", rare)
     monkeypatch.setattr(bbit, "_DRAWS", draws)
     monkeypatch.setattr(bbit, "_BLOCK", block)
     docs = spark.createDataFrame(families, "doc_id long, text string").repartition(6)
