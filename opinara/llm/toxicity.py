@@ -9,25 +9,27 @@ one bad word isn't thinned out by a long text and a rare one still counts. As al
 per bucket.
 """
 
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, mixed, scratch_table
 
-SAMPLE = 3_000  # labelled texts per label that the model is trained on, about
+SAMPLE = 2_000  # labelled texts per label that the model is trained on, about
 CUTOFF = 0.7
 BUCKETS = 1 << 20
 PRIOR_ODDS = 1000.0  # against a bucket telling the labels apart, before the sample is seen
 _LENGTHS = (3, 4, 5)
 _MOST_REMEMBERED = 300_000  # words in memory per task; past that the memory starts anew, which changes no result
-_BAGS = pa.schema([("toxic", pa.int32()), ("key", pa.int64()), ("parts", pa.list_(pa.int32())), ("uses", pa.list_(pa.int32()))])
+_SLICE = 1 << 20  # entries that are worked on at once where the driver goes through all of them
+_BAGS = pa.schema([("toxic", pa.int32()), ("key", pa.int64()), ("n", pa.int32()), ("bag", pa.binary())])
 
 
 def words_of(text: str | None) -> list[str]:
@@ -59,12 +61,22 @@ def parts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(buckets) & np.uint64(BUCKETS - 1)).astype(np.int64), np.concatenate(owners)
 
 
+def pack_bag(parts: np.ndarray, uses: np.ndarray) -> bytes:
+    """Ascending parts as steps, and their uses, compressed."""
+    return zlib.compress(np.concatenate([np.diff(parts, prepend=0), uses]).astype("<i4").tobytes(), 1)
+
+
+def unpack_bag(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, uses = np.frombuffer(zlib.decompress(bag), "<i4").reshape(2, -1)
+    return np.cumsum(steps, dtype=np.int32), uses
+
+
 def _bags(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(part):
         for toxic, key, text in zip(*(part.column(c).to_pylist() for c in ("toxic", "key", "text")), strict=True):
             buckets, _ = parts_of(sorted(set(words_of(text))))
             distinct, uses = np.unique(buckets, return_counts=True)
-            yield {"toxic": [toxic], "key": [key], "parts": [distinct.astype(np.int32)], "uses": [uses.astype(np.int32)]}
+            yield {"toxic": [toxic], "key": [key], "n": [len(distinct)], "bag": [pack_bag(distinct, uses)]}
 
     for part in parts:
         yield from batches(rows(part), _BAGS, 200)
@@ -122,12 +134,41 @@ def shares_of(n_0: np.ndarray, n_1: np.ndarray, texts: tuple[int, int]) -> np.nd
     return 1 / (1 + PRIOR_ODDS * np.exp(-np.maximum(ratio, 0)))
 
 
+def text_counts(labels: np.ndarray, starts: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts of either label each bucket is. Slice by slice, as the entries are many."""
+    counts = np.zeros((2, BUCKETS), np.int64)
+    owners = np.repeat(labels.astype(bool), np.diff(starts))
+    for at in range(0, len(parts), _SLICE):
+        some, toxic = parts[at : at + _SLICE], owners[at : at + _SLICE]
+        counts[1] += np.bincount(some[toxic], minlength=BUCKETS)
+        counts[0] += np.bincount(some[~toxic], minlength=BUCKETS)
+    return counts[0], counts[1]
+
+
+def gradient(values, rows: np.ndarray, column: np.ndarray, mean: np.ndarray, labels: np.ndarray, balance: np.ndarray, decay: float):
+    """Scores (label 1 over label 0) of the texts of a step, and the slopes of the log loss by vectors, softmax and bias.
+
+    Entry n says that text ``rows[n]`` has the part ``column[n]`` with the share ``mean[n]`` of its mean.
+    """
+    vectors, softmax, bias = values
+    # the softmax of two labels depends on the difference of their scores only, so one number per part is summed
+    apart = softmax[:, 1] - softmax[:, 0]
+    logits = np.bincount(rows, mean * (vectors @ apart.astype(np.float32))[column], minlength=len(labels)) + bias[1] - bias[0]
+    error = (1 / (1 + np.exp(-np.clip(logits, -500, 500))) - labels) * balance / len(labels)
+    pull = np.bincount(column, mean * error[rows], minlength=len(vectors)).astype(np.float32)
+    inner = pull @ vectors
+    by_vector = np.multiply.outer(pull, apart.astype(np.float32))
+    by_vector += np.float32(decay) * vectors
+    return logits, [by_vector, np.stack([-inner, inner], 1) + decay * softmax, np.array([-error.sum(), error.sum()])]
+
+
 def fit(
     labels: np.ndarray, starts: np.ndarray, parts: np.ndarray, uses: np.ndarray,
     dim: int = 8, steps: int = 400, rate: float = 0.05, decay: float = 1e-6, seed: int = 7,
 ) -> Model:
     """Vectors and softmax together, by stochastic gradient steps with moments (Adam) on the log loss. Text n has the label
-    ``labels[n]`` and, from ``starts[n]`` to ``starts[n + 1]``, distinct ``parts`` and how often they occur."""
+    ``labels[n]`` and, from ``starts[n]`` to ``starts[n + 1]``, distinct ``parts`` and how often they occur. ``parts`` are renumbered
+    in place."""
     rng = np.random.default_rng(seed)
     weights, all_shares = np.full(BUCKETS, np.nan), np.zeros(BUCKETS)
     toxic = int(labels.sum())
@@ -135,13 +176,13 @@ def fit(
         share = (toxic + 0.5) / (len(labels) + 1)
         return Model(weights, all_shares, float(np.log(share / (1 - share))))
     sizes = np.diff(starts)
-    n_1 = np.bincount(parts[np.repeat(labels == 1, sizes)], minlength=BUCKETS)
-    n_0 = np.bincount(parts, minlength=BUCKETS) - n_1
+    n_0, n_1 = text_counts(labels, starts, parts)
     used = np.flatnonzero(n_0 + n_1)
     local = np.zeros(BUCKETS, np.int32)
     local[used] = np.arange(len(used))
     shares = shares_of(n_0[used], n_1[used], (len(labels) - toxic, toxic))
-    parts = local[parts]
+    for at in range(0, len(parts), _SLICE):
+        parts[at : at + _SLICE] = local[parts[at : at + _SLICE]]
     balance = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())  # both labels weigh the same
     values = [rng.normal(0, 0.1, (len(used), dim)).astype(np.float32), rng.normal(0, 0.5, (dim, 2)), np.zeros(2)]
     moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
@@ -154,24 +195,22 @@ def fit(
         rows, column = np.repeat(np.arange(len(some)), sizes[some]), parts[at]
         mean = uses[at] * shares[column]
         mean /= np.bincount(rows, mean, minlength=len(some))[rows]
-        vectors, softmax, bias = values
-        # the softmax of two labels depends on the difference of their scores only, so one number per part is summed
-        apart = softmax[:, 1] - softmax[:, 0]
-        logits = np.bincount(rows, mean * (vectors @ apart)[column], minlength=len(some)) + bias[1] - bias[0]
-        error = (1 / (1 + np.exp(-np.clip(logits, -500, 500))) - labels[some]) * balance[some] / len(some)
-        pull = np.bincount(column, mean * error[rows], minlength=len(used))
-        inner = pull @ vectors
-        slopes = [
-            np.outer(pull, apart).astype(np.float32) + np.float32(decay) * vectors,
-            np.stack([-inner, inner], 1) + decay * softmax,
-            np.array([-error.sum(), error.sum()]),
-        ]
+        _, slopes = gradient(values, rows, column, mean, labels[some], balance[some], decay)
         step += 1
         scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         for value, (first, second), slope in zip(values, moments, slopes, strict=True):
-            first += 0.1 * (slope - first)
-            second += 0.001 * (slope**2 - second)
-            value -= scale * first / (np.sqrt(second) + 1e-8)
+            # first += 0.1 * (slope - first), second += 0.001 * (slope ** 2 - second), in place
+            first *= 0.9
+            first += 0.1 * slope
+            second *= 0.999
+            np.square(slope, out=slope)
+            slope *= 0.001
+            second += slope
+            np.sqrt(second, out=slope)
+            slope += 1e-8
+            np.divide(first, slope, out=slope)
+            slope *= scale
+            value -= slope
     vectors, softmax, bias = values
     weights[used], all_shares[used] = vectors @ (softmax[:, 1] - softmax[:, 0]), shares
     return Model(weights, all_shares, float(bias[1] - bias[0]))
@@ -187,12 +226,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = scratch_table(chosen, "chosen")  # as a table its size is known, and a short one is broadcast
     chosen = texts.join(chosen, "doc_id").select("toxic", F.xxhash64("doc_id", "text").alias("key"), "text")
-    bags = scratch_table(chosen.mapInArrow(_bags, "toxic int, key long, parts array<int>, uses array<int>"), "bags")
-    table = bags.orderBy("key", "toxic").toArrow().combine_chunks()
+    bags = scratch_table(chosen.mapInArrow(_bags, "toxic int, key long, n int, bag binary"), "bags")
+    table = bags.orderBy("key", "toxic").toArrow()  # compressed: some ten kilobytes for each text of the sample
+    sizes = table["n"].to_numpy().astype(np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
     labels = table["toxic"].to_numpy()
-    lists = [table[c].combine_chunks() for c in ("parts", "uses")]
-    starts = np.concatenate([[0], np.cumsum(pc.list_value_length(table["parts"]).to_numpy())]).astype(np.int64)
-    return fit(labels, starts, *(column.flatten().to_numpy() for column in lists))
+    parts, uses, at = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.int32), 0
+    for bag in chain.from_iterable(chunk.to_pylist() for chunk in table["bag"].chunks):
+        some = unpack_bag(bag)
+        parts[at : at + len(some[0])], uses[at : at + len(some[0])] = some
+        at += len(some[0])
+    del table
+    return fit(labels, starts, parts, uses)
 
 
 def toxicity(spark, model: Model, text: str = "text") -> Column:

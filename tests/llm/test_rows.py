@@ -138,6 +138,56 @@ def test_rare_words_and_few_labels_count(spark):
     assert sum(s >= 0.7 for s in scores) >= 18 and sum(s >= 0.7 for s in few.scores(clean)) <= 4
 
 
+def test_gradient_by_loops():
+    """Mean of vectors, softmax of two labels, log loss and its slopes, one number at a time."""
+    rng = np.random.default_rng(4)
+    n_parts, dim, labels, balance, decay = 5, 3, np.array([1, 0, 1]), np.array([0.7, 1.4, 0.7]), 0.01
+    bags = [{0: 0.5, 2: 0.5}, {1: 1.0}, {0: 0.2, 3: 0.3, 4: 0.5}]  # part: share of the mean
+    vectors, softmax, bias = rng.normal(size=(n_parts, dim)).astype(np.float32), rng.normal(size=(dim, 2)), rng.normal(size=2)
+    rows = np.array([r for r, bag in enumerate(bags) for _ in bag])
+    column, mean = (np.array([v for bag in bags for v in pair(bag)]) for pair in (dict.keys, dict.values))
+
+    def loss(vectors, softmax, bias):
+        total = 0.0
+        for bag, label, weight in zip(bags, labels, balance, strict=True):
+            text = [sum(share * vectors[p][d] for p, share in bag.items()) for d in range(dim)]
+            scores = [sum(text[d] * softmax[d][c] for d in range(dim)) + bias[c] for c in range(2)]
+            total -= weight * (scores[label] - math.log(sum(math.exp(s) for s in scores))) / len(bags)
+        return total + decay / 2 * (sum(v * v for row in vectors for v in row) + sum(v * v for row in softmax for v in row))
+
+    logits, slopes = toxicity.gradient([vectors, softmax, bias], rows, column, mean, labels, balance, decay)
+    for r, bag in enumerate(bags):
+        text = sum(share * vectors[p].astype(float) for p, share in bag.items())
+        assert logits[r] == pytest.approx((text @ softmax)[1] - (text @ softmax)[0] + bias[1] - bias[0], abs=1e-5)
+    given = [vectors.astype(float), softmax, bias]
+    for which, slope in enumerate(slopes):
+        for at in np.ndindex(slope.shape):
+            moved = []
+            for step in (1e-5, -1e-5):
+                values = [v.copy() for v in given]
+                values[which][at] += step
+                moved.append(loss(*values))
+            assert slope[at] == pytest.approx((moved[0] - moved[1]) / 2e-5, abs=1e-5)
+
+
+def test_trained_model_is_the_mean_and_softmax_of_its_parts(spark):
+    """Scores by plain loops over the parts of each distinct word."""
+    rng = random.Random(3)
+    rows = [(i, abuse(rng, i % 3 == 0)) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    for _, text in rows[:10]:
+        over, under = 0.0, 0.0
+        for word in sorted(set(text.lower().split())):
+            for part in toxicity.parts_of([word])[0].tolist():
+                if not math.isnan(model.weights[part]):
+                    over += model.weights[part] * model.shares[part]
+                    under += model.shares[part]
+        assert model.scores([text])[0] == pytest.approx(1 / (1 + math.exp(-(model.bias + over / under))), rel=1e-9)
+    bag = (np.array([3, 70, 1 << 19]), np.array([1, 90_000, 2]))
+    assert all(np.array_equal(x, y) for x, y in zip(toxicity.unpack_bag(toxicity.pack_bag(*bag)), bag, strict=True))
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     labels = spark.createDataFrame([(10, 0), (16, 1), (None, 1), (14, None), (3, 0), (3, 0)], "doc_id long, toxic int")
     got = toxicity.score_texts(odd_docs, toxicity.train(odd_docs, labels)).collect()
