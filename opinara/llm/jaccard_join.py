@@ -23,10 +23,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, doc_id, gram_hashes, keyed_texts, mixed, row_key, scratch_table, word_hashes
+from opinara.llm.components import components
 
 SHINGLE = 4
 PERCENT = 85
@@ -35,12 +36,13 @@ _BLOCK = 1 << 12
 _SCAN = 4  # what scanning a list costs, in subsets
 _LARGEST_SMALL = 256
 _SALTS = 32
+_OUTSIDE = 4096  # outside nodes of a list that meet in one block
 
 _SIZED = pa.schema(
     [("id", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
 )
-_LISTED = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
-_SETS = pa.schema([("node", pa.int64()), ("partners", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
+_LISTED = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def shingles(text: str | None, length: int = SHINGLE) -> np.ndarray:
@@ -142,14 +144,21 @@ def _list_sets(length: int, percent: int, most: int, levels):
                 continue
             level = levels.value[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
             ordered = grams[np.lexsort((grams, level))]
-            keys = []
+            keys, places = [], []
             if listed(n, most, percent):
                 keys.append(ordered[: prefix(n, percent, 1)])
+                places.append(np.arange(len(keys[-1])))
             if n <= most:
-                pairs = np.array(list(combinations(ordered[: prefix(n, percent, 2)].tolist(), 2)), np.uint64)
-                keys.append(mixed(pairs[:, 0] * np.uint64(0x9E3779B97F4A7C15) + pairs[:, 1]) if len(pairs) else np.zeros(0, np.uint64))
-            keys = np.concatenate(keys)
-            yield {"key": keys, "node": np.full(len(keys), node_of(grams), np.int64), "n": np.full(len(keys), n, np.int32)}
+                pairs = np.array(list(combinations(range(prefix(n, percent, 2)), 2)), np.int64).reshape(-1, 2)
+                keys.append(mixed(ordered[pairs[:, 0]] * np.uint64(0x9E3779B97F4A7C15) + ordered[pairs[:, 1]]))
+                places.append(pairs[:, 0])
+            keys, size = np.concatenate(keys), sum(map(len, keys))
+            yield {
+                "key": keys,
+                "node": np.full(size, node_of(grams), np.int64),
+                "n": np.full(size, n, np.int32),
+                "place": np.concatenate(places).astype(np.int32),
+            }
 
     def run(parts):
         for part in parts:
@@ -158,68 +167,41 @@ def _list_sets(length: int, percent: int, most: int, levels):
     return run
 
 
-def _sets(length: int):
+def _confirm(length: int, percent: int):
+    """The pairs (a, b) of texts whose whole sets link. A text that comes several times in a row is taken apart once."""
+
     def rows(batch):
-        for node, partners, text in zip(*(batch.column(c).to_pylist() for c in ("node", "partners", "text")), strict=True):
-            yield {"node": [node], "partners": [partners], "grams": [shingles(text, length).view(np.int64)]}
+        known: dict[int, np.ndarray] = {}
+        for a, b, *texts in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+            for node, text in zip((a, b), texts, strict=True):
+                if node not in known:
+                    known[node] = shingles(text, length)
+            one, other = known[a], known[b]
+            common = len(np.intersect1d(one, other, assume_unique=True))
+            if 100 * common >= percent * (len(one) + len(other) - common):
+                yield {"a": [a], "b": [b]}
 
     def run(parts):
         for part in parts:
-            yield from batches(rows(part), _SETS, 200)
+            for at in range(0, part.num_rows, 500):
+                yield from batches(rows(part.slice(at, 500)), _LINKS)
 
     return run
 
 
-class _Corpus:
-    """The texts dealt by row key, and the first row of each node."""
-
-    def __init__(self, texts: DataFrame, nodes: DataFrame, length: int, percent: int):
-        partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.spread, self.nodes, self.length, self.percent = texts.repartition(partitions, "id", "fp"), nodes, length, percent
+class _Texts:
+    """The texts of the nodes that are in lists with others, fetched once."""
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """node, partners and grams of the wanted nodes (node, partners)."""
-        rows = wanted.join(self.nodes, "node").select("id", "fp", "node", "partners")
-        texts = self.spread.join(rows, ["id", "fp"]).dropDuplicates(["id", "fp"]).select("node", "partners", "text")
-        return texts.mapInArrow(_sets(self.length), "node long, partners array<long>, grams array<long>")
+    def __init__(self, texts: DataFrame, nodes: DataFrame, lists: DataFrame, length: int, percent: int):
+        wanted = nodes.join(lists.select("node").distinct(), "node").select("id", "fp", "node")
+        found = texts.join(wanted, ["id", "fp"]).select("node", "text").dropDuplicates(["node"])
+        self.table, self.length, self.percent = scratch_table(found, "texts"), length, percent
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets link. Of the two, b should be the node with more pairs."""
-        lists = pairs.groupBy("a").agg(F.collect_set("b").alias("partners")).withColumnRenamed("a", "node")
-        ones = self.sets(lists).select(F.col("node").alias("a"), F.explode("partners").alias("b"), F.col("grams").alias("grams_a"))
-        none = F.array().cast("array<bigint>")
-        others = self.sets(pairs.select(F.col("b").alias("node")).distinct().withColumn("partners", none))
-        both = ones.join(others.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
-        common = F.size(F.array_intersect("grams_a", "grams_b"))
-        union = F.size("grams_a") + F.size("grams_b") - common
-        return scratch_table(both.filter(100 * common >= self.percent * union).select("a", "b"), "links")
-
-
-def _similar_sizes(one: str, other: str, percent: int):
-    n, m = F.col(one), F.col(other)
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """node and component (its smallest node) of every node in links (a, b), by alternating large and small stars.
-
-    A large star connects the larger neighbours of a node to its smallest neighbour, a small star the others; both are sums and
-    joins, so a node with very many neighbours needs no task of its own. The rounds end when no link changes.
-    """
-    edges = scratch_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch_table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")), "least")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct()
-        large = scratch_table(large, "edges")
-        least = scratch_table(large.groupBy("u").agg(F.min("v").alias("least")), "least")
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v")
-        edges = scratch_table(small.unionByName(least.select("u", F.col("least").alias("v"))).distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = now
+        """The pairs (a, b) whose sets link."""
+        ones = pairs.join(self.table.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        both = ones.join(self.table.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        return scratch_table(both.mapInArrow(_confirm(self.length, self.percent), "a long, b long"), "links")
 
 
 def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
@@ -236,21 +218,21 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGL
     small = rows.filter((F.col("n") > 0) & (F.col("n") <= 2 * _LARGEST_SMALL)).groupBy("n").count().collect()
     sizes = {r["n"]: r["count"] for r in small if links_with_others(r["n"], percent)}
     most = boundary(sizes, percent)
-    entries = texts.mapInArrow(_list_sets(length, percent, most, levels), "key long, node long, n int")
+    entries = texts.mapInArrow(_list_sets(length, percent, most, levels), "key long, node long, n int, place int")
     entries = scratch_table(entries, "entries")
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("row"))
     nodes = scratch_table(nodes.select("node", "row.id", "row.fp"), "nodes")
-    corpus = _Corpus(texts, nodes, length, percent)
 
     shared = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
-    lists = scratch_table(entries.join(scratch_table(shared.select("key"), "shared"), "key").distinct(), "lists")
+    lists = scratch_table(entries.join(shared.select("key"), "key").distinct(), "lists")
+    fetched = _Texts(texts, nodes, lists, length, percent)
     pairs = scratch_table(_pairs_with_centres(lists, percent), "pairs")
-    links = corpus.linked(pairs)
-    found = scratch_table(components(links), "components")
+    links = fetched.linked(pairs)
+    found = components(links)
 
-    apart = _pairs_apart(lists, found, percent, most).join(pairs, ["a", "b"], "left_anti")
-    more = corpus.linked(scratch_table(apart, "pairs-apart"))
-    found = scratch_table(components(links.unionByName(more)), "components")
+    apart = scratch_table(_pairs_apart(lists, found, percent).join(pairs, ["a", "b"], "left_anti"), "pairs-apart")
+    if apart.limit(1).count():
+        found = components(links.unionByName(fetched.linked(apart)))
 
     named = nodes.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     least = scratch_table(named.groupBy("component").agg(F.min("id").alias("component_id")), "names")
@@ -260,48 +242,43 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGL
     return out.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
+def _may_link(n: str, place: str, m: str, other: str, percent: int) -> Column:
+    """Whether two sets of a list may link if its element is the first that they have in common.
+
+    What they have in common then is this element and at most the rest of either behind it. The first common element of two sets
+    that link is in both of their prefixes, so some list lets them through.
+    """
+    n, m, place, other = map(F.col, (n, m, place, other))
+    overlap = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+    similar = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return similar & (F.least(n - place, m - other) >= overlap)
+
+
 def _pairs_with_centres(lists: DataFrame, percent: int) -> DataFrame:
     """Each node of a list with one node of it: the one that is in most lists, so has fewest elements of its own. Where copies
     were made of one text, that is the text itself or close to it, and links with most of them."""
-    lists_of = scratch_table(lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists")), "lists-of")
-    ranked = lists.join(lists_of, "node")
-    centres = ranked.groupBy("key").agg(F.max(F.struct("lists", "node", "n")).alias("c"))
-    centres = scratch_table(centres.select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("n_centre")), "centres")
-    pairs = lists.join(centres, "key").filter((F.col("node") != F.col("centre")) & _similar_sizes("n", "n_centre", percent))
-    return pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-
-
-def _pairs_apart(lists: DataFrame, found: DataFrame, percent: int, most: int) -> DataFrame:
-    """Pairs of a list that are in different components and may link. The nodes outside a list's main component meet all others;
-    those inside don't meet each other.
-
-    Two listed sets that link have more than one element of their prefixes in common: whatever is common past the end of the
-    prefix that ends first is at most the rest of that set. As rare elements come first, this holds back nearly all pairs of
-    copies that differ too much, inside the join and before their sets are fetched. A pair is taken from the first list that
-    both are in.
-    """
-    placed = lists.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    placed = scratch_table(placed, "placed")
-    open_ = placed.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("last")).filter("main <> last")
-    placed = scratch_table(placed.join(scratch_table(open_.select("key", "main"), "open"), "key"), "placed")
-    keys = scratch_table(placed.groupBy("node").agg(F.collect_set("key").alias("keys")), "keys")
-    placed = placed.join(keys, "node")
-    outside = placed.filter("component <> main").select("key", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "component", "keys")))
-    inside = placed.select("key", "node", "n", "component", "keys")
-    common = F.array_intersect("keys_x", "keys")
-    past = [F.floor((n * percent + 99) / 100) - 1 for n in (F.col("n_x"), F.col("n"))]  # elements past the prefix
-    overlap = F.ceil((F.col("n_x") + F.col("n")) * percent / (100 + percent) - 1e-9)
-    smallest = F.least("n_x", "n")
-    both_listed = (smallest > most) | (100 * smallest >= percent * (most + 1))
-    meets = outside.join(
-        inside,
-        (outside["key"] == inside["key"])
-        & (F.col("component_x") != F.col("component"))
-        & _similar_sizes("n_x", "n", percent)
-        & (~both_listed | (F.size(common) >= overlap - F.greatest(*past)))
-        & (F.array_min(common) == outside["key"]),
-    )
-    return meets.select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b")).distinct()
+    ranked = lists.join(lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists")), "node")
+    centres = ranked.groupBy("key").agg(F.max(F.struct("lists", "node", "n", "place")).alias("c"))
+    centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("n_centre"), F.col("c.place").alias("place_centre"))
+    pairs = lists.join(centres, "key").filter((F.col("node") != F.col("centre")) & _may_link("n", "place", "n_centre", "place_centre", percent))
+    return pairs.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+
+
+def _pairs_apart(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a list that are in different components and may link. The nodes outside a list's main component meet all others, in
+    blocks of bounded size; those inside don't meet each other. As rare elements come first, the places of a common one tell how
+    many elements of its own a set has, and hold back nearly all copies that differ too much inside the join."""
+    placed = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    keys = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("m"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("several"))
+    keys = keys.filter("several > 1").select("key", F.col("m.component").alias("main"), (F.col("all") - F.col("m.size")).alias("outside"))
+    placed = scratch_table(placed.join(keys, "key"), "open")
+    columns, blocks = ["node", "n", "component", "place"], F.ceil(F.col("outside") / _OUTSIDE).cast("long")
+    outside = placed.filter("component <> main").select("key", F.pmod(F.xxhash64("node"), blocks).alias("block"), *(F.col(c).alias(f"{c}_x") for c in columns))
+    inside = placed.select("key", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), *columns)
+    meet = outside.join(inside, ["key", "block"])
+    meet = meet.filter((F.col("component_x") != F.col("component")) & _may_link("n_x", "place_x", "n", "place", percent))
+    return meet.select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b")).distinct()
 
 
 def document_components(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
@@ -313,14 +290,13 @@ def document_components(docs: DataFrame, percent: int = PERCENT, length: int = S
 def one_of_each(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
     """The rows of a table, with all its columns, but of each component the one with the smallest doc_id (then hash of the text).
 
-    Rows that repeat doc_id and text count as one; rows without a word stay as they are. Columns named ``_id`` or ``_fp`` would
-    clash.
+    Rows that repeat doc_id and text count as one; rows without a word stay as they are. Columns may have any names.
     """
     joined = scratch_table(join_documents(docs, percent, length), "joined")
     first = joined.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("id", "fp")).alias("row"))
-    keep = scratch_table(first.select(F.col("row.id").alias("_id"), F.col("row.fp").alias("_fp")), "kept")
+    keep = scratch_table(first.select("row.id", "row.fp"), "kept")
     id_, fp, text = row_key()
-    keyed = docs.withColumns({"_id": id_, "_fp": fp})
     wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = keyed.filter(~wordless).join(keep, ["_id", "_fp"], "left_semi").dropDuplicates(["_id", "_fp"])
-    return kept.unionByName(keyed.filter(wordless)).drop("_id", "_fp")
+    keyed = docs.select(F.struct("*").alias("row"), id_.alias("id"), fp.alias("fp"), wordless.alias("wordless"))
+    kept = keyed.filter("not wordless").join(keep, ["id", "fp"], "left_semi").dropDuplicates(["id", "fp"])
+    return kept.select("row.*").unionByName(keyed.filter("wordless").select("row.*"))
