@@ -92,8 +92,8 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, leng
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
-    """The rows of a table, with all its columns, whose text contains no item. A column named ``_id`` or ``_fp`` would clash."""
-    found = contained_items(docs, items, percent, length).select(F.col("id").alias("_id"), F.col("fp").alias("_fp")).distinct()
+    """The rows of a table, with all its columns, whatever their names, whose text contains no item."""
+    found = scratch_table(contained_items(docs, items, percent, length).select("id", "fp").distinct(), "contaminated")
     id_, fp, _ = row_key()
-    keyed = docs.withColumns({"_id": id_, "_fp": fp})
-    return keyed.join(scratch_table(found, "contaminated"), ["_id", "_fp"], "left_anti").drop("_id", "_fp")
+    keyed = docs.select(F.struct("*").alias("row"), id_.alias("id"), fp.alias("fp"))
+    return keyed.join(found, ["id", "fp"], "left_anti").select("row.*")

@@ -55,7 +55,7 @@ def _count_grams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sampled(docs: DataFrame, sample: int) -> DataFrame:
     """About ``sample`` labelled texts of each language: those whose hash is under the share that gives as many."""
-    known = docs.filter("lang is not null and text is not null")
+    known = docs.select("doc_id", "lang", "text").filter("lang is not null and text is not null")
     rates = known.groupBy("lang").agg((F.lit(sample) / F.count(F.lit(1))).alias("rate"))
     rates = scratch_table(rates, "rates")  # as a table its size is known, and a short one is broadcast
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003

@@ -187,13 +187,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_
 def copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> DataFrame:
     """The rows of a table, with all its columns, each as often as the mix takes it; see ``mix``.
 
-    Of rows that repeat doc_id, text and source the first stands for all, as often as the mix takes them together. Columns named
-    ``_place``, ``_source``, ``_nth`` or ``_copies`` would clash.
+    Of rows that repeat doc_id, text and source one stands for all, as often as the mix takes them together. Columns may have any
+    names. Texts are shuffled once, to meet how often they are taken; repeats are told from the written table of the mix, and only
+    they are folded, in the map tasks first.
     """
     mixed = scratch_table(mix(docs, weights, most), "mixed")
-    wanted = mixed.groupBy(F.col("place").alias("_place"), F.col("source").alias("_source")).agg(F.sum("copies").alias("_copies"))
-    wanted = scratch_table(wanted.filter("_copies > 0"), "wanted")
-    once = docs.withColumn("_place", _place()).dropDuplicates(["_place", "source"])
-    same = (once["_place"] == wanted["_place"]) & once["source"].cast("string").eqNullSafe(wanted["_source"])
-    taken = once.join(wanted, same).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return taken.select(*(once[c] for c in docs.columns))
+    source = F.when(F.col("source").isNotNull(), F.concat(F.lit("="), F.col("source").cast("string"))).otherwise("").alias("origin")
+    wanted = mixed.groupBy("place", source).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
+    wanted = scratch_table(wanted.filter("copies > 0"), "wanted")
+    rows = docs.select(F.struct("*").alias("row"), _place().alias("place"), source)
+    single = rows.join(wanted.filter("n = 1"), ["place", "origin"])
+    repeated = rows.join(wanted.filter("n > 1"), ["place", "origin"]).dropDuplicates(["place", "origin"])
+    taken = single.unionByName(repeated).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return taken.select("row.*")
