@@ -1,6 +1,6 @@
 """KPIs and dashboard calculations over the main dataset and its reports."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.labels import month_key, rating_bucket
@@ -130,7 +130,7 @@ def by_weekday(main: DataFrame) -> DataFrame:
     )
 
 
-def recent_activity(main: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
+def recent_activity(main: DataFrame, as_of: str | Column | None = None, days: int = 7) -> DataFrame:
     """Reviews per day over the last days."""
     recent = main.filter(F.col("review_date") > F.date_sub(last_day(main, as_of), days))
     return recent.groupBy("review_date").agg(

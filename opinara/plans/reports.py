@@ -432,12 +432,20 @@ def publish(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- custom queries
 
 
-def last_day(df: DataFrame, as_of: str | None = None) -> Column:
+def last_day(df: DataFrame, as_of: str | Column | None = None) -> Column:
     """The day a period ends on: the given one, or the last review date of the table."""
+    if isinstance(as_of, Column):
+        return as_of
     return F.to_date(F.lit(as_of)) if as_of is not None else df.agg(F.max("review_date")).scalar()
 
 
-def kpi_overview(main: DataFrame, as_of: str | None = None, days: int = 30) -> DataFrame:
+def last_rated_day(star: Star) -> Column:
+    """The last date of the rated reviews, from the date keys of the fact alone: no other dimension is joined for it."""
+    rated = star["fact_reviews"].filter("star_rating is not null").select("date_id").distinct()
+    return rated.join(star["dim_date"], "date_id").agg(F.max("full_date")).scalar()
+
+
+def kpi_overview(main: DataFrame, as_of: str | Column | None = None, days: int = 30) -> DataFrame:
     recent = main.filter(F.col("review_date") >= F.date_sub(last_day(main, as_of), days))
     return recent.agg(
         rows().alias("total_reviews"),

@@ -168,7 +168,8 @@ def by_weekday(spark, folder):
     ),
 )
 def recent_activity(spark, folder):
-    return kpis.recent_activity(main(spark, folder))
+    star = review_star(spark, folder)
+    return kpis.recent_activity(reports.main_dataset(star), reports.last_rated_day(star))
 
 
 @query(

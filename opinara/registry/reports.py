@@ -447,17 +447,13 @@ def published_bank_summary(spark, folder):
     "published_main_dataset",
     with_ctes(
         MAIN,
-        select=f"""SELECT review_id, coalesce(bank_name, 'Inconnu') AS bank_name, {_DATE},
-          coalesce(sentiment_label, 'unknown') AS sentiment_label, {rounded('ensemble_score', 2)} AS ensemble_score,
-          {rounded('sentiment_confidence')} AS sentiment_confidence, word_count,
-          {rounded('custom_sentiment_score', 2)} AS custom_sentiment_score FROM main""",
+        select=f"""SELECT * REPLACE (coalesce(bank_name, 'Inconnu') AS bank_name, {_DATE}, coalesce(sentiment_label, 'unknown')
+          AS sentiment_label, {rounded('ensemble_score', 2)} AS ensemble_score, {rounded('data_quality_score', 2)} AS data_quality_score,
+          {rounded('custom_sentiment_score', 2)} AS custom_sentiment_score) FROM main""",
     ),
 )
 def published_main_dataset(spark, folder):
-    return reports.publish(main(spark, folder)).select(
-        "review_id", "bank_name", "review_date", "sentiment_label", "ensemble_score", "sentiment_confidence", "word_count",
-        "custom_sentiment_score",
-    )
+    return reports.publish(main(spark, folder))
 
 
 _PUBLISHED = {
@@ -501,7 +497,8 @@ def published_run(spark, folder):
     ),
 )
 def kpi_overview(spark, folder):
-    return reports.kpi_overview(main(spark, folder))
+    star = review_star(spark, folder)
+    return reports.kpi_overview(reports.main_dataset(star), reports.last_rated_day(star))
 
 
 @query(
