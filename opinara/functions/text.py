@@ -88,7 +88,7 @@ def word_count(text: Column) -> Column:
 
 
 def sentence_count(text: Column) -> Column:
-    pieces = F.filter(F.split(text, SENTENCE_END), lambda s: F.regexp_replace(s, f"[{SPACE}]+", "") != "")
+    pieces = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(f"[^{SPACE}]"))
     return F.when(text.isNull(), F.lit(0)).otherwise(F.size(pieces))
 
 
