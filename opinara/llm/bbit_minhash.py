@@ -204,15 +204,28 @@ def _confirm(length: int, percent: int):
 
 
 def _with_centres(lists: DataFrame, ranks: list[Column], percent: int) -> DataFrame:
-    """Pairs of each node under a key with the node there of the highest rank, for each of the ranks, if they may link."""
-    tops = [F.max(F.struct(rank.alias("rank"), "node", *_SHOWN)) for rank in ranks]
+    """Pairs of each node under a key with the node there of the highest rank, for each of the ranks, if they may link and aren't in
+    one component already."""
+    shown = ["node", *(["component"] if "component" in lists.columns else []), *_SHOWN]
+    tops = [F.max(F.struct(rank.alias("rank"), *shown)) for rank in ranks]
     centres = lists.groupBy("key").agg(F.array_distinct(F.array(*[t.dropFields("rank") for t in tops])).alias("c"))
-    centres = centres.select("key", F.explode("c").alias("c"))
-    centres = centres.select("key", *(F.col(f"c.{c}").alias(f"{c}_c") for c in ("node", *_SHOWN)))
-    pairs = lists.join(centres, "key").filter((F.col("node") != F.col("node_c")) & _may_link("", "_c", percent))
+    centres = centres.select("key", F.explode("c").alias("c")).select("key", *(F.col(f"c.{c}").alias(f"{c}_c") for c in shown))
+    name = shown[1] if "component" in shown else "node"
+    pairs = lists.join(centres, "key").filter((F.col(name) != F.col(f"{name}_c")) & _may_link("", "_c", percent))
     return pairs.select(F.greatest("node", "node_c").alias("a"), F.least("node", "node_c").alias("b")).distinct()
 
 
+def _united(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links, which join components to larger ones: each counts once between two of them."""
+    of = {side: found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")) for side in "ab"}
+    ends = links.join(of["a"], "a", "left").join(of["b"], "b", "left")
+    ends = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b").distinct()
+    whole = components(ends).withColumnRenamed("component", "whole")
+    known = found.join(whole.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    fresh = whole.join(found, "node", "left_anti").select("node", F.col("whole").alias("component"))
+    return scratch_table(known.unionByName(fresh), "components")
+
+
 def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
     """The lists with nodes of several components, with component, main (a component of the key) and outside (nodes of others)."""
     placed = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -277,16 +290,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, length: int = SHING
 
     lists_of = lists.groupBy("node").agg(F.count(F.lit(1)).alias("lists"))
     judged = scratch_table(_with_centres(lists.join(lists_of, "node"), [F.col("lists")], percent), "pairs")
-    links = fetched.linked(judged)
-    found = components(links)
+    found = components(fetched.linked(judged))
     open_ = _open_lists(lists, found)
     drawn = _with_centres(open_, [F.xxhash64(F.lit(n), "key", "node") for n in range(_DRAWS)], percent) if _DRAWS else judged.limit(0)
     for step, wanted in enumerate((lambda: drawn, lambda: _pairs_apart(open_, fetched, percent))):
         pairs = scratch_table(wanted().join(judged, ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
             continue
-        judged, links = judged.unionByName(pairs), links.unionByName(fetched.linked(pairs))
-        found = components(links)
+        judged, found = judged.unionByName(pairs), _united(found, fetched.linked(pairs))
         open_ = _open_lists(lists, found) if step == 0 else open_
 
     named = nodes.join(found, "node", "left").select("s1", "s2", "id", F.coalesce("component", "node").alias("component"))

@@ -343,6 +343,8 @@ def build(conversations: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataF
 def _pieces(parts):
     def rows():
         for part in parts:
+            if not part.num_rows:
+                continue
             conv, depth, member = (part.column(c).to_numpy() for c in ("conv_id", "depth", "member"))
             cuts = np.flatnonzero((conv[1:] != conv[:-1]) | (depth[1:] != depth[:-1])) + 1
             cuts = np.union1d(cuts, np.arange(0, len(conv), PIECE))
