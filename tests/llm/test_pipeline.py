@@ -39,7 +39,7 @@ CONTRACTS = {
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_matches_sql(spark, folder, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     expected = duck.execute(registry.ORACLES[name]).fetchdf()
     df = registry.QUERIES[name](spark, folder)
