@@ -38,6 +38,7 @@ MARGIN = 5  # standard deviations
 _DRAWS = 3  # drawn centres of a key; what they leave open is settled pair by pair
 _CHUNK = 1 << 16
 _RARE = 16  # nodes of open lists that have a rare shingle, at most
+_MAPS = 8  # numbers of 64 bits that a bitmap of frequent shingles has
 _BLOCK = 4096  # outside nodes under one key that meet in one block
 
 _SEEDS = mixed(np.arange(1, 2 * FUNCTIONS + BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -45,6 +46,7 @@ _FACTORS = (_SEEDS[:FUNCTIONS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1
 _MASKS = (_SEEDS[FUNCTIONS : 2 * FUNCTIONS] >> np.uint64(32)).astype(np.uint32)
 _BAND_SEEDS = _SEEDS[2 * FUNCTIONS :]
 _PACKED = [f"g{n}" for n in range(WORDS)]
+_MAPPED = [f"m{n}" for n in range(_MAPS)]
 _SHOWN = ["n", "common", *_PACKED]  # what a list tells of a node
 SIGNED = "id long, fp long, n int, s1 long, s2 long, " + ", ".join(f"{g} long" for g in _PACKED) + ", bands array<long>"
 _SIGNED = pa.schema(
@@ -149,6 +151,19 @@ def _may_link(one: str, other: str, percent: int) -> Column:
     return possible & (differences(one, other) <= most_differences(percent))
 
 
+def _lacking(one: str, other: str) -> Column:
+    """How many shingles of a set the other lacks, at least: a bit that only its own bitmap has stands for one or more of them."""
+    counts = [F.bit_count(F.col(f"{m}{one}").bitwiseAND(F.bitwise_not(F.col(f"{m}{other}")))) for m in _MAPPED]
+    return sum(counts[1:], counts[0])
+
+
+def _bitmaps() -> list[Column]:
+    """The bitmap of the shingles of a group: each sets the bit that its hash names."""
+    place = F.expr(f"pmod(shiftrightunsigned(gram, 6), {_MAPS})")
+    bit = F.expr("shiftleft(1L, cast(gram & 63 as int))")
+    return [F.bit_or(F.when(place == n, bit).otherwise(F.lit(0).cast("long"))).alias(m) for n, m in enumerate(_MAPPED)]
+
+
 class _Texts:
     """The texts of the nodes that share a key with another."""
 
@@ -239,8 +254,9 @@ def _pairs_apart(open_: DataFrame, fetched: _Texts, percent: int) -> DataFrame:
     """Pairs of nodes of open lists in different components that may link.
 
     A shingle that at most ``_RARE`` of these nodes have is rare. Two sets either have a rare shingle in common, and such pairs are
-    listed by shingle, a bounded number for each; or they have no more in common than either has shingles that aren't rare. Among
-    copies of one text those are the text's own, so that copies that differ too much don't meet, however many there are.
+    listed by shingle, a bounded number for each; or they have no more in common than either has shingles that aren't rare, less
+    those that the other lacks by its bitmap. Among copies of one text those that aren't rare are the text's own, and each copy lacks
+    others of them, so that copies that differ too much don't meet, however many there are.
     """
     nodes = scratch_table(open_.select("node", "component", *_SHOWN).distinct(), "open-nodes")
     grams = scratch_table(fetched.grams(nodes), "grams")
@@ -253,14 +269,16 @@ def _pairs_apart(open_: DataFrame, fetched: _Texts, percent: int) -> DataFrame:
     apart = (F.col("component_x") != F.col("component")) & _may_link("_x", "", percent)
     listed = rare.filter(apart).select("a", "b")
 
-    frequent = shared.filter(F.col("uses") > _RARE).groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("frequent"))
+    frequent = shared.filter(F.col("uses") > _RARE).groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("frequent"), *_bitmaps())
     left = open_.drop("common").join(frequent.withColumnRenamed("frequent", "common"), "node").filter(100 * F.col("common") >= percent * F.col("n"))
     # Nodes outside the key's main component meet all others, in blocks of bounded size
-    columns = ["node", "component", *_SHOWN]
+    columns = ["node", "component", *_SHOWN, *_MAPPED]
     blocks = F.ceil(F.col("outside") / _BLOCK).cast("long")
     outside = left.filter("component <> main").select("key", F.pmod(F.xxhash64("node"), blocks).alias("block"), *(F.col(c).alias(f"{c}_x") for c in columns))
     inside = left.select("key", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), *columns)
-    meet = outside.join(inside, ["key", "block"]).filter(apart)
+    at_most = F.least(F.col("common_x") - _lacking("_x", ""), F.col("common") - _lacking("", "_x"))
+    enough = (100 + percent) * at_most >= percent * (F.col("n_x") + F.col("n"))
+    meet = outside.join(inside, ["key", "block"]).filter(apart & enough)
     met = meet.select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b"))
     return listed.unionByName(met).distinct()
 

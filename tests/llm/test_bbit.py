@@ -104,6 +104,23 @@ def test_families(spark, families, monkeypatch, draws, block, rare):
     assert len({r[2] for r in got}) < len(families)
 
 
+def test_copies_without_their_text(spark, monkeypatch):
+    """Copies of a text that isn't there, each with two other words: few of them link, and the others don't meet in all pairs."""
+    rng = random.Random(9)
+    base = [f"w{n}" for n in range(80)]
+    rows = []
+    for i in range(120):
+        copy = list(base)
+        for place in rng.sample(range(5, 75), 2):
+            copy[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(copy)))
+    met, pairs_apart = [], bbit._pairs_apart
+    monkeypatch.setattr(bbit, "_pairs_apart", lambda *given: met.append(pairs_apart(*given)) or met[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert by_spark(docs) == by_pairs(rows, 85, 3)
+    assert met[0].count() < 120 * 119 / 2 / 10
+
+
 def test_other_thresholds(spark, families):
     docs = spark.createDataFrame(families, "doc_id long, text string")
     assert by_spark(docs, 80, 5) == by_pairs(families, 80, 5)
