@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, doc_id, gram_hashes, keyed_texts, mixed, row_key, scratch_table, word_hashes
@@ -189,19 +189,22 @@ def _confirm(length: int, percent: int):
     return run
 
 
-class _Texts:
-    """The texts of the nodes that are in lists with others, fetched once."""
+def _lists(entries: DataFrame) -> DataFrame:
+    """The entries whose key has several nodes, once each. They are dealt by key once, for the test and for the list."""
+    by_key = Window.partitionBy("key")
+    ends = entries.withColumns({"first": F.min("node").over(by_key), "last": F.max("node").over(by_key)})
+    return ends.filter("first <> last").drop("first", "last").distinct()
 
-    def __init__(self, texts: DataFrame, nodes: DataFrame, lists: DataFrame, length: int, percent: int):
-        wanted = nodes.join(lists.select("node").distinct(), "node").select("id", "fp", "node")
-        found = texts.join(wanted, ["id", "fp"]).select("node", "text").dropDuplicates(["node"])
-        self.table, self.length, self.percent = scratch_table(found, "texts"), length, percent
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets link."""
-        ones = pairs.join(self.table.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        both = ones.join(self.table.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        return scratch_table(both.mapInArrow(_confirm(self.length, self.percent), "a long, b long"), "links")
+def _linked(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link. The texts of their nodes, and of no others, are fetched once."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = nodes.join(ends, "node").select("id", "fp", "node")
+    found = texts.join(wanted, ["id", "fp"]).dropDuplicates(["id", "fp", "node"])
+    table = scratch_table(found.select("node", "text"), "texts")
+    ones = pairs.join(table.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    both = ones.join(table.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    return scratch_table(both.mapInArrow(_confirm(length, percent), "a long, b long"), "links")
 
 
 def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
@@ -219,20 +222,17 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, length: int = SHINGL
     sizes = {r["n"]: r["count"] for r in small if links_with_others(r["n"], percent)}
     most = boundary(sizes, percent)
     entries = texts.mapInArrow(_list_sets(length, percent, most, levels), "key long, node long, n int, place int")
-    entries = scratch_table(entries, "entries")
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("row"))
     nodes = scratch_table(nodes.select("node", "row.id", "row.fp"), "nodes")
 
-    shared = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
-    lists = scratch_table(entries.join(shared.select("key"), "key").distinct(), "lists")
-    fetched = _Texts(texts, nodes, lists, length, percent)
+    lists = scratch_table(_lists(entries), "lists")
     pairs = scratch_table(_pairs_with_centres(lists, percent), "pairs")
-    links = fetched.linked(pairs)
+    links = _linked(texts, nodes, pairs, length, percent)
     found = components(links)
 
     apart = scratch_table(_pairs_apart(lists, found, percent).join(pairs, ["a", "b"], "left_anti"), "pairs-apart")
     if apart.limit(1).count():
-        found = components(links.unionByName(fetched.linked(apart)))
+        found = components(links.unionByName(_linked(texts, nodes, apart, length, percent)))
 
     named = nodes.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     least = scratch_table(named.groupBy("component").agg(F.min("id").alias("component_id")), "names")

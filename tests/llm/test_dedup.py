@@ -209,6 +209,32 @@ def test_one_of_each(odd_docs, odd_rows):
     assert sum(not words(r.text) for r in kept.collect()) == sum(not words(t) for _, t in rows)
 
 
+def test_only_texts_of_pairs_are_fetched(spark, monkeypatch):
+    """Entries are dealt once and not written before, and texts that only meet others that they can't link with stay where they are."""
+    rng, written, write = random.Random(6), {}, jaccard_join.scratch_table
+
+    def keep(df, label):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(jaccard_join, "scratch_table", keep)
+    monkeypatch.setattr(jaccard_join, "boundary", lambda sizes, percent: 0)
+    prose = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(0, 30, 3):  # passages in two texts each, so that they lead the order, and sizes that differ too much
+        one, two, three = prose(100), prose(200), prose(400)
+        rows += [(i, " ".join(one + two)), (i + 1, " ".join(two + three)), (i + 2, " ".join(three + one))]
+    near = prose(100)
+    rows += [(100, " ".join(near)), (101, " ".join([*near, "more"]))]
+    got = jaccard_join.document_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i for i, _ in rows} | {101: 100}
+    ends = {n for p in written["pairs"].collect() for n in p}
+    assert {r.node for r in written["texts"].collect()} == ends and "entries" not in written
+    assert len(ends) < len({r.node for r in written["lists"].collect()})
+    plan = jaccard_join._lists(spark.createDataFrame([(1, 2, 3, 4)], "key long, node long, n int, place int"))
+    assert str(plan._jdf.queryExecution().executedPlan()).count("Exchange") == 1
+
+
 def test_boundary_follows_cost():
     assert jaccard_join.boundary({}, 85) == 0
     assert 6 <= jaccard_join.boundary({n: 10 for n in range(6, 400)}, 85) < 256
