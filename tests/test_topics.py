@@ -146,6 +146,20 @@ def test_search_side_by_side(spark, fitted):
     assert [r.k for r in one_by_one] == [2, 3, 4, 5] and all(r.perplexity > 1 for r in one_by_one)
 
 
+def test_terms_are_counted_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(topics, "COUNTED_AT_ONCE", 2)
+    rows = [(1, ["b", "a", "b", "a b"]), (2, []), (3, None), (4, ["é", "b", "é"]), (5, ["a"])]
+    given = spark.createDataFrame(rows, "review_seq long, terms array<string>").coalesce(1)
+    found = topics.term_counts(given)
+    once = {(1, "b"): 2, (1, "a"): 1, (1, "a b"): 1, (4, "é"): 2, (4, "b"): 1, (5, "a"): 1}
+    assert {(r.review_seq, r.term): r.n for r in found.collect()} == once
+    assert "Exchange" not in str(found._jdf.queryExecution().executedPlan())
+    more = spark.createDataFrame([(1, ["b", "c"]), (None, ["a"]), (None, ["a", "b"])], given.schema)
+    added = topics.term_counts(given.unionByName(more)).collect()
+    assert len(added) == 9
+    assert {(r.review_seq, r.term): r.n for r in added} == once | {(1, "b"): 3, (1, "c"): 1, (None, "a"): 2, (None, "b"): 1}
+
+
 @pytest.mark.parametrize("most_broadcast", [1, 3, topics.MOST_FREQUENT])
 def test_weights_of_all_terms(spark, most_broadcast):
     rows = [(1, "compte client bon bon"), (2, "compte bon frais"), (3, "frais compte a"), (4, "un deux"), (5, None)]
