@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions.labels import month_key, rating_bucket
 from opinara.functions.numbers import half_up, label_share, rows
+from opinara.operators.lineage import cut_lineage
 from opinara.operators.lookup import lookup
 from opinara.operators.statistics import correlation_matrix, exact_percentiles
 from opinara.plans.reports import last_day
@@ -169,8 +170,9 @@ def branch_ranking(branches: DataFrame) -> DataFrame:
 
     Equal (share, rating) pairs are counted first. Shares have two decimals, so a bank has at most
     10,001 of them to add up in order; ratings are only ordered inside one share. So no task sorts
-    all branches of a bank.
+    all branches of a bank. The branches are written once: they are read for the counts, the sizes of tables and the result.
     """
+    branches = cut_lineage(branches)
     share, rating = "positive_percentage", "avg_rating"
     pairs = branches.groupBy("bank_name", share, rating).agg(rows().alias("_n"))
     per_share = pairs.groupBy("bank_name", share).agg(F.sum("_n").alias("_n"))

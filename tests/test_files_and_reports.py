@@ -121,3 +121,19 @@ def test_kpis_of_an_empty_and_a_single_day_table(spark):
     rows = [("b", "x", 50.0, 10), ("a", "y", 50.0, 10), ("c", "z", 40.0, 10)]
     df = spark.createDataFrame(rows, "bank_name string, other string, positive_percentage double, total_reviews long")
     assert tuple(kpis.top_banks(df).head()) == ("a", "a")
+
+
+def test_branches_are_made_once_for_their_ranks(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def rating(x):
+        made.add(1)
+        return x
+
+    rows = [("a", "x", 50.0, 4.0), ("a", "y", 50.0, 3.0), ("a", "z", 60.0, None), ("a", "w", 50.0, 4.0), ("b", "x", 10.0, 1.0), (None, "x", 10.0, 2.0)]
+    given = spark.createDataFrame(rows, "bank_name string, branch_name string, positive_percentage double, r double")
+    branches = given.select("bank_name", "branch_name", F.lit("c").alias("city"), "positive_percentage", rating("r").alias("avg_rating"))
+    found = {(r.bank_name, r.branch_name): r.branch_rank for r in kpis.branch_ranking(branches).collect()}
+    assert found == {("a", "z"): 1, ("a", "x"): 2, ("a", "w"): 2, ("a", "y"): 4, ("b", "x"): 1, (None, "x"): 1}
+    assert made.value == len(rows)
