@@ -17,8 +17,10 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled ones teach. Those without a letter go, and those whose shortest code
-    takes more bits per byte than texts of its language do."""
-    return language_id.fitting(docs, language_id.train(docs), language_id.limits(docs))
+    takes more bits per byte than texts of its language do. Statistics and limits come from all labelled texts."""
+    counts = language_id.gram_counts(docs)
+    allowed = language_id.limits(docs, counts)  # its models go before the next is made
+    return language_id.fitting(docs, language_id.train(docs, counts), allowed)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

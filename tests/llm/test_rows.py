@@ -95,6 +95,28 @@ def test_language_of_held_out_rows(spark, folder):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
 
 
+def test_all_labelled_texts_are_learned(spark):
+    """Statistics and limits come from every labelled text, however many there are."""
+    rng = random.Random(5)
+    texts = [("ab"[k % 2], " ".join("".join(rng.choices("aeinrst" if k % 2 else "bdglomu", k=5)) for _ in range(20)) + f" {k}") for k in range(1500)]
+    docs = spark.createDataFrame([(k, *t) for k, t in enumerate(texts)] + [(-1, None, "zzz"), (-2, "a", None)], "doc_id long, lang string, text string")
+    counts = language_id.gram_counts(docs.repartition(5))
+    assert {(r.lang, r.gram): r.uses for r in counts.itertuples()} == {(r.lang, r.gram): r.uses for r in counts_of(texts).itertuples()}
+    assert (counts["half_0"] + counts["half_1"] == counts["uses"]).all() and 0.4 < counts["half_0"].sum() / counts["uses"].sum() < 0.6
+    some = [t.encode() for _, t in texts[:20]]
+    assert language_id.train(docs).bits(some) == pytest.approx(language_id.Model(counts_of(texts)).bits(some), abs=1e-6)
+    halves = [[(r.lang, r.text) for r in language_id.labelled(docs).filter(f"half = {n}").collect()] for n in (0, 1)]
+    models = [language_id.Model(counts_of(h)) for h in halves]
+    pieces = {"a": [], "b": []}
+    for n in (0, 1):
+        for lang, text in halves[n]:
+            bits = models[1 - n].byte_bits(text.encode(), lang)
+            pieces[lang] += [int(bits[k : k + 8].mean(dtype=float) * 64) for k in range(0, len(bits) - 7, 8)]
+    for lang, held in language_id.limits(docs).items():
+        middle, high = (sorted(pieces[lang])[math.ceil(share * len(pieces[lang])) - 1] + 1 for share in (0.5, 0.95))
+        assert held[0] == pytest.approx((middle + 5 * (high - middle)) / 64, abs=0.1)
+
+
 # toxicity
 
 
