@@ -222,9 +222,9 @@ def lemmas_inline(spark, folder):
 )
 def lemmas_joined(spark, folder):
     kept = cleaning.remove_duplicates(reviews_raw(spark, folder))
-    plain = cleaning.plain_tokens(kept)
+    plain = cut_lineage(cleaning.plain_tokens(kept).select("review_seq", "tokens"))
     ends = plain.select(F.explode("tokens").alias("term")).filter("term like '%s' and length(term) > 3").distinct()
-    table = ends.withColumn("lemma", F.expr("substring(term, 1, length(term) - 1)"))
+    table = cut_lineage(ends.withColumn("lemma", F.expr("substring(term, 1, length(term) - 1)")))
     out = cleaning.lemmatize(plain, table, inline_terms=0)
     return out.select("review_seq", F.array_join("tokens", " ").alias("processed_text"))
 

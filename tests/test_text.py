@@ -145,3 +145,15 @@ def test_cleaning_with_a_word_table(spark):
     table = spark.createDataFrame([("attente", "ATT")], "word string, normal string")
     out = cleaning.clean_reviews(_reviews(spark, [(1, "a", "attente longue guichets fermes")]), word_table=table).head()
     assert out.processed_text == "ATT longue guichets fermes"
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_long_lemma_table_is_looked_up_in_the_rows(spark):
+    lemmas = spark.createDataFrame([("aa", "x"), ("bb", "y")], "term string, lemma string")
+    df = spark.createDataFrame([(1, ["bb", "cc", "aa"]), (2, []), (3, None)], "review_seq long, tokens array<string>")
+    out = cleaning.lemmatize(df, lemmas, inline_terms=0)
+    assert [r.tokens for r in out.orderBy("review_seq").collect()] == [["y", "cc", "x"], [], []]
+    assert "posexplode" not in _plan(out) and "posexplode" in _plan(cleaning.lemmatize(df, lemmas, inline_terms=0, most_shared=0))
