@@ -157,3 +157,12 @@ def test_a_long_lemma_table_is_looked_up_in_the_rows(spark):
     out = cleaning.lemmatize(df, lemmas, inline_terms=0)
     assert [r.tokens for r in out.orderBy("review_seq").collect()] == [["y", "cc", "x"], [], []]
     assert "posexplode" not in _plan(out) and "posexplode" in _plan(cleaning.lemmatize(df, lemmas, inline_terms=0, most_shared=0))
+
+
+def test_a_text_is_cleaned_once(spark):
+    from opinara.plans import topics
+
+    df = spark.createDataFrame([(1, "Voir HTTPS://a.b @ 0612345678 <b>ici</b> un deux")], "review_seq long, review_text string")
+    out = topics.prepare_documents(cleaning.process_reviews(df, stem=False).select("review_seq", "processed_text"))
+    assert _plan(out).count("https?") == 1
+    assert [r.document for r in out.collect()] == ["voir ici deux"]
