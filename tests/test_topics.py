@@ -215,3 +215,15 @@ def test_nmf_on_other_partitions(spark, folder):
     one, _ = topics.fit_nmf(vectors.repartition(1), len(vocab), k=3, iterations=4, tolerance=0.0)
     eight, _ = topics.fit_nmf(vectors.repartition(8), len(vocab), k=3, iterations=4, tolerance=0.0)
     assert np.allclose(one, eight, rtol=1e-6, atol=1e-9)
+
+
+def test_pairs_of_rarer_words_are_not_counted_for_a_vocabulary(spark, monkeypatch):
+    rows = [(1, "bon bon compte frais"), (2, "bon compte bon tarif"), (3, "rare seul compte bon"), (4, "rare seul frais"), (5, "")]
+    docs = spark.createDataFrame(rows, "review_seq long, document string").repartition(3)
+    counted = topics.vocabulary(topics.term_statistics(topics.with_terms(docs)), 4, max_share=0.9).collect()
+    with monkeypatch.context() as m:
+        m.setattr(topics, "term_statistics", None)
+        assert topics.learnt_vocabulary(docs, 4, max_share=0.9).collect() == counted
+    for given, size, most in ((docs, 50, 10), (docs, 4, 1), (docs.union(docs), 4, 10)):
+        counted = topics.vocabulary(topics.term_statistics(topics.with_terms(given)), size, max_share=0.9).collect()
+        assert topics.learnt_vocabulary(given, size, most_often=most, max_share=0.9).collect() == counted
