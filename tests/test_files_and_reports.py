@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -137,3 +138,11 @@ def test_branches_are_made_once_for_their_ranks(spark):
     found = {(r.bank_name, r.branch_name): r.branch_rank for r in kpis.branch_ranking(branches).collect()}
     assert found == {("a", "z"): 1, ("a", "x"): 2, ("a", "w"): 2, ("a", "y"): 4, ("b", "x"): 1, (None, "x"): 1}
     assert made.value == len(rows)
+
+
+def test_customers_are_joined_to_orders_before_the_lines(spark, folder):
+    from opinara.sources.tables import review_star
+
+    plan = review_star(spark, folder)["fact_reviews"]._jdf.queryExecution().optimizedPlan().toString()
+    of_lines, of_orders = re.search(r"l_orderkey\S+ = o_orderkey", plan), re.search(r"o_custkey\S+ = c_custkey", plan)
+    assert of_lines.start() < of_orders.start()  # the plan is listed from the top
