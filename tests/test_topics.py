@@ -227,3 +227,19 @@ def test_pairs_of_rarer_words_are_not_counted_for_a_vocabulary(spark, monkeypatc
     for given, size, most in ((docs, 50, 10), (docs, 4, 1), (docs.union(docs), 4, 10)):
         counted = topics.vocabulary(topics.term_statistics(topics.with_terms(given)), size, max_share=0.9).collect()
         assert topics.learnt_vocabulary(given, size, most_often=most, max_share=0.9).collect() == counted
+
+
+def test_documents_that_come_near_slowly_reach_their_weights():
+    """Topics that hardly differ: rounds alone were cut off before the weights stood still."""
+    rng = np.random.default_rng(3)
+    topics_of = 1000 * rng.dirichlet(np.full(60, 5.0))[:, None] * (1 + 0.2 * rng.standard_normal((60, 5)))
+    counts = rng.poisson(10.0, (20, 60)).astype(float)
+    row, term = np.nonzero(counts)
+    prior = np.full(5, 0.2)
+    weights, bound = topic_bound.document_bounds(row, term, counts[row, term], 20, topics_of, prior)
+    shares = np.exp(topic_bound.expected_logs(weights))
+    words = np.exp(topic_bound.expected_logs(topics_of.T).T)
+    raised = prior + shares * ((counts / (shares @ words.T)) @ words)
+    assert np.abs(raised - weights).mean(1).max() < 1e-5 and np.isfinite(bound).all()
+    empty, nothing = topic_bound.document_bounds(row[:0], term[:0], counts[row, term][:0], 2, topics_of, prior)
+    assert np.allclose(empty, prior) and (nothing == 0).all()
