@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from opinara.operators.binding import bind
 from opinara.operators.dedupe import first_n
 from opinara.operators.gather import grouped_text, term_counts
 from opinara.operators.keys import add_dense_key, highest_keys, insert_or_ignore
+from opinara.operators.lineage import checkpoint_folder, stored
 from opinara.operators.places import add_places, ordered_text
 from opinara.operators.lookup import hot_keys, lookup, which_are_small
 from opinara.operators.statistics import exact_percentiles
@@ -166,3 +168,18 @@ def test_ordered_text(spark, rows_per_piece, bytes_per_piece):
         assert sum(r.n_texts for r in mine) == sum(k == g and t is not None for _, k, t in rows)
     assert max(r.n_texts for r in found) <= rows_per_piece
     assert all(len(r.combined_text.encode()) <= bytes_per_piece + 201 for r in found)
+
+
+def _kept_bytes(spark) -> int:
+    return sum(f.stat().st_size for f in Path(checkpoint_folder(spark).removeprefix("file:")).rglob("*") if f.is_file())
+
+
+def test_places_are_kept_in_few_bytes(spark):
+    text = F.concat(F.lit("a text that many rows share "), F.col("id") % 7)
+    df = spark.range(20_000).select("id", text.alias("text"), F.lit(None).cast("string").alias("nothing"))
+    before = _kept_bytes(spark)
+    found = add_places(df, [F.col("id").desc()])
+    assert found.filter("place <> 20000 - id").isEmpty() and found.count() == 20_000
+    assert _kept_bytes(spark) - before < 20_000 * 20
+    untyped = stored(spark.range(3).withColumn("nothing", F.lit(None)))
+    assert sorted(tuple(r) for r in untyped.collect()) == [(0, None), (1, None), (2, None)]
