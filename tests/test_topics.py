@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from opinara import fixed_values as fixed
+from opinara.operators.lineage import checkpoint_folder
 from opinara.operators.small import small_table
 from opinara.plans import topic_bound, topics
 from opinara.registry.topics import documents
@@ -243,3 +245,16 @@ def test_documents_that_come_near_slowly_reach_their_weights():
     assert np.abs(raised - weights).mean(1).max() < 1e-5 and np.isfinite(bound).all()
     empty, nothing = topic_bound.document_bounds(row[:0], term[:0], counts[row, term][:0], 2, topics_of, prior)
     assert np.allclose(empty, prior) and (nothing == 0).all()
+
+
+def test_weights_keep_few_bytes(spark, folder):
+    """What is written for the weights is compressed, and the terms of the documents are not written beside their counts."""
+    from opinara.registry.topics import listed_terms, tfidf_vectors
+
+    def kept() -> int:
+        return sum(f.stat().st_size for f in Path(checkpoint_folder(spark).removeprefix("file:")).rglob("*") if f.is_file())
+
+    n = topics.term_counts(listed_terms(spark, folder)).count()
+    before = kept()
+    assert tfidf_vectors(spark, folder).count() > 0
+    assert kept() - before < 20 * n
