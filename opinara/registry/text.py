@@ -7,7 +7,7 @@ from opinara import fixed_values as fixed
 from opinara.functions import text as tx
 from opinara.functions.numbers import half_up
 from opinara.functions.stemming import stem_tokens, stem_words
-from opinara.operators.lineage import cut_lineage
+from opinara.operators.lineage import cut_lineage, stored
 from opinara.operators.small import small_table
 from opinara.plans import cleaning, vocabulary
 from opinara.registry.core import (
@@ -148,10 +148,10 @@ def _normal(word):
 
 def _word_tables(spark, folder, normalise):
     """Reviews with plain words, and the word table: stored after the reviews with an even number, extended for all of them."""
-    plain = cut_lineage(cleaning.plain_tokens(cleaning.remove_duplicates(reviews_raw(spark, folder))).select("review_seq", "tokens"))
+    plain = stored(cleaning.plain_tokens(cleaning.remove_duplicates(reviews_raw(spark, folder))).select("review_seq", "tokens"))
     early = plain.filter("review_seq % 2 = 0")
-    stored = cut_lineage(vocabulary.extend_word_table(None, vocabulary.distinct_words(early), normalise))
-    return plain, cut_lineage(vocabulary.extend_word_table(stored, vocabulary.distinct_words(plain), normalise))
+    before = stored(vocabulary.extend_word_table(None, vocabulary.distinct_words(early), normalise))
+    return plain, stored(vocabulary.extend_word_table(before, vocabulary.distinct_words(plain), normalise))
 
 
 @query("word_table", with_ctes(REVIEWS_RAW, KEPT, PROCESSED, _TABLE, select="SELECT * FROM word_table"))

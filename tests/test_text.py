@@ -166,3 +166,20 @@ def test_a_text_is_cleaned_once(spark):
     out = topics.prepare_documents(cleaning.process_reviews(df, stem=False).select("review_seq", "processed_text"))
     assert _plan(out).count("https?") == 1
     assert [r.document for r in out.collect()] == ["voir ici deux"]
+
+
+def test_words_of_a_long_table_are_looked_up_by_block(spark):
+    given = [(1, ["a", "b", None, "a"], "x"), (2, [], "y"), (3, None, "z"), (4, ["c", "zz"], None)]
+    rows = spark.createDataFrame(given + [(n, ["a", f"w{n}"], "q") for n in range(5, 60)], "review_seq long, tokens array<string>, other string")
+    pairs = [("a", "A"), ("c", "c"), ("b", "BB")] + [(f"w{n}", f"n{n}") for n in range(5, 50)]
+    table = spark.createDataFrame(pairs, "word string, normal string")
+    normal = dict(pairs)
+    wanted = {r.review_seq: r.tokens and [normal.get(w, w) for w in r.tokens] for r in rows.collect()}
+    for at_once in (3, vocabulary.WORDS_AT_ONCE):
+        found = vocabulary._by_block(rows, table, "tokens", "review_seq", at_once)
+        assert found.columns == rows.columns and {r.review_seq: r.tokens for r in found.collect()} == wanted
+    by_block = vocabulary.normalise_words(rows, table, most_shared=0)
+    assert "CoGroup" in by_block._jdf.queryExecution().executedPlan().toString()
+    assert {r.review_seq: (r.tokens, r.other) for r in by_block.collect()} == {r.review_seq: (wanted[r.review_seq], r.other) for r in rows.collect()}
+    twice = vocabulary.normalise_words(rows.union(rows.limit(1)), table, most_shared=0)
+    assert "CoGroup" not in twice._jdf.queryExecution().executedPlan().toString() and twice.count() == 60
